@@ -19,20 +19,21 @@ WHITESPACE = "".join(chr(c) for lo, hi in _WHITESPACE_RANGES for c in range(lo,
 
 
 def _regex_class(ranges) -> str:
-    return "".join(
-        f"\\x{{{lo:x}}}" if lo == hi else f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for lo, hi in ranges
-    )
+    """Character class that decides ordinary text quickly.
+
+    Latin-1 members are listed one by one, which Java keeps in a bit table; the rest
+    sits behind one range check.
+    """
+    points = [(lo, hi) for lo, hi in ranges if hi > 0xFF]
+    low = "".join(f"\\x{c:02x}" for lo, hi in ranges if hi <= 0xFF for c in range(lo, hi + 1))
+    high = "".join(f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for lo, hi in points)
+    return f"{low}[\\x{{{points[0][0]:x}}}-\\x{{{points[-1][1]:x}}}&&[{high}]]"
 
 
+# Class of all whitespace, to be put between square brackets.
 WHITESPACE_CLASS = _regex_class(_WHITESPACE_RANGES)
-_OTHER_THAN_SPACE = _regex_class(
-    (lo, 0x1F if hi == 0x20 else hi) for lo, hi in _WHITESPACE_RANGES
-)
-# A lone plain space is already in its final form and is left untouched, which
-# keeps the replacement rare on ordinary prose.
-_RUN_TO_REWRITE = f"[{_OTHER_THAN_SPACE}][{WHITESPACE_CLASS}]*| [{WHITESPACE_CLASS}]+"
 # Controls that are not whitespace; the others were turned into spaces before.
-_CONTROLS = r"[\x00-\x08\x0e-\x1b\x7f]"
+_CONTROLS = "[" + "".join(f"\\x{c:02x}" for c in [*range(0x09), *range(0x0E, 0x1C), 0x7F]) + "]"
 
 
 def strip(text: Column) -> Column:
@@ -42,7 +43,7 @@ def strip(text: Column) -> Column:
 
 def squash_whitespace(text: Column) -> Column:
     """Every whitespace run becomes one space."""
-    return F.regexp_replace(text, F.lit(_RUN_TO_REWRITE), F.lit(" "))
+    return F.regexp_replace(text, F.lit(f"[{WHITESPACE_CLASS}]+"), F.lit(" "))
 
 
 def cleaned(text: Column) -> Column:
@@ -56,10 +57,12 @@ def cleaned(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """``str.split()``: whitespace-separated words, none for a blank text."""
-    core = strip(text)
-    return F.when(core == "", F.array().cast("array<string>")).otherwise(
-        F.split(core, f"[{WHITESPACE_CLASS}]+")
-    )
+    return F.array_remove(F.split(text, f"[{WHITESPACE_CLASS}]+"), "")
+
+
+def words_of_cleaned(text: Column) -> Column:
+    """:func:`words` of a text from :func:`cleaned`, whose only whitespace is the space."""
+    return F.array_remove(F.split(text, " "), "")
 
 
 def unix_newlines(text: Column) -> Column:

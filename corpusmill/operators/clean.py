@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
+from corpusmill.functions.binding import computed_once
 
 
 def clean_text(df: DataFrame, column: str = "text") -> DataFrame:
-    return df.withColumn(column, tx.cleaned(F.col(column)))
+    return computed_once(df, column, tx.cleaned(F.col(column)))
 
 
 def drop_short(df: DataFrame, min_length: int = 50, column: str = "text") -> DataFrame:

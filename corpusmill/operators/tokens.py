@@ -37,15 +37,22 @@ def check_vocab_size(vocab_size: int, dtype: str = "uint16") -> None:
         )
 
 
-def word_vocab(df: DataFrame, column: str = "text", max_size: int = 65_535) -> DataFrame:
+def _splitter(cleaned: bool) -> Callable[[Column], Column]:
+    return tx.words_of_cleaned if cleaned else tx.words
+
+
+def word_vocab(
+    df: DataFrame, column: str = "text", max_size: int = 65_535, cleaned: bool = False
+) -> DataFrame:
     """``(token_id, token, count)`` for the most frequent words; id 0 is unknown.
 
-    Ids follow descending count, ties in code-point order. Counting combines on the
+    ``cleaned`` tells that the texts come from the cleaning step, which makes finding
+    the words cheaper. Ids follow descending count, ties in code-point order. Counting combines on the
     map side, so a very frequent word costs one row per task.
     """
     check_vocab_size(max_size)
     counts = (
-        df.select(F.explode(tx.words(F.col(column))).alias("token"))
+        df.select(F.explode(_splitter(cleaned)(F.col(column))).alias("token"))
         .groupBy("token")
         .agg(F.count("*").alias("count"))
     )
@@ -59,7 +66,7 @@ def word_vocab(df: DataFrame, column: str = "text", max_size: int = 65_535) -> D
     )
 
 
-def word_tokenizer(vocab: DataFrame) -> Tokenizer:
+def word_tokenizer(vocab: DataFrame, cleaned: bool = False) -> Tokenizer:
     """Tokenizer over a vocabulary from :func:`word_vocab`.
 
     The vocabulary is bounded by the token type (65,534 words), so it is sent to the
@@ -80,7 +87,7 @@ def word_tokenizer(vocab: DataFrame) -> Tokenizer:
         return pc.binary_join(_as_lists(spelled, id_lists), " ")
 
     return Tokenizer(
-        encode=lambda text: lookup(tx.words(text)),
+        encode=lambda text: lookup(_splitter(cleaned)(text)),
         decode=spell,
         vocab_size=rows.num_rows + 1,
     )
@@ -156,9 +163,9 @@ def tokenize(df: DataFrame, tokenizer: Tokenizer, column: str = "text") -> DataF
     )
 
 
-def count_words(df: DataFrame, column: str = "text") -> DataFrame:
+def count_words(df: DataFrame, column: str = "text", cleaned: bool = False) -> DataFrame:
     """Add ``n_tokens`` of the word tokenizer, which needs no vocabulary."""
-    return df.withColumn("n_tokens", F.size(tx.words(F.col(column))))
+    return df.withColumn("n_tokens", F.size(_splitter(cleaned)(F.col(column))))
 
 
 def token_stats(df: DataFrame) -> DataFrame:

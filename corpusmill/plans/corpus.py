@@ -18,7 +18,7 @@ def corpus_token_stats(
     are left when the cut between the splits is searched.
     """
     kept = clean.prepare(documents, min_length, max_length)
-    counted = materialize(tokens.count_words(kept).select("doc_id", "n_tokens"), "token-counts")
+    counted = materialize(tokens.count_words(kept, cleaned=True).select("doc_id", "n_tokens"), "token-counts")
     return tokens.token_stats(splits.train_val_split(counted, "doc_id", train_fraction, seed))
 
 
@@ -28,7 +28,9 @@ def tokenized_corpus(
 ) -> tuple[DataFrame, tokens.Tokenizer]:
     """Token ids per document with its split; stored once for all later uses."""
     kept = materialize(clean.prepare(documents, min_length).select("doc_id", "text"), "cleaned")
-    tokenizer = tokens.word_tokenizer(tokens.word_vocab(kept, max_size=vocab_size))
+    tokenizer = tokens.word_tokenizer(
+        tokens.word_vocab(kept, max_size=vocab_size, cleaned=True), cleaned=True
+    )
     encoded = tokens.tokenize(kept, tokenizer).drop("text")
     labelled = splits.train_val_split(encoded, "doc_id", train_fraction, seed)
     return materialize(labelled, "tokenized"), tokenizer

@@ -71,9 +71,12 @@ def load_entries(
 
 def documents_of(loaded: DataFrame) -> DataFrame:
     """One row per document of the loaded files."""
+    # The outer form keeps the optimizer from testing the entries before they are
+    # unfolded, which would parse every file twice.
     rows = loaded.select(
-        "upload_path", "path", "source_archive", "relative_path", "detected_mime_type", F.inline("entries")
-    )
+        "upload_path", "path", "source_archive", "relative_path", "detected_mime_type",
+        F.inline_outer("entries"),
+    ).filter("seq_num is not null")
     text = F.when(F.col("is_json"), js.rendered(F.when(F.col("is_json"), F.col("content"))))
     return rows.select(
         "upload_path",

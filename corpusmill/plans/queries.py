@@ -81,7 +81,7 @@ def train_val_split(spark, sf_dir):
 
 
 def word_vocab(spark, sf_dir):
-    return tokens.word_vocab(clean.prepare(_documents(spark, sf_dir)))
+    return tokens.word_vocab(clean.prepare(_documents(spark, sf_dir)), cleaned=True)
 
 
 def token_stats(spark, sf_dir):

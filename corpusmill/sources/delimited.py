@@ -45,7 +45,7 @@ def csv_documents(
     options = {
         "sep": delimiter, "quote": quotechar, "escape": quotechar, "multiLine": multi_line,
         "encoding": encoding, "header": fieldnames is None, "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": _RAW, "maxCharsPerColumn": -1,
+        "columnNameOfCorruptRecord": _RAW, "recursiveFileLookup": True,
     }
     names = list(fieldnames) if fieldnames else _header(spark, paths, options)
     for wanted in [*([source_column] if source_column else []), *metadata_columns]:
