@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,19 @@ ENTRY_TYPE = T.ArrayType(
 )
 
 
+# JSON proper: no single quotes.
+_STRICT = {"allowSingleQuotes": "false"}
+
+
+def accept_repeated_keys(spark: SparkSession) -> None:
+    """Let a repeated key of an object keep its last value instead of being an error."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
+def _parsed(text: Column, schema: str) -> Column:
+    return F.from_json(text, schema, _STRICT)
+
+
 @F.arrow_udf(T.StringType())
 def rendered(values: pa.Array) -> pa.Array:
     """Text form of a JSON value: objects and lists indented by two, scalars as ``str()``."""
@@ -56,7 +69,7 @@ def kind(value: Column) -> Column:
 def one_value(raw: Column) -> Column:
     """The text as a single variant; null unless it is exactly one JSON value."""
     wrapped = F.concat(F.lit('[{"v":'), raw, F.lit("}]"))
-    boxes = F.from_json(wrapped, "array<map<string,variant>>")
+    boxes = _parsed(wrapped, "array<map<string,variant>>")
     alone = lambda b: (F.size(b) == 1) & (F.size(F.get(b, 0)) == 1)
     return let(boxes, lambda b: F.when(alone(b), F.element_at(F.get(b, 0), "v")))
 
@@ -108,8 +121,8 @@ def document(
 def _object_fields(raw: Column, kind_: Column) -> Column:
     """``struct<fields, kinds>`` of a JSON object; both null for other values."""
     text = F.when(kind_ == "OBJECT", raw)
-    kinds = F.transform_values(F.from_json(text, "map<string,variant>"), lambda _, v: kind(v))
-    return F.struct(F.from_json(text, "map<string,string>").alias("fields"), kinds.alias("kinds"))
+    kinds = F.transform_values(_parsed(text, "map<string,variant>"), lambda _, v: kind(v))
+    return F.struct(_parsed(text, "map<string,string>").alias("fields"), kinds.alias("kinds"))
 
 
 def merged(base: Column | None, override: Column) -> Column:
@@ -125,8 +138,8 @@ def merged(base: Column | None, override: Column) -> Column:
 def _items(list_text: Column) -> Column:
     """``array<struct<raw, kind>>`` of a JSON list."""
     return F.arrays_zip(
-        F.from_json(list_text, "array<string>").alias("raw"),
-        F.transform(F.from_json(list_text, "array<variant>"), kind).alias("kind"),
+        _parsed(list_text, "array<string>").alias("raw"),
+        F.transform(_parsed(list_text, "array<variant>"), kind).alias("kind"),
     )
 
 

@@ -38,6 +38,7 @@ def load_entries(
     Every file is decoded and parsed in the same pass, whatever its loader. ``custom``
     maps MIME types to expressions from text to entries; they replace the built-in ones.
     """
+    js.accept_repeated_keys(files.sparkSession)
     custom = custom or {}
     mime, text, which = F.col("detected_mime_type"), F.col("text"), F.col("loader")
     is_table = which.isin("csv", "tsv")
@@ -70,20 +71,18 @@ def load_entries(
 
 
 def documents_of(loaded: DataFrame) -> DataFrame:
-    """One row per document of the loaded files."""
+    """One row per document of the loaded files; all file columns ride along."""
     # The outer form keeps the optimizer from testing the entries before they are
     # unfolded, which would parse every file twice.
-    rows = loaded.select(
-        "upload_path", "path", "source_archive", "relative_path", "detected_mime_type",
-        F.inline_outer("entries"),
-    ).filter("seq_num is not null")
+    others = [c for c in loaded.columns if c not in ("path", "entries", "error", "loader", "upload_path")]
+    rows = loaded.select("path", *others, F.inline_outer("entries")).filter("seq_num is not null")
     text = F.when(F.col("is_json"), js.rendered(F.when(F.col("is_json"), F.col("content"))))
     return rows.select(
-        "upload_path",
         F.col("path").alias("source"),
         "seq_num",
         text.otherwise(F.col("content")).alias("page_content"),
-        "metadata", "detected_mime_type", "source_archive", "relative_path",
+        "metadata",
+        *others,
     )
 
 
@@ -103,18 +102,18 @@ def outcomes_of(loaded: DataFrame) -> DataFrame:
     )
 
 
-def standardize(documents: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Attach the upload's provenance to its documents, joined by uploaded file."""
+def with_provenance(files: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Attach each uploaded file's manifest entry; its documents will carry it.
+
+    The join is made before files are unfolded: every key occurs once per side, so an
+    upload that holds a large share of all documents does not unbalance it.
+    """
     uploads = manifest.select(
-        F.col("file_path").alias("upload_path"),
+        F.col("file_path").alias("path"),
         "upload_id", "original_filename", "upload_timestamp",
         F.col("checksum").alias("file_checksum"),
     )
-    return (
-        documents.join(uploads, "upload_path", "left")
-        .withColumn("processing_timestamp", F.current_timestamp())
-        .drop("upload_path")
-    )
+    return files.join(uploads, "path", "left").withColumn("processing_timestamp", F.current_timestamp())
 
 
 def process_files(
@@ -124,6 +123,7 @@ def process_files(
 
     A broken file gives an outcome row with its error and never stops the others.
     """
+    if manifest is not None:
+        files = with_provenance(files, manifest)
     loaded = load_entries(classify(expand_archives(files, max_depth)), **options)
-    documents = documents_of(loaded)
-    return (documents if manifest is None else standardize(documents, manifest)), outcomes_of(loaded)
+    return documents_of(loaded), outcomes_of(loaded)

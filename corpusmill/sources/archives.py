@@ -12,19 +12,23 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.functions import names
 
 SUPPORTED = ("zip", "gz", "tar", "tar.gz", "tar.bz2")
 _READ_ERRORS = (OSError, EOFError, zipfile.BadZipFile, tarfile.TarError, RuntimeError, ValueError)
-_MEMBER_SCHEMA = pa.schema(
-    [("upload_path", pa.string()), ("archive", pa.string()), ("member", pa.string()),
-     ("wanted", pa.bool_()), ("is_file", pa.bool_()), ("content", pa.binary()), ("error", pa.string())]
-)
-_MEMBER_FIELDS = (
-    "upload_path string, archive string, member string, wanted boolean, is_file boolean, "
-    "content binary, error string"
+_MEMBER_FIELDS = T.StructType(
+    [
+        T.StructField("archive", T.StringType()),
+        T.StructField("member", T.StringType()),
+        T.StructField("wanted", T.BooleanType()),
+        T.StructField("is_file", T.BooleanType()),
+        T.StructField("content", T.BinaryType()),
+        T.StructField("error", T.StringType()),
+    ]
 )
+_MEMBER_TYPES = [pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.binary(), pa.string()]
 
 
 def _members(path: str, kind: str, raw: bytes, contents: bool) -> Iterator[tuple[str, bool, bytes | None]]:
@@ -81,52 +85,74 @@ def _wanted(member: str) -> bool:
     )
 
 
+def _grouped(found: Iterable[tuple], rows: int = 1000, size: int = 8 << 20) -> Iterator[list[tuple]]:
+    """Output rows in groups of bounded number and content size."""
+    group, held = [], 0
+    for archive, member, is_file, content, error in found:
+        group.append((archive, member, _wanted(member or ""), is_file, content, error))
+        held += len(content or b"")
+        if len(group) == rows or held >= size:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
+
+
 def open_archives(archives: DataFrame, max_depth: int = 3, contents: bool = True) -> DataFrame:
-    """One row per member of the archives in ``(path, content)``, or an error row.
+    """One row per member of the archives in ``(path, content, upload)``, or an error row.
 
-    Nested archives are opened in the same pass. An archive is read by one task; its
-    members leave the task one by one.
+    ``upload`` is passed on to every member. Nested archives are opened in the same
+    pass. An archive is read by one task; its members leave the task in small batches.
     """
 
     def open_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(*(c.to_pylist() for c in batch.columns)):
-                for found in _walk(path, content, max_depth, contents):
-                    row = (path, *found[:2], _wanted(found[1] or ""), *found[2:])
-                    columns = [pa.array([v], f.type) for v, f in zip(row, _MEMBER_SCHEMA)]
-                    yield pa.RecordBatch.from_arrays(columns, schema=_MEMBER_SCHEMA)
+            paths, blobs, uploads = (batch.column(c) for c in ("path", "content", "upload"))
+            for i, path in enumerate(paths.to_pylist()):
+                for rows in _grouped(_walk(path, blobs[i].as_py(), max_depth, contents)):
+                    columns = [pa.array(values, t) for values, t in zip(zip(*rows), _MEMBER_TYPES)]
+                    repeated = uploads.take(pa.array([i] * len(rows)))
+                    yield pa.RecordBatch.from_arrays(
+                        [repeated, *columns], ["upload", *_MEMBER_FIELDS.names]
+                    )
 
-    return archives.select("path", "content").mapInArrow(open_all, _MEMBER_FIELDS)
+    fields = T.StructType([archives.schema["upload"], *_MEMBER_FIELDS.fields])
+    return archives.select("path", "content", "upload").mapInArrow(open_all, fields)
 
 
 def list_archive(files: DataFrame) -> DataFrame:
     """``(path, member)`` of every archive, without unpacking member contents."""
-    listed = open_archives(files.filter(names.is_archive(F.col("path"))), contents=False)
+    archives = files.filter(names.is_archive(F.col("path"))).withColumn("upload", F.struct("path"))
+    listed = open_archives(archives, contents=False).filter("error is null")
     member = F.when(
         names.archive_type(F.col("archive")) == "gz", F.regexp_replace("archive", r"\.[^.]*\z", "")
     ).otherwise(F.col("member"))
-    return listed.filter("error is null").select(F.col("archive").alias("path"), member.alias("member"))
+    return listed.select(F.col("archive").alias("path"), member.alias("member"))
 
 
 def expand_archives(files: DataFrame, max_depth: int = 3) -> DataFrame:
     """Files with archives replaced by their members, nested archives included.
 
     Adds ``upload_path`` (the scanned file), ``source_archive``, ``relative_path`` and
-    ``error``. Directories, unsafe paths and macOS metadata are left out. An archive
-    that cannot be read, or lies deeper than ``max_depth`` levels, gives an error row.
+    ``error``; further columns of ``files`` ride along. Directories, unsafe paths and
+    macOS metadata are left out. An archive that cannot be read, or lies deeper than
+    ``max_depth`` levels, gives an error row.
     """
+    others = [c for c in files.columns if c not in ("path", "content", "length", "modificationTime")]
+    upload = F.struct(F.col("path").alias("upload_path"), *others)
+    uploads = files.select("path", "content", upload.alias("upload"))
     packed = names.is_archive(F.col("path"))
     nothing = F.lit(None).cast("string")
-    plain = files.filter(~packed).select(
-        "path", "content", F.col("path").alias("upload_path"), nothing.alias("source_archive"),
-        nothing.alias("relative_path"), nothing.alias("error"),
+    plain = uploads.filter(~packed).select(
+        "path", "content", "upload.*", nothing.alias("source_archive"), nothing.alias("relative_path"),
+        nothing.alias("error"),
     )
-    members = open_archives(files.filter(packed), max_depth)
+    members = open_archives(uploads.filter(packed), max_depth)
     unpacked = members.filter("error is not null or (is_file and wanted)").select(
         F.when(F.col("member").isNull(), F.col("archive"))
         .otherwise(F.concat_ws("!/", "archive", "member"))
         .alias("path"),
-        "content", "upload_path", F.col("archive").alias("source_archive"),
+        "content", "upload.*", F.col("archive").alias("source_archive"),
         F.col("member").alias("relative_path"), "error",
     )
     return plain.unionByName(unpacked)

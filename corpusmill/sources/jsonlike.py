@@ -24,6 +24,7 @@ def json_documents(
     Item fields called ``source`` or ``seq_num`` replace the file's. Fails on text
     that is not JSON.
     """
+    js.accept_repeated_keys(files.sparkSession)
     text = decoded(F.col("content"))["text"]
     entries = js.whole_text_entries(F.col("text"), content_key, metadata_keys)
     problem = F.raise_error(F.concat(F.lit("invalid JSON in "), F.col("path")))
@@ -53,6 +54,7 @@ def jsonl_rejects(spark: SparkSession, paths) -> DataFrame:
 
 
 def _numbered_lines(spark: SparkSession, paths) -> DataFrame:
+    js.accept_repeated_keys(spark)
     lines = number_rows(with_scan_position(spark.read.text(paths)), "line_number")
     return lines.withColumn("line", tx.strip(F.col("value"))).drop("value")
 

@@ -10,15 +10,14 @@ from corpusmill.sources.files import decoded, scan_files
 
 
 def text_entries(text: Column) -> Column:
-    """A file as a single document."""
-    return F.array(
-        F.struct(
-            F.lit(0).cast("bigint").alias("seq_num"),
-            text.alias("content"),
-            F.lit(False).alias("is_json"),
-            F.create_map().cast("map<string,string>").alias("metadata"),
-        )
+    """A file as a single document; null for a file without text."""
+    single = F.struct(
+        F.lit(0).cast("bigint").alias("seq_num"),
+        text.alias("content"),
+        F.lit(False).alias("is_json"),
+        F.create_map().cast("map<string,string>").alias("metadata"),
     )
+    return F.when(text.isNotNull(), F.array(single))
 
 
 def text_documents(files: DataFrame, encoding: str | None = None, autodetect: bool = False) -> DataFrame:

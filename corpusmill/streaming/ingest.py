@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.plans.ingest import classify, documents_of, load_entries
-from corpusmill.sources.archives import expand_archives
-from corpusmill.functions import names
+from corpusmill.plans.ingest import process_files
 
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -23,29 +21,23 @@ def incoming_files(spark: SparkSession, folder: str, max_size: int | None = None
     return files if max_size is None else files.filter(F.col("length") <= max_size)
 
 
-def with_upload_columns(files: DataFrame) -> DataFrame:
-    """Provenance of the uploaded file, computed from the file itself."""
-    return files.select(
-        "path",
-        F.sha2("content", 256).alias("file_checksum"),
-        names.base_name(F.col("path")).alias("original_filename"),
-        F.col("modificationTime").alias("upload_timestamp"),
-    )
-
-
-def stream_documents(files: DataFrame, max_depth: int = 3, **options) -> DataFrame:
+def stream_documents(
+    files: DataFrame, manifest: DataFrame | None = None, max_depth: int = 3, **options
+) -> DataFrame:
     """Documents of streamed files; files that fail are left out.
 
-    Every step works on single files, so the stream keeps no state.
+    Every step works on single files, so the stream keeps no state. It is the batch
+    plan: the same files give the same documents.
     """
-    return documents_of(load_entries(classify(expand_archives(files, max_depth)), **options))
+    documents, _ = process_files(files, manifest, max_depth, **options)
+    return documents
 
 
 def ingest_available(
     spark: SparkSession, folder: str, target: str, checkpoint: str, max_depth: int = 3, **options
 ) -> None:
     """Append the documents of all files not seen before to a Parquet table."""
-    documents = stream_documents(incoming_files(spark, folder), max_depth, **options)
+    documents = stream_documents(incoming_files(spark, folder), max_depth=max_depth, **options)
     query = (
         documents.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
