@@ -10,6 +10,7 @@ from corpusmill.session import materialize
 # A transition counts as frequent above this share of all scored transitions, so
 # there can never be more frequent transitions than its inverse.
 _FREQUENT_SHARE = 1 / 4096
+_BROADCAST_VOCABULARY = 1 << 17
 
 
 def sample_blocks(
@@ -41,11 +42,10 @@ def score_transitions(train_blocks: DataFrame, needed: DataFrame, vocab_size: in
     """
     seen = transitions(train_blocks)
     pair_counts = seen.groupBy("current", "following").agg(F.count("*").alias("pair_count"))
-    # One row per token id, hence at most the token type's 65,536: safe to broadcast.
-    contexts = pair_counts.groupBy("current").agg(F.sum("pair_count").alias("context_count"))
-    joined = needed.join(pair_counts, ["current", "following"], "left").join(
-        F.broadcast(contexts), "current", "left"
-    )
+    contexts = seen.groupBy("current").agg(F.count("*").alias("context_count"))
+    if vocab_size <= _BROADCAST_VOCABULARY:
+        contexts = F.broadcast(contexts)  # one row per token id
+    joined = needed.join(pair_counts, ["current", "following"], "left").join(contexts, "current", "left")
     top = F.coalesce("pair_count", F.lit(0)) + 1
     bottom = F.coalesce("context_count", F.lit(0)) + vocab_size
     return joined.select("current", "following", "times", (-F.log(top / bottom)).alias("nll"))

@@ -13,6 +13,7 @@ def train_val_split(
 ) -> DataFrame:
     """Add ``split_key`` and ``split``; the first ``floor(n * fraction)`` keys train.
 
+    ``ident`` must identify the rows; copies of a text are rows of their own.
     Finding the cut takes a small aggregation and a sort of one key bucket. The cut
     then reaches the labelling projection as a scalar subquery, so the documents
     themselves are never shuffled.

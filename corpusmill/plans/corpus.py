@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from corpusmill.operators import clean, splits, tokens
 from corpusmill.session import materialize
@@ -22,6 +23,36 @@ def corpus_token_stats(
     return tokens.token_stats(splits.train_val_split(counted, "doc_id", train_fraction, seed))
 
 
+def processing_stats(
+    documents: DataFrame, min_length: int = 50, train_fraction: float = 0.9, seed: int = 42
+) -> DataFrame:
+    """One row: the document funnel and the token statistics of both splits.
+
+    The text is read once; everything else works on three numbers per document.
+    """
+    cleaned = clean.clean_text(documents.select("doc_id", "text"))
+    measured = tokens.count_words(cleaned, cleaned=True).select(
+        "doc_id", "n_tokens", F.length("text").alias("clean_length")
+    )
+    measured = materialize(measured, "measured")
+    kept = measured.filter(F.col("clean_length") >= min_length)
+    stats = tokens.token_stats(splits.train_val_split(kept, "doc_id", train_fraction, seed))
+    fields = F.struct(*[c for c in stats.columns if c != "split"])
+    per_split = stats.agg(
+        *[F.any_value(F.when(F.col("split") == s, fields), True).alias(s) for s in ("train", "val")]
+    )
+    both = per_split.select(F.struct("train", "val").alias("splits")).scalar()
+    counts = measured.agg(
+        F.count("*").alias("total_documents"),
+        F.count_if(F.col("clean_length") >= min_length).alias("processed_documents"),
+    )
+    count_of = lambda s: F.coalesce(F.col(f"splits.{s}.num_documents"), F.lit(0))
+    return counts.withColumn("splits", both).select(
+        "total_documents", "processed_documents",
+        count_of("train").alias("train_documents"), count_of("val").alias("val_documents"), "splits.*",
+    )
+
+
 def tokenized_corpus(
     documents: DataFrame, vocab_size: int = 65_535, min_length: int = 50,
     train_fraction: float = 0.9, seed: int = 42,

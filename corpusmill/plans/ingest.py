@@ -37,6 +37,7 @@ def load_entries(
 
     Every file is decoded and parsed in the same pass, whatever its loader. ``custom``
     maps MIME types to expressions from text to entries; they replace the built-in ones.
+    A loader of a binary format finds the bytes in the column ``content``.
     """
     js.accept_repeated_keys(files.sparkSession)
     custom = custom or {}
@@ -53,7 +54,7 @@ def load_entries(
         entries = entries.when(which == name, parsed.cast(js.ENTRY_TYPE))
     error = (
         F.when(F.col("error").isNotNull(), F.col("error"))
-        .when(which.isNotNull() & text.isNull(), "cannot decode file")
+        .when(F.col("entries").isNull() & text.isNull() & which.isNotNull(), "cannot decode file")
         .when(which.isNotNull() & F.col("entries").isNull(), "invalid content")
     )
     if custom:

@@ -188,6 +188,15 @@ FROM n""",
         "token_stats": f"""
 WITH {_STATS} SELECT split, total_tokens, num_documents, round(avg_tokens, 6) AS avg_tokens_per_doc,
        min_tokens, max_tokens, round(total_tokens * 2 / 1048576.0::DOUBLE, 9) AS file_size_mb FROM stats""",
+        "processing_stats": f"""
+WITH {_STATS}
+SELECT (SELECT count(*) FROM documents) AS total_documents, (SELECT count(*) FROM kept) AS processed_documents,
+       t.num_documents AS train_documents, v.num_documents AS val_documents,
+       t.total_tokens AS train_total_tokens, t.num_documents AS train_num_documents,
+       t.min_tokens AS train_min_tokens, t.max_tokens AS train_max_tokens,
+       v.total_tokens AS val_total_tokens, v.num_documents AS val_num_documents,
+       v.min_tokens AS val_min_tokens, v.max_tokens AS val_max_tokens
+FROM stats t, stats v WHERE t.split = 'train' AND v.split = 'val'""",
         "token_ids": f"""
 WITH {_STREAM} SELECT doc_id, split, count(*) AS n_tokens, string_agg(id::VARCHAR, ' ' ORDER BY pos) AS token_ids
 FROM stream GROUP BY doc_id, split""",
@@ -288,6 +297,13 @@ SELECT conv_id::VARCHAR AS source,
        row_number() OVER (PARTITION BY conv_id // 50 ORDER BY conv_id, turn) - 1 AS row,
        'role: ' || role || {_NL} || 'text: ' || trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS page_content,
        json_object('turn', turn::VARCHAR, 'role', role)::VARCHAR AS metadata FROM conversations""",
+        "csv_ragged": f"""
+SELECT c_custkey::VARCHAR AS key, row_number() OVER (PARTITION BY c_custkey // 500 ORDER BY c_custkey) - 1 AS row,
+       'name: ' || CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '' ELSE c_name END || {_NL} ||
+       'nation: ' || CASE c_mktsegment WHEN 'BUILDING' THEN 'None' WHEN 'HOUSEHOLD' THEN ''
+                     WHEN 'MACHINERY' THEN '' ELSE c_nationkey::VARCHAR END ||
+       CASE WHEN c_mktsegment = 'MACHINERY' THEN {_NL} || 'None: a, "b",z' ELSE '' END AS page_content
+FROM customer""",
         "tsv_documents": f"""
 SELECT p_partkey // 1000 AS bucket,
        row_number() OVER (PARTITION BY p_partkey // 1000 ORDER BY p_partkey) - 1 AS row,

@@ -25,7 +25,7 @@ from corpusmill.operators import (
     tokens,
 )
 from corpusmill.plans import corpus, evaluation, ingest
-from corpusmill.session import materialize, scratch_path, ship_package
+from corpusmill.session import materialize, scratch_path, ship_package, spread
 from corpusmill.sinks import documents as document_sinks
 from corpusmill.sinks import tokens as token_sinks
 from corpusmill.sources import archives, delimited, files, jsonlike, tables, textual
@@ -44,7 +44,7 @@ SUFFIXES = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _documents(spark, sf_dir):
@@ -95,6 +95,16 @@ def token_stats(spark, sf_dir):
     )
 
 
+def processing_stats(spark, sf_dir):
+    row = corpus.processing_stats(_documents(spark, sf_dir))
+    splits_ = [
+        F.col(f"{split}.{name}").cast("bigint").alias(f"{split}_{name}")
+        for split in ("train", "val")
+        for name in ("total_tokens", "num_documents", "min_tokens", "max_tokens")
+    ]
+    return row.select("total_documents", "processed_documents", "train_documents", "val_documents", *splits_)
+
+
 def token_ids(spark, sf_dir):
     tokenized, _ = corpus.tokenized_corpus(_documents(spark, sf_dir))
     return tokenized.select(
@@ -331,6 +341,25 @@ def csv_columns(spark, sf_dir):
     return loaded.select("source", F.col("row").cast("bigint").alias("row"), "page_content", F.to_json("metadata").alias("metadata"))
 
 
+def csv_ragged(spark, sf_dir):
+    """Customer lines with missing, empty and surplus values."""
+    c = table(spark, sf_dir, "customer")
+    segment = F.col("c_mktsegment")
+    line = (
+        F.when(segment == "BUILDING", F.concat_ws(",", "c_custkey", "c_name"))
+        .when(segment == "MACHINERY", F.concat(F.concat_ws(",", "c_custkey", "c_name"), F.lit(',,"a, ""b"" ", z')))
+        .when(segment == "HOUSEHOLD", F.concat(F.col("c_custkey").cast("string"), F.lit(",,")))
+        .otherwise(F.concat_ws(",", "c_custkey", "c_name", "c_nationkey"))
+    )
+    lines = c.select(
+        F.floor(F.col("c_custkey") / 500).alias("bucket"), F.col("c_custkey").alias("_order"), line.alias("value")
+    )
+    path = scratch_path(spark, "customer-ragged")
+    _write_bucketed(lines, path, "_order", lambda w, p: w.text(p))
+    loaded = delimited.csv_documents(spark, path, fieldnames=["key", "name", "nation"], metadata_columns=["key"])
+    return loaded.select(F.element_at("metadata", "key").alias("key"), F.col("row").cast("bigint").alias("row"), "page_content")
+
+
 def tsv_documents(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select(
         F.floor(F.col("p_partkey") / 1000).alias("bucket"), F.col("p_partkey").alias("_order"),
@@ -349,10 +378,11 @@ def _event_files(spark, sf_dir, shape):
     groups = events.groupBy(F.floor(F.col("event_id") / 100).alias("bucket")).agg(
         F.array_sort(F.collect_list(item)).alias("events")
     )
-    return groups.select(
+    files_ = groups.select(
         F.concat(F.lit("/in/"), "bucket", F.lit(".json")).alias("path"),
         F.to_json(shape).cast("binary").alias("content"),
     )
+    return spread(materialize(files_, "event-files"))
 
 
 def json_documents(spark, sf_dir):
@@ -592,7 +622,8 @@ def _pack_archive(group: pd.DataFrame) -> pd.DataFrame:
 
 def _archives(spark, sf_dir):
     docs = _documents(spark, sf_dir).select(F.floor(F.col("doc_id") / 50).alias("bucket"), "doc_id", "text")
-    return docs.groupBy("bucket").applyInPandas(_pack_archive, _ARCHIVE_FIELDS)
+    packed = docs.groupBy("bucket").applyInPandas(_pack_archive, _ARCHIVE_FIELDS)
+    return spread(materialize(packed, "archives"))
 
 
 def expand_archives(spark, sf_dir):
@@ -658,12 +689,12 @@ def stream_ingest(spark, sf_dir):
 
 _QUERIES = [
     clean_text, min_length_filter, max_length_truncate, corpus_funnel, train_val_split, word_vocab,
-    token_stats, token_ids, utf8_token_counts, pack_blocks, verify_tokens, data_budget,
+    token_stats, processing_stats, token_ids, utf8_token_counts, pack_blocks, verify_tokens, data_budget,
     training_windows, token_bin_roundtrip, text_splits_roundtrip, stats_json,
     repetition_score, diversity_score, coherence_by_lang, block_losses, bigram_perplexity,
     sampled_perplexity, generation_log_summary, evaluation_report,
     dataframe_documents, elements_single, elements_paged, elements_rows, elements_by_source, document_json,
-    csv_documents, csv_columns, tsv_documents, json_documents, json_array_documents, json_props,
+    csv_documents, csv_columns, csv_ragged, tsv_documents, json_documents, json_array_documents, json_props,
     jsonl_documents, jsonl_rejects, text_documents, decode_fallback, gzip_text, blob_strings,
     token_window_chunks, token_id_windows, regex_split_drop, regex_split_start, literal_split_end,
     recursive_chunks, recursive_chunks_by_words, language_chunks,

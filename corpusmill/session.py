@@ -76,3 +76,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scan_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a plan's size; for a plain scan, the file sizes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input too small to be split by the scan.
+
+    Only inputs below one scan split per core are redistributed, so the cost is
+    bounded; larger ones are returned as they are.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(cores) if cores > 1 and scan_bytes(df) < cores * split else df

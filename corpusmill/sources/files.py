@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusmill.session import scan_bytes
+
 # About 40 MB of block summaries.
 _BROADCAST_BLOCKS = 200_000
 _BOMS = [
@@ -125,5 +127,4 @@ def _most_blocks(df: DataFrame) -> float:
     """Upper bound of the number of file blocks a scan reads."""
     conf = df.sparkSession._jsparkSession.sessionState().conf()
     smallest_block = max(1, min(conf.filesOpenCostInBytes(), conf.filesMaxPartitionBytes()))
-    total_bytes = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return len(df.inputFiles()) + total_bytes / smallest_block
+    return len(df.inputFiles()) + scan_bytes(df) / smallest_block

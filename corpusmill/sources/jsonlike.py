@@ -31,7 +31,9 @@ def json_documents(
     parsed = files.select("path", text.alias("text")).select(
         "path", F.coalesce(entries, problem.cast(js.ENTRY_TYPE)).alias("entries")
     )
-    return _rows(parsed.select("path", F.explode("entries").alias("e")))
+    # The outer form keeps the optimizer from testing the entries before they are
+    # unfolded, which would parse every file twice.
+    return _rows(parsed.select("path", F.explode_outer("entries").alias("e")).filter("e is not null"))
 
 
 def read_json_documents(spark: SparkSession, paths, **options) -> DataFrame:
