@@ -22,6 +22,11 @@ def lookup(table: dict[str, str], key: Column) -> Column:
     return F.try_element_at(F.create_map(*entries), key)
 
 
+def whole_part(value: Column, divisor: int) -> Column:
+    """Integer quotient; exact also beyond the precision of a double."""
+    return F.call_function("div", value.cast("bigint"), F.lit(divisor).cast("bigint"))
+
+
 def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``df.withColumn(name, value)`` for a costly value that is filtered on later.
 

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.functions.binding import whole_part
 from corpusmill.functions.ordering import running_offsets
 
+# About 24 MB of window positions.
+_BROADCAST_ROWS = 1_000_000
+
 
 def stream_offsets(tokenized: DataFrame, ident: str = "doc_id") -> DataFrame:
     """Add ``global_offset``: where a document's tokens start in its split's stream."""
@@ -41,7 +45,7 @@ def pack_blocks(tokenized: DataFrame, block_size: int, ident: str = "doc_id") ->
             F.slice("tokens", (left - start + 1).cast("int"), (right - left).cast("int")).alias("piece"),
         )
 
-    touched = F.sequence(F.floor(start / size), F.floor((start + count - 1) / size))
+    touched = F.sequence(whole_part(start, block_size), whole_part(start + count - 1, block_size))
     return (
         stream_offsets(tokenized.filter("n_tokens > 0"), ident)
         .select("split", F.inline(F.transform(touched, piece)))
@@ -79,8 +83,11 @@ def sample_windows(
             .alias("start"),
         )
     )
-    first, last = F.floor(F.col("start") / block_size), F.floor((F.col("start") + context) / block_size)
-    parts = starts.withColumn("block_id", F.explode(F.sequence(first, last))).join(stream, "block_id")
+    first, last = whole_part(F.col("start"), block_size), whole_part(F.col("start") + context, block_size)
+    wanted = starts.withColumn("block_id", F.explode(F.sequence(first, last)))
+    if n_windows * (context // block_size + 2) <= _BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    parts = wanted.join(stream, "block_id")
     skip = (F.pmod("start", F.lit(block_size)) + 1).cast("int")
     return (
         parts.groupBy("window_id", "start")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
+from corpusmill.functions.binding import whole_part
 
 UNKNOWN_ID = 0
 MAX_TOKEN_VALUE = {"uint8": 0xFF, "uint16": 0xFFFF, "uint32": 0xFFFFFFFF}
@@ -201,7 +202,7 @@ def training_budget(stats: DataFrame, max_iters: int, batch_size: int, block_siz
         available.alias("available_tokens"),
         F.lit(max_iters * per_iteration).cast("bigint").alias("required_tokens"),
         F.when(available >= max_iters * per_iteration, F.lit(max_iters))
-        .otherwise(F.greatest(F.lit(100), F.floor(available / per_iteration)))
+        .otherwise(F.greatest(F.lit(100), whole_part(available, per_iteration)))
         .cast("bigint")
         .alias("max_iters"),
     )

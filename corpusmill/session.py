@@ -86,10 +86,11 @@ def scan_bytes(df: DataFrame) -> int:
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores on an input too small to be split by the scan.
 
-    Only inputs below one scan split per core are redistributed, so the cost is
-    bounded; larger ones are returned as they are.
+    A scan cannot split below one row group. Only inputs with less than a few
+    megabytes per core (the cost Spark gives to opening a file) are redistributed;
+    larger ones are returned as they are.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    return df.repartition(cores) if cores > 1 and scan_bytes(df) < cores * split else df
+    small = cores * spark._jsparkSession.sessionState().conf().filesOpenCostInBytes()
+    return df.repartition(cores) if cores > 1 and scan_bytes(df) < small else df

@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.functions.binding import whole_part
+
 _MODES = ("single", "elements", "paged")
 
 
@@ -66,7 +68,7 @@ def element_documents(
     if mode == "paged":
         elements = elements.withColumn("page_number", F.coalesce("page_number", F.lit(1)))
         keys.append("page_number")
-    numbered = elements.withColumn("run", F.floor(F.col("seq") / run))
+    numbered = elements.withColumn("run", whole_part(F.col("seq"), run))
     parts = _parts(numbered, keys, max_chars)
     joined_runs = numbered.groupBy(*keys, "run").agg(
         _joined("seq").alias("text"),
@@ -101,7 +103,7 @@ def _parts(numbered: DataFrame, keys: list[str], max_chars: int) -> DataFrame:
     lengths = numbered.groupBy(*keys, "run").agg(F.sum(F.length("text") + 2).alias("chars"))
     earlier = Window.partitionBy(*keys).orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     placed = lengths.withColumn(
-        "part", F.floor(F.coalesce(F.sum("chars").over(earlier), F.lit(0)) / max_chars)
+        "part", whole_part(F.coalesce(F.sum("chars").over(earlier), F.lit(0)), max_chars)
     )
     last = F.max("part").over(Window.partitionBy(*keys))
     return placed.withColumn("last_part", last).drop("chars")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from corpusmill.functions import names
 from corpusmill.operators import manifest
 from corpusmill.plans import ingest
 from corpusmill.sources import archives, files, textual
@@ -166,8 +167,8 @@ def test_stream_gives_the_batch_result_once(spark, folder, tmp_path):
     target, progress = str(tmp_path / "out"), str(tmp_path / "progress")
     incoming = tmp_path / "in"
     incoming.mkdir()
-    names = sorted(p.name for p in folder.iterdir())
-    for wave in (names[:7], names[7:]):
+    uploads = sorted(p.name for p in folder.iterdir())
+    for wave in (uploads[:7], uploads[7:]):
         for name in wave:
             (incoming / name).write_bytes((folder / name).read_bytes())
         streaming.ingest_available(spark, str(incoming), target, progress)
@@ -235,3 +236,15 @@ def test_blob_source(spark):
     df = spark.createDataFrame([({"source": "s"}, "p"), ({}, "p"), (None, "q")], "m map<string,string>, p string")
     got = [r[0] for r in df.select(files.blob_source(F.col("m"), F.col("p"))).collect()]
     assert got == ["s", "p", "q"]
+
+
+def test_plain_files_and_archives_are_each_read_once(spark, folder):
+    scanned = files.scan_files(spark, str(folder))
+    packed = names.is_archive(F.col("path"))
+    read = []
+    for wanted in (packed, ~packed):
+        df = scanned.filter(wanted).select("path", "content")
+        df.collect()
+        metrics = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics()
+        read.append(metrics.apply("numFiles").value())
+    assert sum(read) == len(list(folder.iterdir())) and min(read) > 0
