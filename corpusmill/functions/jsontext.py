@@ -7,6 +7,7 @@ parallel parse into VARIANT only tells the kind of each value.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, SparkSession
@@ -29,8 +30,16 @@ ENTRY_TYPE = T.ArrayType(
         ]
     )
 )
-
-
+ARROW_ENTRIES = pa.list_(
+    pa.struct(
+        [
+            ("seq_num", pa.int64()), ("content", pa.string()), ("is_json", pa.bool_()),
+            ("metadata", pa.map_(pa.string(), pa.string())),
+        ]
+    )
+)
+# Characters; a variant holds less than 128 MB.
+_LARGE_TEXT = 16_000_000
 # JSON proper: no single quotes.
 _STRICT = {"allowSingleQuotes": "false"}
 
@@ -44,21 +53,19 @@ def _parsed(text: Column, schema: str) -> Column:
     return F.from_json(text, schema, _STRICT)
 
 
+def _shown(value) -> str:
+    if isinstance(value, str):
+        return value
+    if isinstance(value, (dict, list)):
+        return json.dumps(value, indent=2)
+    return "" if value is None else str(value)
+
+
 @F.arrow_udf(T.StringType())
 def rendered(values: pa.Array) -> pa.Array:
     """Text form of a JSON value: objects and lists indented by two, scalars as ``str()``."""
-
-    def show(raw):
-        if raw is None:
-            return None
-        value = json.loads(raw)
-        if value is None:
-            return ""
-        if isinstance(value, str):
-            return value
-        return json.dumps(value, indent=2) if isinstance(value, (dict, list)) else str(value)
-
-    return pa.array([show(v) for v in values.to_pylist()], pa.string())
+    texts = [None if raw is None else _shown(json.loads(raw)) for raw in values.to_pylist()]
+    return pa.array(texts, pa.string())
 
 
 def kind(value: Column) -> Column:
@@ -80,26 +87,27 @@ def is_json(raw: Column) -> Column:
 
 def document(
     raw: Column,
-    kind_: Column,
+    value: Column,
     seq: Column,
     content_key: str | None,
     metadata_keys: list[str] | None,
-    extra: Column | None = None,
+    extra: Callable[[Column], Column] | None = None,
 ) -> Column:
-    """One document struct from one JSON value.
+    """One document struct from one JSON value, given as text and as variant.
 
     ``raw`` is the decoded text for strings and raw JSON for everything else.
     ``is_json`` marks content that still has to pass through :func:`rendered`.
+    ``extra`` maps the kind of the value to further metadata.
     """
 
     def build(item: Column) -> Column:
-        fields, kinds, is_object = item["fields"], item["kinds"], kind_ == "OBJECT"
-        content, content_kind = raw, kind_
+        fields, kinds, is_object = item["fields"], item["kinds"], item["kind"] == "OBJECT"
+        content, content_kind = raw, item["kind"]
         if content_key is not None:
             key = F.lit(content_key)
             content = F.when(is_object, F.coalesce(F.try_element_at(fields, key), F.lit(""))).otherwise(raw)
             inner = F.coalesce(F.try_element_at(kinds, key), F.lit("STRING"))
-            content_kind = F.when(is_object, inner).otherwise(kind_)
+            content_kind = F.when(is_object, inner).otherwise(item["kind"])
         if metadata_keys:
             chosen = F.map_filter(fields, lambda k, _: k.isin(*metadata_keys))
         else:
@@ -112,17 +120,25 @@ def document(
             seq.cast("bigint").alias("seq_num"),
             F.when(content_kind == "VOID", "").otherwise(content).alias("content"),
             (~content_kind.isin("STRING", "VOID")).alias("is_json"),
-            merged(extra, own).alias("metadata"),
+            merged(extra(item["kind"]) if extra else None, own).alias("metadata"),
         )
 
-    return let(_object_fields(raw, kind_), build)
+    return let(_described(raw, value), build)
+
 
+def _described(raw: Column, value: Column) -> Column:
+    """``struct<kind, fields, kinds>``; the maps are null unless the value is an object."""
+
+    def describe(kind_: Column) -> Column:
+        is_object = kind_ == "OBJECT"
+        members = F.try_variant_get(F.when(is_object, value), "$", "map<string,variant>")
+        return F.struct(
+            kind_.alias("kind"),
+            _parsed(F.when(is_object, raw), "map<string,string>").alias("fields"),
+            F.transform_values(members, lambda _, v: kind(v)).alias("kinds"),
+        )
 
-def _object_fields(raw: Column, kind_: Column) -> Column:
-    """``struct<fields, kinds>`` of a JSON object; both null for other values."""
-    text = F.when(kind_ == "OBJECT", raw)
-    kinds = F.transform_values(_parsed(text, "map<string,variant>"), lambda _, v: kind(v))
-    return F.struct(_parsed(text, "map<string,string>").alias("fields"), kinds.alias("kinds"))
+    return let(kind(value), describe)
 
 
 def merged(base: Column | None, override: Column) -> Column:
@@ -135,11 +151,11 @@ def merged(base: Column | None, override: Column) -> Column:
     )
 
 
-def _items(list_text: Column) -> Column:
-    """``array<struct<raw, kind>>`` of a JSON list."""
+def _items(list_text: Column, list_value: Column) -> Column:
+    """``array<struct<raw, value>>`` of a JSON list."""
     return F.arrays_zip(
         _parsed(list_text, "array<string>").alias("raw"),
-        F.transform(_parsed(list_text, "array<variant>"), kind).alias("kind"),
+        F.try_variant_get(list_value, "$", "array<variant>").alias("value"),
     )
 
 
@@ -151,44 +167,97 @@ def whole_text_entries(
     A list gives one document per item. An object gives one per item of its first
     non-empty list, with the object's scalars as context, or else a single document.
     """
-    def item(extra=None):
-        def build(entry, i):
-            more = extra(entry["kind"]) if extra else None
-            return document(entry["raw"], entry["kind"], i, content_key, metadata_keys, more)
-
-        return build
-
-    def of_object(parts: Column) -> Column:
-        fields, kinds = parts["fields"], parts["kinds"]
-        list_keys = F.filter(
-            F.json_object_keys(text),
-            lambda k: (F.element_at(kinds, k) == "ARRAY") & (F.element_at(fields, k) != "[]"),
+    is_large = F.length(text) > _LARGE_TEXT
+    large = _entries_of_large_text(content_key, metadata_keys)(F.when(is_large, text))
+    return F.when(is_large, large).otherwise(
+        let(one_value(text), lambda value: _value_entries(text, value, content_key, metadata_keys))
+    )
+
+
+def _value_entries(
+    text: Column, value: Column, content_key: str | None, metadata_keys: list[str] | None
+) -> Column:
+    def all_of(items: Column, extra=None) -> Column:
+        return F.transform(
+            items, lambda e, i: document(e["raw"], e["value"], i, content_key, metadata_keys, extra)
         )
 
-        def with_parent(parent: Column) -> Column:
-            siblings = F.map_filter(
-                fields, lambda k, _: (k != parent) & F.element_at(kinds, k).isin(*_SCALAR_KINDS)
-            )
-            context = F.transform_keys(siblings, lambda k, _: F.concat(F.lit("context_"), k))
-            origin = F.create_map(F.lit("parent_key"), parent)
-            surroundings = F.struct(origin.alias("for_others"), F.map_concat(origin, context).alias("for_objects"))
-            return let(surroundings, lambda around: F.transform(
-                _items(F.element_at(fields, parent)),
-                item(lambda kind_: F.when(kind_ == "OBJECT", around["for_objects"]).otherwise(around["for_others"])),
-            ))
+    def unfolded(item: Column, parent: Column) -> Column:
+        """Items of the list called ``parent`` of a described object."""
+        siblings = F.map_filter(
+            item["fields"],
+            lambda k, _: (k != parent) & F.element_at(item["kinds"], k).isin(*_SCALAR_KINDS),
+        )
+        context = F.transform_keys(siblings, lambda k, _: F.concat(F.lit("context_"), k))
+        origin = F.create_map(F.lit("parent_key"), parent)
+        around = F.struct(origin.alias("others"), F.map_concat(origin, context).alias("objects"))
+        members = F.try_variant_get(value, "$", "map<string,variant>")
+        items = _items(F.element_at(item["fields"], parent), F.element_at(members, parent))
+        return let(
+            around,
+            lambda a: all_of(items, lambda k: F.when(k == "OBJECT", a["objects"]).otherwise(a["others"])),
+        )
 
+    def by_kind(item: Column) -> Column:
+        single = F.array(line_document(text, value, F.lit(0), content_key, metadata_keys))
+        filled_lists = F.filter(
+            F.json_object_keys(F.when(item["kind"] == "OBJECT", text)),
+            lambda k: (F.element_at(item["kinds"], k) == "ARRAY") & (F.element_at(item["fields"], k) != "[]"),
+        )
         return let(
-            F.get(list_keys, 0),
-            lambda parent: F.when(parent.isNotNull(), with_parent(parent)).otherwise(single),
+            F.get(filled_lists, 0),
+            lambda parent: F.when(item["kind"] == "ARRAY", all_of(_items(text, value)))
+            .when(parent.isNotNull(), unfolded(item, parent))
+            .when(item["kind"].isNotNull(), single),
         )
 
-    single = F.transform(_items(F.concat(F.lit("["), text, F.lit("]"))), item())
-    return let(
-        kind(one_value(text)),
-        lambda root: F.when(root == "ARRAY", F.transform(_items(text), item()))
-        .when(root == "OBJECT", let(_object_fields(text, root), of_object))
-        .when(root.isNotNull(), single),
-    )
+    return let(_described(text, value), by_kind)
+
+
+def _entries_of_large_text(content_key: str | None, metadata_keys: list[str] | None):
+    """The same rules in Python, for texts beyond what a variant can hold."""
+
+    def metadata_text(value):
+        if value is None or isinstance(value, str):
+            return value
+        return json.dumps(value, separators=(",", ":"), ensure_ascii=False)
+
+    def is_scalar(value):
+        return not isinstance(value, (dict, list))
+
+    def entries(text):
+        if text is None:
+            return None
+        try:
+            root = json.loads(text)
+        except ValueError:
+            return None
+        items, around, origin = [root], {}, {}
+        if isinstance(root, list):
+            items = root
+        elif isinstance(root, dict):
+            parent = next((k for k, v in root.items() if isinstance(v, list) and v), None)
+            if parent is not None:
+                items, origin = root[parent], {"parent_key": parent}
+                around = {f"context_{k}": v for k, v in root.items() if k != parent and is_scalar(v)}
+        return [entry(item, i, origin, around) for i, item in enumerate(items)]
+
+    def entry(item, i, origin, around):
+        content, metadata = item, dict(origin)
+        if isinstance(item, dict):
+            own = {k: v for k, v in item.items() if k != content_key and is_scalar(v)}
+            if metadata_keys:
+                own = {k: v for k, v in item.items() if k in metadata_keys}
+            metadata |= around | own
+            content = item if content_key is None else item.get(content_key, "")
+        pairs = [(k, metadata_text(v)) for k, v in metadata.items()]
+        return {"seq_num": i, "content": _shown(content), "is_json": False, "metadata": pairs}
+
+    @F.arrow_udf(ENTRY_TYPE)
+    def large_text(texts: pa.Array) -> pa.Array:
+        return pa.array([entries(t) for t in texts.to_pylist()], ARROW_ENTRIES)
+
+    return large_text
 
 
 def line_entries(
@@ -198,15 +267,24 @@ def line_entries(
 
     ``seq_num`` is the 0-based number of the line, counting skipped ones.
     """
-    lines = F.transform(F.split(text, "\n"), lambda line, i: F.struct(tx.strip(line).alias("line"), i.alias("n")))
-    valid = F.filter(lines, lambda s: (s["line"] != "") & is_json(s["line"]))
-    return F.transform(valid, lambda s: line_document(s["line"], s["n"], content_key, metadata_keys))
+    stripped = F.transform(F.split(text, "\n"), lambda line, i: F.struct(tx.strip(line).alias("line"), i.alias("n")))
+    filled = F.filter(stripped, lambda s: s["line"] != "")
+    parsed = F.transform(
+        filled, lambda s: F.struct(s["line"].alias("line"), s["n"].alias("n"), one_value(s["line"]).alias("value"))
+    )
+    valid = F.filter(parsed, lambda s: s["value"].isNotNull())
+    return F.transform(
+        valid, lambda s: line_document(s["line"], s["value"], s["n"], content_key, metadata_keys)
+    )
 
 
 def line_document(
-    line: Column, seq: Column, content_key: str | None = None, metadata_keys: list[str] | None = None
+    line: Column,
+    value: Column,
+    seq: Column,
+    content_key: str | None = None,
+    metadata_keys: list[str] | None = None,
 ) -> Column:
-    return let(
-        F.get(_items(F.concat(F.lit("["), line, F.lit("]"))), 0),
-        lambda entry: document(entry["raw"], entry["kind"], seq, content_key, metadata_keys),
-    )
+    """The document of a text that is one JSON value."""
+    raw = F.when(kind(value) == "STRING", value.cast("string")).otherwise(line)
+    return document(raw, value, seq, content_key, metadata_keys)

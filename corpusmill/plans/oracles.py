@@ -125,6 +125,22 @@ suffixes(source, suffix, mime, archive, allowed) AS (VALUES
   ('src19', '.ndjson', NULL, 'unknown', false)
 )"""
 
+_ROUTED = r"""
+routed AS (
+  SELECT *, CASE WHEN mime_type = 'text/csv' THEN 'csv'
+    WHEN mime_type = 'text/tab-separated-values' THEN 'tsv'
+    WHEN mime_type = 'application/json' THEN CASE WHEN suffix IN ('.jsonl', '.ndjson') THEN 'jsonl' ELSE 'json' END
+    WHEN mime_type LIKE 'text/%' THEN 'text' END AS loader
+  FROM (
+    SELECT doc_id, text, suffix, archive, coalesce(mime,
+      CASE WHEN regexp_extract(text, '^[^\r\n]*') LIKE '%,%' THEN 'text/csv'
+           WHEN len(list_filter(b, lambda x: x BETWEEN '20' AND '7E' OR x IN ('09', '0A', '0D'))) > 0.7 * len(b)
+             THEN 'text/plain' ELSE 'application/octet-stream' END) AS mime_type
+    FROM (SELECT *, regexp_extract_all(substr(hex(encode(text)), 1, 1024), '..') AS b FROM documents)
+    JOIN suffixes USING (source)
+  )
+)"""
+
 _BATCHES = """
 batches AS (
   SELECT doc_id, text, doc_id // 50 AS bucket,
@@ -239,6 +255,21 @@ SELECT lang, round(coalesce(avg(repetition_score), 0), 6) AS avg_repetition_scor
        round(coalesce(avg(diversity_score), 0), 6) AS avg_diversity_score,
        count(repetition_score) AS scored_texts FROM scored GROUP BY lang""",
         "block_losses": f"WITH {_LOSSES} SELECT block_id, n_tokens, round(loss, 6) AS loss FROM losses",
+        "benchmark_losses": f"""
+WITH {_LOSSES},
+items AS (SELECT item_id, {_words(_clean('text'))} AS w FROM benchmark),
+item_ids AS (
+  SELECT item_id, pos, coalesce(token_id, 0) AS id
+  FROM (SELECT item_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM items) i
+  LEFT JOIN vocab v ON i.token = v.token
+),
+steps AS (
+  SELECT item_id, id AS a, lead(id) OVER (PARTITION BY item_id ORDER BY pos) AS b,
+         count(*) OVER (PARTITION BY item_id) AS n FROM item_ids
+)
+SELECT item_id, any_value(n) AS n_tokens,
+       round(avg(-ln((coalesce(c, 0) + 1)::DOUBLE / (coalesce(u, 0) + (SELECT count(*) + 1 FROM vocab))::DOUBLE)), 6) AS loss
+FROM steps LEFT JOIN pairs USING (a, b) LEFT JOIN contexts USING (a) WHERE b IS NOT NULL GROUP BY item_id""",
         "bigram_perplexity": f"WITH {_LOSSES} {_PERPLEXITY} losses",
         "sampled_perplexity": f"""
 WITH {_LOSSES} {_PERPLEXITY}
@@ -369,20 +400,22 @@ FROM pages""",
         "manifest_roundtrip": """
 SELECT '20231114_221320_page_' || page_id || '.html' AS upload_id, 'completed' AS status,
        strlen(html) AS file_size, 0::BIGINT AS rows_before FROM pages WHERE strlen(html) <= 4000""",
-        "mime_detect": rf"""
-WITH {_SUFFIXES},
-found AS (
-  SELECT doc_id, suffix, coalesce(mime,
-    CASE WHEN regexp_extract(text, '^[^\r\n]*') LIKE '%,%' THEN 'text/csv'
-         WHEN len(list_filter(b, lambda x: x BETWEEN '20' AND '7E' OR x IN ('09', '0A', '0D'))) > 0.7 * len(b)
-           THEN 'text/plain' ELSE 'application/octet-stream' END) AS mime_type
-  FROM (SELECT *, regexp_extract_all(substr(hex(encode(text)), 1, 1024), '..') AS b FROM documents)
-  JOIN suffixes USING (source)
+        "mime_detect": f"WITH {_SUFFIXES}, {_ROUTED} SELECT doc_id, mime_type, loader FROM routed",
+        # Documents hold prose, so the ones named .json are broken and the ones named
+        # .jsonl hold no valid line; a table is empty if nothing follows its first line.
+        "file_outcomes": f"""
+WITH {_SUFFIXES}, {_ROUTED}, {_BATCHES},
+judged AS (
+  SELECT CASE WHEN archive = 'unknown' THEN loader END AS loader,
+         CASE WHEN archive <> 'unknown' OR loader IS NULL THEN 'unsupported'
+              WHEN loader = 'json' THEN 'failed'
+              WHEN loader = 'jsonl' THEN 'empty'
+              WHEN loader IN ('csv', 'tsv') AND NOT regexp_matches(text, '\\n[^\\n]') THEN 'empty'
+              ELSE 'completed' END AS status
+  FROM routed
+  UNION ALL SELECT 'text', 'completed' FROM batches
 )
-SELECT doc_id, mime_type, CASE WHEN mime_type = 'text/csv' THEN 'csv'
-    WHEN mime_type = 'text/tab-separated-values' THEN 'tsv'
-    WHEN mime_type = 'application/json' THEN CASE WHEN suffix IN ('.jsonl', '.ndjson') THEN 'jsonl' ELSE 'json' END
-    WHEN mime_type LIKE 'text/%' THEN 'text' END AS loader FROM found""",
+SELECT loader, status, count(*) AS files FROM judged GROUP BY loader, status""",
         "archive_types": f"""
 WITH {_SUFFIXES} SELECT doc_id, archive AS archive_type, archive <> 'unknown' AS is_archive, allowed AS is_allowed
 FROM documents JOIN suffixes USING (source)""",

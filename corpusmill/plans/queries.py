@@ -222,6 +222,17 @@ def _rounded_perplexity(losses):
     )
 
 
+def benchmark_losses(spark, sf_dir):
+    """The benchmark passages scored by the model fitted on the training split."""
+    tokenized, tokenizer = corpus.tokenized_corpus(_documents(spark, sf_dir))
+    train = packing.pack_blocks(tokenized.filter("split = 'train'"), BLOCK)
+    items = clean.clean_text(table(spark, sf_dir, "benchmark")).select(
+        F.col("item_id").alias("block_id"), tokenizer.encode(F.col("text")).alias("tokens")
+    )
+    losses = bigrams.block_losses(materialize(train, "train-blocks"), materialize(items, "items"), tokenizer.vocab_size)
+    return losses.select(F.col("block_id").alias("item_id"), "n_tokens", F.round("loss", 6).alias("loss"))
+
+
 def bigram_perplexity(spark, sf_dir):
     return _rounded_perplexity(_losses(spark, sf_dir))
 
@@ -691,7 +702,7 @@ _QUERIES = [
     clean_text, min_length_filter, max_length_truncate, corpus_funnel, train_val_split, word_vocab,
     token_stats, processing_stats, token_ids, utf8_token_counts, pack_blocks, verify_tokens, data_budget,
     training_windows, token_bin_roundtrip, text_splits_roundtrip, stats_json,
-    repetition_score, diversity_score, coherence_by_lang, block_losses, bigram_perplexity,
+    repetition_score, diversity_score, coherence_by_lang, block_losses, benchmark_losses, bigram_perplexity,
     sampled_perplexity, generation_log_summary, evaluation_report,
     dataframe_documents, elements_single, elements_paged, elements_rows, elements_by_source, document_json,
     csv_documents, csv_columns, csv_ragged, tsv_documents, json_documents, json_array_documents, json_props,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.functions import text as tx
-from corpusmill.functions.jsontext import ENTRY_TYPE
+from corpusmill.functions.jsontext import ARROW_ENTRIES, ENTRY_TYPE
 from corpusmill.sources.files import number_rows, with_scan_position
 
 _RAW = "_raw_record"
@@ -147,9 +147,5 @@ def _parse_csv(texts: pa.Array, delimiters: pa.Array) -> pa.Array:
             for i, record in enumerate(records)
         ]
 
-    fields = [
-        ("seq_num", pa.int64()), ("content", pa.string()), ("is_json", pa.bool_()),
-        ("metadata", pa.map_(pa.string(), pa.string())),
-    ]
     rows = [documents(t, d) for t, d in zip(texts.to_pylist(), delimiters.to_pylist())]
-    return pa.array(rows, pa.list_(pa.struct(fields)))
+    return pa.array(rows, ARROW_ENTRIES)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import jsontext as js
 from corpusmill.functions import text as tx
+from corpusmill.functions.binding import computed_once
 from corpusmill.sources.files import decoded, number_rows, scan_files, with_scan_position
 
 
@@ -44,21 +45,23 @@ def jsonl_documents(
     spark: SparkSession, paths, content_key: str | None = None, metadata_keys: list[str] | None = None
 ) -> DataFrame:
     """JSON Lines files of any size, read in parallel blocks; bad lines are skipped."""
-    lines = _numbered_lines(spark, paths).filter("line <> ''").filter(js.is_json(F.col("line")))
-    entry = js.line_document(F.col("line"), F.col("line_number"), content_key, metadata_keys)
+    lines = _parsed_lines(spark, paths).filter("value is not null")
+    entry = js.line_document(F.col("line"), F.col("value"), F.col("line_number"), content_key, metadata_keys)
     return _rows(lines.select(F.col("file_path").alias("path"), entry.alias("e")))
 
 
 def jsonl_rejects(spark: SparkSession, paths) -> DataFrame:
     """``(source, line_number, line)`` of the lines that hold no JSON value."""
-    lines = _numbered_lines(spark, paths).filter("line <> ''").filter(~js.is_json(F.col("line")))
+    lines = _parsed_lines(spark, paths).filter("value is null")
     return lines.select(F.col("file_path").alias("source"), "line_number", "line")
 
 
-def _numbered_lines(spark: SparkSession, paths) -> DataFrame:
+def _parsed_lines(spark: SparkSession, paths) -> DataFrame:
+    """Lines that are not blank, with their number and their value as a variant."""
     js.accept_repeated_keys(spark)
     lines = number_rows(with_scan_position(spark.read.text(paths)), "line_number")
-    return lines.withColumn("line", tx.strip(F.col("value"))).drop("value")
+    lines = lines.select("file_path", "line_number", tx.strip(F.col("value")).alias("line"))
+    return computed_once(lines.filter("line <> ''"), "value", js.one_value(F.col("line")))
 
 
 def _rows(entries: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@ import json
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
+from corpusmill.functions import jsontext
 from corpusmill.sources import jsonlike
 
 
@@ -91,3 +93,26 @@ def test_rendering_matches_python(spark):
     found = documents(spark, json.dumps(values))
     expected = [json.dumps(v, indent=2) if isinstance(v, (dict, list)) else str(v) for v in values]
     assert [c for c, _ in found] == expected
+
+
+SAMPLES = [
+    '[{"text": "\u00e9", "n": 1.5, "ok": true, "none": null, "l": [1]}, 3, "s", null, [1], {}]',
+    '{"meta": {"v": 1}, "z": 1, "empty": [], "items": [{"t": "a", "z": 9, "t2": {"d": 1}}, "b"], "a": [1], "name": "n"}',
+    '{"a": 1, "b": {"c": []}, "t": "x"}', "3", '"x"', "null", "[]", "{}", "{broken", "1, 2", "",
+]
+
+
+@pytest.mark.parametrize("options", [{}, {"content_key": "t"}, {"metadata_keys": ["n", "t2", "l"]}])
+def test_large_texts_follow_the_same_rules(spark, options, monkeypatch):
+    def entries(limit):
+        monkeypatch.setattr(jsontext, "_LARGE_TEXT", limit)
+        text = F.col("t")
+        df = spark.createDataFrame(list(enumerate(SAMPLES)), "id int, t string")
+        found = df.select("id", jsontext.whole_text_entries(text, **options).alias("e"))
+        shown = F.when(F.col("is_json"), jsontext.rendered(F.when(F.col("is_json"), F.col("content"))))
+        rows = found.select("id", F.inline_outer("e")).withColumn("content", shown.otherwise(F.col("content")))
+        return [tuple(r) for r in rows.drop("is_json").orderBy("id", "seq_num").collect()]
+
+    native = entries(10**9)
+    assert native == entries(-1)
+    assert {i for i, seq, *_ in native if seq is None} == {6, 8, 9, 10}
