@@ -28,31 +28,39 @@ def build_manifest(
 
     ``upload_id`` is the upload time and the safe file name.
     """
-    when = F.current_timestamp() if uploaded_at is None else uploaded_at
-    name = names.base_name(F.col("path"))
-    too_large = F.when(
-        F.col("length") > max_size,
-        F.concat(F.lit("File too large: "), F.col("length"), F.lit(f" bytes (max: {max_size} bytes)")),
+    name, size = names.base_name(F.col("path")), F.col("length")
+    allowed = names.is_allowed(name) if check_extension else F.lit(True)
+    too_large = F.concat(F.lit("File too large: "), size, F.lit(f" bytes (max: {max_size} bytes)"))
+    refused = F.concat(F.lit("File type not allowed: "), name)
+    nothing = F.lit(None).cast("string")
+
+    # Two scans, so that the content of a rejected file is never read.
+    accepted = files.filter(size <= max_size).filter(allowed).select(
+        "path", "length",
+        names.mime_type(F.col("path"), F.col("content"), provided_mime).alias("mime_type"),
+        F.sha2("content", 256).alias("checksum"),
+        nothing.alias("error_message"),
     )
-    refused = F.when(~names.is_allowed(name), F.concat(F.lit("File type not allowed: "), name))
-    problem = F.coalesce(refused, too_large) if check_extension else too_large
-    accepted = F.col("error_message").isNull()
-    return (
-        files.withColumn("error_message", problem)
-        .withColumn("upload_timestamp", when)
-        .select(
-            F.concat(
-                F.date_format("upload_timestamp", "yyyyMMdd_HHmmss"), F.lit("_"), names.upload_name(name)
-            ).alias("upload_id"),
-            name.alias("original_filename"),
-            F.col("path").alias("file_path"),
-            F.col("length").cast("bigint").alias("file_size"),
-            F.when(accepted, names.mime_type(F.col("path"), F.col("content"), provided_mime)).alias("mime_type"),
-            "upload_timestamp",
-            F.when(accepted, F.sha2("content", 256)).alias("checksum"),
-            F.when(accepted, COMPLETED).otherwise(FAILED).alias("status"),
-            "error_message",
-        )
+    rejected = files.filter((size > max_size) | ~allowed).select(
+        "path", "length", nothing.alias("mime_type"), nothing.alias("checksum"),
+        F.when(~allowed, refused).otherwise(too_large).alias("error_message"),
+    )
+    stamped = accepted.unionByName(rejected).withColumn(
+        "upload_timestamp", F.current_timestamp() if uploaded_at is None else uploaded_at
+    )
+    upload_id = F.concat(
+        F.date_format("upload_timestamp", "yyyyMMdd_HHmmss"), F.lit("_"), names.upload_name(name)
+    )
+    return stamped.select(
+        upload_id.alias("upload_id"),
+        name.alias("original_filename"),
+        F.col("path").alias("file_path"),
+        size.cast("bigint").alias("file_size"),
+        "mime_type",
+        "upload_timestamp",
+        "checksum",
+        F.when(F.col("error_message").isNull(), COMPLETED).otherwise(FAILED).alias("status"),
+        "error_message",
     )
 
 

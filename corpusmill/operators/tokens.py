@@ -114,6 +114,24 @@ def utf8_tokenizer() -> Tokenizer:
     return Tokenizer(encode=to_bytes, decode=from_bytes, vocab_size=256)
 
 
+def _encoding(ranks: dict[bytes, int], pattern: str):
+    import tiktoken
+
+    return tiktoken.Encoding("caller", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+def rank_file_length(ranks: dict[bytes, int], pattern: str = GPT2_PATTERN) -> Callable[[str], int]:
+    """Number of byte-pair tokens of a text, to measure chunks with."""
+    made = {}
+
+    def length(text: str) -> int:
+        if not made:
+            made["encoding"] = _encoding(ranks, pattern)
+        return len(made["encoding"].encode_ordinary(text))
+
+    return length
+
+
 def rank_file_tokenizer(
     spark: SparkSession, ranks: dict[bytes, int], pattern: str = GPT2_PATTERN
 ) -> Tokenizer:
@@ -122,10 +140,7 @@ def rank_file_tokenizer(
     shared = spark.sparkContext.broadcast((ranks, pattern))
 
     def encoding():
-        import tiktoken
-
-        table, pat = shared.value
-        return tiktoken.Encoding("caller", pat_str=pat, mergeable_ranks=table, special_tokens={})
+        return _encoding(*shared.value)
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:

@@ -248,3 +248,17 @@ def test_plain_files_and_archives_are_each_read_once(spark, folder):
         metrics = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics()
         read.append(metrics.apply("numFiles").value())
     assert sum(read) == len(list(folder.iterdir())) and min(read) > 0
+
+
+def test_rejected_files_are_not_read(spark, tmp_path):
+    (tmp_path / "small.txt").write_text("x" * 40)
+    (tmp_path / "huge.txt").write_text("x" * 400)
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(limit, "100")
+    try:
+        rows = manifest.build_manifest(files.scan_files(spark, str(tmp_path)), max_size=50).collect()
+    finally:
+        spark.conf.unset(limit)
+    assert {r.original_filename: (r.status, r.checksum is None) for r in rows} == {
+        "small.txt": ("completed", False), "huge.txt": ("failed", True)
+    }

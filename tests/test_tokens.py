@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from corpusmill.operators import packing, splits, tokens
+from corpusmill.operators import chunks, packing, splits, tokens
 from corpusmill.plans import corpus
 from corpusmill.session import materialize
 from corpusmill.sinks import documents as document_sinks
@@ -80,6 +80,14 @@ def test_byte_and_rank_tokenizers(spark):
     assert pairs.vocab_size == 258
 
 
+def test_chunks_measured_in_byte_pairs(spark):
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256, b" ab": 257}
+    df = spark.createDataFrame([(1, "ab ab ab xyz xyz")], "id int, text string")
+    splitter = chunks.recursive(4, 0, length=tokens.rank_file_length(ranks))
+    found = [r.chunk for r in chunks.split_documents(df, splitter).orderBy("chunk_index").collect()]
+    assert found == ["ab ab ab", " xyz", " xyz"]
+
+
 def test_vocab_must_fit_the_token_type(spark):
     tokens.check_vocab_size(65_535)
     for size, dtype in [(65_536, "uint16"), (300, "uint8"), (5, "float16")]:
