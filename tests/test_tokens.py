@@ -85,7 +85,7 @@ def test_chunks_measured_in_byte_pairs(spark):
     df = spark.createDataFrame([(1, "ab ab ab xyz xyz")], "id int, text string")
     splitter = chunks.recursive(4, 0, length=tokens.rank_file_length(ranks))
     found = [r.chunk for r in chunks.split_documents(df, splitter).orderBy("chunk_index").collect()]
-    assert found == ["ab ab ab", " xyz", " xyz"]
+    assert found == ["ab ab ab", "xyz", "xyz"]
 
 
 def test_vocab_must_fit_the_token_type(spark):
