@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1}
+    return {"op1_exact_dedup": OP1, "op6_benchmark_containment": OP6}
 
 
 OP1 = r"""
@@ -19,3 +19,27 @@ WITH d AS (
 )
 SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM r
 """
+
+# Lower-cased words of a text, as a list.
+_WORDS = (
+    r"list_filter(string_split_regex(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[\x20\x09-\x0D]+'), lambda x: x <> '')"
+)
+
+OP6 = f"""
+WITH b AS (SELECT item_id, {_WORDS.format(text="text")} AS w FROM benchmark),
+i AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS s
+  FROM (SELECT *, least(5, len(w)) AS n, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS p FROM b WHERE len(w) > 0)
+),
+size AS (SELECT item_id, count(*) AS n_shingles FROM i GROUP BY item_id),
+d AS (SELECT doc_id, {_WORDS.format(text="text")} AS w FROM documents WHERE text IS NOT NULL),
+lengths AS (SELECT DISTINCT n FROM i),
+s AS (
+  SELECT DISTINCT doc_id, n, array_to_string(w[p:p + n - 1], ' ') AS s
+  FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS p FROM d, lengths)
+),
+m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM s JOIN i USING (n, s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
+FROM m JOIN size USING (item_id) WHERE 100 * n_shared >= 80 * n_shingles
+"""

@@ -4,8 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import exact_dedup, quotes, sharding
-from corpusmill.session import ship_package
+from corpusmill.llm import decontamination, exact_dedup, quotes, sharding, token_files
+from corpusmill.session import scratch_path, ship_package
+
+
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def _vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,5 +37,16 @@ def op4_byte_shards(spark, sf_dir):
     return sharding.byte_shards(_documents(spark, sf_dir)).drop("row")
 
 
+def op5_token_files(spark, sf_dir):
+    path = scratch_path(spark, "token-files")
+    encode = token_files.byte_level_encoder(_vocabulary())
+    token_files.write_token_files(_documents(spark, sf_dir), path, encode)
+    return token_files.read_token_files(spark, path, tokens=False)
+
+
+def op6_benchmark_containment(spark, sf_dir):
+    return decontamination.contained_items(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
 def all_queries():
     return {name: f for name, f in globals().items() if name.startswith("op")}
