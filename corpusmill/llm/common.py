@@ -37,6 +37,20 @@ def thin_rows(df: DataFrame, row_column: str | None, label: str, **values: Colum
     return materialize(df.select(number.alias("row"), *[v.alias(k) for k, v in values.items()]), label)
 
 
+# Keys of two 64-bit numbers: some tens of megabytes when broadcast.
+BROADCAST_KEYS = 1_000_000
+
+
+def narrowed(df: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` with (``left_semi``) or without (``left_anti``) a row of equal key in ``keys``.
+
+    ``keys`` holds stored numeric key columns only. Their number is counted up to a bound:
+    below it they are broadcast and ``df`` stays where it is, else both sides are shuffled.
+    """
+    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    return df.join(F.broadcast(keys) if few else keys, keys.columns, how)
+
+
 def rank_within(
     df: DataFrame, group: list[str], order: list[str], coarse: Column, name: str
 ) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1, "op6_benchmark_containment": OP6}
+    return {"op1_exact_dedup": OP1, "op6_benchmark_containment": OP6, "op10_repeated_passages": OP10}
 
 
 OP1 = r"""
@@ -43,3 +43,24 @@ m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM s JOIN i USING (n, s) GR
 SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
 FROM m JOIN size USING (item_id) WHERE 100 * n_shared >= 80 * n_shingles
 """
+
+OP10 = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+),
+p AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+),
+o AS (SELECT h, min(doc_id) AS origin FROM p GROUP BY h),
+f AS (SELECT doc_id, list(i ORDER BY i) AS s FROM p JOIN o USING (h) WHERE doc_id > origin GROUP BY doc_id),
+g AS (SELECT doc_id, list_distinct(flatten(list_transform(s, lambda x: range(x, x + 50)))) AS gone FROM f),
+x AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+k AS (
+  SELECT x.doc_id, string_agg(w[x.i], ' ' ORDER BY x.i) AS kept, count(*) AS n
+  FROM x LEFT JOIN (SELECT doc_id, unnest(gone) AS i FROM g) r ON r.doc_id = x.doc_id AND r.i = x.i
+  WHERE r.i IS NULL GROUP BY x.doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""

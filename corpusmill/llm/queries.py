@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import decontamination, exact_dedup, quotes, sharding, token_files
+from corpusmill.llm import decontamination, exact_dedup, quotes, sharding, substrings, token_files
 from corpusmill.session import scratch_path, ship_package
 
 
@@ -48,5 +48,9 @@ def op6_benchmark_containment(spark, sf_dir):
     return decontamination.contained_items(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_repeated_passages(spark, sf_dir):
+    return substrings.repeated_spans(_documents(spark, sf_dir)).drop("spans", "text_key")
+
+
 def all_queries():
     return {name: f for name, f in globals().items() if name.startswith("op")}
