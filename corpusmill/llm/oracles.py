@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1, "op6_benchmark_containment": OP6, "op10_repeated_passages": OP10}
+    return {"op1_exact_dedup": OP1, "op6_benchmark_containment": OP6, "op8_jaccard_links": OP8, "op10_repeated_passages": OP10}
 
 
 OP1 = r"""
@@ -64,3 +64,22 @@ k AS (
 SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (doc_id)
 """
+
+OP8 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + n - 1], ' ') AS s, n
+  FROM (SELECT *, least(5, len(w)) AS n, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS p FROM d WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i
+  FROM s a JOIN s b ON a.s = b.s AND a.n = b.n AND a.doc_id <> b.doc_id GROUP BY 1, 2
+),
+l AS (
+  SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)
+),
+r AS (SELECT doc_id, doc_id AS seen FROM d UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.seen)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY doc_id) c USING (doc_id)
+"""

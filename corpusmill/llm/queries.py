@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import decontamination, exact_dedup, quotes, sharding, substrings, token_files
+from corpusmill.llm import (
+    decontamination,
+    exact_dedup,
+    jaccard,
+    quotes,
+    sharding,
+    substrings,
+    token_files,
+)
 from corpusmill.session import scratch_path, ship_package
 
 
@@ -48,6 +56,10 @@ def op6_benchmark_containment(spark, sf_dir):
     return decontamination.contained_items(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_jaccard_links(spark, sf_dir):
+    return jaccard.link_groups(_documents(spark, sf_dir)).drop("text_key")
+
+
 def op10_repeated_passages(spark, sf_dir):
     return substrings.repeated_spans(_documents(spark, sf_dir)).drop("spans", "text_key")
 
