@@ -9,6 +9,7 @@ from corpusmill.llm import (
     exact_dedup,
     jaccard,
     quotes,
+    scoring,
     sharding,
     substrings,
     token_files,
@@ -56,6 +57,10 @@ def op6_benchmark_containment(spark, sf_dir):
     return decontamination.contained_items(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_filter_scores(spark, sf_dir):
+    return scoring.score_texts(_documents(spark, sf_dir))
+
+
 def op8_jaccard_links(spark, sf_dir):
     return jaccard.link_groups(_documents(spark, sf_dir)).drop("text_key")
 
