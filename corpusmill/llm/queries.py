@@ -8,6 +8,7 @@ from corpusmill.llm import (
     decontamination,
     exact_dedup,
     jaccard,
+    language,
     quotes,
     scoring,
     sharding,
@@ -42,6 +43,10 @@ def op2_quote_links(spark, sf_dir):
     return quotes.reply_ordered(quotes.as_mail(_table(spark, sf_dir, "conversations")))
 
 
+def op3_word_languages(spark, sf_dir):
+    return language.predict_languages(_documents(spark, sf_dir))
+
+
 def op4_byte_shards(spark, sf_dir):
     return sharding.byte_shards(_documents(spark, sf_dir)).drop("row")
 
