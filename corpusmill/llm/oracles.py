@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1, "op6_benchmark_containment": OP6, "op8_jaccard_links": OP8, "op10_repeated_passages": OP10}
+    return {"op1_exact_dedup": OP1, "op6_benchmark_containment": OP6, "op8_jaccard_links": OP8, "op9_weighted_mixture": OP9, "op10_repeated_passages": OP10}
 
 
 OP1 = r"""
@@ -83,3 +83,53 @@ r AS (SELECT doc_id, doc_id AS seen FROM d UNION SELECT r.doc_id, l.b FROM r JOI
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY doc_id) c USING (doc_id)
 """
+
+
+def _level(number: int, path: str, parent: str, weight: str) -> str:
+    """Budgets of one level: water-filling among the children of each parent."""
+    over = f"PARTITION BY {parent}" if parent else ""
+    join = f"JOIN g{number - 1} USING ({parent})" if parent else ", (SELECT least(0.5 * sum(n_words), sum(cap)) AS given FROM leaf)"
+    name = path.split(", ")[-1]
+    return f"""
+n{number} AS (
+  SELECT {path}, c.cap, {weight} AS wt, given AS budget, c.cap / {weight} AS need
+  FROM (SELECT {path}, sum(cap) AS cap FROM leaf GROUP BY {path}) c {join}
+),
+f{number} AS (
+  SELECT *, cap * sum(wt) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+    <= wt * (budget - coalesce(sum(cap) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS is_full
+  FROM n{number} WINDOW w AS ({over} ORDER BY need, {name})
+),
+g{number} AS (
+  SELECT {path}, CASE WHEN is_full THEN cap ELSE wt
+    * (budget - sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER ({over}))
+    / sum(CASE WHEN is_full THEN 0 ELSE wt END) OVER ({over}) END AS given
+  FROM f{number}
+)"""
+
+
+OP9 = r"""
+WITH d AS (
+  SELECT doc_id, 'd' || (CAST(regexp_extract(source, '[0-9]+') AS INT) // 5) AS domain, lang, source,
+         len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n_words
+  FROM documents
+),
+leaf AS (SELECT domain, lang, source, sum(n_words)::DOUBLE AS n_words, sum(n_words)::DOUBLE * 4 AS cap FROM d GROUP BY ALL),
+""" + ",".join([
+    _level(1, "domain", "", "CASE domain WHEN 'd0' THEN 0.4::DOUBLE WHEN 'd1' THEN 0.3 WHEN 'd2' THEN 0.2 WHEN 'd3' THEN 0.1 ELSE 1 END"),
+    _level(2, "domain, lang", "domain", "CASE lang WHEN 'en' THEN 0.4::DOUBLE WHEN 'de' THEN 0.2 WHEN 'fr' THEN 0.2 WHEN 'es' THEN 0.2 ELSE 1 END"),
+    _level(3, "domain, lang, source", "domain, lang", "1::DOUBLE"),
+]) + r""",
+b AS (
+  SELECT domain, lang, source, floor(given + 1e-6)::BIGINT // greatest(n_words, 1)::BIGINT AS epochs,
+         floor(given + 1e-6)::BIGINT % greatest(n_words, 1)::BIGINT AS rest
+  FROM g3 JOIN leaf USING (domain, lang, source)
+),
+k AS (
+  SELECT d.*, epochs, rest, sum(n_words) OVER (
+    PARTITION BY domain, lang, source ORDER BY md5('42:' || epochs || ':' || doc_id), CAST(doc_id AS VARCHAR)) AS upto
+  FROM d JOIN b USING (domain, lang, source)
+)
+SELECT doc_id, domain, lang, source, n_words, unnest(range(epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END)) AS epoch
+FROM k
+"""

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusmill.llm import (
     decontamination,
     exact_dedup,
     jaccard,
     language,
+    mixing,
     quotes,
     scoring,
     sharding,
@@ -21,7 +23,16 @@ from corpusmill.session import scratch_path, ship_package
 VOCABULARY = "byte_bpe_50k.json"
 
 
-def _vocabulary() -> str:
+# Four domains of five sources each, and what they shall have of the mixture.
+DOMAIN = "concat('d', cast(cast(regexp_extract(source, '[0-9]+', 0) as int) div 5 as string))"
+WEIGHTS = [
+    {"d0": 0.4, "d1": 0.3, "d2": 0.2, "d3": 0.1},
+    {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2},
+    {},
+]
+
+
+def vocabulary() -> str:
     import public_tokenizers
 
     return public_tokenizers.path(VOCABULARY)
@@ -53,7 +64,7 @@ def op4_byte_shards(spark, sf_dir):
 
 def op5_token_files(spark, sf_dir):
     path = scratch_path(spark, "token-files")
-    encode = token_files.byte_level_encoder(_vocabulary())
+    encode = token_files.byte_level_encoder(vocabulary())
     token_files.write_token_files(_documents(spark, sf_dir), path, encode)
     return token_files.read_token_files(spark, path, tokens=False)
 
@@ -70,6 +81,14 @@ def op8_jaccard_links(spark, sf_dir):
     return jaccard.link_groups(_documents(spark, sf_dir)).drop("text_key")
 
 
+def op9_weighted_mixture(spark, sf_dir):
+    docs = _documents(spark, sf_dir).withColumn("domain", F.expr(DOMAIN))
+    levels = [F.col("domain"), F.col("lang"), F.col("source")]
+    taken = mixing.mixed(docs, levels, WEIGHTS, budget=0.5)
+    words = mixing.word_count(F.col("text"))
+    return taken.select("doc_id", "domain", "lang", "source", words.alias("n_words"), "epoch")
+
+
 def op10_repeated_passages(spark, sf_dir):
     return substrings.repeated_spans(_documents(spark, sf_dir)).drop("spans", "text_key")
 
