@@ -280,7 +280,7 @@ def one_of_each(df: DataFrame, percent: int = PERCENT, id_column: str = "doc_id"
     nulls = gone.filter("_id is null").select("_key")
     if not nulls.isEmpty():
         lost = narrowed(kept.filter("_id is null"), materialize(nulls, "dropped-nulls"), "left_anti")
-        kept = kept.filter("_id is not null").unionByName(lost.select(kept.columns))
+        kept = kept.filter("_id is not null").unionByName(lost.select(*[column(c) for c in kept.columns]))
     repeated = groups.filter("n_shingles > 0").groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).filter("n > 1")
     if not repeated.isEmpty():
         bare = kept.filter(F.coalesce(column(text_column), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))

@@ -105,4 +105,4 @@ def write_shards(
         F.col("row").alias("_row"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot")
     )
     ordered = stored.join(places, "_row").drop("_row").repartition(n_shards, "_shard")
-    ordered.sortWithinPartitions("_shard", "_slot").write.partitionBy("_shard").parquet(path)
+    ordered.sortWithinPartitions("_shard", "_slot").drop("_slot").write.partitionBy("_shard").parquet(path)

@@ -1,0 +1,21 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import llm_cases  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def hard(spark, tmp_path_factory):
+    """The awkward rows, in several files so that they come from several tasks."""
+    path = str(tmp_path_factory.mktemp("hard") / "documents.parquet")
+    spark.createDataFrame(llm_cases.hard_rows(), llm_cases.SCHEMA).repartition(3).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="session")
+def empty(hard):
+    return hard.filter("doc_id = 999")
