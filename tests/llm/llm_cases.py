@@ -3,6 +3,8 @@
 import random
 import re
 
+import pytest
+
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, "
@@ -52,3 +54,16 @@ def shingle_set(text):
     own = folded(text)
     n = min(5, len(own))
     return {tuple(own[i : i + n]) for i in range(len(own) - n + 1)} if own else set()
+
+
+@pytest.fixture(scope="session")
+def hard(spark, tmp_path_factory):
+    """The awkward rows, in several files so that they come from several tasks."""
+    path = str(tmp_path_factory.mktemp("hard") / "documents.parquet")
+    spark.createDataFrame(hard_rows(), SCHEMA).repartition(3).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="session")
+def empty(hard):
+    return hard.filter("doc_id = 999")

@@ -5,7 +5,7 @@ import zlib
 from collections import defaultdict
 
 import pytest
-from llm_cases import WORDS, hard_rows
+from llm_cases import WORDS, empty, hard, hard_rows  # noqa: F401
 from pyspark.sql import functions as F
 
 from corpusmill.llm import exact_dedup, mixing, quotes, sharding

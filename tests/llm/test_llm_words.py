@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm_cases import WORDS, folded, hard_rows, items, shingle_set
+from llm_cases import WORDS, empty, folded, hard, hard_rows, items, shingle_set  # noqa: F401
 from pyspark.sql import functions as F
 
 from corpusmill.llm import components, decontamination, jaccard, language, scoring, substrings, token_files
