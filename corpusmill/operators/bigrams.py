@@ -41,8 +41,8 @@ def score_transitions(train_blocks: DataFrame, needed: DataFrame, vocab_size: in
     side however often a transition repeats in the corpus.
     """
     seen = transitions(train_blocks)
-    pair_counts = seen.groupBy("current", "following").agg(F.count("*").alias("pair_count"))
-    contexts = seen.groupBy("current").agg(F.count("*").alias("context_count"))
+    pair_counts = materialize(seen.groupBy("current", "following").agg(F.count("*").alias("pair_count")), "pair-counts")
+    contexts = pair_counts.groupBy("current").agg(F.sum("pair_count").alias("context_count"))
     if vocab_size <= _BROADCAST_VOCABULARY:
         contexts = F.broadcast(contexts)  # one row per token id
     joined = needed.join(pair_counts, ["current", "following"], "left").join(contexts, "current", "left")
@@ -54,6 +54,8 @@ def score_transitions(train_blocks: DataFrame, needed: DataFrame, vocab_size: in
 def block_losses(train_blocks: DataFrame, blocks: DataFrame, vocab_size: int) -> DataFrame:
     """``(block_id, n_tokens, loss)``: mean negative log likelihood of each block.
 
+    Blocks of fewer than two tokens have no transition, so their loss is null.
+
     Blocks meet the scored transitions in two ways: the few very frequent
     transitions through a broadcast, all others through a shuffle whose keys are
     then known to be light. Both ways together cover every transition exactly once.
@@ -73,8 +75,6 @@ def block_losses(train_blocks: DataFrame, blocks: DataFrame, vocab_size: int) ->
     through_shuffle = (
         tagged.filter("common_nll is null").drop("common_nll").join(rare, pair).select("block_id", "nll")
     )
-    return (
-        through_broadcast.unionByName(through_shuffle)
-        .groupBy("block_id")
-        .agg((F.count("*") + 1).alias("n_tokens"), F.avg("nll").alias("loss"))
-    )
+    losses = through_broadcast.unionByName(through_shuffle).groupBy("block_id").agg(F.avg("nll").alias("loss"))
+    sizes = blocks.select("block_id", F.size("tokens").cast("bigint").alias("n_tokens"))
+    return sizes.join(losses, "block_id", "left")

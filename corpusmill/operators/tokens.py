@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,7 +14,9 @@ from pyspark.sql import functions as F
 from corpusmill.functions import text as tx
 from corpusmill.functions.binding import whole_part
 
-UNKNOWN_ID = 0
+# Token ids 0-255 are UTF-8 bytes; this one opens a word that is spelled in bytes.
+SPELLED_ID = 256
+FIRST_WORD_ID = 257
 MAX_TOKEN_VALUE = {"uint8": 0xFF, "uint16": 0xFFFF, "uint32": 0xFFFFFFFF}
 # Fixed value: the published word-splitting pattern of the gpt2 encoding.
 GPT2_PATTERN = (
@@ -45,32 +48,39 @@ def _splitter(cleaned: bool) -> Callable[[Column], Column]:
 def word_vocab(
     df: DataFrame, column: str = "text", max_size: int = 65_535, cleaned: bool = False
 ) -> DataFrame:
-    """``(token_id, token, count)`` for the most frequent words; id 0 is unknown.
+    """``(token_id, token, count)`` for the most frequent words, from id 257 on.
 
-    ``cleaned`` tells that the texts come from the cleaning step, which makes finding
-    the words cheaper. Ids follow descending count, ties in code-point order. Counting combines on the
-    map side, so a very frequent word costs one row per task.
+    ``max_size`` counts all ids, those of the bytes included. ``cleaned`` tells that the
+    texts come from the cleaning step, which makes finding the words cheaper. Ids follow
+    descending count, ties in code-point order. Counting combines on the map side, so a very
+    frequent word costs one row per task.
     """
     check_vocab_size(max_size)
+    if max_size <= FIRST_WORD_ID:
+        raise ValueError(f"a vocabulary needs more than {FIRST_WORD_ID} ids, got {max_size}")
     counts = (
         df.select(F.explode(_splitter(cleaned)(F.col(column))).alias("token"))
         .groupBy("token")
         .agg(F.count("*").alias("count"))
     )
     by_rank = [F.desc("count"), F.asc("token")]
-    top = counts.orderBy(*by_rank).limit(max_size - 1)
-    # At most 65,534 rows remain, so one task may number them.
+    top = counts.orderBy(*by_rank).limit(max_size - FIRST_WORD_ID)
+    # At most 65,278 rows remain, so one task may number them.
     return top.select(
-        F.row_number().over(Window.orderBy(*by_rank)).cast("bigint").alias("token_id"),
+        (F.row_number().over(Window.orderBy(*by_rank)) + SPELLED_ID).cast("bigint").alias("token_id"),
         "token",
         "count",
     )
 
 
 def word_tokenizer(vocab: DataFrame, cleaned: bool = False) -> Tokenizer:
-    """Tokenizer over a vocabulary from :func:`word_vocab`.
+    """Lossless tokenizer over a vocabulary from :func:`word_vocab`.
 
-    The vocabulary is bounded by the token type (65,534 words), so it is sent to the
+    A word of the vocabulary is one token; any other is the token 256 and its UTF-8
+    bytes. Decoding gives the words back, joined by one space; a list that starts or ends
+    inside a spelled character loses that character only.
+
+    The vocabulary is bounded by the token type (65,278 words), so it is sent to the
     executors once; encoding is a vectorised lookup and needs no shuffle.
     """
     rows = vocab.orderBy("token_id").select("token").limit(MAX_TOKEN_VALUE["uint16"]).toArrow()
@@ -78,19 +88,37 @@ def word_tokenizer(vocab: DataFrame, cleaned: bool = False) -> Tokenizer:
 
     @F.arrow_udf("array<int>")
     def lookup(word_lists: pa.Array) -> pa.Array:
-        found = pc.index_in(word_lists.flatten(), value_set=shared.value)
-        return _as_lists(pc.fill_null(pc.add(found, 1), UNKNOWN_ID), word_lists)
+        words = word_lists.flatten()
+        found = pc.index_in(words, value_set=shared.value.cast(words.type))
+        ids = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int32) + FIRST_WORD_ID
+        known = ids >= FIRST_WORD_ID
+        spelled = words.filter(pa.array(~known)).cast(pa.binary())
+        lengths = np.ones(len(ids), np.int64)
+        lengths[~known] += pc.binary_length(spelled).to_numpy()
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        out = np.full(ends[-1], SPELLED_ID, np.int32)
+        out[ends[:-1][known]] = ids[known]
+        inside = np.ones(len(out), bool)
+        inside[ends[:-1]] = False
+        out[inside] = np.frombuffer(b"".join(spelled.to_pylist()), np.uint8)
+        bounds = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(word_lists), 0).to_numpy())])
+        mask = word_lists.is_null() if word_lists.null_count else None
+        return pa.ListArray.from_arrays(pa.array(ends[bounds], pa.int32()), pa.array(out), mask=mask)
 
     @F.arrow_udf("string")
     def spell(id_lists: pa.Array) -> pa.Array:
-        entries = pa.concat_arrays([pa.array(["<unk>"]), shared.value.cast(pa.string())])
-        spelled = entries.take(id_lists.flatten())
-        return pc.binary_join(_as_lists(spelled, id_lists), " ")
+        single = [bytes([b]) for b in range(256)]
+        entries = pa.concat_arrays([
+            pa.array([*single, b" "], pa.binary()),
+            pc.binary_join_element_wise(pa.scalar(b" "), shared.value.cast(pa.binary()), pa.scalar(b"")),
+        ])
+        joined = pc.binary_join(_as_lists(entries.take(id_lists.flatten()), id_lists), b"")
+        return pa.array([None if v is None else v.removeprefix(b" ").decode("utf-8", "ignore") for v in joined.to_pylist()], pa.string())
 
     return Tokenizer(
         encode=lambda text: lookup(_splitter(cleaned)(text)),
         decode=spell,
-        vocab_size=rows.num_rows + 1,
+        vocab_size=rows.num_rows + FIRST_WORD_ID,
     )
 
 
@@ -137,10 +165,12 @@ def rank_file_tokenizer(
 ) -> Tokenizer:
     """Byte-pair tokenizer from caller-supplied merge ranks (such as gpt2's)."""
     check_vocab_size(max(ranks.values()) + 1)
-    shared = spark.sparkContext.broadcast((ranks, pattern))
+    shared, made = spark.sparkContext.broadcast((ranks, pattern)), {}
 
     def encoding():
-        return _encoding(*shared.value)
+        if not made:
+            made["encoding"] = _encoding(*shared.value)
+        return made["encoding"]
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
@@ -179,11 +209,6 @@ def tokenize(df: DataFrame, tokenizer: Tokenizer, column: str = "text") -> DataF
     )
 
 
-def count_words(df: DataFrame, column: str = "text", cleaned: bool = False) -> DataFrame:
-    """Add ``n_tokens`` of the word tokenizer, which needs no vocabulary."""
-    return df.withColumn("n_tokens", F.size(_splitter(cleaned)(F.col(column))))
-
-
 def token_stats(df: DataFrame) -> DataFrame:
     """Per split: token totals, document count, average, extremes and stream size in MB."""
     total = F.sum("n_tokens")

@@ -36,23 +36,32 @@ labelled AS (
 
 _VOCAB = """
 vocab AS (
-  SELECT row_number() OVER (ORDER BY n DESC, token) AS token_id, token, n
+  SELECT row_number() OVER (ORDER BY n DESC, token) + 256 AS token_id, token, n
   FROM (
     SELECT token, count(*) AS n FROM (SELECT unnest(words) AS token FROM kept) GROUP BY token
-    ORDER BY n DESC, token LIMIT 65534
+    ORDER BY n DESC, token LIMIT 65278
   )
 )"""
 
-_STREAM = f"""{_LABELLED}, {_VOCAB},
+# A word outside the vocabulary is the id 256 and its bytes.
+_IDS = """CASE WHEN token_id IS NOT NULL THEN [token_id] ELSE list_concat([256::BIGINT],
+  list_transform(regexp_extract_all(hex(encode(w.token)), '..'), lambda x: ('0x' || x)::BIGINT)) END"""
+
+_PLACED = f"""{_LABELLED}, {_VOCAB},
 placed AS (
-  SELECT doc_id, split, split_key, pos, w.token, coalesce(token_id, 0) AS id
+  SELECT *, unnest(ids) AS id, generate_subscripts(ids, 1) AS sub
   FROM (
-    SELECT doc_id, split, split_key, unnest(words) AS token, generate_subscripts(words, 1) AS pos
-    FROM labelled
-  ) w LEFT JOIN vocab v ON w.token = v.token
-),
+    SELECT doc_id, split, split_key, pos, {_IDS} AS ids
+    FROM (
+      SELECT doc_id, split, split_key, unnest(words) AS token, generate_subscripts(words, 1) AS pos
+      FROM labelled
+    ) w LEFT JOIN vocab v ON w.token = v.token
+  )
+)"""
+
+_STREAM = f"""{_PLACED},
 stream AS (
-  SELECT *, row_number() OVER (PARTITION BY split ORDER BY split_key, doc_id, pos) - 1 AS gpos FROM placed
+  SELECT *, row_number() OVER (PARTITION BY split ORDER BY split_key, doc_id, pos, sub) - 1 AS gpos FROM placed
 )"""
 
 _LOSSES = f"""{_STREAM},
@@ -66,7 +75,7 @@ pairs AS (SELECT a, b, count(*) AS c FROM moves WHERE split = 'train' AND b IS N
 contexts AS (SELECT a, sum(c) AS u FROM pairs GROUP BY a),
 losses AS (
   SELECT block_id, any_value(n) AS n_tokens,
-         avg(-ln((coalesce(c, 0) + 1)::DOUBLE / (coalesce(u, 0) + (SELECT count(*) + 1 FROM vocab))::DOUBLE)) AS loss
+         avg(-ln((coalesce(c, 0) + 1)::DOUBLE / (coalesce(u, 0) + (SELECT count(*) + 257 FROM vocab))::DOUBLE)) AS loss
   FROM moves LEFT JOIN pairs USING (a, b) LEFT JOIN contexts USING (a)
   WHERE split = 'val' AND n = 128 AND b IS NOT NULL
   GROUP BY block_id
@@ -92,12 +101,11 @@ corpus AS (SELECT text FROM conversations WHERE role = 'assistant'), {_SCORES},
 log AS (SELECT *, len(w) AS tokens, length(text) / 50.0::DOUBLE + 1.0::DOUBLE AS seconds FROM scored)
 """
 
-_STATS = f"""{_LABELLED},
+_STATS = f"""{_PLACED},
 stats AS (
-  SELECT split, sum(len(words))::BIGINT AS total_tokens, count(*) AS num_documents,
-         sum(len(words))::DOUBLE / count(*) AS avg_tokens,
-         min(len(words))::BIGINT AS min_tokens, max(len(words))::BIGINT AS max_tokens
-  FROM labelled GROUP BY split
+  SELECT split, sum(n)::BIGINT AS total_tokens, count(*) AS num_documents,
+         sum(n)::DOUBLE / count(*) AS avg_tokens, min(n)::BIGINT AS min_tokens, max(n)::BIGINT AS max_tokens
+  FROM (SELECT doc_id, split, count(*) AS n FROM placed GROUP BY doc_id, split) GROUP BY split
 )"""
 
 # What each suffix of the named files means.
@@ -177,7 +185,8 @@ WITH parts AS (
 SELECT doc_id, lang, unnest(range(len(p))) AS chunk_index, unnest(p) AS chunk FROM parts"""
 
 
-def _windows(size: int, step: int, source: str, others: str, columns: str) -> str:
+def _windows(size: int, step: int, source: str, others: str, columns: str, chunk: str = "{}") -> str:
+    joined = f"array_to_string(w[i * {step} + 1 : i * {step} + {size}], ' ')"
     return f"""
 windows AS (
   SELECT *, unnest(range(CASE WHEN len(w) = 0 THEN 0 WHEN len(w) <= {size} THEN 1
@@ -185,10 +194,17 @@ windows AS (
   FROM {source}
 )
 SELECT {others}, i AS chunk_index, {columns},
-       array_to_string(w[i * {step} + 1 : i * {step} + {size}], ' ') AS chunk
+       {chunk.format(joined)} AS chunk
 FROM windows"""
 
 
+# The text of bytes written as hexadecimal pairs; a character cut by the edges is left out.
+_SPELLED = (
+    "decode(unhex(replace(regexp_replace(regexp_replace(regexp_replace({}, '^20 ?', ''), '^([89AB][0-9A-F] ?)+', ''), "
+    "'( [CD][0-9A-F]| E[0-9A-F]( [89AB][0-9A-F])?| F[0-9A-F]( [89AB][0-9A-F]){{0,2}})$', ''), ' ', '')))"
+)
+
+
 def all_oracles() -> dict[str, str]:
     sql = {
         "clean_text": f"SELECT doc_id, {_clean('text')} AS text FROM documents",
@@ -211,10 +227,11 @@ SELECT (SELECT count(*) FROM documents) AS total_documents, (SELECT count(*) FRO
        t.total_tokens AS train_total_tokens, t.num_documents AS train_num_documents,
        t.min_tokens AS train_min_tokens, t.max_tokens AS train_max_tokens,
        v.total_tokens AS val_total_tokens, v.num_documents AS val_num_documents,
-       v.min_tokens AS val_min_tokens, v.max_tokens AS val_max_tokens
+       v.min_tokens AS val_min_tokens, v.max_tokens AS val_max_tokens,
+       (SELECT count(*) + 257 FROM vocab) AS vocab_size
 FROM stats t, stats v WHERE t.split = 'train' AND v.split = 'val'""",
         "token_ids": f"""
-WITH {_STREAM} SELECT doc_id, split, count(*) AS n_tokens, string_agg(id::VARCHAR, ' ' ORDER BY pos) AS token_ids
+WITH {_STREAM} SELECT doc_id, split, count(*) AS n_tokens, string_agg(id::VARCHAR, ' ' ORDER BY pos, sub) AS token_ids
 FROM stream GROUP BY doc_id, split""",
         "utf8_token_counts": f"""
 WITH {_KEPT}, bytes AS (SELECT *, regexp_extract_all(hex(encode(text)), '..') AS b FROM kept)
@@ -225,7 +242,7 @@ WITH {_STREAM} SELECT split, gpos // 128 AS block_id, string_agg(id::VARCHAR, '
 FROM stream GROUP BY split, gpos // 128""",
         "verify_tokens": f"""
 WITH {_STREAM} SELECT split, count(*) AS n_tokens, max(id) AS max_token,
-       count(*) > 100 AND max(id) < (SELECT count(*) + 1 FROM vocab) AS ok FROM stream GROUP BY split""",
+       count(*) > 100 AND max(id) < (SELECT count(*) + 257 FROM vocab) AS ok FROM stream GROUP BY split""",
         "data_budget": f"""
 WITH {_STATS} SELECT total_tokens AS available_tokens, 81920000::BIGINT AS required_tokens,
        CASE WHEN total_tokens >= 81920000 THEN 10000 ELSE greatest(100, total_tokens // 8192) END AS max_iters
@@ -259,17 +276,21 @@ SELECT lang, round(coalesce(avg(repetition_score), 0), 6) AS avg_repetition_scor
 WITH {_LOSSES},
 items AS (SELECT item_id, {_words(_clean('text'))} AS w FROM benchmark),
 item_ids AS (
-  SELECT item_id, pos, coalesce(token_id, 0) AS id
-  FROM (SELECT item_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM items) i
-  LEFT JOIN vocab v ON i.token = v.token
+  SELECT item_id, pos, unnest(ids) AS id, generate_subscripts(ids, 1) AS sub
+  FROM (
+    SELECT item_id, pos, {_IDS} AS ids
+    FROM (SELECT item_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM items) w
+    LEFT JOIN vocab v ON w.token = v.token
+  )
 ),
 steps AS (
-  SELECT item_id, id AS a, lead(id) OVER (PARTITION BY item_id ORDER BY pos) AS b,
+  SELECT item_id, id AS a, lead(id) OVER (PARTITION BY item_id ORDER BY pos, sub) AS b,
          count(*) OVER (PARTITION BY item_id) AS n FROM item_ids
 )
-SELECT item_id, any_value(n) AS n_tokens,
-       round(avg(-ln((coalesce(c, 0) + 1)::DOUBLE / (coalesce(u, 0) + (SELECT count(*) + 1 FROM vocab))::DOUBLE)), 6) AS loss
-FROM steps LEFT JOIN pairs USING (a, b) LEFT JOIN contexts USING (a) WHERE b IS NOT NULL GROUP BY item_id""",
+SELECT item_id, coalesce(any_value(n), 0) AS n_tokens,
+       round(avg(-ln((coalesce(c, 0) + 1)::DOUBLE / (coalesce(u, 0) + (SELECT count(*) + 257 FROM vocab))::DOUBLE))
+         FILTER (WHERE b IS NOT NULL), 6) AS loss
+FROM items LEFT JOIN steps USING (item_id) LEFT JOIN pairs USING (a, b) LEFT JOIN contexts USING (a) GROUP BY item_id""",
         "bigram_perplexity": f"WITH {_LOSSES} {_PERPLEXITY} losses",
         "sampled_perplexity": f"""
 WITH {_LOSSES} {_PERPLEXITY}
@@ -376,14 +397,15 @@ SELECT CASE WHEN url LIKE 'https:%' THEN url ELSE '/web/' || page_id || '.html'
         "token_window_chunks": f"""
 WITH base AS (SELECT doc_id, lang, {_words(_clean('text'))} AS w FROM documents),
 {_windows(200, 160, 'base', 'doc_id', 'lang')}""",
+        "token_decode": f"WITH {_KEPT} SELECT doc_id, text FROM kept",
         "token_id_windows": f"""
-WITH {_KEPT}, {_VOCAB},
+WITH {_PLACED},
 base AS (
-  SELECT doc_id, list(coalesce(v.token, '<unk>') ORDER BY pos) AS w
-  FROM (SELECT doc_id, unnest(words) AS token, generate_subscripts(words, 1) AS pos FROM kept) t
-  LEFT JOIN vocab v ON t.token = v.token GROUP BY doc_id
+  SELECT doc_id, list(CASE WHEN id < 256 THEN printf('%02X', id) WHEN id = 256 THEN '20'
+    ELSE '20 ' || array_to_string(regexp_extract_all(hex(encode(token)), '..'), ' ') END ORDER BY pos, sub) AS w
+  FROM placed LEFT JOIN vocab ON id = token_id GROUP BY doc_id
 ),
-{_windows(256, 224, 'base', 'doc_id', 'len(w[i * 224 + 1 : i * 224 + 256])::BIGINT AS n_tokens')}""",
+{_windows(256, 224, 'base', 'doc_id', 'len(w[i * 224 + 1 : i * 224 + 256])::BIGINT AS n_tokens', _SPELLED)}""",
         "regex_split_drop": _split_pieces(r"string_split_regex(text, '[.!?]\s+')"),
         "regex_split_start": _split_pieces(
             r"string_split(regexp_replace(text, '(\s+[A-Z])', chr(1) || '\1', 'g'), chr(1))"

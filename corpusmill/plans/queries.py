@@ -102,7 +102,7 @@ def processing_stats(spark, sf_dir):
         for split in ("train", "val")
         for name in ("total_tokens", "num_documents", "min_tokens", "max_tokens")
     ]
-    return row.select("total_documents", "processed_documents", "train_documents", "val_documents", *splits_)
+    return row.select("total_documents", "processed_documents", "train_documents", "val_documents", *splits_, "vocab_size")
 
 
 def token_ids(spark, sf_dir):
@@ -112,6 +112,11 @@ def token_ids(spark, sf_dir):
     )
 
 
+def token_decode(spark, sf_dir):
+    tokenized, tokenizer = corpus.tokenized_corpus(_documents(spark, sf_dir))
+    return tokenized.select("doc_id", tokenizer.decode(F.col("tokens")).alias("text"))
+
+
 def utf8_token_counts(spark, sf_dir):
     tokenizer = tokens.utf8_tokenizer()
     encoded = tokens.tokenize(clean.prepare(_documents(spark, sf_dir)), tokenizer)
@@ -699,7 +704,7 @@ def stream_ingest(spark, sf_dir):
 
 
 _QUERIES = [
-    clean_text, min_length_filter, max_length_truncate, corpus_funnel, train_val_split, word_vocab,
+    clean_text, min_length_filter, max_length_truncate, corpus_funnel, train_val_split, word_vocab, token_decode,
     token_stats, processing_stats, token_ids, utf8_token_counts, pack_blocks, verify_tokens, data_budget,
     training_windows, token_bin_roundtrip, text_splits_roundtrip, stats_json,
     repetition_score, diversity_score, coherence_by_lang, block_losses, benchmark_losses, bigram_perplexity,

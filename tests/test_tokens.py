@@ -49,20 +49,35 @@ def corpus_frame(spark, n=200, seed=1):
 
 def test_vocabulary_and_encoding(spark):
     df, texts = corpus_frame(spark)
-    vocab = tokens.word_vocab(df, max_size=30)
+    vocab = tokens.word_vocab(df, max_size=286)
     counts = Counter(w for t in texts.values() for w in t.split())
     ranked = sorted(counts, key=lambda w: (-counts[w], w))[:29]
     assert [(r.token_id, r.token, r["count"]) for r in vocab.orderBy("token_id").collect()] == [
-        (i + 1, w, counts[w]) for i, w in enumerate(ranked)
+        (i + 257, w, counts[w]) for i, w in enumerate(ranked)
     ]
     tokenizer = tokens.word_tokenizer(vocab)
-    assert tokenizer.vocab_size == 30
-    ids = {w: i + 1 for i, w in enumerate(ranked)}
+    assert tokenizer.vocab_size == 286
+    ids = {w: [i + 257] for i, w in enumerate(ranked)}
     rows = tokens.tokenize(df, tokenizer).select("doc_id", "tokens", "n_tokens", tokenizer.decode(F.col("tokens")).alias("d")).collect()
     for r in rows:
-        assert r.tokens == [ids.get(w, 0) for w in texts[r.doc_id].split()]
+        assert r.tokens == [t for w in texts[r.doc_id].split() for t in ids.get(w, [256, *w.encode()])]
         assert r.n_tokens == len(r.tokens)
-        assert r.d == " ".join(w if w in ids else "<unk>" for w in texts[r.doc_id].split())
+        assert r.d == " ".join(texts[r.doc_id].split())
+
+
+def test_words_outside_the_vocabulary_are_spelled(spark):
+    known = spark.createDataFrame([(257, "ja", 3)], "token_id bigint, token string, count bigint")
+    tokenizer = tokens.word_tokenizer(known)
+    values = ["ja né 日本 ja", None, "", "é", "ja"]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, text string").coalesce(1)
+    rows = tokens.tokenize(df, tokenizer).withColumn("d", tokenizer.decode(F.col("tokens"))).orderBy("id").collect()
+    assert [r.d for r in rows] == values
+    assert rows[0].tokens == [257, 256, *"né".encode(), 256, *"日本".encode(), 257]
+    # From inside one character to inside another.
+    cut = df.filter("id = 0").select(tokenizer.decode(F.slice(tokenizer.encode(F.col("text")), 5, 7)).alias("d"))
+    assert cut.collect()[0].d == " 日"
+    with pytest.raises(ValueError):
+        tokens.word_vocab(df, max_size=257)
 
 
 def test_byte_and_rank_tokenizers(spark):
