@@ -25,7 +25,7 @@ LENGTHS: dict[str, Callable[[str], int]] = {
 _KEEP = {True: "start", False: None, None: None, "start": "start", "end": "end"}
 _CHUNK_TYPE = "array<struct<chunk:string,start_index:int>>"
 # Unicode noncharacters, which text does not normally contain.
-_MARKERS = ["\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3"]
+_FENCE, _FILL = "\ufdd0", "\ufdd1"
 
 
 def check_sizes(size: int, overlap: int) -> None:
@@ -84,11 +84,13 @@ def separated(
 
 
 def _unused_marker(text: Column) -> Column:
-    """A character that does not occur in the text, so that splitting at it is exact."""
-    choice = F.raise_error(F.lit("text holds every marker character")).cast("string")
-    for mark in reversed(_MARKERS):
-        choice = F.when(~F.contains(text, F.lit(mark)), F.lit(mark)).otherwise(choice)
-    return choice
+    """A string that does not occur in the text, so that splitting at it is exact.
+
+    Between two fences stand more fill characters than the text holds anywhere in a row.
+    """
+    runs = F.transform(F.regexp_extract_all(text, F.lit(f"{_FILL}+"), F.lit(0)), F.length)
+    longest = F.when(F.contains(text, F.lit(_FILL)), F.array_max(runs)).otherwise(0)
+    return F.concat(F.lit(_FENCE), F.repeat(F.lit(_FILL), longest + 1), F.lit(_FENCE))
 
 
 def recursive(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import names
+from corpusmill.session import materialize
 
 DEFAULT_MAX_SIZE = 500 * 1024 * 1024
 # States of an upload.
@@ -26,7 +27,8 @@ def build_manifest(
 ) -> DataFrame:
     """Manifest rows for ``(path, length, content)``; rejected files have status failed.
 
-    ``upload_id`` is the upload time and the safe file name.
+    ``upload_id`` is the upload time, the safe file name and a hash of the path, so that
+    files of one name in several folders are told apart.
     """
     name, size = names.base_name(F.col("path")), F.col("length")
     allowed = names.is_allowed(name) if check_extension else F.lit(True)
@@ -49,7 +51,8 @@ def build_manifest(
         "upload_timestamp", F.current_timestamp() if uploaded_at is None else uploaded_at
     )
     upload_id = F.concat(
-        F.date_format("upload_timestamp", "yyyyMMdd_HHmmss"), F.lit("_"), names.upload_name(name)
+        F.date_format("upload_timestamp", "yyyyMMdd_HHmmss"), F.lit("_"), names.upload_name(name),
+        F.lit("_"), F.substring(F.md5(F.col("path").cast("binary")), 1, 12),
     )
     return stamped.select(
         upload_id.alias("upload_id"),
@@ -111,6 +114,12 @@ def apply_outcomes(manifest: DataFrame, outcomes: DataFrame) -> DataFrame:
     )
 
 
+def newest_entries(manifest: DataFrame) -> DataFrame:
+    """One row per path: the entry of its latest upload."""
+    latest = F.max_by(F.struct(*manifest.columns), F.struct("upload_timestamp", "upload_id"))
+    return manifest.groupBy("file_path").agg(latest.alias("_entry")).select("_entry.*")
+
+
 def supported_extensions(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(e, m) for e, m in names.MIME_BY_EXTENSION.items()], "extension string, mime_type string")
 
@@ -123,6 +132,15 @@ def append_manifest(manifest: DataFrame, path: str) -> None:
     manifest.write.mode("append").parquet(path)
 
 
+def delete_stored(spark: SparkSession, path: str, removed: DataFrame) -> None:
+    """Remove the uploads of ``removed(upload_id)`` from the stored manifest.
+
+    What stays is stored in the scratch folder before the manifest is replaced.
+    """
+    left = materialize(delete_uploads(read_manifest(spark, path), removed), "manifest")
+    left.write.mode("overwrite").parquet(path)
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The stored manifest; empty when nothing has been stored yet."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from corpusmill.functions import jsontext as js
 from corpusmill.functions import names
 from corpusmill.functions import text as tx
+from corpusmill.operators.manifest import newest_entries
+from corpusmill.session import materialize
 from corpusmill.sources.archives import expand_archives
 from corpusmill.sources.delimited import csv_entries
 from corpusmill.sources.files import decoded
@@ -32,12 +34,18 @@ def load_entries(
     autodetect: bool = False,
     content_key: str | None = None,
     metadata_keys: list[str] | None = None,
+    encoding: str | None = None,
+    delimiter: str | None = None,
+    metadata_columns: Sequence[str] = (),
+    content_columns: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``entries``, the documents of each classified file, and its ``error``.
 
     Every file is decoded and parsed in the same pass, whatever its loader. ``custom``
     maps MIME types to expressions from text to entries; they replace the built-in ones.
-    A loader of a binary format finds the bytes in the column ``content``.
+    A loader of a binary format finds the bytes in the column ``content``. ``encoding``,
+    ``delimiter`` (of CSV files) and the column choices are those of the path readers; a
+    table that lacks a chosen column has invalid content.
     """
     js.accept_repeated_keys(files.sparkSession)
     custom = custom or {}
@@ -60,11 +68,11 @@ def load_entries(
     if custom:
         chosen = F.when(mime.isin(*custom), F.concat(F.lit("custom "), mime)).otherwise(which)
         files = files.withColumn("loader", chosen)
-    readable = F.when(which.isNotNull(), decoded(F.col("content"), autodetect=autodetect)["text"])
-    delimiter = F.when(which == "tsv", "\t").otherwise(",")
+    readable = F.when(which.isNotNull(), decoded(F.col("content"), encoding, autodetect)["text"])
+    separator = F.when(which == "tsv", "\t").otherwise(delimiter or ",")
     return (
         files.withColumn("text", readable)
-        .withColumn("_tables", csv_entries(F.when(is_table, text), delimiter))
+        .withColumn("_tables", csv_entries(F.when(is_table, text), separator, metadata_columns, content_columns))
         .withColumn("entries", entries)
         .withColumn("error", error)
         .drop("text", "_tables", "content")
@@ -104,12 +112,12 @@ def outcomes_of(loaded: DataFrame) -> DataFrame:
 
 
 def with_provenance(files: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Attach each uploaded file's manifest entry; its documents will carry it.
+    """Attach each uploaded file's latest manifest entry; its documents will carry it.
 
     The join is made before files are unfolded: every key occurs once per side, so an
     upload that holds a large share of all documents does not unbalance it.
     """
-    uploads = manifest.select(
+    uploads = newest_entries(manifest).select(
         F.col("file_path").alias("path"),
         "upload_id", "original_filename", "upload_timestamp",
         F.col("checksum").alias("file_checksum"),
@@ -122,9 +130,12 @@ def process_files(
 ) -> tuple[DataFrame, DataFrame]:
     """Documents and per-file outcomes of scanned files.
 
-    A broken file gives an outcome row with its error and never stops the others.
+    A broken file or archive member gives an outcome row with its error and never stops
+    the others. Files are parsed once: both results read the stored entries.
     """
     if manifest is not None:
         files = with_provenance(files, manifest)
     loaded = load_entries(classify(expand_archives(files, max_depth)), **options)
+    if not files.isStreaming:
+        loaded = materialize(loaded, "loaded")
     return documents_of(loaded), outcomes_of(loaded)

@@ -317,11 +317,11 @@ SELECT metric, round(value, 2) AS value FROM (UNPIVOT summary ON COLUMNS(*) INTO
 SELECT text AS page_content, json_object('doc_id', doc_id::VARCHAR, 'lang', lang, 'source', source,
        'n_chars', n_chars::VARCHAR)::VARCHAR AS metadata FROM documents""",
         "elements_single": f"""
-SELECT 'conv-' || conv_id AS source, 0::BIGINT AS part,
+SELECT 'conv-' || conv_id AS source,
        string_agg(text, {_NL} || {_NL} ORDER BY turn) AS page_content, count(*) AS n_elements
 FROM conversations GROUP BY conv_id""",
         "elements_paged": f"""
-SELECT 'conv-' || conv_id AS source, (turn // 3 + 1)::INTEGER AS page_number, 0::BIGINT AS part,
+SELECT 'conv-' || conv_id AS source, (turn // 3 + 1)::INTEGER AS page_number,
        string_agg(text || {_NL} || {_NL}, '' ORDER BY turn) AS page_content, count(*) AS n_elements,
        arg_max(role, turn) AS last_category, md5(any_value(conv_id) || ':' || max(turn)) AS last_element_id
 FROM conversations GROUP BY conv_id, turn // 3""",
@@ -330,7 +330,7 @@ SELECT 'conv-' || conv_id AS source, turn AS seq, lower({_clean('text')}) AS pag
        json_object('category', role, 'element_id', md5(conv_id || ':' || turn),
                    'page_number', (turn // 3 + 1)::VARCHAR)::VARCHAR AS metadata FROM conversations""",
         "elements_by_source": f"""
-SELECT source, 0::BIGINT AS part, string_agg(text, {_NL} || {_NL} ORDER BY doc_id) AS page_content,
+SELECT source, string_agg(text, {_NL} || {_NL} ORDER BY doc_id) AS page_content,
        count(*) AS n_elements FROM documents GROUP BY source""",
         "document_json": """
 SELECT json_object('lc', 1, 'type', 'constructor', 'id', ['langchain', 'schema', 'document', 'Document'],
@@ -412,7 +412,7 @@ base AS (
         ),
         "literal_split_end": _split_pieces("string_split(replace(text, '. ', '. ' || chr(1)), chr(1))"),
         "file_manifest": """
-SELECT '20231114_221320_page_' || page_id || '.html' AS upload_id, 'page ' || page_id || '.html' AS original_filename,
+SELECT '20231114_221320_page_' || page_id || '.html_' || substr(md5('/web/page ' || page_id || '.html'), 1, 12) AS upload_id, 'page ' || page_id || '.html' AS original_filename,
        '/web/page ' || page_id || '.html' AS file_path, strlen(html) AS file_size,
        CASE WHEN strlen(html) <= 4000 THEN 'text/html' END AS mime_type,
        CASE WHEN strlen(html) <= 4000 THEN sha256(html) END AS checksum,
@@ -420,8 +420,11 @@ SELECT '20231114_221320_page_' || page_id || '.html' AS upload_id, 'page ' || pa
        CASE WHEN strlen(html) > 4000 THEN 'File too large: ' || strlen(html) || ' bytes (max: 4000 bytes)' END AS error_message
 FROM pages""",
         "manifest_roundtrip": """
-SELECT '20231114_221320_page_' || page_id || '.html' AS upload_id, 'completed' AS status,
-       strlen(html) AS file_size, 0::BIGINT AS rows_before FROM pages WHERE strlen(html) <= 4000""",
+SELECT stamp || '_page_' || page_id || '.html_' || substr(md5(folder || 'page ' || page_id || '.html'), 1, 12) AS upload_id,
+       folder || 'page ' || page_id || '.html' AS file_path, 'completed' AS status,
+       strlen(html) AS file_size, 0::BIGINT AS rows_before
+FROM pages, (VALUES ('/web/', '20231114_221500'), ('/copy/', '20231114_221320')) f(folder, stamp)
+WHERE strlen(html) <= 4000""",
         "mime_detect": f"WITH {_SUFFIXES}, {_ROUTED} SELECT doc_id, mime_type, loader FROM routed",
         # Documents hold prose, so the ones named .json are broken and the ones named
         # .jsonl hold no valid line; a table is empty if nothing follows its first line.
@@ -449,14 +452,18 @@ FROM pages""",
 WITH {_BATCHES} SELECT '/in/' || name AS upload_path,
        '/in/' || name || CASE WHEN kind = 'tar' THEN '!/inner.zip' ELSE '' END AS source_archive,
        'docs/' || doc_id || '.txt' AS relative_path, sha256(text) AS checksum, NULL::VARCHAR AS error FROM batches""",
+        "damaged_archives": f"""
+WITH {_BATCHES} SELECT '/in/batch' || bucket || '.zip' AS upload_path, 'docs/' || doc_id || '.txt' AS relative_path,
+       CASE WHEN doc_id <> min(doc_id) OVER (PARTITION BY bucket) THEN sha256(text) END AS checksum,
+       doc_id = min(doc_id) OVER (PARTITION BY bucket) AS failed FROM batches""",
         "list_archive": f"""
 WITH {_BATCHES}
-SELECT '/in/' || name AS path, 'docs/' || doc_id || '.txt' AS member FROM batches WHERE kind <> 'tar'
+SELECT '/in/' || name AS path, 'docs/' || doc_id || '.txt' AS member, NULL::VARCHAR AS error FROM batches WHERE kind <> 'tar'
 UNION ALL
 SELECT DISTINCT '/in/' || name, unnest(CASE WHEN kind = 'tar' THEN ['inner.zip']
-       ELSE ['__MACOSX/x.txt', '../evil.txt', 'docs/._y.txt'] END) FROM batches""",
+       ELSE ['__MACOSX/x.txt', '../evil.txt', 'docs/._y.txt'] END), NULL FROM batches""",
         "process_files": f"""
-WITH {_BATCHES} SELECT '20231114_221320_' || name AS upload_id, name AS original_filename,
+WITH {_BATCHES} SELECT '20231114_221320_' || name || '_' || substr(md5('/in/' || name), 1, 12) AS upload_id, name AS original_filename,
        'docs/' || doc_id || '.txt' AS relative_path, 'text/plain' AS detected_mime_type,
        sha256(text) AS content_hash FROM batches""",
         "manifest_status": f"""

@@ -564,12 +564,22 @@ def file_manifest(spark, sf_dir):
 
 
 def manifest_roundtrip(spark, sf_dir):
-    path = scratch_path(spark, "manifest")
+    """Pages uploaded to two folders under the same names, those of one folder twice.
+
+    Failed uploads are deleted from the stored manifest; the newest entry of each path is left.
+    """
+    path, pages = scratch_path(spark, "manifest"), _page_files(spark, sf_dir)
     known = manifest.read_manifest(spark, path).count()
-    manifest.append_manifest(_page_manifest(spark, sf_dir), path)
+    copies = pages.withColumn("path", F.replace("path", F.lit("/web/"), F.lit("/copy/")))
+    for uploads, second in ((pages.unionByName(copies), 1_700_000_000), (pages, 1_700_000_100)):
+        when = F.timestamp_seconds(F.lit(second))
+        manifest.append_manifest(manifest.build_manifest(uploads, max_size=4000, uploaded_at=when), path)
     stored = manifest.read_manifest(spark, path)
-    kept = manifest.delete_uploads(stored, stored.filter("status = 'failed'"))
-    return kept.select("upload_id", "status", "file_size", F.lit(known).cast("bigint").alias("rows_before"))
+    manifest.delete_stored(spark, path, stored.filter("status = 'failed'"))
+    kept = manifest.newest_entries(manifest.read_manifest(spark, path))
+    return kept.select(
+        "upload_id", "file_path", "status", "file_size", F.lit(known).cast("bigint").alias("rows_before")
+    )
 
 
 def _named_files(spark, sf_dir):
@@ -649,6 +659,27 @@ def expand_archives(spark, sf_dir):
     )
 
 
+def _pack_damaged(group: pd.DataFrame) -> pd.DataFrame:
+    """A zip of a bounded group; what its first member was packed to is overwritten."""
+    members = sorted(zip(group["doc_id"], group["text"]))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as box:
+        for ident, text in members:
+            box.writestr(f"docs/{ident}.txt", text)
+    content = bytearray(out.getvalue())
+    start = 30 + len(f"docs/{members[0][0]}.txt")
+    content[start : start + 4] = b"\xff" * 4
+    return pd.DataFrame({"path": [f"/in/batch{int(group['bucket'].iloc[0])}.zip"], "content": [bytes(content)]})
+
+
+def damaged_archives(spark, sf_dir):
+    docs = _documents(spark, sf_dir).select(F.floor(F.col("doc_id") / 50).alias("bucket"), "doc_id", "text")
+    packed = materialize(docs.groupBy("bucket").applyInPandas(_pack_damaged, _ARCHIVE_FIELDS), "archives")
+    return archives.expand_archives(packed).select(
+        "upload_path", "relative_path", F.sha2("content", 256).alias("checksum"), F.col("error").isNotNull().alias("failed")
+    )
+
+
 def list_archive(spark, sf_dir):
     return archives.list_archive(_archives(spark, sf_dir))
 
@@ -659,11 +690,14 @@ def _upload_files(spark, sf_dir):
 
 
 def process_files(spark, sf_dir):
+    """Archives uploaded twice; their documents come once, with the later upload."""
     uploads = _archives(spark, sf_dir)
-    known = manifest.build_manifest(
-        uploads.withColumn("length", F.length("content").cast("bigint")),
-        uploaded_at=F.timestamp_seconds(F.lit(1_700_000_000)),
-    )
+    sized = uploads.withColumn("length", F.length("content").cast("bigint"))
+    entries = [
+        manifest.build_manifest(sized, uploaded_at=F.timestamp_seconds(F.lit(second)))
+        for second in (1_699_999_000, 1_700_000_000)
+    ]
+    known = entries[0].unionByName(entries[1])
     loaded, _ = ingest.process_files(uploads, known)
     return loaded.select(
         "upload_id", "original_filename", "relative_path", "detected_mime_type",
@@ -715,7 +749,7 @@ _QUERIES = [
     token_window_chunks, token_id_windows, regex_split_drop, regex_split_start, literal_split_end,
     recursive_chunks, recursive_chunks_by_words, language_chunks,
     file_manifest, manifest_roundtrip, mime_detect, archive_types, safe_filenames,
-    expand_archives, list_archive, process_files, file_outcomes, mixed_documents, manifest_status,
+    expand_archives, damaged_archives, list_archive, process_files, file_outcomes, mixed_documents, manifest_status,
     stream_ingest,
 ]
 

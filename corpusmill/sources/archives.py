@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import bz2
 import gzip
 import io
+import lzma
 import posixpath
 import tarfile
 import zipfile
+import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -17,7 +20,16 @@ from pyspark.sql import types as T
 from corpusmill.functions import names
 
 SUPPORTED = ("zip", "gz", "tar", "tar.gz", "tar.bz2")
-_READ_ERRORS = (OSError, EOFError, zipfile.BadZipFile, tarfile.TarError, RuntimeError, ValueError)
+_READ_ERRORS = (
+    OSError, EOFError, zipfile.BadZipFile, tarfile.TarError, zlib.error, lzma.LZMAError,
+    RuntimeError, NotImplementedError, ValueError, MemoryError,
+)
+# A member that unpacks to more than this is an error row, read no further.
+MAX_MEMBER_BYTES = 1 << 30
+_PACKED = {
+    b"\x1f\x8b": lambda raw: gzip.GzipFile(fileobj=io.BytesIO(raw)),
+    b"BZh": lambda raw: bz2.BZ2File(io.BytesIO(raw)),
+}
 _MEMBER_FIELDS = T.StructType(
     [
         T.StructField("archive", T.StringType()),
@@ -31,21 +43,47 @@ _MEMBER_FIELDS = T.StructType(
 _MEMBER_TYPES = [pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.binary(), pa.string()]
 
 
-def _members(path: str, kind: str, raw: bytes, contents: bool) -> Iterator[tuple[str, bool, bytes | None]]:
-    """``(member, is_file, bytes)`` one at a time, so one member is in memory at once."""
+def _bounded(source, most: int) -> bytes:
+    """All that a decompressing reader gives, unless it is more than ``most`` bytes."""
+    data = source.read(most + 1)
+    if len(data) > most:
+        raise ValueError(f"unpacks to more than {most} bytes")
+    return data
+
+
+def _members(path: str, kind: str, raw: bytes, contents: bool, most: int) -> Iterator[tuple]:
+    """``(member, is_file, bytes, error)`` one at a time, so one member is in memory at once.
+
+    A member that cannot be read has an error and does not end the archive. What follows
+    a place where a tar file itself is broken cannot be found; that raises.
+    """
+
+    def attempt(member: str, is_file: bool, read) -> tuple:
+        if not (contents and is_file):
+            return member, is_file, None, None
+        try:
+            return member, is_file, read(), None
+        except _READ_ERRORS as problem:
+            return member, is_file, None, f"{type(problem).__name__}: {problem}"
+
     if kind == "zip":
         with zipfile.ZipFile(io.BytesIO(raw)) as box:
             for info in box.infolist():
-                is_file = not info.is_dir()
-                yield info.filename, is_file, box.read(info) if contents and is_file else None
+
+                def unzip(info=info):
+                    with box.open(info) as source:
+                        return _bounded(source, most)
+
+                yield attempt(info.filename, not info.is_dir(), unzip)
     elif kind == "gz":
-        name = posixpath.basename(path)
-        yield posixpath.splitext(name)[0], True, gzip.decompress(raw) if contents else None
+        name = posixpath.splitext(posixpath.basename(path))[0]
+        yield attempt(name, True, lambda: _bounded(gzip.GzipFile(fileobj=io.BytesIO(raw)), most))
     else:
-        with tarfile.open(fileobj=io.BytesIO(raw), mode="r:*") as box:
+        # By what the bytes are, whatever the name says; both check what they unpack.
+        opened = next((f for magic, f in _PACKED.items() if raw.startswith(magic)), io.BytesIO)
+        with tarfile.open(fileobj=opened(raw), mode="r|") as box:
             for info in box:
-                data = box.extractfile(info).read() if contents and info.isfile() else None
-                yield info.name, info.isfile(), data
+                yield attempt(info.name, info.isfile(), lambda: _bounded(box.extractfile(info), most))  # noqa: B023
 
 
 def archive_kind(path: str) -> str | None:
@@ -54,7 +92,7 @@ def archive_kind(path: str) -> str | None:
     return next((k for k, ends in names.ARCHIVE_ENDINGS.items() if suffixes.endswith(ends)), None)
 
 
-def _walk(path: str, raw: bytes, depth: int, contents: bool) -> Iterator[tuple]:
+def _walk(path: str, raw: bytes, depth: int, contents: bool, most: int) -> Iterator[tuple]:
     """``(archive, member, is_file, content, error)`` of an archive and those inside it.
 
     ``depth`` counts the levels that may still be opened.
@@ -67,11 +105,11 @@ def _walk(path: str, raw: bytes, depth: int, contents: bool) -> Iterator[tuple]:
         yield path, None, False, None, "nested too deep"
         return
     try:
-        for member, is_file, data in _members(path, kind, raw, contents):
-            if contents and is_file and _wanted(member) and archive_kind(member):
-                yield from _walk(f"{path}!/{member}", data, depth - 1, contents)
+        for member, is_file, data, error in _members(path, kind, raw, contents, most):
+            if data is not None and _wanted(member) and archive_kind(member):
+                yield from _walk(f"{path}!/{member}", data, depth - 1, contents, most)
             else:
-                yield path, member, is_file, data, None
+                yield path, member, is_file, data, error
     except _READ_ERRORS as problem:
         yield path, None, False, None, f"{type(problem).__name__}: {problem}"
 
@@ -98,8 +136,11 @@ def _grouped(found: Iterable[tuple], rows: int = 1000, size: int = 8 << 20) -> I
         yield group
 
 
-def open_archives(archives: DataFrame, max_depth: int = 3, contents: bool = True) -> DataFrame:
-    """One row per member of the archives in ``(path, content, upload)``, or an error row.
+def open_archives(
+    archives: DataFrame, max_depth: int = 3, contents: bool = True, max_member: int = MAX_MEMBER_BYTES
+) -> DataFrame:
+    """One row per member of the archives in ``(path, content, upload)``; a member or an
+    archive that cannot be read gives a row with its error.
 
     ``upload`` is passed on to every member. Nested archives are opened in the same
     pass. An archive is read by one task; its members leave the task in small batches.
@@ -109,7 +150,7 @@ def open_archives(archives: DataFrame, max_depth: int = 3, contents: bool = True
         for batch in batches:
             paths, blobs, uploads = (batch.column(c) for c in ("path", "content", "upload"))
             for i, path in enumerate(paths.to_pylist()):
-                for rows in _grouped(_walk(path, blobs[i].as_py(), max_depth, contents)):
+                for rows in _grouped(_walk(path, blobs[i].as_py(), max_depth, contents, max_member)):
                     columns = [pa.array(values, t) for values, t in zip(zip(*rows), _MEMBER_TYPES)]
                     repeated = uploads.take(pa.array([i] * len(rows)))
                     yield pa.RecordBatch.from_arrays(
@@ -121,13 +162,18 @@ def open_archives(archives: DataFrame, max_depth: int = 3, contents: bool = True
 
 
 def list_archive(files: DataFrame) -> DataFrame:
-    """``(path, member)`` of every archive, without unpacking member contents."""
+    """``(path, member, error)`` of every archive, without unpacking member contents.
+
+    An archive that cannot be read has a row with its error.
+    """
     archives = files.filter(names.is_archive(F.col("path"))).withColumn("upload", F.struct("path"))
-    listed = open_archives(archives, contents=False).filter("error is null")
+    listed = open_archives(archives, contents=False)
     member = F.when(
         names.archive_type(F.col("archive")) == "gz", F.regexp_replace("archive", r"\.[^.]*\z", "")
     ).otherwise(F.col("member"))
-    return listed.select(F.col("archive").alias("path"), member.alias("member"))
+    return listed.select(
+        F.col("archive").alias("path"), F.when(F.col("member").isNotNull(), member).alias("member"), "error"
+    )
 
 
 def expand_archives(files: DataFrame, max_depth: int = 3) -> DataFrame:
@@ -136,7 +182,7 @@ def expand_archives(files: DataFrame, max_depth: int = 3) -> DataFrame:
     Adds ``upload_path`` (the scanned file), ``source_archive``, ``relative_path`` and
     ``error``; further columns of ``files`` ride along. Directories, unsafe paths and
     macOS metadata are left out. An archive that cannot be read, or lies deeper than
-    ``max_depth`` levels, gives an error row.
+    ``max_depth`` levels, and every member that cannot be read give an error row.
     """
     others = [c for c in files.columns if c not in ("path", "content", "length", "modificationTime")]
     upload = F.struct(F.col("path").alias("upload_path"), *others)
@@ -148,7 +194,7 @@ def expand_archives(files: DataFrame, max_depth: int = 3) -> DataFrame:
         nothing.alias("error"),
     )
     members = open_archives(uploads.filter(packed), max_depth)
-    unpacked = members.filter("error is not null or (is_file and wanted)").select(
+    unpacked = members.filter("member is null or (is_file and wanted)").select(
         F.when(F.col("member").isNull(), F.col("archive"))
         .otherwise(F.concat_ws("!/", "archive", "member"))
         .alias("path"),

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from corpusmill.functions import text as tx
 from corpusmill.functions.jsontext import ARROW_ENTRIES, ENTRY_TYPE
-from corpusmill.sources.files import number_rows, with_scan_position
+from corpusmill.sources.files import checked_utf8, number_rows, with_scan_position
 
 _RAW = "_raw_record"
 
@@ -35,30 +35,44 @@ def csv_documents(
     fieldnames: Sequence[str] | None = None,
     multi_line: bool = True,
     encoding: str = "UTF-8",
+    autodetect: bool = False,
 ) -> DataFrame:
     """``(source, row, page_content, metadata)``, one row per record.
 
-    All files share one header, or ``fieldnames`` if they have none. Set
+    All files share one header, or ``fieldnames`` if they have none; a file with another
+    header is an error (unless the header repeats a name, which cannot be compared). Set
     ``multi_line=False`` when no quoted value holds a newline: large files are then
     read in parallel blocks.
+
+    Files are UTF-8 unless ``encoding`` says otherwise; a value that is not UTF-8 is an
+    error, or is taken as ISO-8859-1 with ``autodetect``.
     """
+    by_bytes = encoding.upper() in ("UTF-8", "UTF8")
     options = {
         "sep": delimiter, "quote": quotechar, "escape": quotechar, "multiLine": multi_line,
-        "encoding": encoding, "header": fieldnames is None, "mode": "PERMISSIVE",
+        # ISO-8859-1 hands on every byte, so that UTF-8 can be checked afterwards.
+        "encoding": "ISO-8859-1" if by_bytes else encoding, "header": fieldnames is None, "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": _RAW, "recursiveFileLookup": True,
     }
-    names = list(fieldnames) if fieldnames else _header(spark, paths, options)
+    raw_names = list(fieldnames) if fieldnames else _header(spark, paths, options)
+    names = raw_names
+    if by_bytes and not fieldnames:
+        names = [_decoded_name(n, autodetect) for n in raw_names]
     for wanted in [*([source_column] if source_column else []), *metadata_columns]:
         if wanted not in names:
             raise ValueError(f"column {wanted!r} not found in {names}")
-    # Columns get positional names, since a header may repeat or use odd characters.
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-    records = number_rows(
-        with_scan_position(
-            spark.read.schema(schema.add(_RAW, T.StringType())).options(**options).csv(paths)
-        ),
-        "row",
-    )
+    # Under their own names the columns are compared with the header of every file.
+    # Positions stand in for names that are missing or repeat.
+    folded = [n.lower() for n in raw_names]
+    comparable = not fieldnames and len({*folded, _RAW}) == len(names) + 1 and all(n.strip() for n in raw_names)
+    given_names = raw_names if comparable else [f"c{i}" for i in range(len(names))]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in given_names]).add(_RAW, T.StringType())
+    read = spark.read.schema(schema).options(**options, enforceSchema=not comparable).csv(paths)
+    read = with_scan_position(read).toDF(*[f"c{i}" for i in range(len(names))], _RAW, "file_path", "_block", "_position")
+    if by_bytes:
+        text = lambda c: _checked(F.col(c), F.col("file_path"), autodetect)
+        read = read.withColumns({c: text(c) for c in [*read.columns[: len(names)], _RAW]})
+    records = number_rows(read, "row")
 
     # The raw record is present exactly when the number of values is not the number
     # of names; everywhere else a null is an empty value.
@@ -87,6 +101,21 @@ def tsv_documents(spark: SparkSession, paths, **options) -> DataFrame:
     return csv_documents(spark, paths, delimiter="\t", **options)
 
 
+def _checked(value: Column, where: Column, autodetect: bool) -> Column:
+    """The text whose UTF-8 bytes were read as ISO-8859-1 characters."""
+    bytes_ = F.encode(value, "ISO-8859-1").cast("string")
+    return F.when(value.rlike("[^\\x00-\\x7F]"), checked_utf8(bytes_, where, autodetect)).otherwise(value)
+
+
+def _decoded_name(name: str, autodetect: bool) -> str:
+    try:
+        return name.encode("iso-8859-1").decode("utf-8")
+    except UnicodeDecodeError:
+        if autodetect:
+            return name
+        raise ValueError(f"cannot decode the header name {name!r}") from None
+
+
 def _header(spark: SparkSession, paths, options: dict) -> list[str]:
     """Names in the first record, as written in the file."""
     first = spark.read.options(**{**options, "header": False}).csv(paths).limit(1).drop(_RAW)
@@ -112,40 +141,50 @@ def _fields(record: Column, delimiter: str, quote: str) -> Column:
     return F.transform(found, unquote)
 
 
-def csv_entries(text: Column, delimiter: Column) -> Column:
+def csv_entries(
+    text: Column, delimiter: Column, metadata_columns: Sequence[str] = (), content_columns: Sequence[str] = ()
+) -> Column:
     """Records of a CSV text held in a column, where every row may have its own header.
 
     Used for archive members and mixed file sets, which Spark's CSV reader cannot
-    open; ``delimiter`` is a column as well.
+    open; ``delimiter`` is a column as well. Null if a chosen column is missing.
     """
-    return _parse_csv(text, delimiter)
-
+    return _csv_parser(tuple(metadata_columns), tuple(content_columns))(text, delimiter)
 
-@F.arrow_udf(ENTRY_TYPE)
-def _parse_csv(texts: pa.Array, delimiters: pa.Array) -> pa.Array:
-    csv.field_size_limit(2**31 - 1)
 
+def _csv_parser(metadata_columns: tuple[str, ...], content_columns: tuple[str, ...]):
     def shown(value):
         if isinstance(value, list):
             return ",".join(v.strip() for v in value)
         return "None" if value is None else value.strip()
 
+    def wanted(name):
+        return name in content_columns if content_columns else name not in metadata_columns
+
     def documents(text, delimiter):
         if text is None:
             return None
         records = csv.DictReader(io.StringIO(text, newline=""), delimiter=delimiter)
+        if {*metadata_columns, *content_columns} - {*(records.fieldnames or ())}:
+            return None
         return [
             {
                 "seq_num": i,
                 "content": "\n".join(
                     f"{name.strip() if name is not None else name}: {shown(v)}"
                     for name, v in record.items()
+                    if wanted(name)
                 ),
                 "is_json": False,
-                "metadata": [("row", str(i))],
+                "metadata": [("row", str(i)), *((name, record[name]) for name in metadata_columns)],
             }
             for i, record in enumerate(records)
         ]
 
-    rows = [documents(t, d) for t, d in zip(texts.to_pylist(), delimiters.to_pylist())]
-    return pa.array(rows, ARROW_ENTRIES)
+    @F.arrow_udf(ENTRY_TYPE)
+    def parse(texts: pa.Array, delimiters: pa.Array) -> pa.Array:
+        csv.field_size_limit(2**31 - 1)
+        rows = [documents(t, d) for t, d in zip(texts.to_pylist(), delimiters.to_pylist())]
+        return pa.array(rows, ARROW_ENTRIES)
+
+    return parse

@@ -8,10 +8,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusmill.session import scan_bytes
+from corpusmill.session import materialize
 
-# About 40 MB of block summaries.
-_BROADCAST_BLOCKS = 200_000
+# Four numbers each, so about 100 MB; a block has tens of megabytes of text.
+_BROADCAST_BLOCKS = 2_000_000
 _BOMS = [
     (codecs.BOM_UTF32_LE, "utf-32"),
     (codecs.BOM_UTF32_BE, "utf-32"),
@@ -105,26 +105,30 @@ def number_rows(positioned: DataFrame, name: str) -> DataFrame:
     """0-based row number inside each file, in file order.
 
     A file block is read by one task from start to end, so its rows hold consecutive
-    positions. Adding the row counts of the file's earlier blocks gives the number.
-    The summary has one row per block and is broadcast when it is known to be small;
-    then the rows themselves are never shuffled.
+    positions. Adding the row counts of the file's earlier blocks gives the number. The
+    summary is stored, four numbers per block; it is counted, and broadcast up to
+    two million blocks (some 100 TB of text), so the rows themselves stay where they are.
     """
-    blocks = positioned.groupBy("file_path", "_block").agg(
-        F.min("_position").alias("_first"), F.count("*").alias("_rows")
-    )
-    before = Window.partitionBy("file_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    keyed = positioned.withColumn("_file", F.xxhash64("file_path"))
+    blocks = keyed.groupBy("_file", "_block").agg(F.min("_position").alias("_first"), F.count("*").alias("_rows"))
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
-    if _most_blocks(positioned) <= _BROADCAST_BLOCKS:
+    starts = materialize(starts, "blocks")
+    if starts.count() <= _BROADCAST_BLOCKS:
         starts = F.broadcast(starts)
     return (
-        positioned.join(starts, ["file_path", "_block"])
+        keyed.join(starts, ["_file", "_block"])
         .withColumn(name, F.col("_before") + F.col("_position") - F.col("_first"))
-        .drop("_block", "_position", "_first", "_before")
+        .drop("_file", "_block", "_position", "_first", "_before")
     )
 
 
-def _most_blocks(df: DataFrame) -> float:
-    """Upper bound of the number of file blocks a scan reads."""
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    smallest_block = max(1, min(conf.filesOpenCostInBytes(), conf.filesMaxPartitionBytes()))
-    return len(df.inputFiles()) + scan_bytes(df) / smallest_block
+def checked_utf8(value: Column, where: Column, autodetect: bool = False) -> Column:
+    """Text that a reader passed on byte by byte; fails on what is not UTF-8.
+
+    With ``autodetect`` such text is taken as ISO-8859-1 instead.
+    """
+    if autodetect:
+        return F.when(F.is_valid_utf8(value), value).otherwise(F.decode(value.cast("binary"), "ISO-8859-1"))
+    problem = F.raise_error(F.concat(F.lit("cannot decode "), where)).cast("string")
+    return F.when(value.isNull() | F.is_valid_utf8(value), value).otherwise(problem)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import jsontext as js
 from corpusmill.functions import text as tx
 from corpusmill.functions.binding import computed_once
-from corpusmill.sources.files import decoded, number_rows, scan_files, with_scan_position
+from corpusmill.sources.files import checked_utf8, decoded, number_rows, scan_files, with_scan_position
 
 
 def _content(entry: str) -> Column:
@@ -42,25 +42,33 @@ def read_json_documents(spark: SparkSession, paths, **options) -> DataFrame:
 
 
 def jsonl_documents(
-    spark: SparkSession, paths, content_key: str | None = None, metadata_keys: list[str] | None = None
+    spark: SparkSession,
+    paths,
+    content_key: str | None = None,
+    metadata_keys: list[str] | None = None,
+    autodetect: bool = False,
 ) -> DataFrame:
-    """JSON Lines files of any size, read in parallel blocks; bad lines are skipped."""
-    lines = _parsed_lines(spark, paths).filter("value is not null")
+    """JSON Lines files of any size, read in parallel blocks; bad lines are skipped.
+
+    Fails on a line that is not UTF-8, or takes it as ISO-8859-1 with ``autodetect``.
+    """
+    lines = _parsed_lines(spark, paths, autodetect).filter("value is not null")
     entry = js.line_document(F.col("line"), F.col("value"), F.col("line_number"), content_key, metadata_keys)
     return _rows(lines.select(F.col("file_path").alias("path"), entry.alias("e")))
 
 
-def jsonl_rejects(spark: SparkSession, paths) -> DataFrame:
+def jsonl_rejects(spark: SparkSession, paths, autodetect: bool = False) -> DataFrame:
     """``(source, line_number, line)`` of the lines that hold no JSON value."""
-    lines = _parsed_lines(spark, paths).filter("value is null")
+    lines = _parsed_lines(spark, paths, autodetect).filter("value is null")
     return lines.select(F.col("file_path").alias("source"), "line_number", "line")
 
 
-def _parsed_lines(spark: SparkSession, paths) -> DataFrame:
+def _parsed_lines(spark: SparkSession, paths, autodetect: bool) -> DataFrame:
     """Lines that are not blank, with their number and their value as a variant."""
     js.accept_repeated_keys(spark)
     lines = number_rows(with_scan_position(spark.read.text(paths)), "line_number")
-    lines = lines.select("file_path", "line_number", tx.strip(F.col("value")).alias("line"))
+    text = checked_utf8(F.col("value"), F.col("file_path"), autodetect)
+    lines = lines.select("file_path", "line_number", tx.strip(text).alias("line"))
     return computed_once(lines.filter("line <> ''"), "value", js.one_value(F.col("line")))
 
 

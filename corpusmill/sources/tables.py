@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.binding import whole_part
@@ -31,7 +31,6 @@ def element_documents(
     mode: str = "single",
     post_processors: Sequence[Callable[[Column], Column]] = (),
     run: int = 4096,
-    max_chars: int = 256 * 1024 * 1024,
 ) -> DataFrame:
     """Documents from ``elements(source, seq, page_number, category, element_id, text)``.
 
@@ -39,10 +38,9 @@ def element_documents(
     followed by a blank line; ``single`` joins a whole source with blank lines.
 
     ``seq`` numbers the elements of a source. Elements are joined in runs of ``run``
-    numbers and the runs then in order, so a source or page may hold any share of
-    the table without one task collecting it. A document beyond ``max_chars`` (a row
-    cannot grow without end) continues in further rows, counted by ``part``; the
-    parts put together are the whole document.
+    numbers and the runs then in order, so the elements of a source or page are joined by many
+    tasks and only whole runs meet in the last one. A document is one row: Spark fails on
+    one beyond its limit of 2 GB for a value.
     """
     if mode not in _MODES:
         raise ValueError(f"mode must be one of {_MODES}, got {mode!r}")
@@ -69,41 +67,22 @@ def element_documents(
         elements = elements.withColumn("page_number", F.coalesce("page_number", F.lit(1)))
         keys.append("page_number")
     numbered = elements.withColumn("run", whole_part(F.col("seq"), run))
-    parts = _parts(numbered, keys, max_chars)
     joined_runs = numbered.groupBy(*keys, "run").agg(
         _joined("seq").alias("text"),
         F.count("*").alias("n_elements"),
         *[F.max(F.when(F.col(c).isNotNull(), F.struct("seq", c))).alias(c) for c in ("category", "element_id")],
     )
-    documents = (
-        joined_runs.join(parts, [*keys, "run"])
-        .groupBy(*keys, "part")
-        .agg(
-            _joined("run").alias("page_content"),
-            F.sum("n_elements").alias("n_elements"),
-            F.max("category")["category"].alias("last_category"),
-            F.max("element_id")["element_id"].alias("last_element_id"),
-            F.max("last_part").alias("last_part"),
-        )
+    documents = joined_runs.groupBy(*keys).agg(
+        _joined("run").alias("page_content"),
+        F.sum("n_elements").alias("n_elements"),
+        F.max("category")["category"].alias("last_category"),
+        F.max("element_id")["element_id"].alias("last_element_id"),
     )
-    # A page ends with a blank line; between two parts of a source stands one as well.
-    blank_follows = F.lit(True) if mode == "paged" else F.col("part") < F.col("last_part")
-    content = F.concat("page_content", F.when(blank_follows, "\n\n").otherwise(""))
-    documents = documents.withColumn("page_content", content).drop("last_part")
-    return documents if mode == "paged" else documents.drop("last_category", "last_element_id")
+    if mode == "paged":  # a page ends with a blank line
+        return documents.withColumn("page_content", F.concat("page_content", F.lit("\n\n")))
+    return documents.drop("last_category", "last_element_id")
 
 
 def _joined(order: str) -> Column:
     pieces = F.array_sort(F.collect_list(F.struct(order, "text")))
     return F.array_join(F.transform(pieces, lambda p: p["text"]), "\n\n")
-
-
-def _parts(numbered: DataFrame, keys: list[str], max_chars: int) -> DataFrame:
-    """Which part of its document each run belongs to; works on text lengths only."""
-    lengths = numbered.groupBy(*keys, "run").agg(F.sum(F.length("text") + 2).alias("chars"))
-    earlier = Window.partitionBy(*keys).orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    placed = lengths.withColumn(
-        "part", whole_part(F.coalesce(F.sum("chars").over(earlier), F.lit(0)), max_chars)
-    )
-    last = F.max("part").over(Window.partitionBy(*keys))
-    return placed.withColumn("last_part", last).drop("chars")

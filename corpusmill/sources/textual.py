@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
-from corpusmill.sources.files import decoded, scan_files
+from corpusmill.sources.files import checked_utf8, decoded, scan_files
 
 
 def text_entries(text: Column) -> Column:
@@ -40,8 +40,11 @@ def read_text_documents(spark: SparkSession, paths, **options) -> DataFrame:
     return text_documents(scan_files(spark, paths), **options)
 
 
-def read_gzip_text(spark: SparkSession, paths) -> DataFrame:
-    """Compressed text files, one document per file; the codec follows from the name."""
-    return spark.read.text(paths, wholetext=True).select(
-        F.col("_metadata.file_path").alias("source"), tx.unix_newlines(F.col("value")).alias("page_content")
-    )
+def read_gzip_text(spark: SparkSession, paths, autodetect: bool = False) -> DataFrame:
+    """Compressed text files, one document per file; the codec follows from the name.
+
+    Fails on text that is not UTF-8, or takes it as ISO-8859-1 with ``autodetect``.
+    """
+    read = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("source"), "value")
+    text = checked_utf8(F.col("value"), F.col("source"), autodetect)
+    return read.select("source", tx.unix_newlines(text).alias("page_content"))

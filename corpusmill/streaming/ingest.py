@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.operators.manifest import DEFAULT_MAX_SIZE
 from corpusmill.plans.ingest import process_files
 
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -34,14 +35,40 @@ def stream_documents(
 
 
 def ingest_available(
-    spark: SparkSession, folder: str, target: str, checkpoint: str, max_depth: int = 3, **options
+    spark: SparkSession,
+    folder: str,
+    target: str,
+    checkpoint: str,
+    max_depth: int = 3,
+    max_size: int = DEFAULT_MAX_SIZE,
+    outcomes: str | None = None,
+    **options,
 ) -> None:
-    """Append the documents of all files not seen before to a Parquet table."""
-    documents = stream_documents(incoming_files(spark, folder), max_depth=max_depth, **options)
+    """Store the documents of all files not seen before below ``target``.
+
+    A row per file goes to ``outcomes`` if given, files larger than ``max_size`` included;
+    their content is never read. Each batch has a folder of its own, which a repeated batch
+    replaces, so that nothing is stored twice.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        small = batch.filter(F.col("length") <= max_size)
+        found, states = process_files(small, max_depth=max_depth, **options)
+        found.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        if outcomes is not None:
+            nothing = F.lit(None).cast("string")
+            refused = batch.filter(F.col("length") > max_size).select(
+                F.col("path").alias("file_path"), "path", nothing.alias("loader"),
+                F.lit(0).cast("bigint").alias("n_documents"), F.lit("failed").alias("status"),
+                F.concat(F.lit("File too large: "), "length", F.lit(f" bytes (max: {max_size} bytes)")).alias("error"),
+            )
+            states.unionByName(refused).write.mode("overwrite").parquet(f"{outcomes}/batch={number}")
+
     query = (
-        documents.writeStream.format("parquet")
+        incoming_files(spark, folder)
+        .writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(target)
+        .start()
     )
     query.awaitTermination()

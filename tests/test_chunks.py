@@ -149,8 +149,10 @@ def test_regex_split_agrees_with_the_row_helper(spark):
 
 
 def test_regex_split_survives_marker_characters(spark):
-    df = spark.createDataFrame([("a\ufdd0b c",)], "text string")
-    assert df.select(chunks.separated(" ")(F.col("text"))).collect()[0][0] == ["a\ufdd0b", "c"]
+    marks = "\ufdd0\ufdd1\ufdd1\ufdd0\ufdd1\ufdd0\ufdd2\ufdd3"
+    df = spark.createDataFrame([("a\ufdd0b c",), (f"{marks} {marks}\ufdd1 \ufdd1{marks}",)], "text string")
+    got = [r[0] for r in df.select(chunks.separated(" ")(F.col("text"))).collect()]
+    assert got == [["a\ufdd0b", "c"], [marks, f"{marks}\ufdd1", f"\ufdd1{marks}"]]
 
 
 @pytest.mark.parametrize("n", [0, 1, 4, 5, 6, 9, 10, 23])

@@ -2,6 +2,7 @@ import csv
 import io
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from corpusmill.sources import delimited
@@ -76,6 +77,28 @@ def test_tsv_and_latin1(spark, tmp_path):
     assert contents(delimited.tsv_documents(spark, path, encoding="ISO-8859-1")) == ["id: 1\nname: café, crème"]
 
 
+def test_files_of_another_header_are_refused(spark, tmp_path):
+    write(tmp_path, "a.csv", "id,name\n1,ann\n")
+    write(tmp_path, "b.csv", "name,id\nbob,2\n")
+    for multi_line in (True, False):
+        with pytest.raises(Exception, match="CSV header does not conform"):
+            delimited.csv_documents(spark, str(tmp_path), multi_line=multi_line).collect()
+
+
+def test_undecodable_values_raise_or_fall_back(spark, tmp_path):
+    write(tmp_path, "latin.csv", "idé,name\n1,café\n2,x\n", "iso-8859-1")
+    with pytest.raises(ValueError, match="cannot decode"):
+        delimited.csv_documents(spark, str(tmp_path / "latin.csv"))
+    write(tmp_path, "value.csv", "id,name\n1,café\n2,x\n", "iso-8859-1")
+    with pytest.raises(PySparkException, match="cannot decode"):
+        delimited.csv_documents(spark, str(tmp_path / "value.csv")).collect()
+    assert contents(delimited.csv_documents(spark, str(tmp_path / "latin.csv"), autodetect=True)) == [
+        "idé: 1\nname: café", "idé: 2\nname: x"
+    ]
+    write(tmp_path, "utf8.csv", "né,名\n1,日本\n")
+    assert contents(delimited.csv_documents(spark, str(tmp_path / "utf8.csv"))) == ["né: 1\n名: 日本"]
+
+
 def test_rows_are_numbered_per_file(spark, tmp_path):
     for name, n in [("a.csv", 5), ("b.csv", 3), ("c.csv", 700)]:
         write(tmp_path, name, "v\n" + "".join(f"{name}{i}\n" for i in range(n)))

@@ -1,5 +1,6 @@
 import bz2
 import gzip
+import hashlib
 import io
 import tarfile
 import zipfile
@@ -94,6 +95,63 @@ def test_expand_archives(spark, folder):
     assert set(errors) == {"nested.tar.gz", "bad.zip", "old.tar.z"}
 
 
+def damaged(box: bytes, name: str) -> bytes:
+    """The zip with the packed bytes of one member overwritten."""
+    with zipfile.ZipFile(io.BytesIO(box)) as archive:
+        start = archive.getinfo(name).header_offset + 30 + len(name)
+    return box[:start] + b"\xff" * 4 + box[start + 4 :]
+
+
+def test_damaged_members_do_not_hide_others(spark):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as box:
+        for name in ("a.txt", "b.txt", "c.txt"):
+            box.writestr(name, name * 50)
+    broken = damaged(out.getvalue(), "a.txt")
+    tar = tarred({"x.txt": b"x" * 3000, "in.zip": broken, "y.txt": b"y" * 3000})
+    cases = {
+        "one.zip": broken, "whole.tar": tar, "cut.tar": tar[: tar.index(b"y" * 99) + 1000], "bad.txt.gz": gzip.compress(b"z" * 99)[:-9],
+        "cut.tar.gz": gzip.compress(tar)[:-40], "named.tar.gz": tar, "bomb.txt.gz": gzip.compress(bytes(5000)),
+    }
+    df = spark.createDataFrame([(k, bytearray(v)) for k, v in cases.items()], "path string, content binary")
+    found = archives.open_archives(df.withColumn("upload", F.struct("path")), max_member=4000).collect()
+    good = {(r.upload.path, r.archive, r.member) for r in found if r.error is None}
+    bad = {(r.upload.path, r.member): r.error for r in found if r.error is not None}
+    for name in ("b.txt", "c.txt"):
+        assert ("one.zip", "one.zip", name) in good and ("whole.tar", "whole.tar!/in.zip", name) in good
+    assert "invalid block type" in bad[("one.zip", "a.txt")]
+    assert {("whole.tar", "whole.tar", "x.txt"), ("whole.tar", "whole.tar", "y.txt"), ("named.tar.gz", "named.tar.gz", "y.txt")} <= good
+    assert ("cut.tar", "cut.tar", "x.txt") in good and any(k[0] == "cut.tar" for k in bad)
+    assert any(k[0] == "cut.tar.gz" for k in bad) and ("bad.txt.gz", "bad.txt") in bad
+    assert bad[("bomb.txt.gz", "bomb.txt")] == "ValueError: unpacks to more than 4000 bytes"
+
+
+def test_list_of_an_unreadable_archive(spark, folder):
+    rows = archives.list_archive(files.scan_files(spark, str(folder), glob="bad.zip")).collect()
+    assert [(r.member, r.error.split(":")[0]) for r in rows] == [(None, "BadZipFile")]
+
+
+def test_names_in_two_folders_and_second_uploads(spark):
+    rows = [("x/d.txt", 1, bytearray(b"a")), ("y/d.txt", 1, bytearray(b"b"))]
+    df = spark.createDataFrame(rows, "path string, length bigint, content binary")
+    first, second = (manifest.build_manifest(df, uploaded_at=F.timestamp_seconds(F.lit(s))) for s in (100, 200))
+    both = first.unionByName(second)
+    assert both.select("upload_id").distinct().count() == 4
+    documents, _ = ingest.process_files(df, both)
+    assert sorted((r.source, r.upload_timestamp.minute, r.upload_timestamp.second) for r in documents.collect()) == [
+        ("x/d.txt", 3, 20), ("y/d.txt", 3, 20)
+    ]
+
+
+def test_loader_options(spark):
+    rows = [("a.csv", bytearray("id;né;c\n1;x;y\n".encode("latin-1"))), ("b.csv", bytearray(b"id;c\n1;2\n"))]
+    df = spark.createDataFrame(rows, "path string, content binary")
+    options = {"delimiter": ";", "encoding": "latin-1", "metadata_columns": ["id"], "content_columns": ["né"]}
+    documents, outcomes = ingest.process_files(df, **options)
+    assert [(r.page_content, r.metadata) for r in documents.collect()] == [("né: x", {"row": "0", "id": "1"})]
+    assert {r.path: r.status for r in outcomes.collect()} == {"a.csv": "completed", "b.csv": "failed"}
+
+
 def test_depth_limit(spark, folder):
     scanned = files.scan_files(spark, str(folder), glob="nested*")
     counts = [archives.expand_archives(scanned, d).filter("error is null").count() for d in (1, 2, 3, 4, 5)]
@@ -126,7 +184,7 @@ def test_process_files(spark, folder):
     assert [r.page_content for r in by_file["rows.tsv"]] == ["a: 1\nb: 2"]
     one = by_file["b.csv"][0]
     assert (one.original_filename, one.relative_path, one.detected_mime_type) == ("bundle.zip", "d/b.csv", "text/csv")
-    assert one.upload_id.endswith("_bundle.zip") and len(one.file_checksum) == 64
+    assert "_bundle.zip_" in one.upload_id and len(one.file_checksum) == 64
     assert one.source_archive.endswith("/bundle.zip") and one.processing_timestamp is not None
 
     states = {r.path.rsplit("/", 1)[1]: (r.status, r.n_documents) for r in outcomes.collect()}
@@ -167,11 +225,17 @@ def test_stream_gives_the_batch_result_once(spark, folder, tmp_path):
     target, progress = str(tmp_path / "out"), str(tmp_path / "progress")
     incoming = tmp_path / "in"
     incoming.mkdir()
+    (incoming / "huge.txt").write_text("x" * 20_000)
+    states = str(tmp_path / "states")
     uploads = sorted(p.name for p in folder.iterdir())
     for wave in (uploads[:7], uploads[7:]):
         for name in wave:
             (incoming / name).write_bytes((folder / name).read_bytes())
-        streaming.ingest_available(spark, str(incoming), target, progress)
+        streaming.ingest_available(spark, str(incoming), target, progress, max_size=10_000, outcomes=states)
+    found = {r.path.rsplit("/", 1)[1]: (r.status, r.error) for r in spark.read.parquet(states).collect()}
+    assert found["huge.txt"][0] == "failed" and found["huge.txt"][1].startswith("File too large: 20000 bytes")
+    assert found["broken.json"] == ("failed", "invalid content") and found["crlf.txt"][0] == "completed"
+    (incoming / "huge.txt").unlink()
     streamed = spark.read.parquet(target)
     batch, _ = ingest.process_files(files.scan_files(spark, str(incoming)))
 
@@ -207,7 +271,8 @@ def test_manifest(spark, tmp_path):
     when = F.timestamp_seconds(F.lit(1_700_000_000))
     built = manifest.build_manifest(df, max_size=8, check_extension=True, uploaded_at=when)
     got = {r.original_filename: r for r in built.collect()}
-    assert got["a b.txt"].upload_id == "20231114_221320_a_b.txt"
+    hashed = hashlib.md5(b"/u/a b.txt").hexdigest()[:12]
+    assert got["a b.txt"].upload_id == f"20231114_221320_a_b.txt_{hashed}"
     assert got["a b.txt"].checksum == "2cf24dba5fb0a30e26e83b2ac5b9e29e1b161e5c1fa7425e73043362938b9824"
     assert got["big.txt"].error_message == "File too large: 9 bytes (max: 8 bytes)"
     assert got["x.exe"].error_message == "File type not allowed: x.exe"
@@ -222,6 +287,8 @@ def test_manifest(spark, tmp_path):
     assert manifest.get_upload(stored, ident).count() == 1
     left = manifest.delete_uploads(stored, spark.createDataFrame([(ident,)], "upload_id string"))
     assert left.count() == 2
+    manifest.delete_stored(spark, path, stored.filter(F.col("upload_id") == ident))
+    assert {r.original_filename for r in manifest.read_manifest(spark, path).collect()} == {"big.txt", "x.exe"}
     assert manifest.supported_extensions(spark).count() == 14
     assert manifest.supported_mime_types(spark).count() == 5
 

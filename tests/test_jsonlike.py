@@ -116,3 +116,12 @@ def test_large_texts_follow_the_same_rules(spark, options, monkeypatch):
     native = entries(10**9)
     assert native == entries(-1)
     assert {i for i, seq, *_ in native if seq is None} == {6, 8, 9, 10}
+
+
+def test_lines_that_are_not_utf8(spark, tmp_path):
+    path = tmp_path / "latin.jsonl"
+    path.write_bytes('{"t": "café"}\n{"t": "x"}\n'.encode("latin-1"))
+    with pytest.raises(PySparkException, match="cannot decode"):
+        jsonlike.jsonl_documents(spark, str(path), content_key="t").collect()
+    found = jsonlike.jsonl_documents(spark, str(path), content_key="t", autodetect=True)
+    assert sorted(r.page_content for r in found.collect()) == ["café", "x"]

@@ -95,22 +95,18 @@ def elements(spark):
     return spark.createDataFrame(rows, "source string, seq bigint, page_number int, category string, element_id string, text string")
 
 
-@pytest.mark.parametrize("run, limit", [(4096, 1 << 28), (7, 1 << 28), (1, 1 << 28), (5, 60), (1, 1)])
-def test_elements_join_whatever_the_runs(spark, run, limit):
-    single = tables.element_documents(elements(spark), "single", run=run, max_chars=limit)
-    whole = {}
-    for r in single.orderBy("source", "part").collect():
-        whole[r.source] = whole.get(r.source, "") + r.page_content
-    assert whole == {"s": "one\n\ntwo\n\nthree", "t": "solo", "big": "\n\n".join(f"p{i}" for i in range(100))}
-    paged = tables.element_documents(elements(spark), "paged", run=run, max_chars=limit)
-    pages = {}
-    for r in paged.orderBy("source", "page_number", "part").collect():
-        pages[r.source, r.page_number] = pages.get((r.source, r.page_number), "") + r.page_content
-    assert pages["s", 1] == "one\n\ntwo\n\n" and pages["s", 2] == "three\n\n" and pages["t", 7] == "solo\n\n"
-    if limit > 100:
-        assert single.count() == 3
-        first = paged.filter("source = 's' and page_number = 1").collect()[0]
-        assert (first.last_category, first.last_element_id) == ("Text", "e0")
+@pytest.mark.parametrize("run", [4096, 7, 1])
+def test_elements_join_whatever_the_runs(spark, run):
+    single = tables.element_documents(elements(spark), "single", run=run).collect()
+    assert {r.source: r.page_content for r in single} == {
+        "s": "one\n\ntwo\n\nthree", "t": "solo", "big": "\n\n".join(f"p{i}" for i in range(100))
+    }
+    assert {r.source: r.n_elements for r in single} == {"s": 3, "t": 1, "big": 100}
+    pages = {(r.source, r.page_number): r for r in tables.element_documents(elements(spark), "paged", run=run).collect()}
+    texts = {k: r.page_content for k, r in pages.items()}
+    assert texts["s", 1] == "one\n\ntwo\n\n" and texts["s", 2] == "three\n\n" and texts["t", 7] == "solo\n\n"
+    first = pages["s", 1]
+    assert (first.last_category, first.last_element_id) == ("Text", "e0")
 
 
 def test_element_rows_and_modes(spark):
