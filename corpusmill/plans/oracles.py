@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from corpusmill.functions.separators import LANGUAGE_SEPARATORS
+
 # Whitespace characters as a regular-expression class.
 _WS = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _NL = "chr(10)"
@@ -411,6 +413,40 @@ base AS (
             r"string_split(regexp_replace(text, '(\s+[A-Z])', chr(1) || '\1', 'g'), chr(1))"
         ),
         "literal_split_end": _split_pieces("string_split(replace(text, '. ', '. ' || chr(1)), chr(1))"),
+        "packed_chunks": r"""
+WITH RECURSIVE pieces AS (SELECT doc_id, regexp_extract_all(text, '[^ ]* |[^ ]+') AS p FROM documents),
+sums AS (
+  SELECT doc_id, any_value(p) AS p, list(upto ORDER BY i) AS upto
+  FROM (
+    SELECT doc_id, p, i, sum(length(p[i])) OVER (PARTITION BY doc_id ORDER BY i) AS upto
+    FROM (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM pieces)
+  ) GROUP BY doc_id
+),
+cuts AS (
+  SELECT doc_id, 0::BIGINT AS a, greatest(1, len(list_filter(upto, lambda x: x <= 1000)))::BIGINT AS b FROM sums
+  UNION ALL
+  SELECT doc_id, b, greatest(b + 1, len(list_filter(upto, lambda x: x <= upto[b] + 1000)))::BIGINT
+  FROM cuts JOIN sums USING (doc_id) WHERE b < len(upto)
+)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY a) - 1 AS chunk_index,
+       array_to_string(p[a + 1 : b], '') AS chunk FROM cuts JOIN sums USING (doc_id)""",
+        "lossless_chunks": f"""
+SELECT doc_id, {sorted(LANGUAGE_SEPARATORS)}[doc_id % {len(LANGUAGE_SEPARATORS)} + 1] AS preset, text FROM documents""",
+        "mixed_documents": f"""
+SELECT '/in/orders' || o_orderkey // 500 || '.csv' AS source,
+       row_number() OVER (PARTITION BY o_orderkey // 500 ORDER BY o_orderkey) - 1 AS seq_num,
+       'o_orderkey: ' || o_orderkey || {_NL} || 'o_orderstatus: ' || o_orderstatus AS page_content,
+       json_object('row', (row_number() OVER (PARTITION BY o_orderkey // 500 ORDER BY o_orderkey) - 1)::VARCHAR)::VARCHAR AS metadata
+FROM orders
+UNION ALL
+SELECT '/in/events' || event_id // 1000 || '.jsonl',
+       row_number() OVER (PARTITION BY event_id // 1000 ORDER BY event_id) - 1,
+       '{{' || {_NL} || '  "event_id": ' || event_id || ',' || {_NL} || '  "event_type": "' || event_type || '",' || {_NL}
+         || '  "value": ' || value || {_NL} || '}}',
+       json_object('event_id', event_id::VARCHAR, 'event_type', event_type, 'value', value::VARCHAR)::VARCHAR
+FROM events
+UNION ALL
+SELECT '/in/doc' || doc_id || '.txt', 0, text, '{{}}' FROM documents""",
         "file_manifest": """
 SELECT '20231114_221320_page_' || page_id || '.html_' || substr(md5('/web/page ' || page_id || '.html'), 1, 12) AS upload_id, 'page ' || page_id || '.html' AS original_filename,
        '/web/page ' || page_id || '.html' AS file_path, strlen(html) AS file_size,

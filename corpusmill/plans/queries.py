@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import jsontext, names
 from corpusmill.functions import text as tx
 from corpusmill.functions.binding import lookup
+from corpusmill.functions.separators import LANGUAGE_SEPARATORS
 from corpusmill.operators import (
     bigrams,
     chunks,
@@ -537,6 +538,24 @@ def recursive_chunks_by_words(spark, sf_dir):
     return _chunked(spark, sf_dir, chunks.recursive(100, 10, length="words", keep="end"))
 
 
+def packed_chunks(spark, sf_dir):
+    """Words packed into chunks of 1,000 characters, nothing lost between them."""
+    splitter = chunks.recursive(1000, 0, separators=[" "], keep="end", strip=False)
+    return _chunked(spark, sf_dir, splitter).select("doc_id", "chunk_index", "chunk")
+
+
+def lossless_chunks(spark, sf_dir):
+    """Every language preset over a share of the documents; the chunks together are the text."""
+    presets = F.array(*[F.lit(name) for name in sorted(LANGUAGE_SEPARATORS)])
+    language = F.element_at(presets, (F.col("doc_id") % len(LANGUAGE_SEPARATORS) + 1).cast("int"))
+    split = chunks.recursive(200, 0, strip=False, language=F.col("preset"))
+    docs = _documents(spark, sf_dir).select("doc_id", "text", language.alias("preset"))
+    cut = docs.select("doc_id", "preset", split(F.col("text")).alias("parts"))
+    return cut.select(
+        "doc_id", "preset", F.array_join(F.transform("parts", lambda p: p["chunk"]), "").alias("text")
+    )
+
+
 def language_chunks(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", F.lit("html").alias("language"), F.col("html").alias("text"))
     return chunks.split_documents(pages, chunks.recursive(500, 50, language=F.col("language")))
@@ -710,8 +729,29 @@ def file_outcomes(spark, sf_dir):
     return outcomes.groupBy("loader", "status").agg(F.count("*").alias("files"))
 
 
+def _lines_in_files(df, path, line, order, head=""):
+    """``(path, content)``: a file for each ``bucket`` with its lines in order."""
+    lines = F.transform(F.array_sort(F.collect_list(F.struct(order, line.alias("line")))), lambda x: x["line"])
+    files_ = df.groupBy("bucket").agg(F.array_join(lines, "\n").alias("lines"))
+    text = F.concat(F.lit(head), "lines", F.lit("\n"))
+    return files_.select(F.format_string(path, "bucket").alias("path"), text.cast("binary").alias("content"))
+
+
 def mixed_documents(spark, sf_dir):
-    loaded, _ = ingest.process_files(_named_files(spark, sf_dir))
+    """Orders as CSV files, events as JSON Lines and documents as text files, loaded in one pass."""
+    orders = table(spark, sf_dir, "orders").withColumn("bucket", F.floor(F.col("o_orderkey") / 500))
+    events = table(spark, sf_dir, "events").withColumn("bucket", F.floor(F.col("event_id") / 1000))
+    rows = F.concat_ws(",", "o_orderkey", "o_orderstatus")
+    values = F.to_json(F.struct("event_id", "event_type", "value"))
+    texts = _documents(spark, sf_dir).select(
+        F.concat(F.lit("/in/doc"), "doc_id", F.lit(".txt")).alias("path"), F.col("text").cast("binary").alias("content")
+    )
+    mixed = (
+        _lines_in_files(orders, "/in/orders%d.csv", rows, "o_orderkey", "o_orderkey,o_orderstatus\n")
+        .unionByName(_lines_in_files(events, "/in/events%d.jsonl", values, "event_id"))
+        .unionByName(texts)
+    )
+    loaded, _ = ingest.process_files(mixed)
     return loaded.select("source", "seq_num", "page_content", F.to_json("metadata").alias("metadata"))
 
 
@@ -747,7 +787,7 @@ _QUERIES = [
     csv_documents, csv_columns, csv_ragged, tsv_documents, json_documents, json_array_documents, json_props,
     jsonl_documents, jsonl_rejects, text_documents, decode_fallback, gzip_text, blob_strings,
     token_window_chunks, token_id_windows, regex_split_drop, regex_split_start, literal_split_end,
-    recursive_chunks, recursive_chunks_by_words, language_chunks,
+    recursive_chunks, recursive_chunks_by_words, language_chunks, packed_chunks, lossless_chunks,
     file_manifest, manifest_roundtrip, mime_detect, archive_types, safe_filenames,
     expand_archives, damaged_archives, list_archive, process_files, file_outcomes, mixed_documents, manifest_status,
     stream_ingest,
