@@ -93,14 +93,16 @@ def test_one_of_each(hard, links):
 
 
 def _near_copies(n_groups, size, seed):
-    """Groups of documents a few changes from one another, some of them chains."""
+    """Groups of documents a few changes from one text, or each from the one before."""
     rng, out = np.random.default_rng(seed), []
     for g in range(n_groups):
-        own = [f"w{rng.integers(500)}" for _ in range(int(rng.integers(8, 60)))]
+        base = [f"w{rng.integers(500)}" for _ in range(int(rng.integers(8, 60)))]
         for _ in range(size):
-            out.append(" ".join(own))
-            own = list(own) if g % 2 else out[-size].split() if len(out) % size else own
+            own = list(base)
             own[int(rng.integers(len(own)))] = f"w{rng.integers(500)}"
+            out.append(" ".join(own))
+            if g % 2:
+                base = own
     return out
 
 
