@@ -132,11 +132,16 @@ def _described(raw: Column, value: Column) -> Column:
     def describe(kind_: Column) -> Column:
         is_object = kind_ == "OBJECT"
         members = F.try_variant_get(F.when(is_object, value), "$", "map<string,variant>")
-        return F.struct(
-            kind_.alias("kind"),
-            _parsed(F.when(is_object, raw), "map<string,string>").alias("fields"),
-            F.transform_values(members, lambda _, v: kind(v)).alias("kinds"),
-        )
+        kinds = F.transform_values(members, lambda _, v: kind(v))
+        fields = _parsed(F.when(is_object, raw), "map<string,string>")
+        # Numbers that are none come with quotes, which only strings shall have.
+        plain = let(kinds, lambda k: F.transform_values(
+            fields,
+            lambda name, v: F.when(
+                v.isin('"NaN"', '"Infinity"', '"-Infinity"') & (F.element_at(k, name) != "STRING"), F.replace(v, F.lit('"'))
+            ).otherwise(v),
+        ))
+        return F.struct(kind_.alias("kind"), plain.alias("fields"), kinds.alias("kinds"))
 
     return let(kind(value), describe)
 

@@ -45,25 +45,29 @@ def ship_package(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``.
+_written: list[str] = []
 
-    Executors on other machines must be able to read what is written here, so a
-    temporary folder is only ever chosen for a local master without the setting.
-    """
+
+def scratch_dir(spark: SparkSession) -> str:
+    """Shared folder named by ``spark.checkpoint.dir``; every executor must reach it."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="run-corpusmill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the scratch folder that nobody else uses."""
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this process has put into the scratch folder; results read from it end here."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -33,9 +33,8 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
 
 
 @dataclass
-class WrittenFile(WriterCommitMessage):
-    first: int
-    name: str | None
+class WrittenFiles(WriterCommitMessage):
+    names: dict[str, int]  # attempt name to first position
 
 
 @dataclass
@@ -47,40 +46,45 @@ class TokenRange(InputPartition):
 
 
 class TokenStreamWriter(DataSourceArrowWriter):
-    """Writes ``(position, tokens)`` rows that arrive in position order."""
+    """Writes ``(position, tokens)`` rows that arrive in position order, a file per unbroken run."""
 
     def __init__(self, options: dict):
         self.path = options["path"].rstrip("/")
         self.dtype = _DTYPES[options.get("dtype", "uint16")]
 
-    def write(self, iterator) -> WrittenFile:
+    def write(self, iterator) -> WrittenFiles:
         filesystem, folder = _open(self.path)
-        name, first, out = f"_attempt-{uuid.uuid4().hex}", -1, None
+        written, out, following = {}, None, None
         try:
             for batch in iterator:
-                if batch.num_rows == 0:
-                    continue
-                if out is None:
-                    filesystem.create_dir(folder, recursive=True)
-                    first = batch.column("position")[0].as_py()
-                    out = filesystem.open_output_stream(f"{folder}/{name}")
-                out.write(batch.column("tokens").flatten().to_numpy().astype(self.dtype).tobytes())
+                positions = batch.column("position").to_pylist()
+                for position, tokens in zip(positions, batch.column("tokens"), strict=True):
+                    values = tokens.values.to_numpy().astype(self.dtype)
+                    if position != following:
+                        if out is not None:
+                            out.close()
+                        filesystem.create_dir(folder, recursive=True)
+                        name = f"_attempt-{uuid.uuid4().hex}"
+                        out = filesystem.open_output_stream(f"{folder}/{name}")
+                        written[name] = following = position
+                    out.write(values.tobytes())
+                    following += len(values)
         finally:
             if out is not None:
                 out.close()
-        return WrittenFile(first, name if out is not None else None)
+        return WrittenFiles(written)
 
     def commit(self, messages) -> None:
         filesystem, folder = _open(self.path)
         for message in messages:
-            if message is not None and message.name:
-                filesystem.move(f"{folder}/{message.name}", f"{folder}/part-{message.first:020d}{_SUFFIX}")
+            for name, first in message.names.items() if message is not None else ():
+                filesystem.move(f"{folder}/{name}", f"{folder}/part-{first:020d}{_SUFFIX}")
 
     def abort(self, messages) -> None:
         filesystem, folder = _open(self.path)
         for message in messages:
-            if message is not None and message.name:
-                filesystem.delete_file(f"{folder}/{message.name}")
+            for name in message.names if message is not None else ():
+                filesystem.delete_file(f"{folder}/{name}")
 
 
 class TokenStreamReader(DataSourceReader):
@@ -139,16 +143,30 @@ class TokenStream(DataSource):
         return TokenStreamWriter(self.options)
 
 
+# Tokens that one task writes as one file.
+_FILE_TOKENS = 1 << 24
+
+
 def write_token_stream(
     blocks: DataFrame, path: str, split: str, block_size: int, vocab_size: int, dtype: str = "uint16"
 ) -> None:
-    """Write the packed blocks of one split as a raw token stream to an empty folder."""
+    """Write the packed blocks of one split as a raw token stream to an empty folder.
+
+    Blocks are dealt out by stretches of the stream, so no ranges have to be sampled. A
+    folder that holds a stream already is refused.
+    """
     check_vocab_size(vocab_size, dtype)
+    filesystem, folder = _open(path)
+    if filesystem.get_file_info(folder).type != fs.FileType.NotFound and any(
+        f.path.endswith(_SUFFIX) for f in filesystem.get_file_info(fs.FileSelector(folder))
+    ):
+        raise ValueError(f"{path} holds a token stream already")
     blocks.sparkSession.dataSource.register(TokenStream)
+    stretch = F.floor(F.col("block_id") / max(1, _FILE_TOKENS // block_size))
     rows = blocks.filter(F.col("split") == split).select(
-        (F.col("block_id") * block_size).alias("position"), "tokens"
+        (F.col("block_id") * block_size).alias("position"), "tokens", stretch.alias("stretch")
     )
-    ordered = rows.repartitionByRange("position").sortWithinPartitions("position")
+    ordered = rows.repartition("stretch").sortWithinPartitions("position").drop("stretch")
     ordered.write.format("tokenstream").mode("append").option("dtype", dtype).save(path)
 
 

@@ -125,3 +125,13 @@ def test_lines_that_are_not_utf8(spark, tmp_path):
         jsonlike.jsonl_documents(spark, str(path), content_key="t").collect()
     found = jsonlike.jsonl_documents(spark, str(path), content_key="t", autodetect=True)
     assert sorted(r.page_content for r in found.collect()) == ["café", "x"]
+
+
+def test_numbers_that_are_none(spark, monkeypatch):
+    """Texts of any size give the same values."""
+    text = '[{"a": NaN, "b": -Infinity, "c": "NaN", "d": 1.5}]'
+    found = []
+    for limit in (jsontext._LARGE_TEXT, 1):
+        monkeypatch.setattr(jsontext, "_LARGE_TEXT", limit)
+        found.append(jsonlike.json_documents(files(spark, text)).collect()[0].metadata)
+    assert found[0] == found[1] == {"a": "NaN", "b": "-Infinity", "c": "NaN", "d": "1.5"}
