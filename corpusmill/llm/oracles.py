@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1, "op6_benchmark_containment": OP6, "op8_jaccard_links": OP8, "op9_weighted_mixture": OP9, "op10_repeated_passages": OP10}
+    return {"op1_exact_dedup": OP1, "op4_byte_shards": OP4, "op6_benchmark_containment": OP6, "op8_jaccard_links": OP8, "op9_weighted_mixture": OP9, "op10_repeated_passages": OP10}
 
 
 OP1 = r"""
@@ -133,3 +133,36 @@ k AS (
 SELECT doc_id, domain, lang, source, n_words, unnest(range(epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END)) AS epoch
 FROM k
 """
+
+
+def _crc_steps() -> list[int]:
+    """CRC-32 of each half byte, by the polynomial of the standard."""
+    steps = []
+    for value in range(16):
+        for _ in range(4):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        steps.append(value)
+    return steps
+
+
+# The checksum runs over the half bytes of a text, the lower one of each byte first.
+OP4 = f"""
+WITH h AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size,
+         flatten(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+           lambda b: [strpos('0123456789ABCDEF', b[2]) - 1, strpos('0123456789ABCDEF', b[1]) - 1])) AS halves
+  FROM documents
+),
+d AS (
+  SELECT doc_id, size, xor(list_reduce(halves,
+    lambda a, x: xor(a >> 4, {_crc_steps()}[(xor(a, x) & 15) + 1]), 4294967295::BIGINT), 4294967295) AS text_crc32
+  FROM h
+),
+p AS (
+  SELECT *, least(39, (2 * (sum(size) OVER w - size) + size) * 40 // (2 * sum(size) OVER ()))::INT AS shard
+  FROM d WINDOW w AS (ORDER BY doc_id, text_crc32, size ROWS UNBOUNDED PRECEDING)
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, NULL::INT AS grown_shard
+FROM p
+"""
