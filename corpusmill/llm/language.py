@@ -7,7 +7,7 @@ languages, also where languages are mixed; a text's language is the one with the
 share of its words.
 
 The field is fitted on a bounded sample of labelled rows: at most ``docs_per_language`` rows
-of each label, by a hash of the id, of texts up to ``SAMPLE_CHARS``. The sampled texts are cut into
+of each label (more than ``MAX_LANGUAGES`` labels are an error), by a hash of the id, of texts up to ``SAMPLE_CHARS``. The sampled texts are cut into
 short spans and spliced in random order, so that the transitions see changes of language.
 """
 
@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm import words as w
 from corpusmill.llm.common import column
+from corpusmill.session import materialize
 
 DOCS_PER_LANGUAGE = 200
+MAX_LANGUAGES = 200
 SAMPLE_CHARS = 20_000
 SEQUENCE = 64
 SPAN = (4, 16)
@@ -279,7 +281,9 @@ def training_sample(
         column(lang_column).alias("lang"), column(text_column).alias("text"),
         F.pmod(F.xxhash64(column(id_column)), F.lit(1_000_000)).alias("draw"), column(id_column).alias("id"),
     )
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"))
+    sizes = materialize(rows.groupBy("lang").agg(F.count("*").alias("rows")), "labels")
+    if sizes.count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} different labels in {lang_column}")
     # Twice the rows wanted are drawn by hash, so that only few are sorted.
     drawn = rows.join(F.broadcast(sizes), "lang").filter(F.col("draw") * F.col("rows") <= 2_000_000 * docs_per_language)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "id", "text"))

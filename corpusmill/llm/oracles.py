@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1, "op4_byte_shards": OP4, "op6_benchmark_containment": OP6, "op8_jaccard_links": OP8, "op9_weighted_mixture": OP9, "op10_repeated_passages": OP10}
+    return {"op1_exact_dedup": OP1, "op2_quote_links": OP2, "op4_byte_shards": OP4, "op6_benchmark_containment": OP6, "op8_jaccard_links": OP8, "op9_weighted_mixture": OP9, "op10_repeated_passages": OP10}
 
 
 OP1 = r"""
@@ -166,3 +166,43 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, NULL::INT AS grown_shard
 FROM p
 """
+
+
+def _passages(text: str) -> str:
+    squeezed = r"list_transform(string_split_regex({}, '\n\s*\n'), lambda p: lower(trim(regexp_replace(p, '\s+', ' ', 'g'))))"
+    return f"list_filter({squeezed.format(text)}, lambda p: p <> '')"
+
+
+# Turns written as mail quote the turn before, every fourth the one three before.
+OP2 = rf"""
+WITH RECURSIVE m AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS own,
+         CASE WHEN turn % 4 = 3 THEN lag(coalesce(text, ''), 3) OVER w ELSE lag(coalesce(text, ''), 1) OVER w END AS told,
+         CASE WHEN turn % 4 = 2 THEN lag(coalesce(text, ''), 2) OVER w END AS older
+  FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+),
+said AS (SELECT conv_id, turn, unnest({_passages("own")}) AS p FROM m),
+quoted AS (
+  SELECT conv_id, turn, 1 AS level, unnest({_passages("told")}) AS p FROM m
+  UNION ALL SELECT conv_id, turn, 2, unnest({_passages("older")}) FROM m
+),
+quoted_once AS (SELECT *, row_number() OVER () AS n FROM quoted),
+found AS (
+  SELECT q.conv_id, q.turn, level, n, max(s.turn) AS source
+  FROM quoted_once q JOIN said s ON s.conv_id = q.conv_id AND s.p = q.p AND s.turn < q.turn GROUP BY ALL
+),
+votes AS (SELECT conv_id, turn, level, source, count(*) AS v FROM found GROUP BY ALL),
+parents AS (
+  SELECT conv_id, turn, source AS parent_turn FROM votes
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, v DESC, source DESC) = 1
+),
+threads AS (
+  SELECT conv_id, turn, turn AS thread_turn, 0 AS depth FROM m ANTI JOIN parents USING (conv_id, turn)
+  UNION ALL
+  SELECT p.conv_id, p.turn, t.thread_turn, t.depth + 1
+  FROM parents p JOIN threads t ON t.conv_id = p.conv_id AND t.turn = p.parent_turn
+)
+SELECT m.conv_id, m.turn, role, regexp_replace(own, '^\s+|\s+$', '', 'g') AS text, parent_turn, thread_turn, depth,
+       row_number() OVER (PARTITION BY m.conv_id ORDER BY thread_turn, m.turn) - 1 AS position
+FROM m JOIN threads t USING (conv_id, turn) LEFT JOIN parents p USING (conv_id, turn)
+"""
