@@ -28,8 +28,9 @@ def _in_order(position: str, piece: str) -> Column:
 def pack_blocks(tokenized: DataFrame, block_size: int, ident: str = "doc_id") -> DataFrame:
     """``(split, block_id, tokens)``: the streams cut into blocks of ``block_size``.
 
-    Nothing is put between documents. A document becomes one slice per block it
-    touches, so a group never holds more than one block of tokens.
+    Nothing is put between documents. A document becomes one slice per block it touches.
+    A slice that is a whole block is one as it stands; only the others, at most two for each
+    document, are shuffled to meet, in groups that never hold more than one block of tokens.
     """
     if block_size <= 0:
         raise ValueError(f"block_size must be positive, got {block_size}")
@@ -46,12 +47,12 @@ def pack_blocks(tokenized: DataFrame, block_size: int, ident: str = "doc_id") ->
         )
 
     touched = F.sequence(whole_part(start, block_size), whole_part(start + count - 1, block_size))
-    return (
-        stream_offsets(tokenized.filter("n_tokens > 0"), ident)
-        .select("split", F.inline(F.transform(touched, piece)))
-        .groupBy("split", "block_id")
-        .agg(_in_order("position", "piece").alias("tokens"))
+    pieces = stream_offsets(tokenized.filter("n_tokens > 0"), ident).select(
+        "split", F.inline(F.transform(touched, piece))
     )
+    whole = pieces.filter(F.size("piece") == size).select("split", "block_id", F.col("piece").alias("tokens"))
+    rest = pieces.filter(F.size("piece") < size).groupBy("split", "block_id")
+    return whole.unionByName(rest.agg(_in_order("position", "piece").alias("tokens")))
 
 
 def sample_windows(
