@@ -32,8 +32,12 @@ PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 CHUNK = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 NULL_ID = -(2**63)
 DTYPES = {"uint16": "H", "uint32": "I"}
-_CACHED, _CACHED_CHARS = 1_000_000, 64
-_encoders: dict[tuple[str, str], _Chunks] = {}
+_CACHED, _CACHED_CHARS = 1_500_000, 64
+# All spaces of Unicode but the blank and the line feed.
+_ODD_SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_RUNS = ("  ", " \n", "\n ", "\n\n", *_ODD_SPACES)
+_MARKS = ".,;:!?"
+_encoders: dict[tuple[str, str], _Encoder] = {}
 
 
 def _byte_letters() -> dict[int, int]:
@@ -44,30 +48,69 @@ def _byte_letters() -> dict[int, int]:
 
 
 class _Chunks(dict):
-    """Encoded ids of chunks met so far, as bytes; a bounded number of short ones is kept."""
+    """Ids of chunks that follow ``lead``, as bytes; a bounded number of short ones is kept."""
 
+    def __init__(self, encoder: _Encoder, lead: str):
+        self.pieces, self.word, self.lead = encoder.pieces, encoder.word, lead
+        self.marks = {m: encoder.pieces(m) for m in _MARKS}
+
+    def __missing__(self, chunk: str) -> bytes:
+        mark = self.marks.get(chunk[-1:])
+        if mark is not None and chunk[:-1].isalpha():  # a word and the mark after it never merge
+            encoded = self[chunk[:-1]] + mark
+        elif chunk.isalpha():
+            encoded = self.word(self.lead + chunk)
+        else:
+            encoded = self.pieces(self.lead + chunk)
+        if len(chunk) <= _CACHED_CHARS:
+            if len(self) >= _CACHED:
+                self.clear()
+            self[chunk] = encoded
+        return encoded
+
+
+class _Encoder:
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model, self.code = self.tokenizer.model, DTYPES[dtype]
         self.split, self.letters = regex.compile(PIECES).findall, _byte_letters()
+        self.blank = chr(self.letters[32])
+        self.after_blank, self.at_start, self.others = _Chunks(self, " "), _Chunks(self, ""), _Chunks(self, "")
+        self.line_end = self.pieces("\n")
+
+    def word(self, piece: str) -> bytes:
+        """Ids of one piece of the pattern."""
+        if piece.isascii():
+            spelled = piece.replace(" ", self.blank)
+        else:
+            spelled = piece.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
-    def __missing__(self, chunk: str) -> bytes:
+    def pieces(self, chunk: str) -> bytes:
         ids = array(self.code)
         for piece in self.split(chunk):
             spelled = piece.encode().decode("latin-1").translate(self.letters)
             ids.extend([t.id for t in self.model.tokenize(spelled)])
-        encoded = ids.tobytes()
-        if len(chunk) <= _CACHED_CHARS:
-            if len(self) >= _CACHED:
-                self.clear()
-            self[chunk] = encoded
-        return encoded
+        return ids.tobytes()
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, CHUNK.findall(text)))
+        if not text:
+            return b""
+        if text[0].isspace() or text[-1].isspace() or any(run in text for run in _RUNS):
+            return b"".join(map(self.chunk, CHUNK.findall(text)))
+        # Blanks and line feeds stand alone here, so the pattern cuts at each of them.
+        spaced, lines = self.after_blank.__getitem__, []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            lines.append(self.at_start[first] + b"".join(map(spaced, rest)))
+        return self.line_end.join(lines)
+
+    def chunk(self, chunk: str) -> bytes:
+        if chunk[0] == " " and not chunk[1:2].isspace() and len(chunk) > 1:
+            return self.after_blank[chunk[1:]]
+        return self.others[chunk] if chunk[0].isspace() else self.at_start[chunk]
 
 
 def byte_level_encoder(path: str, dtype: str = "uint16") -> Callable[[str], bytes]:
@@ -81,7 +124,7 @@ def byte_level_encoder(path: str, dtype: str = "uint16") -> Callable[[str], byte
     def encode(text: str) -> bytes:
         key = (path, dtype)
         if key not in _encoders:
-            _encoders[key] = _Chunks(path, dtype)
+            _encoders[key] = _Encoder(path, dtype)
         return _encoders[key].encode(text)
 
     return encode
