@@ -9,11 +9,12 @@ a link must pass the filters of all orders:
   hashes breaking ties;
 * the same with ties broken by another hash.
 
-Pairs found under both of the latter are verified on their whole sets. Documents of equal
+Pairs that meet under both of the latter are verified on their whole sets. Documents of equal
 sets are one from the start. Before the last two orders, documents that agree in the
 smallest token under some order are compared with a few leaders of their group, and links
-found so far join them to groups: only pairs of different groups are searched for, so many
-near copies of one document do not become all their pairs.
+found so far join them to groups: only pairs of different groups are searched for. Of
+these, pairs over a rare token become rows; families that share a frequent one are compared
+in blocks that give back links only, so near copies do not become all their pairs.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm import words as w
-from corpusmill.llm.common import column, narrowed
+from corpusmill.llm.common import column, narrowed, rank_within
 from corpusmill.llm.components import components
 from corpusmill.session import materialize
 
@@ -34,8 +35,11 @@ SHINGLE = 5
 PERCENT = 80
 KEY_ORDERS = 2
 LEADERS = 32
-HOT_ROWS = 20_000
+HOT_ROWS = 1_000
 SALTS = 64
+# Tokens of at most so many documents are paired; documents of others meet in blocks.
+LIGHT = 16
+BLOCK = 256
 
 
 def _extra(size):
@@ -162,21 +166,13 @@ def _early_links(sets: DataFrame, percent: int) -> DataFrame:
     return first.unionByName(materialize(again, "links")).filter("a <> b").select("a", "b")
 
 
-def _pairs(prefixes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different groups that share a prefix token and could be similar by size."""
-    a = prefixes.select(F.col("h"), F.col("cid").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
-    b = prefixes.select(F.col("h"), F.col("cid").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"))
-    fits = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-    fits = fits & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    return a.join(b, "h").filter(fits).select("a", "b").distinct()
-
+def _open_documents(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Sets that may link to another group, with their prefixes ``first`` and ``second`` under two orders.
 
-def _late_links(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Verified links between different groups, candidates sharing prefixes under two orders."""
-    sized = sets.join(groups.select(F.col("node").alias("cid"), F.col("root")), "cid", "left").withColumn(
-        "comp", F.coalesce("root", "cid")
-    )
-    sized = materialize(sized.select("cid", "n", "comp", "tokens"), "grouped-sets")
+    Tokens of one group only come first, so a set that has enough of them is closed.
+    """
+    sized = sets.join(groups.select(F.col("node").alias("cid"), F.col("root")), "cid", "left")
+    sized = materialize(sized.select("cid", "n", F.coalesce("root", "cid").alias("comp"), "tokens"), "grouped-sets")
     by_token = Window.partitionBy("h")
     across = (
         sized.select("cid", "n", "comp", F.explode("tokens").alias("h"))
@@ -187,19 +183,121 @@ def _late_links(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     )
     least = F.ceil(F.col("n") * percent / 100).cast("int")
     slots = F.col("n") - least + 1 - (F.col("n") - F.size("across"))
-    open_ = materialize(across.withColumn("slots", slots.cast("int")).filter("slots > 0"), "open")
     other = F.transform("across", lambda x: F.struct(x["df"].alias("df"), F.xxhash64(x["h"]).alias("k"), x["h"].alias("h")))
-    found = None
-    for ordered in (F.array_sort("across"), F.array_sort(other)):
-        prefix = open_.select("cid", "n", "comp", F.explode(F.slice(ordered, 1, F.col("slots"))).alias("t"))
-        pairs = _pairs(prefix.select("cid", "n", "comp", F.col("t.h").alias("h")), percent)
-        found = pairs if found is None else found.join(pairs, ["a", "b"])
-    found = materialize(found, "candidates")
-    asked = materialize(found.select(F.col("a").alias("cid")).unionByName(found.select(F.col("b").alias("cid"))).distinct(), "asked")
-    few = narrowed(sized.select("cid", "tokens"), asked)
-    joined = found.join(few.toDF("a", "ta"), "a").join(few.toDF("b", "tb"), "b")
+    prefix = lambda ordered: F.transform(F.slice(ordered, 1, F.col("slots")), lambda x: x["h"])
+    found = across.withColumn("slots", slots.cast("int")).filter("slots > 0").select(
+        "cid", "n", "comp", prefix(F.array_sort("across")).alias("first"), prefix(F.array_sort(other)).alias("second")
+    )
+    found = materialize(found, "open-prefixes")
+    return materialize(found.join(narrowed(sized.select("cid", "tokens"), materialize(found.select("cid"), "open-ids")), "cid"), "open")
+
+
+def _verified(joined: DataFrame, percent: int) -> DataFrame:
+    """Rows whose prefixes meet under the second order and whose sets are similar."""
     common = F.size(F.array_intersect("ta", "tb"))
-    return joined.filter(100 * common >= percent * (F.size("ta") + F.size("tb") - common)).select("a", "b")
+    near = joined.filter(F.arrays_overlap("sa", "sb"))
+    return near.filter(100 * common >= percent * (F.size("ta") + F.size("tb") - common)).select("a", "b")
+
+
+def _light_links(rows: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
+    """Links over tokens of few documents: their pairs grow with the documents only."""
+    a = rows.select("h", F.col("cid").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
+    b = rows.select("h", F.col("cid").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"))
+    fits = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+    fits = fits & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    pairs = materialize(a.join(b, "h").filter(fits).select("a", "b").distinct(), "candidates")
+    sets = open_.select("cid", "second", "tokens")
+    return _verified(pairs.join(sets.toDF("a", "sa", "ta"), "a").join(sets.toDF("b", "sb", "tb"), "b"), percent)
+
+
+def _linked_in_blocks(percent: int):
+    """Links between different groups in each pair of blocks; rows come sorted by pair.
+
+    Holds one pair of blocks. A link that joins groups joined already is left out.
+    """
+
+    def links(docs):
+        root = {d["comp"]: d["comp"] for d in docs}
+
+        def top(x):
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        holders: dict[int, list[int]] = {}
+        within = docs[0]["i"] == docs[0]["j"]
+        for n, doc in enumerate(docs):
+            asked = set()
+            for token in doc["first"]:
+                asked.update(holders.setdefault(token, []))
+                holders[token].append(n)
+            for m in sorted(asked, reverse=True):
+                other = docs[m]
+                if (
+                    (within or other["block"] != doc["block"])
+                    and top(other["comp"]) != top(doc["comp"])
+                    and 100 * other["n"] >= percent * doc["n"]  # sorted by size
+                    and not doc["second"].isdisjoint(other["second"])
+                ):
+                    common = _shared(doc["tokens"], other["tokens"])
+                    if 100 * common >= percent * (doc["n"] + other["n"] - common):
+                        root[top(doc["comp"])] = top(other["comp"])
+                        yield doc["cid"], other["cid"]
+
+    def run(batches):
+        pair, docs = None, []
+        for batch in batches:
+            tokens = batch.column("tokens")
+            offsets, flat = tokens.offsets.to_numpy(), tokens.values.to_numpy().view(np.uint64)
+            rows = batch.drop_columns(["tokens"]).to_pylist()
+            found = []
+            for k, row in enumerate(rows):
+                if (row["root"], row["i"], row["j"]) != pair:
+                    found.extend(links(docs) if docs else ())
+                    pair, docs = (row["root"], row["i"], row["j"]), []
+                row["second"], row["tokens"] = frozenset(row["second"]), flat[offsets[k] : offsets[k + 1]].copy()
+                docs.append(row)
+            yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+        found = list(links(docs)) if docs else []
+        yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return run
+
+
+def _heavy_links(rows: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
+    """Links over tokens of many documents: families, in blocks sorted by size.
+
+    Documents that share such a token are of one family. A task gets two blocks whose sizes
+    allow links, so a family of any size is spread and no pair becomes a row.
+    """
+    hub = F.min("cid").over(Window.partitionBy("h"))
+    families = components(rows.select(F.col("cid").alias("a"), hub.alias("b")).filter("a <> b"))
+    member = families.select(F.col("node").alias("cid"), "root").join(open_.select("cid", "n"), "cid")
+    ranked = rank_within(member, ["root"], ["n", "cid"], F.col("n"), "place")
+    placed = materialize(ranked.select("cid", "root", F.floor(F.col("place") / BLOCK).cast("int").alias("block"), "n"), "families")
+    blocks = placed.groupBy("root", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    i = blocks.select("root", F.col("block").alias("i"), "high")
+    j = blocks.select("root", F.col("block").alias("j"), "low")
+    pairs = i.join(j, "root").filter((F.col("i") <= F.col("j")) & (100 * F.col("high") >= percent * F.col("low")))
+    sides = pairs.select("root", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    docs = placed.select("cid", "root", "block").join(sides, ["root", "block"]).join(open_, "cid")
+    ordered = docs.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "n", "cid")
+    return ordered.mapInArrow(_linked_in_blocks(percent), "a bigint, b bigint")
+
+
+def _late_links(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Verified links between different groups, candidates sharing prefixes under two orders."""
+    open_ = _open_documents(sets, groups, percent)
+    by_token = Window.partitionBy("h")
+    rows = open_.select("cid", "n", "comp", F.explode("first").alias("h")).withColumns(
+        {"held": F.count("*").over(by_token), "x": F.min("comp").over(by_token), "y": F.max("comp").over(by_token)}
+    )
+    rows = materialize(rows.filter("x < y").drop("x", "y"), "prefix-rows")
+    light = materialize(_light_links(rows.filter(F.col("held") <= LIGHT), open_, percent), "light-links")
+    heavy = rows.filter(F.col("held") > LIGHT)
+    if heavy.isEmpty():
+        return light
+    return light.unionByName(materialize(_heavy_links(heavy, open_, percent), "heavy-links"))
 
 
 def link_groups(

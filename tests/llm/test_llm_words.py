@@ -106,9 +106,10 @@ def _near_copies(n_groups, size, seed):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [20_000, 2])
-def test_links_of_near_copies(spark, monkeypatch, hot_rows):
-    monkeypatch.setattr(jaccard, "HOT_ROWS", hot_rows)
+@pytest.mark.parametrize("hot_rows, light, block", [(20_000, 16, 256), (2, 1, 5), (2, 0, 1)])
+def test_links_of_near_copies(spark, monkeypatch, hot_rows, light, block):
+    for name, value in (("HOT_ROWS", hot_rows), ("LIGHT", light), ("BLOCK", block)):
+        monkeypatch.setattr(jaccard, name, value)
     texts = _near_copies(6, 12, 5)
     sets = [shingle_set(t) for t in texts]
     pairs = [(i, j) for i in range(len(texts)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
