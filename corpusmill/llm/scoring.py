@@ -27,8 +27,9 @@ HASHES, BITS_PER_ENTRY = 7, 10  # about one false answer in a hundred probes
 PRIOR = 50.0
 GROUP_BYTES = 256 << 20
 HOT_WORDS = 1 << 20
-SLICE_BYTES = 2 << 20  # of input
-FLUSH_TOKENS = 4_000_000
+SLICE_BYTES = 512 << 10  # of input
+FLUSH_TOKENS = 1_500_000
+PROBE_BYTES = 2 << 20  # of text probed at a time
 
 
 def level_starts() -> np.ndarray:
@@ -212,7 +213,7 @@ def _probed(shared):
 
     def run(batches):
         for batch in batches:
-            for first, texts in w.pieces(batch.column("text")):
+            for first, texts in w.pieces(batch.column("text"), PROBE_BYTES):
                 part = batch.slice(first, len(texts))
                 words_, pairs, bounds, _ = _looked_up(part, texts, shared.value)
                 columns = dict(zip(part.schema.names, part.columns, strict=True))
@@ -240,7 +241,7 @@ def _scored(shared, hot, n_train: int, n_distinct: int, n_texts: int, prior: flo
     def run(batches):
         keys, exact = hot.value
         for batch in batches:
-            for first, texts in w.pieces(batch.column("text")):
+            for first, texts in w.pieces(batch.column("text"), PROBE_BYTES):
                 part = batch.slice(first, len(texts))
                 words_, pairs, bounds, (_, distinct, at) = _looked_up(part, texts, shared.value)
                 starts = bounds[:-1]
@@ -328,12 +329,15 @@ def score_texts(
 
     context = df.sparkSession.sparkContext
     hot = context.broadcast(_frequent(exact, hot_words))
-    scored = docs
+    broadcasts, scored = [hot], docs
     groups = _groups(slices, bits, group_bytes)
     for number, members in enumerate(groups):
         part = slices.filter(F.col("slice").isin(members) if len(groups) > 1 else F.lit(True))
         found = part.select("slice", "size", "bits").toArrow()  # at most the bytes of a group
-        shared = context.broadcast(_Filter(bits, *[found.column(i).to_pylist() for i in range(3)]))
+        filters = [x.as_buffer() for x in found.column("bits")]
+        shared = context.broadcast(_Filter(bits, found.column("slice").to_pylist(), found.column("size").to_pylist(), filters))
+        broadcasts.append(shared)
+        del found, filters
         if number + 1 < len(groups):
             scored = materialize(
                 scored.mapInArrow(_probed(shared), f"id {kind}, text string, held_out boolean, words binary, pairs binary"),
@@ -344,6 +348,8 @@ def score_texts(
         f"id {kind}, held_out boolean, n_tokens bigint, known bigint, base double, score double, rare array<bigint>",
     )
     scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    for used in broadcasts:  # the scores are stored, so workers can let go of the filter
+        used.unpersist()
     learned = exact.filter("train > 0").select("key", "train")
     rest = scored.select("row", F.explode("rare").alias("key")).join(learned, "key").groupBy("row").agg(
         F.sum(F.log10(F.col("train") + 1)).alias("more"), F.count("*").alias("known_too")
