@@ -45,7 +45,8 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Token files of all documents, and what they hold of each."""
     ship_package(spark)
     path = scratch_path(spark, "corpus-tokens")
-    token_files.write_token_files(docs, path, token_files.byte_level_encoder(queries.vocabulary()))
+    encode = token_files.byte_level_encoder(queries.vocabulary(), encode_special_tokens=False)
+    token_files.write_token_files(docs, path, encode)
     return token_files.read_token_files(spark, path, tokens=False)
 
 

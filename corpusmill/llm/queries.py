@@ -64,7 +64,7 @@ def op4_byte_shards(spark, sf_dir):
 
 def op5_token_files(spark, sf_dir):
     path = scratch_path(spark, "token-files")
-    encode = token_files.byte_level_encoder(vocabulary())
+    encode = token_files.byte_level_encoder(vocabulary(), encode_special_tokens=False)
     token_files.write_token_files(_documents(spark, sf_dir), path, encode)
     return token_files.read_token_files(spark, path, tokens=False)
 

@@ -37,7 +37,7 @@ _CACHED, _CACHED_CHARS = 1_500_000, 64
 _ODD_SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _RUNS = ("  ", " \n", "\n ", "\n\n", *_ODD_SPACES)
 _MARKS = ".,;:!?"
-_encoders: dict[tuple[str, str], _Encoder] = {}
+_encoders: dict[tuple[str, str, bool], _Encoder] = {}
 
 
 def _byte_letters() -> dict[int, int]:
@@ -70,15 +70,23 @@ class _Chunks(dict):
 
 
 class _Encoder:
-    def __init__(self, path: str, dtype: str):
+    def __init__(self, path: str, dtype: str, encode_special_tokens: bool):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = encode_special_tokens
         self.model, self.code = self.tokenizer.model, DTYPES[dtype]
         self.split, self.letters = regex.compile(PIECES).findall, _byte_letters()
         self.blank = chr(self.letters[32])
         self.after_blank, self.at_start, self.others = _Chunks(self, " "), _Chunks(self, ""), _Chunks(self, "")
         self.line_end = self.pieces("\n")
+        added = self.tokenizer.get_added_tokens_decoder().items()
+        found = {t.content: (i, t) for i, t in added if not (t.special and encode_special_tokens)}
+        self.added = {name: i for name, (i, _) in found.items()}
+        # Of names that begin at one place the library takes the longest.
+        longest_first = sorted(map(re.escape, found), key=len, reverse=True)
+        self.names = re.compile(f"({'|'.join(longest_first)})") if found else None
+        self.plain = not any(t.single_word or t.lstrip or t.rstrip for _, t in found.values())
 
     def word(self, piece: str) -> bytes:
         """Ids of one piece of the pattern."""
@@ -96,6 +104,16 @@ class _Encoder:
         return ids.tobytes()
 
     def encode(self, text: str) -> bytes:
+        parts = self.names.split(text) if self.names else [text]
+        if len(parts) == 1:
+            return self.ordinary(text)
+        if not self.plain:  # names that look at or take what is beside them
+            return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        named = lambda name: array(self.code, [self.added[name]]).tobytes()
+        return b"".join(named(part) if i % 2 else self.ordinary(part) for i, part in enumerate(parts))
+
+    def ordinary(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
         if not text:
             return b""
         if text[0].isspace() or text[-1].isspace() or any(run in text for run in _RUNS):
@@ -113,18 +131,20 @@ class _Encoder:
         return self.others[chunk] if chunk[0].isspace() else self.at_start[chunk]
 
 
-def byte_level_encoder(path: str, dtype: str = "uint16") -> Callable[[str], bytes]:
+def byte_level_encoder(path: str, dtype: str = "uint16", encode_special_tokens: bool = True) -> Callable[[str], bytes]:
     """Ids of a text under a byte-level vocabulary file, as little-endian bytes.
 
-    The ids are those of ``Tokenizer.encode(text, add_special_tokens=False)``, with the
-    names of special tokens read as ordinary text. Texts are cut where the vocabulary's own
-    pattern always cuts, so that every distinct chunk is encoded once per worker.
+    The ids are those of ``Tokenizer.encode(text, add_special_tokens=False)``. As in the
+    library, ``encode_special_tokens`` reads the names of special tokens as ordinary text;
+    without it (the library's default) each name gives the id of its token. Texts are cut at
+    the names of added tokens, and where the vocabulary's own pattern always cuts, so that
+    every distinct chunk is encoded once per worker.
     """
 
     def encode(text: str) -> bytes:
-        key = (path, dtype)
+        key = (path, dtype, encode_special_tokens)
         if key not in _encoders:
-            _encoders[key] = _Encoder(path, dtype)
+            _encoders[key] = _Encoder(path, dtype, encode_special_tokens)
         return _encoders[key].encode(text)
 
     return encode
