@@ -3,12 +3,15 @@
 A token budget runs down a tree (such as domain, language, source) in proportion to the
 weights of siblings. A node can use the tokens of its leaves as often as epochs are
 allowed; what it can't use goes to its siblings first, and what all siblings can't use
-goes to the siblings of their parent. Each leaf repeats its documents for whole epochs and
+goes to the siblings of their parent. Leaves under a weight of 0 can use none. Each leaf repeats its documents for whole epochs and
 takes a prefix, by tokens, of one further epoch's seeded order.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,7 +59,9 @@ def _filled(nodes: DataFrame, parent: list[str]) -> DataFrame:
 
 def budgets(leaves: DataFrame, levels: list[str], weights: list[dict[str, float]], budget: float, epochs: int) -> DataFrame:
     """``leaves`` (``levels``, ``tokens``) with ``budget``: whole tokens that each leaf may give."""
-    able = leaves.withColumn("cap", F.col("tokens").cast("double") * epochs)
+    weighed = [_weight(F.col(name), own) > 0 for name, own in zip(levels, weights, strict=True)]
+    # What a weight of 0 anywhere above shuts out is no room for its ancestors either.
+    able = leaves.withColumn("cap", F.when(reduce(and_, weighed), F.col("tokens").cast("double") * epochs).otherwise(0.0))
     usable = able.agg(F.sum("cap").alias("cap")).first()["cap"] or 0.0
     above, parent = None, []
     for depth, name in enumerate(levels):

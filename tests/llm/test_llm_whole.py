@@ -1,15 +1,18 @@
 """Rows on which operators once did less than the whole job."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from llm_cases import WORDS, hard_rows
 from pyspark.sql import functions as F
+from test_llm_native import _fill
 
 import corpus_pipeline
-from corpusmill.llm import queries, token_files
+from corpusmill.llm import mixing, queries, token_files
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 NAME = "<|endoftext|>"
@@ -57,3 +60,37 @@ def test_token_files_hold_added_tokens(spark, library, tmp_path):
     expected = [(i, s, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for (i, x), s in zip(enumerate(ids), starts, strict=True)]
     for got in (queries.op5_token_files(spark, str(tmp_path)), corpus_pipeline.write_tokens(spark, docs, str(tmp_path))):
         assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got.collect()) == expected
+
+
+def test_budget_passes_by_weights_of_zero(spark):
+    rows = [("en", "srcA", 100), ("en", "srcB", 900), ("de", "srcC", 1000), ("fr", "srcB", 50), ("xx", "srcC", 70)]
+    leaves = spark.createDataFrame(rows, "lang string, source string, tokens bigint")
+    weights = [{"xx": 0.0}, {"srcB": 0.0}]
+    for budget, wanted in ((1000, (100, 900)), (150, (75, 75)), (5000, (100, 1000))):
+        got = mixing.budgets(leaves, ["lang", "source"], weights, budget, 1).collect()
+        given = {(r.lang, r.source): r.budget for r in got}
+        assert given == {("en", "srcA"): wanted[0], ("en", "srcB"): 0, ("de", "srcC"): wanted[1], ("fr", "srcB"): 0, ("xx", "srcC"): 0}
+
+
+def test_mixture_passes_by_weights_of_zero(spark):
+    docs = [("en", "srcA")] * 100 + [("en", "srcB")] * 900 + [("de", "srcC")] * 1000
+    df = spark.createDataFrame([(i, "word", *d, 0) for i, d in enumerate(docs)], DOCUMENTS)
+    taken = mixing.mixed(df, [F.col("lang"), F.col("source")], [{}, {"srcB": 0.0}], 1000, epochs=1)
+    assert {r.source: r["count"] for r in taken.groupBy("source").count().collect()} == {"srcA": 100, "srcC": 900}
+
+
+@pytest.mark.parametrize("budget", [0.3, 1.0, 2.5, 100.0])
+def test_budgets_by_brute_force(spark, budget):
+    """The weights of test_mixture, with caps that leave out what a weight of 0 shuts out."""
+    weights, tokens = [{"x": 3.0, "y": 1.0}, {"src0": 0.0, "src1": 2.0}], Counter()
+    for _, text, lang, source, *_ in hard_rows():
+        tokens[(lang or "", source or "")] += len(WORDS.findall(text or ""))
+    caps = {k: 0 if k[1] == "src0" else 3 * n for k, n in tokens.items()}
+    total = min(budget * sum(tokens.values()), sum(caps.values()))
+    top = _fill(total, {a: (sum(c for k, c in caps.items() if k[0] == a), weights[0].get(a, 1.0)) for a, _ in caps})
+    expected = {}
+    for a in top:
+        expected |= _fill(top[a], {k: (caps[k], weights[1].get(k[1], 1.0)) for k in caps if k[0] == a})
+    leaves = spark.createDataFrame([(*k, n) for k, n in tokens.items()], "lang string, source string, tokens bigint")
+    got = mixing.budgets(leaves, ["lang", "source"], weights, budget * sum(tokens.values()), 3).collect()
+    assert {(r.lang, r.source): r.budget for r in got} == {k: int(v + 1e-6) for k, v in expected.items()}
