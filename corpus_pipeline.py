@@ -15,7 +15,7 @@ from corpusmill.session import materialize, scratch_path, ship_package
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a language: no letters, or no language for two fifths of the words."""
+    """Drop documents without a language: no letters, or words that fit none of the languages."""
     ship_package(spark)
     return language.keep_identified(docs)
 

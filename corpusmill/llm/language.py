@@ -235,7 +235,7 @@ def _texts_without_letters(texts: pa.Array, table: w.Words) -> np.ndarray:
     return none
 
 
-def _predicted(shared, labels: bool):
+def _predicted(shared, labels: bool, certainty: bool = False):
     def run(batches):
         field: Field = shared.value
         k = len(field.languages)
@@ -245,7 +245,7 @@ def _predicted(shared, labels: bool):
                 table = w.words(texts, fold=True)
                 part = batch.slice(begin, len(texts))
                 share = np.zeros((len(texts), k))
-                spoken = np.zeros(len(texts))
+                spoken, sure = np.zeros(len(texts)), np.zeros(len(texts))
                 by_word = np.full(len(table.hashes), k)
                 if k and len(table.hashes):
                     own = _distinct(table)
@@ -257,6 +257,7 @@ def _predicted(shared, labels: bool):
                     by_word[lettered] = flat[lettered].argmax(1)
                     owner = table.owners[lettered]
                     spoken = np.bincount(owner, minlength=len(texts))
+                    sure = np.bincount(owner, flat[lettered].max(1), len(texts))
                     share = np.stack([np.bincount(owner, flat[lettered, c], len(texts)) for c in range(k)], 1)
                 best = share.argmax(1) if k else np.zeros(len(texts), int)
                 mute = _texts_without_letters(texts, table) | (spoken == 0)
@@ -265,6 +266,8 @@ def _predicted(shared, labels: bool):
                 out = {name: part.column(name) for name in part.schema.names if name != "text"}
                 out["lang_pred"] = pa.array(np.where(mute, UNKNOWN, names[best]), pa.string())
                 out["score"] = pa.array(score)
+                if certainty:
+                    out["certainty"] = pa.array(np.where(mute, 0.0, np.clip(sure / np.maximum(spoken, 1), 0, 1)))
                 if labels:
                     out["word_langs"] = pa.ListArray.from_arrays(pa.array(table.bounds.astype(np.int32)), pa.array(names[by_word], pa.string()))
                 yield pa.RecordBatch.from_pydict(out)
@@ -333,17 +336,22 @@ def keep_identified(
     lang_column: str = "lang",
     docs_per_language: int = DOCS_PER_LANGUAGE,
 ) -> DataFrame:
-    """The rows, with all columns, whose language is known with at least ``min_score``.
+    """The rows, with all columns, whose words have a language with a certainty of ``min_score``.
 
-    Decided where the rows are read, without a shuffle.
+    A text's certainty is the mean, over its words that have letters, of the largest
+    probability of a language. It is no share: a text of several languages is as certain as
+    its words are. Texts that are null or have no letter have none and are left out. All
+    rows are kept if nothing could be learned. Decided where the rows are read, without a shuffle.
     """
     field = _fitted(df, ~held_out(column(id_column)), docs_per_language, id_column, text_column, lang_column)
+    if len(field.languages) != 1 and not field.grams.any():
+        return df
     shared = df.sparkSession.sparkContext.broadcast(field)
 
     @F.arrow_udf("double")
     def certainty(texts: pa.Array) -> pa.Array:
         batches = [pa.RecordBatch.from_arrays([texts], names=["text"])]
-        parts = [b.column("score") for b in _predicted(shared, False)(batches)]
+        parts = [b.column("certainty") for b in _predicted(shared, False, certainty=True)(batches)]
         return pa.concat_arrays(parts) if parts else pa.array([], pa.float64())
 
     return df.filter(certainty(F.coalesce(column(text_column), F.lit(""))) >= min_score)

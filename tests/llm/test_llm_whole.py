@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from test_llm_native import _fill
 
 import corpus_pipeline
-from corpusmill.llm import mixing, queries, token_files
+from corpusmill.llm import language, mixing, queries, token_files
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 NAME = "<|endoftext|>"
@@ -94,3 +94,29 @@ def test_budgets_by_brute_force(spark, budget):
     leaves = spark.createDataFrame([(*k, n) for k, n in tokens.items()], "lang string, source string, tokens bigint")
     got = mixing.budgets(leaves, ["lang", "source"], weights, budget * sum(tokens.values()), 3).collect()
     assert {(r.lang, r.source): r.budget for r in got} == {k: int(v + 1e-6) for k, v in expected.items()}
+
+
+def _spoken(rng, letters, n):
+    return " ".join("".join(rng.choice(list(letters), int(rng.integers(3, 8)))) for _ in range(n))
+
+
+def test_texts_of_three_languages_are_kept(spark):
+    rng, letters = np.random.default_rng(5), {"one": "abcde", "two": "ghijk", "three": "mnopq"}
+    rows = [(i, _spoken(rng, letters[x], 40), x, "src1", 0) for i, x in enumerate(list(letters) * 30)]
+    rows += [(200 + i, " ".join(_spoken(rng, x, 20) for x in letters.values()), None, "src1", 0) for i in range(5)]
+    rows += [(300, None, "one", "src1", 0), (301, "12 34", "two", "src1", 0)]
+    df = spark.createDataFrame(rows, DOCUMENTS).repartition(3)
+    scores = {r.doc_id: r.score for r in language.predict_languages(df).collect()}
+    assert all(scores[200 + i] < 0.4 for i in range(5))
+    kept = language.keep_identified(df)
+    assert sorted(r.doc_id for r in kept.collect()) == [r[0] for r in rows[:-2]]
+    for nothing in (F.lit(None).cast("string"), F.when(F.col("doc_id") >= 300, F.col("lang"))):
+        unlabelled = df.withColumn("lang", nothing)
+        assert language.keep_identified(unlabelled.filter("doc_id != 300")).count() == len(rows) - 1
+
+
+def test_every_clean_document_is_kept(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    mute = spark.createDataFrame([(900, None, "en", "src1", 0), (901, "12 34", "en", "src1", 5)], docs.schema)
+    kept = corpus_pipeline.identify_language(spark, docs.unionByName(mute), "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in docs.collect())
