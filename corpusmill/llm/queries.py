@@ -23,8 +23,9 @@ from corpusmill.session import scratch_path, ship_package
 VOCABULARY = "byte_bpe_50k.json"
 
 
-# Four domains of five sources each, and what they shall have of the mixture.
-DOMAIN = "concat('d', cast(cast(regexp_extract(source, '[0-9]+', 0) as int) div 5 as string))"
+# Four domains of five sources each, and what they shall have of the mixture. Sources
+# without a number (of 64 bits) are a domain of their own, null.
+DOMAIN = "concat('d', cast(try_cast(regexp_extract(source, '[0-9]+', 0) as bigint) div 5 as string))"
 WEIGHTS = [
     {"d0": 0.4, "d1": 0.3, "d2": 0.2, "d3": 0.1},
     {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2},

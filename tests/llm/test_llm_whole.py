@@ -96,6 +96,17 @@ def test_budgets_by_brute_force(spark, budget):
     assert {(r.lang, r.source): r.budget for r in got} == {k: int(v + 1e-6) for k, v in expected.items()}
 
 
+def test_domains_of_any_source(spark, tmp_path):
+    sources = ["src7", "web", "", None, "src123456789012", "9" * 30]
+    docs = spark.createDataFrame([(i, f"word {i}", "en", s, 0) for i, s in enumerate(sources * 2)], DOCUMENTS)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.source: r.domain for r in docs.selectExpr("source", f"{queries.DOMAIN} as domain").collect()}
+    assert found == {"src7": "d1", "web": None, "": None, None: None, "src123456789012": "d24691357802", "9" * 30: None}
+    mixed = corpus_pipeline.mix_sources(spark, docs, str(tmp_path)).collect()
+    assert sum(len(r.text.split()) for r in mixed) <= 2 * docs.count() and {r.source for r in mixed} == set(sources)
+    assert {r.domain for r in queries.op9_weighted_mixture(spark, str(tmp_path)).collect()} <= set(found.values())
+
+
 def _spoken(rng, letters, n):
     return " ".join("".join(rng.choice(list(letters), int(rng.integers(3, 8)))) for _ in range(n))
 
