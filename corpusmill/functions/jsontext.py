@@ -7,6 +7,7 @@ parallel parse into VARIANT only tells the kind of each value.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -38,6 +39,9 @@ ARROW_ENTRIES = pa.list_(
         ]
     )
 )
+# The same, with the names of the metadata that Python spelled.
+_SPELLED = pa.list_(pa.struct([*ARROW_ENTRIES.value_type, ("spelled", pa.list_(pa.string()))]))
+_SPELLED_TYPE = T.ArrayType(T.StructType([*ENTRY_TYPE.elementType.fields, T.StructField("spelled", T.ArrayType(T.StringType()))]))
 # Characters; a variant holds less than 128 MB.
 _LARGE_TEXT = 16_000_000
 # JSON proper: no single quotes.
@@ -173,7 +177,10 @@ def whole_text_entries(
     non-empty list, with the object's scalars as context, or else a single document.
     """
     is_large = F.length(text) > _LARGE_TEXT
-    large = _entries_of_large_text(content_key, metadata_keys)(F.when(is_large, text))
+    large = F.transform(
+        _entries_of_large_text(content_key, metadata_keys)(F.when(is_large, text)),
+        lambda e: F.struct(e["seq_num"], e["content"], e["is_json"], _respelled(e).alias("metadata")),
+    )
     return F.when(is_large, large).otherwise(
         let(one_value(text), lambda value: _value_entries(text, value, content_key, metadata_keys))
     )
@@ -219,6 +226,14 @@ def _value_entries(
     return let(_described(text, value), by_kind)
 
 
+def _respelled(entry: Column) -> Column:
+    """Metadata with numbers, and those in nested values, spelled as texts of any size spell them."""
+    anew = lambda v: F.coalesce(F.get(_parsed(F.concat(F.lit("["), v, F.lit("]")), "array<string>"), 0), v)
+    return F.transform_values(
+        entry["metadata"], lambda k, v: F.when(F.array_contains(entry["spelled"], k), anew(v)).otherwise(v)
+    )
+
+
 def _entries_of_large_text(content_key: str | None, metadata_keys: list[str] | None):
     """The same rules in Python, for texts beyond what a variant can hold."""
 
@@ -256,11 +271,12 @@ def _entries_of_large_text(content_key: str | None, metadata_keys: list[str] | N
             metadata |= around | own
             content = item if content_key is None else item.get(content_key, "")
         pairs = [(k, metadata_text(v)) for k, v in metadata.items()]
-        return {"seq_num": i, "content": _shown(content), "is_json": False, "metadata": pairs}
+        spelled = [k for k, v in metadata.items() if not is_scalar(v) or isinstance(v, float) and math.isfinite(v)]
+        return {"seq_num": i, "content": _shown(content), "is_json": False, "metadata": pairs, "spelled": spelled}
 
-    @F.arrow_udf(ENTRY_TYPE)
+    @F.arrow_udf(_SPELLED_TYPE)
     def large_text(texts: pa.Array) -> pa.Array:
-        return pa.array([entries(t) for t in texts.to_pylist()], ARROW_ENTRIES)
+        return pa.array([entries(t) for t in texts.to_pylist()], _SPELLED)
 
     return large_text
 

@@ -135,3 +135,20 @@ def test_numbers_that_are_none(spark, monkeypatch):
         monkeypatch.setattr(jsontext, "_LARGE_TEXT", limit)
         found.append(jsonlike.json_documents(files(spark, text)).collect()[0].metadata)
     assert found[0] == found[1] == {"a": "NaN", "b": "-Infinity", "c": "NaN", "d": "1.5"}
+
+
+NUMBERS = "0.0005 12345678.5 1e20 1.0E23 1e7 0.001 -1.5e-7 1.50 -0.0 1e400 5e-324 100000000000000000000 7".split()
+
+
+@pytest.mark.parametrize("options", [{}, {"metadata_keys": ["a", "l", "o"]}, {"content_key": "o"}])
+def test_numbers_have_one_spelling(spark, options, monkeypatch):
+    """Texts of any size give the same values."""
+    items = [f'{{"a": {n}, "l": [{n}, "é\\n"], "o": {{"{n}": {n}}}, "s": "{n}"}}' for n in NUMBERS if n != "1e400"]
+    text = f'{{"c": 0.0005, "e": 1e400, "items": [{", ".join(items)}]}}'
+    found = []
+    for limit in (jsontext._LARGE_TEXT, 1):
+        monkeypatch.setattr(jsontext, "_LARGE_TEXT", limit)
+        found.append(documents(spark, text, **options))
+    assert found[0] == found[1] and len(found[0]) == len(NUMBERS) - 1
+    own = found[0][0][1]
+    assert (own["a"], own["context_c"], own["context_e"]) == ("5.0E-4", "5.0E-4", "Infinity")
