@@ -4,7 +4,11 @@ from __future__ import annotations
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1, "op2_quote_links": OP2, "op4_byte_shards": OP4, "op6_benchmark_containment": OP6, "op8_jaccard_links": OP8, "op9_weighted_mixture": OP9, "op10_repeated_passages": OP10}
+    return {
+        "op1_exact_dedup": OP1, "op2_quote_links": OP2, "op4_byte_shards": OP4, "op6_benchmark_containment": OP6,
+        "op8_jaccard_links": OP8, "op9_weighted_mixture": OP9, "op10_repeated_passages": OP10,
+        "op12_prefix_trie": OP12, "op13_importance_resampling": OP13,
+    }
 
 
 OP1 = r"""
@@ -168,6 +172,85 @@ FROM p
 """
 
 
+def _crc32(value: str) -> str:
+    """The CRC-32 of a string, as a number."""
+    halves = (
+        f"flatten(list_transform(regexp_extract_all(hex(encode({value})), '..'), "
+        "lambda b: [strpos('0123456789ABCDEF', b[2]) - 1, strpos('0123456789ABCDEF', b[1]) - 1]))"
+    )
+    step = f"xor(a >> 4, {_crc_steps()}[(xor(a, x) & 15) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {halves}), lambda a, x: {step}), 4294967295)"
+
+
+OP12 = rf"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+n AS (SELECT c, count(*) AS n, c - c % 100 AS b, {_crc32("c::VARCHAR")} % 6 AS h FROM t GROUP BY c),
+k AS (SELECT n.*, least(n.h, coalesce(x.n, 0)) AS k FROM n LEFT JOIN n x ON x.c = n.b),
+r AS (
+  SELECT k.c, pos AS d, role, text FROM k JOIN t ON t.c = k.b AND pos <= k.h
+  UNION ALL SELECT k.c, pos - h + k, role, text FROM k JOIN t ON t.c = k.c AND pos > h
+),
+p AS (
+  SELECT c, d, length(text) AS chars,
+         md5(string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY d)) AS key
+  FROM r
+  UNION ALL SELECT c, 0, 0, '' FROM n
+),
+v AS (SELECT d, key, min(c) AS c, count(*) AS n, max(chars) AS chars FROM p GROUP BY d, key),
+o AS (SELECT p.c, p.d, v.c AS owner FROM p JOIN v USING (d, key)),
+e AS (SELECT owner AS c, d, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM o
+      WHERE (c, d) IN (SELECT c, max(d) FROM p GROUP BY c) GROUP BY owner, d),
+u AS (SELECT v.c, v.d, v.n, v.chars, o.owner AS parent FROM v LEFT JOIN o ON o.c = v.c AND o.d = v.d - 1),
+m AS (SELECT parent AS c, d - 1 AS d, count(*) AS n_children FROM u WHERE d > 0 GROUP BY ALL),
+w AS (SELECT u.*, coalesce(n_children, 0) AS n_children FROM u LEFT JOIN m USING (c, d)),
+s AS (
+  SELECT o.owner AS c, o.d, count_if(n_children = 0) AS n_leaves, sum((n - 1) * chars)::BIGINT AS saved_tokens
+  FROM w JOIN o ON o.c = w.c AND o.d <= w.d GROUP BY ALL
+)
+SELECT c AS conv_id, d AS depth, parent AS parent_conv_id, n AS n_convs, n_children, n_leaves, saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM w JOIN s USING (c, d) LEFT JOIN e USING (c, d)
+"""
+
+OP13 = rf"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents
+),
+b AS (
+  SELECT unnest(list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS f FROM benchmark
+),
+dw AS (SELECT doc_id, f, count(*) AS n FROM (SELECT doc_id, unnest(w) AS f FROM d) GROUP BY ALL),
+s1 AS (SELECT f, sum(n)::BIGINT AS n FROM dw GROUP BY f),
+t1 AS (SELECT f, count(*) AS n FROM b GROUP BY f),
+v AS (SELECT f, {_crc32("f")} % 10000 AS bucket FROM (SELECT f FROM s1 UNION SELECT f FROM t1)),
+s AS (SELECT bucket, sum(n)::BIGINT AS n FROM s1 JOIN v USING (f) GROUP BY bucket),
+t AS (SELECT bucket, sum(n)::BIGINT AS n FROM t1 JOIN v USING (f) GROUP BY bucket),
+g AS (
+  SELECT v.f, floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE)
+    / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM v LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)
+),
+k AS (SELECT doc_id, sum(n * gain)::BIGINT AS weight FROM dw JOIN g USING (f) GROUP BY doc_id),
+c AS (
+  SELECT doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM d LEFT JOIN k USING (doc_id)
+),
+r AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () * 10 // 100 AS drawn
+  FROM c WHERE n_features >= 20
+)
+SELECT c.doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank
+FROM c LEFT JOIN r USING (doc_id)
+"""
+
+
 def _passages(text: str) -> str:
     squeezed = r"list_transform(string_split_regex({}, '\n\s*\n'), lambda p: lower(trim(regexp_replace(p, '\s+', ' ', 'g'))))"
     return f"list_filter({squeezed.format(text)}, lambda p: p <> '')"

@@ -12,10 +12,12 @@ from corpusmill.llm import (
     language,
     mixing,
     quotes,
+    resampling,
     scoring,
     sharding,
     substrings,
     token_files,
+    tries,
 )
 from corpusmill.session import scratch_path, ship_package
 
@@ -94,5 +96,14 @@ def op10_repeated_passages(spark, sf_dir):
     return substrings.repeated_spans(_documents(spark, sf_dir)).drop("spans", "text_key")
 
 
+def op12_prefix_trie(spark, sf_dir):
+    turns = tries.ordered_turns(_table(spark, sf_dir, "conversations"))
+    return tries.with_end_digests(tries.prefix_trie(*tries.with_borrowed_heads(turns)))
+
+
+def op13_importance_resampling(spark, sf_dir):
+    return resampling.resample(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
 def all_queries():
     return {name: f for name, f in globals().items() if name.startswith("op")}
