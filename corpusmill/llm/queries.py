@@ -17,6 +17,7 @@ from corpusmill.llm import (
     sharding,
     substrings,
     token_files,
+    toxicity,
     tries,
 )
 from corpusmill.session import scratch_path, ship_package
@@ -96,6 +97,10 @@ def op10_repeated_passages(spark, sf_dir):
     return substrings.repeated_spans(_documents(spark, sf_dir)).drop("spans", "text_key")
 
 
+def op11_kernel_toxicity(spark, sf_dir):
+    return toxicity.score_toxicity(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
 def op12_prefix_trie(spark, sf_dir):
     turns = tries.ordered_turns(_table(spark, sf_dir, "conversations"))
     return tries.with_end_digests(tries.prefix_trie(*tries.with_borrowed_heads(turns)))

@@ -282,6 +282,6 @@ def resample(
 
 def drawn_rows(df: DataFrame, target: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
     """The rows of ``df``, with all columns, whose id is drawn; every row of a drawn id stays."""
-    chosen = resample(df, target, id_column, **options).filter("rank IS NOT NULL").select("doc_id").distinct()
-    chosen = materialize(chosen, "drawn")
-    return df.join(chosen, column(id_column).eqNullSafe(chosen["doc_id"]), "left_semi")
+    chosen = resample(df, target, id_column, **options).filter("rank IS NOT NULL").select(F.col("doc_id").alias("_drawn_id"))
+    chosen = materialize(chosen.distinct(), "drawn")
+    return df.join(chosen, column(id_column).eqNullSafe(F.col("_drawn_id")), "left_semi")
