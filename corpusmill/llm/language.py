@@ -7,8 +7,8 @@ languages, also where languages are mixed; a text's language is the one with the
 share of its words.
 
 The field is fitted on a bounded sample of labelled rows: at most ``docs_per_language`` rows
-of each label (more than ``MAX_LANGUAGES`` labels are an error), by a hash of the id, of texts up to ``SAMPLE_CHARS``. The sampled texts are cut into
-short spans and spliced in random order, so that the transitions see changes of language.
+of each of the ``MAX_LANGUAGES`` most frequent labels, by a hash of the id, of texts up to
+``SAMPLE_CHARS``; rarer labels are not learned. The sampled texts are cut into short spans and spliced in random order, so that the transitions see changes of language.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ TABLE_BITS = 17
 LEXICON_COUNT = 3
 ROUNDS, RATE, DECAY = 40, 0.15, 1e-3
 UNKNOWN = "und"
+FIELD_BYTES = 1 << 20  # of text looked at together: features take some hundred bytes a letter
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 
@@ -241,7 +243,7 @@ def _predicted(shared, labels: bool, certainty: bool = False):
         k = len(field.languages)
         names = np.array([*field.languages, UNKNOWN], dtype=object)
         for batch in batches:
-            for begin, texts in w.pieces(batch.column("text")):
+            for begin, texts in w.pieces(batch.column("text"), FIELD_BYTES):
                 table = w.words(texts, fold=True)
                 part = batch.slice(begin, len(texts))
                 share = np.zeros((len(texts), k))
@@ -275,6 +277,21 @@ def _predicted(shared, labels: bool, certainty: bool = False):
     return run
 
 
+def _identified(shared, min_score: float):
+    """The rows whose text is certain enough; the text is the column added last."""
+
+    def run(batches):
+        certainty = _predicted(shared, False, certainty=True)
+        for batch in batches:
+            rows, texts = batch.select(range(batch.num_columns - 1)), batch.column(batch.num_columns - 1)
+            parts = certainty([pa.RecordBatch.from_arrays([texts], names=["text"])])
+            sure = [pc.greater_equal(part.column("certainty"), min_score) for part in parts]
+            if sure:
+                yield rows.filter(pa.concat_arrays(sure))
+
+    return run
+
+
 def training_sample(
     df: DataFrame, learn: Column, docs_per_language: int, id_column: str, text_column: str, lang_column: str
 ) -> DataFrame:
@@ -285,8 +302,7 @@ def training_sample(
         F.pmod(F.xxhash64(column(id_column)), F.lit(1_000_000)).alias("draw"), column(id_column).alias("id"),
     )
     sizes = materialize(rows.groupBy("lang").agg(F.count("*").alias("rows")), "labels")
-    if sizes.count() > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} different labels in {lang_column}")
+    sizes = sizes.orderBy(F.desc("rows"), "lang").limit(MAX_LANGUAGES)
     # Twice the rows wanted are drawn by hash, so that only few are sorted.
     drawn = rows.join(F.broadcast(sizes), "lang").filter(F.col("draw") * F.col("rows") <= 2_000_000 * docs_per_language)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "id", "text"))
@@ -347,11 +363,4 @@ def keep_identified(
     if len(field.languages) != 1 and not field.grams.any():
         return df
     shared = df.sparkSession.sparkContext.broadcast(field)
-
-    @F.arrow_udf("double")
-    def certainty(texts: pa.Array) -> pa.Array:
-        batches = [pa.RecordBatch.from_arrays([texts], names=["text"])]
-        parts = [b.column("certainty") for b in _predicted(shared, False, certainty=True)(batches)]
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.float64())
-
-    return df.filter(certainty(F.coalesce(column(text_column), F.lit(""))) >= min_score)
+    return df.withColumn("_identified_text", column(text_column)).mapInArrow(_identified(shared, min_score), df.schema)

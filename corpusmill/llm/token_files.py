@@ -9,7 +9,9 @@ Readers map the files into memory and touch only the documents they are asked fo
 
 from __future__ import annotations
 
+import json
 import re
+import unicodedata
 import uuid
 import zlib
 from array import array
@@ -37,6 +39,8 @@ _CACHED, _CACHED_CHARS = 1_500_000, 64
 _ODD_SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _RUNS = ("  ", " \n", "\n ", "\n\n", *_ODD_SPACES)
 _MARKS = ".,;:!?"
+# What a vocabulary file says when PIECES is its pattern and nothing else is done to a text.
+_USUAL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 _encoders: dict[tuple[str, str, bool], _Encoder] = {}
 
 
@@ -47,16 +51,37 @@ def _byte_letters() -> dict[int, int]:
     return dict(zip(plain, plain, strict=True)) | {b: 256 + i for i, b in enumerate(others)}
 
 
+def _disputed() -> re.Pattern:
+    """Characters that versions of Unicode may put into different classes of ``PIECES``.
+
+    Those of one class in Unicode 3.2 and in Python's version are in that class in the
+    versions between, which the library and ``regex`` have; all others are disputed.
+    """
+    kind = lambda data, c: "S" if c.isspace() else data.category(c)[0] if data.category(c)[0] in "LN" else data.category(c) == "Cn"
+    old, ranges = unicodedata.ucd_3_2_0, []
+    for point in range(128, 0x110000):
+        c = chr(point)
+        if old.category(c) == "Cn" or kind(old, c) != kind(unicodedata, c):
+            if ranges and ranges[-1][1] == point - 1:
+                ranges[-1][1] = point
+            else:
+                ranges.append([point, point])
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges) + "]")
+
+
 class _Chunks(dict):
     """Ids of chunks that follow ``lead``, as bytes; a bounded number of short ones is kept."""
 
     def __init__(self, encoder: _Encoder, lead: str):
         self.pieces, self.word, self.lead = encoder.pieces, encoder.word, lead
         self.marks = {m: encoder.pieces(m) for m in _MARKS}
+        self.encoder = encoder
 
     def __missing__(self, chunk: str) -> bytes:
         mark = self.marks.get(chunk[-1:])
-        if mark is not None and chunk[:-1].isalpha():  # a word and the mark after it never merge
+        if not chunk.isascii() and self.encoder.disputed.search(chunk):
+            encoded = self.encoder.library(self.lead + chunk)
+        elif mark is not None and chunk[:-1].isalpha():  # a word and the mark after it never merge
             encoded = self[chunk[:-1]] + mark
         elif chunk.isalpha():
             encoded = self.word(self.lead + chunk)
@@ -76,6 +101,13 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = encode_special_tokens
         self.model, self.code = self.tokenizer.model, DTYPES[dtype]
+        whole = json.loads(self.tokenizer.to_str())
+        pattern, model = whole["pre_tokenizer"] or {}, whole["model"]
+        usual = {k: v for k, v in pattern.items() if k in _USUAL} == _USUAL and whole["normalizer"] is None
+        odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix") if model.get(k)]
+        # Another pattern, normaliser or model leaves the cutting to the library.
+        self.usual = usual and model["type"] == "BPE" and not odd
+        self.disputed = _disputed()
         self.split, self.letters = regex.compile(PIECES).findall, _byte_letters()
         self.blank = chr(self.letters[32])
         self.after_blank, self.at_start, self.others = _Chunks(self, " "), _Chunks(self, ""), _Chunks(self, "")
@@ -103,12 +135,17 @@ class _Encoder:
             ids.extend([t.id for t in self.model.tokenize(spelled)])
         return ids.tobytes()
 
+    def library(self, text: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
     def encode(self, text: str) -> bytes:
+        if not self.usual:
+            return self.library(text)
         parts = self.names.split(text) if self.names else [text]
         if len(parts) == 1:
             return self.ordinary(text)
         if not self.plain:  # names that look at or take what is beside them
-            return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            return self.library(text)
         named = lambda name: array(self.code, [self.added[name]]).tobytes()
         return b"".join(named(part) if i % 2 else self.ordinary(part) for i, part in enumerate(parts))
 
@@ -131,14 +168,16 @@ class _Encoder:
         return self.others[chunk] if chunk[0].isspace() else self.at_start[chunk]
 
 
-def byte_level_encoder(path: str, dtype: str = "uint16", encode_special_tokens: bool = True) -> Callable[[str], bytes]:
+def byte_level_encoder(path: str, dtype: str = "uint16", encode_special_tokens: bool = False) -> Callable[[str], bytes]:
     """Ids of a text under a byte-level vocabulary file, as little-endian bytes.
 
     The ids are those of ``Tokenizer.encode(text, add_special_tokens=False)``. As in the
     library, ``encode_special_tokens`` reads the names of special tokens as ordinary text;
-    without it (the library's default) each name gives the id of its token. Texts are cut at
-    the names of added tokens, and where the vocabulary's own pattern always cuts, so that
-    every distinct chunk is encoded once per worker.
+    without it (the default) each name gives the id of its token. Texts are cut at the
+    names of added tokens, and where the vocabulary's own pattern always cuts, so that every
+    distinct chunk is encoded once per worker. The library itself encodes chunks with
+    characters on whose class versions of Unicode disagree, and whole texts if the
+    file has a normaliser, another pattern or another model.
     """
 
     def encode(text: str) -> bytes:

@@ -141,8 +141,10 @@ def test_mixture(hard, budget):
     leaves = defaultdict(list)
     for i, t, lang, source, *_ in hard_rows():
         leaves[(lang, source)].append(("" if i is None else str(i), len(WORDS.findall(t or ""))))
-    caps = {k: 3 * sum(n for _, n in v) for k, v in leaves.items()}
-    total = budget * sum(caps.values()) / 3 if isinstance(budget, float) else budget
+    # A leaf of weight 0 may give nothing, so it counts for no cap above it.
+    words = {k: sum(n for _, n in v) for k, v in leaves.items()}
+    caps = {k: 3 * n if weights[1].get(k[1], 1.0) else 0 for k, n in words.items()}
+    total = budget * sum(words.values()) if isinstance(budget, float) else budget
     langs = {lang for lang, _ in leaves}
     top = _fill(min(total, sum(caps.values())), {a: (sum(c for k, c in caps.items() if k[0] == a), weights[0].get(a, 1.0)) for a in langs})
     expected = 0

@@ -289,7 +289,6 @@ def library():
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocabulary())
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -300,6 +299,29 @@ def test_encoder(library, text):
     assert np.frombuffer(encode(text), "<u2").tolist() == library(text)
 
 
+def test_encoder_knows_every_character(library):
+    """Each code point, assigned or not, beside what the pattern looks at."""
+    encode = token_files.byte_level_encoder(vocabulary())
+    points = [p for p in range(0x110000) if not 0xD800 <= p < 0xE000 and (p < 0x3400 or p % 7 == 0 or 0xA000 <= p < 0x20000)]
+    for start in range(0, len(points), 512):
+        text = "".join(f"{chr(p)}'s a{chr(p)} {chr(p)}1 \u0301{chr(p)}\n" for p in points[start : start + 512])
+        assert np.frombuffer(encode(text), "<u2").tolist() == library(text), hex(points[start])
+
+
+def test_other_patterns_are_left_to_the_library(tmp_path):
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    texts = ["It's  Ünïcode 123\n", "", " x", "don't"]
+    for n, change in enumerate((("pre_tokenizer", pre_tokenizers.ByteLevel(add_prefix_space=True)), ("normalizer", normalizers.Lowercase()))):
+        other = Tokenizer.from_file(vocabulary())
+        setattr(other, *change)
+        path = str(tmp_path / f"{n}.json")
+        other.save(path)
+        encode = token_files.byte_level_encoder(path)
+        for text in texts:
+            assert np.frombuffer(encode(text), "<u2").tolist() == other.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("dtype", ["uint16", "uint32"])
 def test_token_files(hard, library, tmp_path, dtype):
     path = str(tmp_path / "tokens")
