@@ -151,6 +151,30 @@ def _marginals(scores: np.ndarray, lengths: np.ndarray, steps: np.ndarray, first
     return each, pairs * move, each[:, 0].sum(0)
 
 
+def _chained(scores: np.ndarray, bounds: np.ndarray, steps: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Forward-backward over whole texts: the distribution of each word, text ``i`` at ``bounds[i]:bounds[i + 1]``.
+
+    Each step takes the next word of all texts that are long enough, the longest first.
+    """
+    lengths = np.diff(bounds)
+    order = np.argsort(-lengths, kind="stable")
+    begin = bounds[:-1][order]
+    active = len(lengths) - np.searchsorted(np.sort(lengths), np.arange(lengths.max(initial=0) + 1), "right")
+    e = np.exp(scores - scores.max(1, keepdims=True))
+    move, start = np.exp(steps), np.exp(first)
+    ahead, back = np.empty_like(e), np.full_like(e, 1 / max(e.shape[1], 1))
+    for t in range(len(active) - 1):
+        at = begin[: active[t]] + t
+        a = ((ahead[at - 1] @ move) if t else start) * e[at]
+        ahead[at] = a / a.sum(1, keepdims=True)
+    for t in range(len(active) - 3, -1, -1):
+        at = begin[: active[t + 1]] + t
+        b = (e[at + 1] * back[at + 1]) @ move.T
+        back[at] = b / b.sum(1, keepdims=True)
+    each = ahead * back
+    return each / each.sum(1, keepdims=True)
+
+
 def _spliced(texts: list[str], labels: list[int]) -> tuple[list[str], list[np.ndarray]]:
     """Training sequences: spans of all sampled texts, in random order, one after the other."""
     rng = np.random.default_rng(17)
@@ -252,9 +276,7 @@ def _predicted(shared, labels: bool, certainty: bool = False):
                 if k and len(table.hashes):
                     own = _distinct(table)
                     scores = _word_scores(own, field.grams, _find(field.lexicon, own.hashes), field.entries)
-                    positions, lengths = _padded(table.bounds)
-                    each, _, _ = _marginals(scores.astype(np.float32)[own.at][positions], lengths, field.steps, field.first)
-                    flat = each[np.arange(SEQUENCE) < lengths[:, None]]
+                    flat = _chained(scores.astype(np.float32)[own.at], table.bounds, field.steps, field.first)
                     lettered = own.letters[own.at]
                     by_word[lettered] = flat[lettered].argmax(1)
                     owner = table.owners[lettered]

@@ -281,6 +281,20 @@ def test_marginals_are_exact():
     assert np.allclose(got[0, :4], each / total)
 
 
+def test_texts_are_one_chain():
+    """Texts of any length, side by side, against one padded sequence each."""
+    rng = np.random.default_rng(2)
+    lengths = [0, 1, 150, 2, 0, 65, 64, 1]
+    bounds = np.cumsum([0, *lengths])
+    scores, steps, first = rng.normal(size=(bounds[-1], 3)), rng.normal(size=(3, 3)), rng.normal(size=3)
+    got = language._chained(scores, bounds, steps, first)
+    for n, b in zip(lengths, bounds[:-1], strict=True):
+        if n:
+            each, _, _ = language._marginals(scores[None, b : b + n], np.array([n]), steps, first)
+            assert np.allclose(got[b : b + n], each[0])
+    assert language._chained(scores[:0], np.zeros(3, int), steps, first).shape == (0, 3)
+
+
 SPELLED = [*"ab'stlmre1½ .,!?\n\t\r\x0b\x1c\x85\xa0é漢", " ", "\n", " ", "　", "​", "'ll", "<|endoftext|>", "\U0001f389"]
 
 
