@@ -340,7 +340,7 @@ def csv_documents(spark, sf_dir):
     )
     path = scratch_path(spark, "orders-csv")
     _write_bucketed(orders, path, "_order", lambda w, p: w.option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(p, header=True))
-    loaded = delimited.csv_documents(spark, path, multi_line=False)
+    loaded = delimited.csv_documents(spark, path)
     return loaded.select(_bucket_of("source").alias("bucket"), F.col("row").cast("bigint").alias("row"), "page_content")
 
 

@@ -9,20 +9,14 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusmill.functions import text as tx
 from corpusmill.functions.jsontext import ARROW_ENTRIES, ENTRY_TYPE
-from corpusmill.sources.files import checked_utf8, number_rows, with_scan_position
-
-_RAW = "_raw_record"
-
-
-def record_content(pairs: Sequence[tuple[str, Column]]) -> Column:
-    """``"name: value"`` lines with both sides stripped."""
-    lines = [F.concat(F.lit(name.strip() + ": "), tx.strip(value)) for name, value in pairs]
-    return F.concat_ws("\n", *lines)
+from corpusmill.session import materialize
+from corpusmill.sources.records import Dialect, delimited_records
 
+# Entries of some hundred bytes.
+BROADCAST_FILES = 1_000_000
 
 def csv_documents(
     spark: SparkSession,
@@ -33,112 +27,73 @@ def csv_documents(
     delimiter: str = ",",
     quotechar: str = '"',
     fieldnames: Sequence[str] | None = None,
-    multi_line: bool = True,
     encoding: str = "UTF-8",
     autodetect: bool = False,
 ) -> DataFrame:
     """``(source, row, page_content, metadata)``, one row per record.
 
-    All files share one header, or ``fieldnames`` if they have none; a file with another
-    header is an error (unless the header repeats a name, which cannot be compared). Set
-    ``multi_line=False`` when no quoted value holds a newline: large files are then
-    read in parallel blocks.
+    Every file has its own header, or all have ``fieldnames``: values are picked by name
+    for each file, so files may name other columns, in another order or twice (the last
+    value counts, at the first place). A file that lacks a chosen column is an error.
+    Files of any size are read in blocks side by side, quoted line breaks included.
 
-    Files are UTF-8 unless ``encoding`` says otherwise; a value that is not UTF-8 is an
+    Files are UTF-8 unless ``encoding`` says otherwise; a line that is not UTF-8 is an
     error, or is taken as ISO-8859-1 with ``autodetect``.
     """
-    by_bytes = encoding.upper() in ("UTF-8", "UTF8")
-    options = {
-        "sep": delimiter, "quote": quotechar, "escape": quotechar, "multiLine": multi_line,
-        # ISO-8859-1 hands on every byte, so that UTF-8 can be checked afterwards.
-        "encoding": "ISO-8859-1" if by_bytes else encoding, "header": fieldnames is None, "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": _RAW, "recursiveFileLookup": True,
-    }
-    raw_names = list(fieldnames) if fieldnames else _header(spark, paths, options)
-    names = raw_names
-    if by_bytes and not fieldnames:
-        names = [_decoded_name(n, autodetect) for n in raw_names]
+    dialect = Dialect(delimiter, quotechar, encoding, autodetect)
+    records, headers = delimited_records(spark, paths, dialect)
+    if fieldnames:
+        names = F.array(*[F.lit(n) for n in fieldnames])
+        headers = headers.limit(1).select(names.alias("header"))
+    elif headers.isEmpty():
+        raise ValueError(f"no header in {paths}")
     for wanted in [*([source_column] if source_column else []), *metadata_columns]:
-        if wanted not in names:
-            raise ValueError(f"column {wanted!r} not found in {names}")
-    # Under their own names the columns are compared with the header of every file.
-    # Positions stand in for names that are missing or repeat.
-    folded = [n.lower() for n in raw_names]
-    comparable = not fieldnames and len({*folded, _RAW}) == len(names) + 1 and all(n.strip() for n in raw_names)
-    given_names = raw_names if comparable else [f"c{i}" for i in range(len(names))]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in given_names]).add(_RAW, T.StringType())
-    read = spark.read.schema(schema).options(**options, enforceSchema=not comparable).csv(paths)
-    read = with_scan_position(read).toDF(*[f"c{i}" for i in range(len(names))], _RAW, "file_path", "_block", "_position")
-    if by_bytes:
-        text = lambda c: _checked(F.col(c), F.col("file_path"), autodetect)
-        read = read.withColumns({c: text(c) for c in [*read.columns[: len(names)], _RAW]})
-    records = number_rows(read, "row")
-
-    # The raw record is present exactly when the number of values is not the number
-    # of names; everywhere else a null is an empty value.
-    raw = F.col(_RAW)
-    given = F.when(raw.isNotNull(), F.size(_fields(raw, delimiter, quotechar))).otherwise(len(names))
-    column = {}
-    for i, name in enumerate(names):
-        absent = F.lit(i) >= given
-        column[name] = F.when(~absent, F.coalesce(F.col(f"c{i}"), F.lit("")))
-    shown = [n for n in column if (n in content_columns if content_columns else n not in metadata_columns)]
-    content = record_content([(n, F.coalesce(column[n], F.lit("None"))) for n in shown])
+        without = headers.filter(~F.array_contains("header", wanted)).first()
+        if without is not None:
+            raise ValueError(f"column {wanted!r} not found in {without['header']}")
+    if fieldnames:
+        named = records.withColumns(_picked(names, source_column, metadata_columns, content_columns))
+    else:
+        catalogue = materialize(
+            headers.select("file_path", *[c.alias(k) for k, c in _picked(F.col("header"), source_column, metadata_columns, content_columns).items()]),
+            "csv-header-catalogue",
+        )
+        # One entry a file; beyond a million files they are joined by a shuffle.
+        side = F.broadcast(catalogue) if catalogue.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES else catalogue
+        named = records.filter("row > 0").withColumn("row", F.col("row") - 1).join(side, "file_path")
+    value = lambda place: F.try_element_at(F.col("fields"), place)
+    absent = lambda place: F.coalesce(value(place), F.lit("None"))
+    lines = F.transform("_shown", lambda x: F.concat(tx.strip(x["name"]), F.lit(": "), tx.strip(absent(x["place"]))))
     if not content_columns:
-        extras = F.slice(_fields(raw, delimiter, quotechar), len(names) + 1, 2_000_000_000)
-        extra_line = F.concat(F.lit("\nNone: "), F.array_join(F.transform(extras, tx.strip), ","))
-        content = F.when(raw.isNotNull() & (given > len(names)), F.concat(content, extra_line)).otherwise(content)
-    metadata = F.create_map(*[x for n in metadata_columns for x in (F.lit(n), column[n])])
-    return records.select(
-        (column[source_column] if source_column else F.col("file_path")).alias("source"),
+        extras = F.transform(F.slice("fields", F.col("_width") + 1, F.greatest(F.size("fields") - F.col("_width"), F.lit(0))), tx.strip)
+        more = F.array(F.concat(F.lit("None: "), F.array_join(extras, ",")))
+        lines = F.when(F.size("fields") > F.col("_width"), F.concat(lines, more)).otherwise(lines)
+    metadata = F.map_from_entries(F.transform("_kept", lambda x: F.struct(x["name"], value(x["place"]))))
+    return named.select(
+        (value(F.col("_source")) if source_column else F.col("file_path")).alias("source"),
         F.col("row"),
-        content.alias("page_content"),
+        F.array_join(lines, "\n").alias("page_content"),
         metadata.cast("map<string,string>").alias("metadata"),
     )
 
 
-def tsv_documents(spark: SparkSession, paths, **options) -> DataFrame:
-    return csv_documents(spark, paths, delimiter="\t", **options)
-
-
-def _checked(value: Column, where: Column, autodetect: bool) -> Column:
-    """The text whose UTF-8 bytes were read as ISO-8859-1 characters."""
-    bytes_ = F.encode(value, "ISO-8859-1").cast("string")
-    return F.when(value.rlike("[^\\x00-\\x7F]"), checked_utf8(bytes_, where, autodetect)).otherwise(value)
-
-
-def _decoded_name(name: str, autodetect: bool) -> str:
-    try:
-        return name.encode("iso-8859-1").decode("utf-8")
-    except UnicodeDecodeError:
-        if autodetect:
-            return name
-        raise ValueError(f"cannot decode the header name {name!r}") from None
-
-
-def _header(spark: SparkSession, paths, options: dict) -> list[str]:
-    """Names in the first record, as written in the file."""
-    first = spark.read.options(**{**options, "header": False}).csv(paths).limit(1).drop(_RAW)
-    rows = first.collect()
-    if not rows:
-        raise ValueError(f"no header in {paths}")
-    return ["" if value is None else value for value in rows[0]]
-
-
-def _fields(record: Column, delimiter: str, quote: str) -> Column:
-    """Values of one raw record, unquoted. Only looked at for ragged records."""
-    d, q = (f"\\x{{{ord(c):x}}}" for c in (delimiter, quote))
-    pattern = f"{d}({q}[^{q}]*(?:{q}{q}[^{q}]*)*{q}|[^{d}]*)"
-    found = F.regexp_extract_all(F.concat(F.lit(delimiter), record), F.lit(pattern), F.lit(1))
+def _picked(names: Column, source_column, metadata_columns, content_columns) -> dict[str, Column]:
+    """Where the values of a file's chosen columns are: a repeated name counts at its last place."""
+    last = lambda name: F.size(names) - F.array_position(F.reverse(names), name).cast("int") + 1
+    placed = lambda own: F.transform(own, lambda name: F.struct(name.alias("name"), last(name).alias("place")))
+    chosen = F.array(*[F.lit(c) for c in (content_columns or metadata_columns)]).cast("array<string>")
+    distinct = F.array_distinct(names)
+    shown = F.filter(distinct, lambda n: F.array_contains(chosen, n) if content_columns else ~F.array_contains(chosen, n))
+    return {
+        "_width": F.size(names),
+        "_shown": placed(shown),
+        "_kept": placed(F.array(*[F.lit(c) for c in dict.fromkeys(metadata_columns)]).cast("array<string>")),
+        "_source": last(F.lit(source_column)) if source_column else F.lit(None).cast("int"),
+    }
 
-    def unquote(value: Column) -> Column:
-        inner = F.substring(value, F.lit(2), F.length(value) - 2)
-        return F.when(
-            F.startswith(value, F.lit(quote)) & (F.length(value) >= 2),
-            F.replace(inner, F.lit(quote * 2), F.lit(quote)),
-        ).otherwise(value)
 
-    return F.transform(found, unquote)
+def tsv_documents(spark: SparkSession, paths, **options) -> DataFrame:
+    return csv_documents(spark, paths, delimiter="\t", **options)
 
 
 def csv_entries(

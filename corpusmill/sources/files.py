@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from corpusmill.session import materialize
 
 # Four numbers each, so about 100 MB; a block has tens of megabytes of text.
-_BROADCAST_BLOCKS = 2_000_000
+BROADCAST_BLOCKS = 2_000_000
 _BOMS = [
     (codecs.BOM_UTF32_LE, "utf-32"),
     (codecs.BOM_UTF32_BE, "utf-32"),
@@ -114,7 +114,7 @@ def number_rows(positioned: DataFrame, name: str) -> DataFrame:
     before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
     starts = materialize(starts, "blocks")
-    if starts.count() <= _BROADCAST_BLOCKS:
+    if starts.count() <= BROADCAST_BLOCKS:
         starts = F.broadcast(starts)
     return (
         keyed.join(starts, ["_file", "_block"])

@@ -77,17 +77,58 @@ def test_tsv_and_latin1(spark, tmp_path):
     assert contents(delimited.tsv_documents(spark, path, encoding="ISO-8859-1")) == ["id: 1\nname: café, crème"]
 
 
-def test_files_of_another_header_are_refused(spark, tmp_path):
-    write(tmp_path, "a.csv", "id,name\n1,ann\n")
-    write(tmp_path, "b.csv", "name,id\nbob,2\n")
-    for multi_line in (True, False):
-        with pytest.raises(Exception, match="CSV header does not conform"):
-            delimited.csv_documents(spark, str(tmp_path), multi_line=multi_line).collect()
+def test_files_have_their_own_headers(spark, tmp_path):
+    files = {
+        "a.csv": "id,name\n1,ann\n", "b.csv": "name,id,more\nbob,2,x\n", "c.csv": "id,id,name\n3,4,cy\n5\n",
+        "d.csv": "", "e.csv": "id,,name,\n6,7,dee,8,9\n",
+    }
+    for name, text in files.items():
+        write(tmp_path, name, text)
+    docs = delimited.csv_documents(spark, str(tmp_path)).collect()
+    for name, text in files.items():
+        own = sorted((r for r in docs if r.source.endswith(name)), key=lambda r: r.row)
+        assert [r.page_content for r in own] == python_documents(text)
+    picked = delimited.csv_documents(spark, [str(tmp_path / n) for n in ("a.csv", "b.csv", "c.csv")], source_column="id", metadata_columns=["name"])
+    assert {(r.source, r.metadata["name"]) for r in picked.collect()} == {("1", "ann"), ("2", "bob"), ("4", "cy"), (None, None)}
+    with pytest.raises(ValueError, match="more"):
+        delimited.csv_documents(spark, str(tmp_path), metadata_columns=["more"])
+
+
+AWKWARD = [
+    'a,b\n"x\n\n,""y""\n",1\r\n\n"\n",2\n3,"never closed\n4,5\n',
+    'h\n' + "".join(f'"line {i}\n{"more " * (i % 40)}\n""end"""\n' for i in range(60)),
+    'k,v\n' + "".join(f"{i},plain{i}\n" for i in range(400)) + '"' + "long\n" * 400 + '",z\n' + "x,y\n" * 50,
+    'a"b,c\n1,5" pipe\n2,"q"tail, "no quote"\n"3"",""\n",4\n',
+    '"head\ner","' + "wide\n" * 300 + '"\n1,2\n3,"4\n"\n',
+    "old,mac\r1,2\r3,4\r",
+    '"",""\n"","\n"\n,\n\n',
+]
+
+
+@pytest.mark.parametrize("text", AWKWARD)
+@pytest.mark.parametrize("size", ["700"])
+def test_blocks_of_any_size_give_the_same_records(spark, tmp_path, text, size):
+    write(tmp_path, "f.csv", text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = delimited.csv_documents(spark, str(tmp_path)).orderBy("row").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r.page_content for r in rows] == python_documents(text)
+    assert [r.row for r in rows] == list(range(len(rows)))
+
+
+def test_wide_encodings(spark, tmp_path):
+    path = write(tmp_path, "wide.csv", 'id,name\n1,"caf\u00e9\n\u65e5"\n2,x\n', "utf-16")
+    assert contents(delimited.csv_documents(spark, path, encoding="UTF-16")) == ["id: 1\nname: caf\u00e9\n\u65e5", "id: 2\nname: x"]
 
 
 def test_undecodable_values_raise_or_fall_back(spark, tmp_path):
     write(tmp_path, "latin.csv", "idé,name\n1,café\n2,x\n", "iso-8859-1")
-    with pytest.raises(ValueError, match="cannot decode"):
+    with pytest.raises(PySparkException, match="cannot decode"):
         delimited.csv_documents(spark, str(tmp_path / "latin.csv"))
     write(tmp_path, "value.csv", "id,name\n1,café\n2,x\n", "iso-8859-1")
     with pytest.raises(PySparkException, match="cannot decode"):
@@ -102,10 +143,9 @@ def test_undecodable_values_raise_or_fall_back(spark, tmp_path):
 def test_rows_are_numbered_per_file(spark, tmp_path):
     for name, n in [("a.csv", 5), ("b.csv", 3), ("c.csv", 700)]:
         write(tmp_path, name, "v\n" + "".join(f"{name}{i}\n" for i in range(n)))
-    for multi_line in (True, False):
-        docs = delimited.csv_documents(spark, str(tmp_path), multi_line=multi_line).collect()
-        assert len(docs) == 708
-        assert all(r.page_content == f"v: {r.source.rsplit('/', 1)[1]}{r.row}" for r in docs)
+    docs = delimited.csv_documents(spark, str(tmp_path)).collect()
+    assert len(docs) == 708
+    assert all(r.page_content == f"v: {r.source.rsplit('/', 1)[1]}{r.row}" for r in docs)
 
 
 def test_rows_are_numbered_across_the_blocks_of_a_file(spark, tmp_path):
@@ -113,7 +153,7 @@ def test_rows_are_numbered_across_the_blocks_of_a_file(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
-        docs = delimited.csv_documents(spark, path, multi_line=False)
+        docs = delimited.csv_documents(spark, path)
         assert docs.select(F.spark_partition_id()).distinct().count() > 3
         assert docs.filter(F.col("page_content") != F.concat(F.lit("v: "), F.col("row"))).count() == 0
         assert docs.count() == 30_000
