@@ -7,7 +7,7 @@ parallel parse into VARIANT only tells the kind of each value.
 from __future__ import annotations
 
 import json
-import math
+import sys
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -39,11 +39,8 @@ ARROW_ENTRIES = pa.list_(
         ]
     )
 )
-# The same, with the names of the metadata that Python spelled.
-_SPELLED = pa.list_(pa.struct([*ARROW_ENTRIES.value_type, ("spelled", pa.list_(pa.string()))]))
-_SPELLED_TYPE = T.ArrayType(T.StructType([*ENTRY_TYPE.elementType.fields, T.StructField("spelled", T.ArrayType(T.StringType()))]))
-# Characters; a variant holds less than 128 MB.
-_LARGE_TEXT = 16_000_000
+# Spark's parser takes up to 1000 levels; Python's printer needs a few frames for each.
+_FRAMES = 10_000
 # JSON proper: no single quotes.
 _STRICT = {"allowSingleQuotes": "false"}
 
@@ -58,6 +55,7 @@ def _parsed(text: Column, schema: str) -> Column:
 
 
 def _shown(value) -> str:
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), _FRAMES))
     if isinstance(value, str):
         return value
     if isinstance(value, (dict, list)):
@@ -73,18 +71,31 @@ def rendered(values: pa.Array) -> pa.Array:
 
 
 def kind(value: Column) -> Column:
-    """Leading word of a variant's type: OBJECT, ARRAY, STRING, BIGINT, VOID and so on."""
-    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+    """OBJECT, ARRAY, or the leading word of a scalar variant's type: STRING, BIGINT, VOID and so on.
 
+    Lists and objects are told by a cast that looks at one level; only scalars have their
+    schema derived, so depth and size of a value do not matter.
+    """
+    return (
+        F.when(F.try_variant_get(value, "$", "array<variant>").isNotNull(), "ARRAY")
+        .when(F.try_variant_get(value, "$", "map<string,variant>").isNotNull(), "OBJECT")
+        .otherwise(F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0))
+    )
 
-def one_value(raw: Column) -> Column:
-    """The text as a single variant; null unless it is exactly one JSON value."""
+
+def _boxed(raw: Column, type_: str) -> Column:
+    """The text as one value of the type; null unless it is exactly one."""
     wrapped = F.concat(F.lit('[{"v":'), raw, F.lit("}]"))
-    boxes = _parsed(wrapped, "array<map<string,variant>>")
+    boxes = _parsed(wrapped, f"array<map<string,{type_}>>")
     alone = lambda b: (F.size(b) == 1) & (F.size(F.get(b, 0)) == 1)
     return let(boxes, lambda b: F.when(alone(b), F.element_at(F.get(b, 0), "v")))
 
 
+def one_value(raw: Column) -> Column:
+    """The text as a single variant; null unless it is exactly one JSON value."""
+    return _boxed(raw, "variant")
+
+
 def is_json(raw: Column) -> Column:
     return F.coalesce(one_value(raw).isNotNull(), F.lit(False))
 
@@ -104,52 +115,58 @@ def document(
     ``extra`` maps the kind of the value to further metadata.
     """
 
-    def build(item: Column) -> Column:
-        fields, kinds, is_object = item["fields"], item["kinds"], item["kind"] == "OBJECT"
-        content, content_kind = raw, item["kind"]
-        if content_key is not None:
-            key = F.lit(content_key)
-            content = F.when(is_object, F.coalesce(F.try_element_at(fields, key), F.lit(""))).otherwise(raw)
-            inner = F.coalesce(F.try_element_at(kinds, key), F.lit("STRING"))
-            content_kind = F.when(is_object, inner).otherwise(item["kind"])
-        if metadata_keys:
-            chosen = F.map_filter(fields, lambda k, _: k.isin(*metadata_keys))
-        else:
-            content_names = [] if content_key is None else [content_key]
-            chosen = F.map_filter(
-                fields, lambda k, _: F.element_at(kinds, k).isin(*_SCALAR_KINDS) & ~k.isin(content_names)
-            )
-        own = F.coalesce(chosen, F.create_map().cast(NO_METADATA))
-        return F.struct(
-            seq.cast("bigint").alias("seq_num"),
-            F.when(content_kind == "VOID", "").otherwise(content).alias("content"),
-            (~content_kind.isin("STRING", "VOID")).alias("is_json"),
-            merged(extra(item["kind"]) if extra else None, own).alias("metadata"),
+    return let(_described(raw, value), lambda item: _built(raw, item, seq, content_key, metadata_keys, extra))
+
+
+def _built(raw: Column, item: Column, seq: Column, content_key, metadata_keys, extra=None) -> Column:
+    """The document of a described value."""
+    fields, kinds, is_object = item["fields"], item["kinds"], item["kind"] == "OBJECT"
+    content, content_kind = raw, item["kind"]
+    if content_key is not None:
+        key = F.lit(content_key)
+        content = F.when(is_object, F.coalesce(F.try_element_at(fields, key), F.lit(""))).otherwise(raw)
+        inner = F.coalesce(F.try_element_at(kinds, key), F.lit("STRING"))
+        content_kind = F.when(is_object, inner).otherwise(item["kind"])
+    if metadata_keys:
+        chosen = F.map_filter(fields, lambda k, _: k.isin(*metadata_keys))
+    else:
+        content_names = [] if content_key is None else [content_key]
+        chosen = F.map_filter(
+            fields, lambda k, _: F.element_at(kinds, k).isin(*_SCALAR_KINDS) & ~k.isin(content_names)
         )
-
-    return let(_described(raw, value), build)
+    own = F.coalesce(chosen, F.create_map().cast(NO_METADATA))
+    return F.struct(
+        seq.cast("bigint").alias("seq_num"),
+        F.when(content_kind == "VOID", "").otherwise(content).alias("content"),
+        (~content_kind.isin("STRING", "VOID")).alias("is_json"),
+        merged(extra(item["kind"]) if extra else None, own).alias("metadata"),
+    )
 
 
 def _described(raw: Column, value: Column) -> Column:
     """``struct<kind, fields, kinds>``; the maps are null unless the value is an object."""
 
     def describe(kind_: Column) -> Column:
-        is_object = kind_ == "OBJECT"
-        members = F.try_variant_get(F.when(is_object, value), "$", "map<string,variant>")
-        kinds = F.transform_values(members, lambda _, v: kind(v))
-        fields = _parsed(F.when(is_object, raw), "map<string,string>")
-        # Numbers that are none come with quotes, which only strings shall have.
-        plain = let(kinds, lambda k: F.transform_values(
-            fields,
-            lambda name, v: F.when(
-                v.isin('"NaN"', '"Infinity"', '"-Infinity"') & (F.element_at(k, name) != "STRING"), F.replace(v, F.lit('"'))
-            ).otherwise(v),
-        ))
-        return F.struct(kind_.alias("kind"), plain.alias("fields"), kinds.alias("kinds"))
+        members = F.try_variant_get(F.when(kind_ == "OBJECT", value), "$", "map<string,variant>")
+        return _with_fields(kind_, F.when(kind_ == "OBJECT", raw), members)
 
     return let(kind(value), describe)
 
 
+def _with_fields(kind_: Column, object_text: Column, members: Column) -> Column:
+    """``struct<kind, fields, kinds>`` of a value whose text and members are given if it is an object."""
+    kinds = F.transform_values(members, lambda _, v: kind(v))
+    fields = _parsed(object_text, "map<string,string>")
+    # Numbers that are none come with quotes, which only strings shall have.
+    plain = let(kinds, lambda k: F.transform_values(
+        fields,
+        lambda name, v: F.when(
+            v.isin('"NaN"', '"Infinity"', '"-Infinity"') & (F.element_at(k, name) != "STRING"), F.replace(v, F.lit('"'))
+        ).otherwise(v),
+    ))
+    return F.struct(kind_.alias("kind"), plain.alias("fields"), kinds.alias("kinds"))
+
+
 def merged(base: Column | None, override: Column) -> Column:
     """Union of two maps; the second wins."""
     if base is None:
@@ -160,12 +177,9 @@ def merged(base: Column | None, override: Column) -> Column:
     )
 
 
-def _items(list_text: Column, list_value: Column) -> Column:
+def _items(list_text: Column, values: Column) -> Column:
     """``array<struct<raw, value>>`` of a JSON list."""
-    return F.arrays_zip(
-        _parsed(list_text, "array<string>").alias("raw"),
-        F.try_variant_get(list_value, "$", "array<variant>").alias("value"),
-    )
+    return F.arrays_zip(_parsed(list_text, "array<string>").alias("raw"), values.alias("value"))
 
 
 def whole_text_entries(
@@ -174,27 +188,17 @@ def whole_text_entries(
     """Documents of one JSON text; null when the text is not JSON.
 
     A list gives one document per item. An object gives one per item of its first
-    non-empty list, with the object's scalars as context, or else a single document.
+    non-empty list, with the object's scalars as context, or else a single document. The
+    text is parsed level by level, so that only its items need to fit into variants.
     """
-    is_large = F.length(text) > _LARGE_TEXT
-    large = F.transform(
-        _entries_of_large_text(content_key, metadata_keys)(F.when(is_large, text)),
-        lambda e: F.struct(e["seq_num"], e["content"], e["is_json"], _respelled(e).alias("metadata")),
-    )
-    return F.when(is_large, large).otherwise(
-        let(one_value(text), lambda value: _value_entries(text, value, content_key, metadata_keys))
-    )
-
+    opening = F.regexp_extract(text, r"^[ \t\r\n]*([\[{])", 1)
 
-def _value_entries(
-    text: Column, value: Column, content_key: str | None, metadata_keys: list[str] | None
-) -> Column:
     def all_of(items: Column, extra=None) -> Column:
         return F.transform(
             items, lambda e, i: document(e["raw"], e["value"], i, content_key, metadata_keys, extra)
         )
 
-    def unfolded(item: Column, parent: Column) -> Column:
+    def unfolded(item: Column, parent: Column, members: Column) -> Column:
         """Items of the list called ``parent`` of a described object."""
         siblings = F.map_filter(
             item["fields"],
@@ -203,82 +207,41 @@ def _value_entries(
         context = F.transform_keys(siblings, lambda k, _: F.concat(F.lit("context_"), k))
         origin = F.create_map(F.lit("parent_key"), parent)
         around = F.struct(origin.alias("others"), F.map_concat(origin, context).alias("objects"))
-        members = F.try_variant_get(value, "$", "map<string,variant>")
-        items = _items(F.element_at(item["fields"], parent), F.element_at(members, parent))
+        values = F.try_variant_get(F.element_at(members, parent), "$", "array<variant>")
+        items = _items(F.element_at(item["fields"], parent), values)
         return let(
             around,
             lambda a: all_of(items, lambda k: F.when(k == "OBJECT", a["objects"]).otherwise(a["others"])),
         )
 
-    def by_kind(item: Column) -> Column:
-        single = F.array(line_document(text, value, F.lit(0), content_key, metadata_keys))
-        filled_lists = F.filter(
-            F.json_object_keys(F.when(item["kind"] == "OBJECT", text)),
-            lambda k: (F.element_at(item["kinds"], k) == "ARRAY") & (F.element_at(item["fields"], k) != "[]"),
-        )
-        return let(
-            F.get(filled_lists, 0),
-            lambda parent: F.when(item["kind"] == "ARRAY", all_of(_items(text, value)))
-            .when(parent.isNotNull(), unfolded(item, parent))
-            .when(item["kind"].isNotNull(), single),
-        )
-
-    return let(_described(text, value), by_kind)
+    def of_object(members: Column) -> Column:
+        def build(item: Column) -> Column:
+            filled_lists = F.filter(
+                F.json_object_keys(F.when(members.isNotNull(), text)),
+                lambda k: (F.element_at(item["kinds"], k) == "ARRAY") & (F.element_at(item["fields"], k) != "[]"),
+            )
+            single = F.array(_built(text, item, F.lit(0), content_key, metadata_keys))
+            return let(
+                F.get(filled_lists, 0),
+                lambda parent: F.when(parent.isNotNull(), unfolded(item, parent, members)).otherwise(single),
+            )
 
+        described = _with_fields(F.lit("OBJECT"), F.when(members.isNotNull(), text), members)
+        return F.when(members.isNotNull(), let(described, build))
 
-def _respelled(entry: Column) -> Column:
-    """Metadata with numbers, and those in nested values, spelled as texts of any size spell them."""
-    anew = lambda v: F.coalesce(F.get(_parsed(F.concat(F.lit("["), v, F.lit("]")), "array<string>"), 0), v)
-    return F.transform_values(
-        entry["metadata"], lambda k, v: F.when(F.array_contains(entry["spelled"], k), anew(v)).otherwise(v)
-    )
+    def of_scalar(value: Column) -> Column:
+        return F.when(value.isNotNull(), F.array(line_document(text, value, F.lit(0), content_key, metadata_keys)))
 
+    def of_list(values: Column) -> Column:
+        return F.when(values.isNotNull(), all_of(_items(text, values)))
 
-def _entries_of_large_text(content_key: str | None, metadata_keys: list[str] | None):
-    """The same rules in Python, for texts beyond what a variant can hold."""
-
-    def metadata_text(value):
-        if value is None or isinstance(value, str):
-            return value
-        return json.dumps(value, separators=(",", ":"), ensure_ascii=False)
-
-    def is_scalar(value):
-        return not isinstance(value, (dict, list))
-
-    def entries(text):
-        if text is None:
-            return None
-        try:
-            root = json.loads(text)
-        except ValueError:
-            return None
-        items, around, origin = [root], {}, {}
-        if isinstance(root, list):
-            items = root
-        elif isinstance(root, dict):
-            parent = next((k for k, v in root.items() if isinstance(v, list) and v), None)
-            if parent is not None:
-                items, origin = root[parent], {"parent_key": parent}
-                around = {f"context_{k}": v for k, v in root.items() if k != parent and is_scalar(v)}
-        return [entry(item, i, origin, around) for i, item in enumerate(items)]
-
-    def entry(item, i, origin, around):
-        content, metadata = item, dict(origin)
-        if isinstance(item, dict):
-            own = {k: v for k, v in item.items() if k != content_key and is_scalar(v)}
-            if metadata_keys:
-                own = {k: v for k, v in item.items() if k in metadata_keys}
-            metadata |= around | own
-            content = item if content_key is None else item.get(content_key, "")
-        pairs = [(k, metadata_text(v)) for k, v in metadata.items()]
-        spelled = [k for k, v in metadata.items() if not is_scalar(v) or isinstance(v, float) and math.isfinite(v)]
-        return {"seq_num": i, "content": _shown(content), "is_json": False, "metadata": pairs, "spelled": spelled}
-
-    @F.arrow_udf(_SPELLED_TYPE)
-    def large_text(texts: pa.Array) -> pa.Array:
-        return pa.array([entries(t) for t in texts.to_pylist()], _SPELLED)
-
-    return large_text
+    lists = _boxed(F.when(opening == "[", text), "array<variant>")
+    objects = _boxed(F.when(opening == "{", text), "map<string,variant>")
+    return (
+        F.when(opening == "[", let(lists, of_list))
+        .when(opening == "{", let(objects, of_object))
+        .otherwise(let(one_value(F.when(opening == "", text)), of_scalar))
+    )
 
 
 def line_entries(

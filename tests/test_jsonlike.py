@@ -5,6 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from corpusmill.functions import jsontext
+from corpusmill.plans import ingest
 from corpusmill.sources import jsonlike
 
 
@@ -102,20 +103,74 @@ SAMPLES = [
 ]
 
 
-@pytest.mark.parametrize("options", [{}, {"content_key": "t"}, {"metadata_keys": ["n", "t2", "l"]}])
-def test_large_texts_follow_the_same_rules(spark, options, monkeypatch):
-    def entries(limit):
-        monkeypatch.setattr(jsontext, "_LARGE_TEXT", limit)
-        text = F.col("t")
-        df = spark.createDataFrame(list(enumerate(SAMPLES)), "id int, t string")
-        found = df.select("id", jsontext.whole_text_entries(text, **options).alias("e"))
-        shown = F.when(F.col("is_json"), jsontext.rendered(F.when(F.col("is_json"), F.col("content"))))
-        rows = found.select("id", F.inline_outer("e")).withColumn("content", shown.otherwise(F.col("content")))
-        return [tuple(r) for r in rows.drop("is_json").orderBy("id", "seq_num").collect()]
+def entries_of(text, content_key=None, metadata_keys=None):
+    """The documents of a JSON text by its rules, in Python."""
+    try:
+        root = json.loads(text)
+    except ValueError:
+        return None
+    scalar = lambda v: not isinstance(v, (dict, list))
+    told = lambda v: v if v is None or isinstance(v, str) else json.dumps(v, separators=(",", ":"), ensure_ascii=False)
+    items, around, origin = root if isinstance(root, list) else [root], {}, {}
+    if isinstance(root, dict):
+        parent = next((k for k, v in root.items() if isinstance(v, list) and v), None)
+        if parent is not None:
+            items, origin = root[parent], {"parent_key": parent}
+            around = {f"context_{k}": v for k, v in root.items() if k != parent and scalar(v)}
+    found = []
+    for i, item in enumerate(items):
+        content, metadata = item, dict(origin)
+        if isinstance(item, dict):
+            metadata |= around | {k: v for k, v in item.items() if (k in metadata_keys if metadata_keys else k != content_key and scalar(v))}
+            content = item if content_key is None else item.get(content_key, "")
+        shown = "" if content is None else content if isinstance(content, str) else json.dumps(content, indent=2)
+        found.append((i, shown, {k: told(v) for k, v in metadata.items()}))
+    return found
+
 
-    native = entries(10**9)
-    assert native == entries(-1)
-    assert {i for i, seq, *_ in native if seq is None} == {6, 8, 9, 10}
+@pytest.mark.parametrize("options", [{}, {"content_key": "t"}, {"metadata_keys": ["n", "t2", "l"]}])
+def test_whole_texts_follow_the_rules(spark, options):
+    df = spark.createDataFrame(list(enumerate(SAMPLES)), "id int, t string")
+    found = df.select("id", jsontext.whole_text_entries(F.col("t"), **options).alias("e"))
+    shown = F.when(F.col("is_json"), jsontext.rendered(F.when(F.col("is_json"), F.col("content"))))
+    rows = found.select("id", F.col("e").isNull().alias("invalid"), F.inline_outer("e")).withColumn("content", shown.otherwise(F.col("content")))
+    got = rows.orderBy("id", "seq_num").collect()
+    for i, text in enumerate(SAMPLES):
+        own = [r for r in got if r.id == i]
+        expected = entries_of(text, **options)
+        assert own[0].invalid == (expected is None)
+        assert [(r.seq_num, r.content, r.metadata) for r in own if r.seq_num is not None] == (expected or [])
+
+
+def nested(levels, inner):
+    return '{"k": ' * levels + inner + "}" * levels
+
+
+def test_deep_and_large_texts(spark):
+    """They follow the same rules, and what can't be read stops nothing."""
+    long_ = json.dumps({"items": [{"t": "x" * 1000, "n": i, "deep": {"l": [i]}} for i in range(20_000)], "c": 1})
+    texts = [nested(990, "1"), "[" + nested(900, '"x"') + ", 2]", '{"a": ' + nested(950, "[1]") + ', "list": [1, "b"]}', long_, '["\\ud800", "ok"]', '{"n": 5}']
+    found = {}
+    for r in jsonlike.json_documents(files(spark, *texts)).collect():
+        found.setdefault(int(r.source.removeprefix("/f").removesuffix(".json")), []).append(r)
+    counts = {i: len(found.get(i, [])) for i in range(len(texts))}
+    assert counts == {0: 1, 1: 2, 2: 2, 3: 20_000, 4: 2, 5: 1}
+    assert found[0][0].page_content.count("{") == 990
+    own = sorted(found[3], key=lambda r: r.seq_num)
+    expected = entries_of(long_)
+    assert [(r.seq_num, r.page_content, r.metadata) for r in (own[0], own[-1])] == [expected[0], expected[-1]]
+
+
+def test_hostile_files_stop_no_others(spark):
+    texts = [nested(3000, "1"), nested(990, "1"), '["\\ud800"]', '[{"n": 5}]', "[" * 100_000]
+    rows = [(f"/f{i}.json", None, len(t), bytearray(t, "utf-8")) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "path string, modificationTime timestamp, length bigint, content binary")
+    documents, outcomes = ingest.process_files(df)
+    assert {r.path: (r.status, r.n_documents) for r in outcomes.collect()} == {
+        "/f0.json": ("failed", 0), "/f1.json": ("completed", 1), "/f2.json": ("completed", 1),
+        "/f3.json": ("completed", 1), "/f4.json": ("failed", 0),
+    }
+    assert documents.count() == 3
 
 
 def test_lines_that_are_not_utf8(spark, tmp_path):
@@ -127,28 +182,20 @@ def test_lines_that_are_not_utf8(spark, tmp_path):
     assert sorted(r.page_content for r in found.collect()) == ["café", "x"]
 
 
-def test_numbers_that_are_none(spark, monkeypatch):
-    """Texts of any size give the same values."""
+def test_numbers_that_are_none(spark):
     text = '[{"a": NaN, "b": -Infinity, "c": "NaN", "d": 1.5}]'
-    found = []
-    for limit in (jsontext._LARGE_TEXT, 1):
-        monkeypatch.setattr(jsontext, "_LARGE_TEXT", limit)
-        found.append(jsonlike.json_documents(files(spark, text)).collect()[0].metadata)
-    assert found[0] == found[1] == {"a": "NaN", "b": "-Infinity", "c": "NaN", "d": "1.5"}
+    found = jsonlike.json_documents(files(spark, text)).collect()[0].metadata
+    assert found == {"a": "NaN", "b": "-Infinity", "c": "NaN", "d": "1.5"}
 
 
 NUMBERS = "0.0005 12345678.5 1e20 1.0E23 1e7 0.001 -1.5e-7 1.50 -0.0 1e400 5e-324 100000000000000000000 7".split()
 
 
 @pytest.mark.parametrize("options", [{}, {"metadata_keys": ["a", "l", "o"]}, {"content_key": "o"}])
-def test_numbers_have_one_spelling(spark, options, monkeypatch):
-    """Texts of any size give the same values."""
+def test_numbers_have_one_spelling(spark, options):
     items = [f'{{"a": {n}, "l": [{n}, "é\\n"], "o": {{"{n}": {n}}}, "s": "{n}"}}' for n in NUMBERS if n != "1e400"]
     text = f'{{"c": 0.0005, "e": 1e400, "items": [{", ".join(items)}]}}'
-    found = []
-    for limit in (jsontext._LARGE_TEXT, 1):
-        monkeypatch.setattr(jsontext, "_LARGE_TEXT", limit)
-        found.append(documents(spark, text, **options))
-    assert found[0] == found[1] and len(found[0]) == len(NUMBERS) - 1
-    own = found[0][0][1]
+    found = documents(spark, text, **options)
+    assert len(found) == len(NUMBERS) - 1
+    own = found[0][1]
     assert (own["a"], own["context_c"], own["context_e"]) == ("5.0E-4", "5.0E-4", "Infinity")
