@@ -346,6 +346,13 @@ SELECT o_orderkey // 5000 AS bucket,
        'o_totalprice: ' || o_totalprice::DECIMAL(15, 2) || {_NL} ||
        'o_orderdate: ' || strftime(o_orderdate, '%Y-%m-%d') || {_NL} ||
        'o_orderpriority: ' || o_orderpriority || ', "x"' AS page_content FROM orders""",
+        "csv_mixed_headers": f"""
+SELECT o_orderkey // 5000 AS bucket, row_number() OVER (PARTITION BY o_orderkey // 5000 ORDER BY o_orderkey) - 1 AS row,
+       CASE o_orderkey // 5000 % 3
+         WHEN 0 THEN 'o_orderkey: ' || o_orderkey || {_NL} || 'note: ' || o_orderpriority || {_NL} || '"' || o_orderkey
+         WHEN 1 THEN 'note: ' || o_orderpriority || {_NL} || '"' || o_orderkey || {_NL} || 'o_orderkey: ' || o_orderkey
+         ELSE 'o_orderkey: ' || o_custkey END AS page_content,
+       o_orderstatus AS status FROM orders""",
         "csv_columns": f"""
 SELECT conv_id::VARCHAR AS source,
        row_number() OVER (PARTITION BY conv_id // 50 ORDER BY conv_id, turn) - 1 AS row,

@@ -344,6 +344,30 @@ def csv_documents(spark, sf_dir):
     return loaded.select(_bucket_of("source").alias("bucket"), F.col("row").cast("bigint").alias("row"), "page_content")
 
 
+def csv_mixed_headers(spark, sf_dir):
+    """Files of three headers: two orders of columns, and one that names a column twice."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.floor(F.col("o_orderkey") / 5000).alias("bucket"), F.col("o_orderkey").alias("_order"),
+        F.col("o_orderkey").cast("string").alias("key"), F.col("o_custkey").cast("string").alias("cust"),
+        F.concat("o_orderpriority", F.lit('\n"'), "o_orderkey").alias("note"), F.col("o_orderstatus").alias("status"),
+    )
+    headers = [
+        {"o_orderkey": "key", "status": "status", "note": "note"}, {"note": "note", "o_orderkey": "key", "status": "status"},
+        {"o_orderkey": "key", "status": "status", " o_orderkey": "cust"},
+    ]
+    path = scratch_path(spark, "mixed-csv")
+    for kind, header in enumerate(headers):
+        own = orders.filter(F.col("bucket") % 3 == kind)
+        names = own.groupBy("bucket").agg(F.lit(-1).cast("bigint").alias("_order"), *[F.lit(n.strip()).alias(f"c{i}") for i, n in enumerate(header)])
+        values = own.select("bucket", "_order", *[F.col(c).alias(f"c{i}") for i, c in enumerate(header.values())])
+        _write_bucketed(names.unionByName(values), f"{path}/kind={kind}", "_order", lambda w, p: w.option("escape", '"').csv(p))
+    loaded = delimited.csv_documents(spark, path, metadata_columns=["status"])
+    return loaded.select(
+        _bucket_of("source").alias("bucket"), F.col("row").cast("bigint").alias("row"), "page_content",
+        F.element_at("metadata", "status").alias("status"),
+    )
+
+
 def csv_columns(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select(
         F.floor(F.col("conv_id") / 50).alias("bucket"),
@@ -784,7 +808,7 @@ _QUERIES = [
     repetition_score, diversity_score, coherence_by_lang, block_losses, benchmark_losses, bigram_perplexity,
     sampled_perplexity, generation_log_summary, evaluation_report,
     dataframe_documents, elements_single, elements_paged, elements_rows, elements_by_source, document_json,
-    csv_documents, csv_columns, csv_ragged, tsv_documents, json_documents, json_array_documents, json_props,
+    csv_documents, csv_mixed_headers, csv_columns, csv_ragged, tsv_documents, json_documents, json_array_documents, json_props,
     jsonl_documents, jsonl_rejects, text_documents, decode_fallback, gzip_text, blob_strings,
     token_window_chunks, token_id_windows, regex_split_drop, regex_split_start, literal_split_end,
     recursive_chunks, recursive_chunks_by_words, language_chunks, packed_chunks, lossless_chunks,
