@@ -299,17 +299,16 @@ def _predicted(shared, labels: bool, certainty: bool = False):
     return run
 
 
-def _identified(shared, min_score: float):
-    """The rows whose text is certain enough; the text is the column added last."""
+def _identified(shared, min_score: float, at: int):
+    """The rows whose text, the column at ``at``, is certain enough."""
 
     def run(batches):
         certainty = _predicted(shared, False, certainty=True)
         for batch in batches:
-            rows, texts = batch.select(range(batch.num_columns - 1)), batch.column(batch.num_columns - 1)
-            parts = certainty([pa.RecordBatch.from_arrays([texts], names=["text"])])
+            parts = certainty([pa.RecordBatch.from_arrays([batch.column(at)], names=["text"])])
             sure = [pc.greater_equal(part.column("certainty"), min_score) for part in parts]
             if sure:
-                yield rows.filter(pa.concat_arrays(sure))
+                yield batch.filter(pa.concat_arrays(sure))
 
     return run
 
@@ -385,4 +384,4 @@ def keep_identified(
     if len(field.languages) != 1 and not field.grams.any():
         return df
     shared = df.sparkSession.sparkContext.broadcast(field)
-    return df.withColumn("_identified_text", column(text_column)).mapInArrow(_identified(shared, min_score), df.schema)
+    return df.mapInArrow(_identified(shared, min_score, df.columns.index(text_column)), df.schema)
