@@ -65,10 +65,15 @@ def sample_windows(
 ) -> DataFrame:
     """Random training windows ``x`` and the same windows shifted by one, ``y``.
 
-    ``blocks`` must come from :func:`pack_blocks` with the same ``block_size``.
+    ``blocks`` must come from :func:`pack_blocks` with the same ``block_size``. All blocks
+    but the last are full, so the length of the stream takes the block numbers alone and
+    the tokens of the last block.
     """
     stream = blocks.filter(F.col("split") == split)
-    length = stream.agg(F.sum(F.size("tokens")).alias("n")).scalar()
+    last_block = stream.agg(F.max("block_id").alias("last")).scalar()
+    length = stream.filter(F.col("block_id") == last_block).select(
+        (F.col("block_id") * block_size + F.size("tokens")).alias("n")
+    ).agg(F.max("n").alias("n")).scalar()
     number = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("id")).cast("binary")), 1, 12), 16, 10)
     too_short = F.raise_error(F.lit(f"split {split} has no window of {context} tokens"))
     starts = (

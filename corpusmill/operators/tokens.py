@@ -25,11 +25,15 @@ GPT2_PATTERN = (
 
 
 class Tokenizer(NamedTuple):
-    """Encoding and decoding as column expressions, with the vocabulary size."""
+    """Encoding and decoding as column expressions, with the vocabulary size.
+
+    ``count`` gives the number of tokens where that is cheaper than building them.
+    """
 
     encode: Callable[[Column], Column]
     decode: Callable[[Column], Column]
     vocab_size: int
+    count: Callable[[Column], Column] | None = None
 
 
 def check_vocab_size(vocab_size: int, dtype: str = "uint16") -> None:
@@ -105,6 +109,16 @@ def word_tokenizer(vocab: DataFrame, cleaned: bool = False) -> Tokenizer:
         mask = word_lists.is_null() if word_lists.null_count else None
         return pa.ListArray.from_arrays(pa.array(ends[bounds], pa.int32()), pa.array(out), mask=mask)
 
+    @F.arrow_udf("int")
+    def count(word_lists: pa.Array) -> pa.Array:
+        words = word_lists.flatten()
+        known = pc.is_in(words, value_set=shared.value.cast(words.type))
+        sizes = pc.if_else(known, pa.scalar(0, pa.int32()), pc.binary_length(words.cast(pa.binary())))
+        ends = np.concatenate([[0], np.cumsum(sizes.to_numpy(zero_copy_only=False) + 1)])
+        bounds = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(word_lists), 0).to_numpy())])
+        totals = np.diff(ends[bounds]).astype(np.int32)
+        return pa.array(totals, mask=word_lists.is_null().to_numpy(zero_copy_only=False))
+
     @F.arrow_udf("string")
     def spell(id_lists: pa.Array) -> pa.Array:
         single = [bytes([b]) for b in range(256)]
@@ -119,6 +133,7 @@ def word_tokenizer(vocab: DataFrame, cleaned: bool = False) -> Tokenizer:
         encode=lambda text: lookup(_splitter(cleaned)(text)),
         decode=spell,
         vocab_size=rows.num_rows + FIRST_WORD_ID,
+        count=lambda text: count(_splitter(cleaned)(text)),
     )
 
 
@@ -139,7 +154,7 @@ def utf8_tokenizer() -> Tokenizer:
             for ids in id_lists.to_pylist()
         )
 
-    return Tokenizer(encode=to_bytes, decode=from_bytes, vocab_size=256)
+    return Tokenizer(encode=to_bytes, decode=from_bytes, vocab_size=256, count=F.octet_length)
 
 
 def _encoding(ranks: dict[bytes, int], pattern: str):
@@ -209,6 +224,12 @@ def tokenize(df: DataFrame, tokenizer: Tokenizer, column: str = "text") -> DataF
     )
 
 
+def count_tokens(df: DataFrame, tokenizer: Tokenizer, column: str = "text") -> DataFrame:
+    """Add ``n_tokens`` only."""
+    count = tokenizer.count or (lambda text: F.size(tokenizer.encode(text)))
+    return df.withColumn("n_tokens", count(F.col(column)))
+
+
 def token_stats(df: DataFrame) -> DataFrame:
     """Per split: token totals, document count, average, extremes and stream size in MB."""
     total = F.sum("n_tokens")

@@ -23,7 +23,7 @@ def corpus_token_stats(
     are left when the cut between the splits is searched.
     """
     kept = materialize(clean.prepare(documents, min_length, max_length).select("doc_id", "text"), "cleaned")
-    counted = tokens.tokenize(kept, _tokenizer(kept)).select("doc_id", "n_tokens")
+    counted = tokens.count_tokens(kept, _tokenizer(kept)).select("doc_id", "n_tokens")
     counted = materialize(counted, "token-counts")
     return tokens.token_stats(splits.train_val_split(counted, "doc_id", train_fraction, seed))
 
@@ -35,7 +35,7 @@ def processing_stats(
     cleaned = materialize(clean.clean_text(documents.select("doc_id", "text")), "cleaned")
     kept = clean.drop_short(cleaned, min_length)
     tokenizer = _tokenizer(kept)
-    counted = materialize(tokens.tokenize(kept, tokenizer).select("doc_id", "n_tokens"), "token-counts")
+    counted = materialize(tokens.count_tokens(kept, tokenizer).select("doc_id", "n_tokens"), "token-counts")
     stats = tokens.token_stats(splits.train_val_split(counted, "doc_id", train_fraction, seed))
     fields = F.struct(*[c for c in stats.columns if c != "split"])
     per_split = stats.agg(

@@ -215,3 +215,11 @@ def test_plan_counts_before_it_splits(spark):
     rows = {r.split: r for r in corpus.corpus_token_stats(docs).collect()}
     assert (rows["train"].num_documents, rows["val"].num_documents) == (45, 5)
     assert rows["train"].total_tokens == 900
+
+
+def test_counts_without_ids(spark, texts):
+    df = texts(["a a b", "", None, "caf\u00e9 a zz", "  ", "\u4e2d\u6587 b a"])
+    vocab = tokens.word_vocab(texts(["a a a b b"]), max_size=tokens.FIRST_WORD_ID + 2)
+    for tokenizer in (tokens.word_tokenizer(vocab), tokens.utf8_tokenizer(), tokens.word_tokenizer(vocab)._replace(count=None)):
+        built = {r.id: r.n_tokens for r in tokens.tokenize(df, tokenizer).collect()}
+        assert {r.id: r.n_tokens for r in tokens.count_tokens(df, tokenizer).collect()} == built
