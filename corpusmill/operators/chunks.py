@@ -169,8 +169,16 @@ def token_windows(tokens: Column, size: int, overlap: int = 0) -> Column:
 
 
 def word_windows(size: int = 4000, overlap: int = 200) -> Callable[[Column], Column]:
-    """Splitter into windows of words, written back with single spaces."""
+    """Splitter into windows of words that are slices of the text.
+
+    A word holds the whitespace before it, the last one also that at the end of the text,
+    so windows without an overlap are the text when put together. A text of whitespace
+    alone counts as one word.
+    """
     check_sizes(size, overlap)
+    space, other = f"[{tx.WHITESPACE_CLASS}]", f"[^{tx.WHITESPACE_CLASS}]"
+    pattern = f"{space}*+{other}++(?:{space}++\\z)?|{space}++\\z"
+    spaced = lambda text: F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     return lambda text: F.transform(
-        token_windows(tx.words(text), size, overlap), lambda w: F.array_join(w, " ")
+        token_windows(spaced(text), size, overlap), lambda w: F.array_join(w, "")
     )

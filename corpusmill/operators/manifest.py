@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import names
-from corpusmill.session import materialize
 
 DEFAULT_MAX_SIZE = 500 * 1024 * 1024
 # States of an upload.
@@ -16,6 +18,8 @@ MANIFEST_SCHEMA = (
     "mime_type string, upload_timestamp timestamp, checksum string, status string, "
     "error_message string"
 )
+# What the stored log adds: the change that wrote an entry, and whether it removes the upload.
+_CHANGE_SCHEMA = f"{MANIFEST_SCHEMA}, version bigint, removed boolean"
 
 
 def build_manifest(
@@ -129,21 +133,81 @@ def supported_mime_types(spark: SparkSession) -> DataFrame:
 
 
 def append_manifest(manifest: DataFrame, path: str) -> None:
-    manifest.write.mode("append").parquet(path)
+    """Store entries; those of an ``upload_id`` stored before replace it (a new status, say).
+
+    The stored manifest is a log of changes, each a folder of its own that is never
+    written again. A change counts once its commit file is there, which lists the folders
+    of the whole log: a failure before that leaves the manifest as it was.
+    """
+    _add_change(manifest.sparkSession, manifest.withColumn("removed", F.lit(False)), path)
 
 
 def delete_stored(spark: SparkSession, path: str, removed: DataFrame) -> None:
     """Remove the uploads of ``removed(upload_id)`` from the stored manifest.
 
-    What stays is stored in the scratch folder before the manifest is replaced.
+    Adds one entry for each; nothing stored is rewritten.
     """
-    left = materialize(delete_uploads(read_manifest(spark, path), removed), "manifest")
-    left.write.mode("overwrite").parquet(path)
+    gone = removed.select("upload_id").distinct().withColumn("removed", F.lit(True))
+    empty = spark.createDataFrame([], MANIFEST_SCHEMA)
+    _add_change(spark, empty.unionByName(gone, allowMissingColumns=True), path)
+
+
+def compact_manifest(spark: SparkSession, path: str) -> None:
+    """Write the present manifest as one folder, from which later reads and changes go on."""
+    version, folders = _committed(spark, path)
+    if len(folders) > 1:
+        entries = read_manifest(spark, path).withColumn("removed", F.lit(False))
+        _commit(spark, path, version + 1, [_write_change(entries, path, version + 1)])
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The stored manifest; empty when nothing has been stored yet."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    """The stored manifest, one row per upload; empty when nothing has been stored yet."""
+    _, folders = _committed(spark, path)
+    if not folders:
         return spark.createDataFrame([], MANIFEST_SCHEMA)
-    return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+    changes = spark.read.schema(_CHANGE_SCHEMA).parquet(*[f"{path}/{folder}" for folder in folders])
+    # Entries of one change for one upload are told apart by their values.
+    order = F.struct("version", "removed", "upload_timestamp", "status", "checksum", "error_message")
+    latest = F.max_by(F.struct("*"), order)
+    entries = changes.groupBy("upload_id").agg(latest.alias("_entry")).filter("not _entry.removed")
+    return entries.select("_entry.*").drop("version", "removed")
+
+
+def _add_change(spark: SparkSession, entries: DataFrame, path: str) -> None:
+    version, folders = _committed(spark, path)
+    _commit(spark, path, version + 1, [*folders, _write_change(entries, path, version + 1)])
+
+
+def _write_change(entries: DataFrame, path: str, version: int) -> str:
+    folder = f"change-{version}-{uuid.uuid4().hex}"
+    entries.withColumn("version", F.lit(version).cast("bigint")).write.parquet(f"{path}/{folder}")
+    return folder
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/commits")
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _committed(spark: SparkSession, path: str) -> tuple[int, list[str]]:
+    """Number of the last commit and the folders it lists."""
+    folder, system = _file_system(spark, path)
+    if not system.exists(folder):
+        return 0, []
+    numbers = [s.getPath().getName() for s in system.listStatus(folder)]
+    last = max((int(n) for n in numbers if n.isdigit()), default=0)
+    if not last:
+        return 0, []
+    return last, json.loads(spark.read.text(f"{folder.toString()}/{last}", wholetext=True).first()[0])
+
+
+def _commit(spark: SparkSession, path: str, number: int, folders: list[str]) -> None:
+    """Publish a commit by renaming, which fails if another writer has taken the number."""
+    folder, system = _file_system(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    draft, target = hadoop.Path(folder, f".draft-{uuid.uuid4().hex}"), hadoop.Path(folder, str(number))
+    out = system.create(draft, False)
+    out.write(json.dumps(folders).encode())
+    out.close()
+    context = hadoop.FileContext.getFileContext(folder.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(draft, target, spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0))

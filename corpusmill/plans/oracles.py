@@ -6,6 +6,7 @@ from corpusmill.functions.separators import LANGUAGE_SEPARATORS
 
 # Whitespace characters as a regular-expression class.
 _WS = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_NOT_WS = _WS.replace("[", "[^", 1)
 _NL = "chr(10)"
 
 
@@ -187,8 +188,8 @@ WITH parts AS (
 SELECT doc_id, lang, unnest(range(len(p))) AS chunk_index, unnest(p) AS chunk FROM parts"""
 
 
-def _windows(size: int, step: int, source: str, others: str, columns: str, chunk: str = "{}") -> str:
-    joined = f"array_to_string(w[i * {step} + 1 : i * {step} + {size}], ' ')"
+def _windows(size: int, step: int, source: str, others: str, columns: str, chunk: str = "{}", glue: str = " ") -> str:
+    joined = f"array_to_string(w[i * {step} + 1 : i * {step} + {size}], '{glue}')"
     return f"""
 windows AS (
   SELECT *, unnest(range(CASE WHEN len(w) = 0 THEN 0 WHEN len(w) <= {size} THEN 1
@@ -404,8 +405,11 @@ FROM documents GROUP BY doc_id // 100""",
 SELECT CASE WHEN url LIKE 'https:%' THEN url ELSE '/web/' || page_id || '.html' END AS source, html AS text,
        strlen(html) AS n_bytes, 'text/html' AS mimetype FROM pages""",
         "token_window_chunks": f"""
-WITH base AS (SELECT doc_id, lang, {_words(_clean('text'))} AS w FROM documents),
-{_windows(200, 160, 'base', 'doc_id', 'lang')}""",
+WITH base AS (
+  SELECT doc_id, lang,
+         regexp_extract_all(text, '{_WS}*{_NOT_WS}+({_WS}+\\z)?|{_WS}+\\z') AS w FROM documents
+),
+{_windows(200, 160, 'base', 'doc_id', 'lang', glue='')}""",
         "token_decode": f"WITH {_KEPT} SELECT doc_id, text FROM kept",
         "token_id_windows": f"""
 WITH {_PLACED},
@@ -464,8 +468,8 @@ SELECT '20231114_221320_page_' || page_id || '.html_' || substr(md5('/web/page '
 FROM pages""",
         "manifest_roundtrip": """
 SELECT stamp || '_page_' || page_id || '.html_' || substr(md5(folder || 'page ' || page_id || '.html'), 1, 12) AS upload_id,
-       folder || 'page ' || page_id || '.html' AS file_path, 'completed' AS status,
-       strlen(html) AS file_size, 0::BIGINT AS rows_before
+       folder || 'page ' || page_id || '.html' AS file_path,
+       CASE folder WHEN '/copy/' THEN 'processing' ELSE 'completed' END AS status, strlen(html) AS file_size, 0::BIGINT AS rows_before
 FROM pages, (VALUES ('/web/', '20231114_221500'), ('/copy/', '20231114_221320')) f(folder, stamp)
 WHERE strlen(html) <= 4000""",
         "mime_detect": f"WITH {_SUFFIXES}, {_ROUTED} SELECT doc_id, mime_type, loader FROM routed",
@@ -521,5 +525,5 @@ SELECT doc_id // 100 AS bucket, 0::BIGINT AS seq_num,
        string_agg({_clean('text')} || {_NL}, '' ORDER BY doc_id) AS page_content, 'text/plain' AS detected_mime_type
 FROM documents GROUP BY doc_id // 100""",
     }
-    sql["stats_json"] = sql["corpus_funnel"]
+    sql["stats_json"] = sql["processing_stats"]
     return sql

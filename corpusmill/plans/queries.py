@@ -97,7 +97,10 @@ def token_stats(spark, sf_dir):
 
 
 def processing_stats(spark, sf_dir):
-    row = corpus.processing_stats(_documents(spark, sf_dir))
+    return _flat_stats(corpus.processing_stats(_documents(spark, sf_dir)))
+
+
+def _flat_stats(row):
     splits_ = [
         F.col(f"{split}.{name}").cast("bigint").alias(f"{split}_{name}")
         for split in ("train", "val")
@@ -179,8 +182,8 @@ def text_splits_roundtrip(spark, sf_dir):
 
 def stats_json(spark, sf_dir):
     path = scratch_path(spark, "stats")
-    document_sinks.write_stats(clean.funnel(_documents(spark, sf_dir)), path)
-    return spark.read.json(path)
+    document_sinks.write_stats(corpus.processing_stats(_documents(spark, sf_dir)), path)
+    return _flat_stats(spark.read.json(path))
 
 
 # --- quality ---------------------------------------------------------------------
@@ -609,7 +612,8 @@ def file_manifest(spark, sf_dir):
 def manifest_roundtrip(spark, sf_dir):
     """Pages uploaded to two folders under the same names, those of one folder twice.
 
-    Failed uploads are deleted from the stored manifest; the newest entry of each path is left.
+    Failed uploads are deleted from the stored manifest, the copies get another status,
+    and the log is compacted; the newest entry of each path is left.
     """
     path, pages = scratch_path(spark, "manifest"), _page_files(spark, sf_dir)
     known = manifest.read_manifest(spark, path).count()
@@ -619,6 +623,10 @@ def manifest_roundtrip(spark, sf_dir):
         manifest.append_manifest(manifest.build_manifest(uploads, max_size=4000, uploaded_at=when), path)
     stored = manifest.read_manifest(spark, path)
     manifest.delete_stored(spark, path, stored.filter("status = 'failed'"))
+    left = manifest.read_manifest(spark, path)
+    copied = left.filter(F.col("file_path").startswith("/copy/"))
+    manifest.append_manifest(manifest.mark_processing(copied, copied), path)
+    manifest.compact_manifest(spark, path)
     kept = manifest.newest_entries(manifest.read_manifest(spark, path))
     return kept.select(
         "upload_id", "file_path", "status", "file_size", F.lit(known).cast("bigint").alias("rows_before")

@@ -42,5 +42,5 @@ def write_text_splits(labelled: DataFrame, path: str, ident: str = "doc_id") ->
 
 
 def write_stats(stats: DataFrame, path: str) -> None:
-    """A small, already aggregated frame as one JSON file."""
+    """A small, already aggregated frame, such as the processing statistics, as one JSON file."""
     stats.coalesce(1).write.json(path)

@@ -182,3 +182,24 @@ def test_custom_splitter(spark):
     df = spark.createDataFrame([(1, "a-b")], "id int, text string")
     rows = chunks.split_documents(df, lambda text: F.split(text, "-")).collect()
     assert [(r.id, r.chunk_index, r.chunk) for r in rows] == [(1, 0, "a"), (1, 1, "b")]
+
+
+def test_word_windows_are_slices(texts):
+    rng = random.Random(5)
+    values = ["".join(rng.choices(["a", "bé", "\u4e2d", " ", "\n", "\u2003", "\u3000", "\x1c", "\u200b"], k=rng.randint(0, 40))) for _ in range(300)]
+    values += ["", " ", "\u3000\n", "x", " x ", "x" * 100_000, " " * 100_000]
+    df = texts(values)
+    rows = df.select("id", chunks.word_windows(3, 0)(F.col("text")).alias("w"), chunks.word_windows(3, 1)(F.col("text")).alias("o"))
+    for r in rows.collect():
+        text = values[r.id]
+        assert "".join(r.w) == text
+        n = len(text.split()) or int(text != "")
+        assert len(r.w) == -(-n // 3)
+        assert [len(w.split()) for w in r.w[:-1]] == [3] * max(len(r.w) - 1, 0)
+        spaced = re.findall(r"\s*\S+(?:\s+\Z)?|\s+\Z", text)
+        expected = []
+        for start in range(0, len(spaced), 2):
+            expected.append("".join(spaced[start : start + 3]))
+            if start + 3 >= len(spaced):
+                break
+        assert r.o == expected
