@@ -12,7 +12,7 @@ from corpusmill.functions import names
 from corpusmill.functions import text as tx
 from corpusmill.operators.manifest import newest_entries
 from corpusmill.session import materialize
-from corpusmill.sources.archives import expand_archives
+from corpusmill.sources.archives import MAX_MEMBER_BYTES, expand_archives
 from corpusmill.sources.delimited import csv_entries
 from corpusmill.sources.files import decoded
 from corpusmill.sources.textual import text_entries
@@ -38,14 +38,16 @@ def load_entries(
     delimiter: str | None = None,
     metadata_columns: Sequence[str] = (),
     content_columns: Sequence[str] = (),
+    quotechar: str = '"',
+    fieldnames: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``entries``, the documents of each classified file, and its ``error``.
 
     Every file is decoded and parsed in the same pass, whatever its loader. ``custom``
     maps MIME types to expressions from text to entries; they replace the built-in ones.
     A loader of a binary format finds the bytes in the column ``content``. ``encoding``,
-    ``delimiter`` (of CSV files) and the column choices are those of the path readers; a
-    table that lacks a chosen column has invalid content.
+    ``delimiter`` (of CSV files), ``quotechar``, ``fieldnames`` and the column choices are
+    those of the path readers; a table that lacks a chosen column has invalid content.
     """
     js.accept_repeated_keys(files.sparkSession)
     custom = custom or {}
@@ -70,9 +72,12 @@ def load_entries(
         files = files.withColumn("loader", chosen)
     readable = F.when(which.isNotNull(), decoded(F.col("content"), encoding, autodetect)["text"])
     separator = F.when(which == "tsv", "\t").otherwise(delimiter or ",")
+    tables = csv_entries(
+        F.when(is_table, text), separator, metadata_columns, content_columns, quotechar, fieldnames
+    )
     return (
         files.withColumn("text", readable)
-        .withColumn("_tables", csv_entries(F.when(is_table, text), separator, metadata_columns, content_columns))
+        .withColumn("_tables", tables)
         .withColumn("entries", entries)
         .withColumn("error", error)
         .drop("text", "_tables", "content")
@@ -126,16 +131,22 @@ def with_provenance(files: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def process_files(
-    files: DataFrame, manifest: DataFrame | None = None, max_depth: int = 3, **options
+    files: DataFrame,
+    manifest: DataFrame | None = None,
+    max_depth: int = 3,
+    max_member: int = MAX_MEMBER_BYTES,
+    **options,
 ) -> tuple[DataFrame, DataFrame]:
     """Documents and per-file outcomes of scanned files.
 
     A broken file or archive member gives an outcome row with its error and never stops
-    the others. Files are parsed once: both results read the stored entries.
+    the others. Files are parsed once: both results read the stored entries. Archive
+    members of more than ``max_member`` bytes are such errors. Other options are those of
+    :func:`load_entries`.
     """
     if manifest is not None:
         files = with_provenance(files, manifest)
-    loaded = load_entries(classify(expand_archives(files, max_depth)), **options)
+    loaded = load_entries(classify(expand_archives(files, max_depth, max_member)), **options)
     if not files.isStreaming:
         loaded = materialize(loaded, "loaded")
     return documents_of(loaded), outcomes_of(loaded)

@@ -24,7 +24,7 @@ _READ_ERRORS = (
     OSError, EOFError, zipfile.BadZipFile, tarfile.TarError, zlib.error, lzma.LZMAError,
     RuntimeError, NotImplementedError, ValueError, MemoryError,
 )
-# A member that unpacks to more than this is an error row, read no further.
+# Unless another bound is given, a member that unpacks to more is an error row, read no further.
 MAX_MEMBER_BYTES = 1 << 30
 _PACKED = {
     b"\x1f\x8b": lambda raw: gzip.GzipFile(fileobj=io.BytesIO(raw)),
@@ -176,13 +176,14 @@ def list_archive(files: DataFrame) -> DataFrame:
     )
 
 
-def expand_archives(files: DataFrame, max_depth: int = 3) -> DataFrame:
+def expand_archives(files: DataFrame, max_depth: int = 3, max_member: int = MAX_MEMBER_BYTES) -> DataFrame:
     """Files with archives replaced by their members, nested archives included.
 
     Adds ``upload_path`` (the scanned file), ``source_archive``, ``relative_path`` and
     ``error``; further columns of ``files`` ride along. Directories, unsafe paths and
     macOS metadata are left out. An archive that cannot be read, or lies deeper than
-    ``max_depth`` levels, and every member that cannot be read give an error row.
+    ``max_depth`` levels, and every member that cannot be read, or unpacks to more than
+    ``max_member`` bytes, give an error row.
     """
     others = [c for c in files.columns if c not in ("path", "content", "length", "modificationTime")]
     upload = F.struct(F.col("path").alias("upload_path"), *others)
@@ -193,7 +194,7 @@ def expand_archives(files: DataFrame, max_depth: int = 3) -> DataFrame:
         "path", "content", "upload.*", nothing.alias("source_archive"), nothing.alias("relative_path"),
         nothing.alias("error"),
     )
-    members = open_archives(uploads.filter(packed), max_depth)
+    members = open_archives(uploads.filter(packed), max_depth, max_member=max_member)
     unpacked = members.filter("member is null or (is_file and wanted)").select(
         F.when(F.col("member").isNull(), F.col("archive"))
         .otherwise(F.concat_ws("!/", "archive", "member"))

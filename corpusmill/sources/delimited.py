@@ -97,17 +97,26 @@ def tsv_documents(spark: SparkSession, paths, **options) -> DataFrame:
 
 
 def csv_entries(
-    text: Column, delimiter: Column, metadata_columns: Sequence[str] = (), content_columns: Sequence[str] = ()
+    text: Column,
+    delimiter: Column,
+    metadata_columns: Sequence[str] = (),
+    content_columns: Sequence[str] = (),
+    quotechar: str = '"',
+    fieldnames: Sequence[str] | None = None,
 ) -> Column:
     """Records of a CSV text held in a column, where every row may have its own header.
 
     Used for archive members and mixed file sets, which Spark's CSV reader cannot
-    open; ``delimiter`` is a column as well. Null if a chosen column is missing.
+    open; ``delimiter`` is a column as well. Null if a chosen column is missing. With
+    ``fieldnames`` the first record is data as well.
     """
-    return _csv_parser(tuple(metadata_columns), tuple(content_columns))(text, delimiter)
+    parser = _csv_parser(tuple(metadata_columns), tuple(content_columns), quotechar, fieldnames and list(fieldnames))
+    return parser(text, delimiter)
 
 
-def _csv_parser(metadata_columns: tuple[str, ...], content_columns: tuple[str, ...]):
+def _csv_parser(
+    metadata_columns: tuple[str, ...], content_columns: tuple[str, ...], quotechar: str, fieldnames: list[str] | None
+):
     def shown(value):
         if isinstance(value, list):
             return ",".join(v.strip() for v in value)
@@ -119,7 +128,7 @@ def _csv_parser(metadata_columns: tuple[str, ...], content_columns: tuple[str, .
     def documents(text, delimiter):
         if text is None:
             return None
-        records = csv.DictReader(io.StringIO(text, newline=""), delimiter=delimiter)
+        records = csv.DictReader(io.StringIO(text, newline=""), fieldnames, delimiter=delimiter, quotechar=quotechar)
         if {*metadata_columns, *content_columns} - {*(records.fieldnames or ())}:
             return None
         return [

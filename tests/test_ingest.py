@@ -289,10 +289,61 @@ def test_manifest(spark, tmp_path):
     assert left.count() == 2
     manifest.delete_stored(spark, path, stored.filter(F.col("upload_id") == ident))
     assert {r.original_filename for r in manifest.read_manifest(spark, path).collect()} == {"big.txt", "x.exe"}
+    kept = manifest.read_manifest(spark, path)
+    running = kept.filter("original_filename = 'big.txt'")
+    manifest.append_manifest(manifest.mark_processing(running, running), path)
+    states = {("big.txt", "processing", None), ("x.exe", "failed", "File type not allowed: x.exe")}
+    stored_states = lambda: {(r.original_filename, r.status, r.error_message) for r in manifest.read_manifest(spark, path).collect()}
+    assert stored_states() == states
+    manifest.compact_manifest(spark, path)
+    assert manifest._committed(spark, path)[0] == 4 and len(manifest._committed(spark, path)[1]) == 1
+    assert stored_states() == states
+    manifest.append_manifest(built.filter("original_filename = 'a b.txt'"), path)
+    assert stored_states() == states | {("a b.txt", "completed", None)}
     assert manifest.supported_extensions(spark).count() == 14
     assert manifest.supported_mime_types(spark).count() == 5
 
 
+def test_manifest_survives_failed_changes(spark, tmp_path):
+    path = str(tmp_path / "manifest")
+    df = spark.createDataFrame([("/u/a.txt", 2, bytearray(b"ab"))], "path string, length bigint, content binary")
+    built = manifest.build_manifest(df, uploaded_at=F.timestamp_seconds(F.lit(1)))
+    manifest.append_manifest(built.limit(0), path)
+    assert manifest.read_manifest(spark, path).count() == 0
+    manifest.append_manifest(built, path)
+    before = manifest.read_manifest(spark, path).collect()
+    # A change that was written but not committed, and one that stopped while it was written.
+    manifest._write_change(built.withColumn("removed", F.lit(True)), path, 3)
+    with pytest.raises(Exception, match="stop"):
+        manifest.append_manifest(built.withColumn("status", F.raise_error(F.lit("stop")).cast("string")), path)
+    assert manifest.read_manifest(spark, path).collect() == before
+    # Another writer has taken the number.
+    with pytest.raises(Exception, match="(?i)exist"):
+        manifest._commit(spark, path, 2, [])
+    assert manifest.read_manifest(spark, path).collect() == before
+    manifest.delete_stored(spark, path, built)
+    assert manifest.read_manifest(spark, path).count() == 0
+
+
+def test_router_takes_dialects_and_member_bounds(spark):
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as bundle:
+        bundle.writestr("small.txt", "x" * 10)
+        bundle.writestr("large.txt", "x" * 11)
+    rows = [("/in/a.csv", bytearray("1;'x;y'\n2;z\n".encode())), ("/in/b.zip", bytearray(packed.getvalue()))]
+    scanned = spark.createDataFrame(rows, "path string, content binary")
+    options = {"delimiter": ";", "quotechar": "'", "fieldnames": ["id", "name"], "max_member": 10}
+    documents, outcomes = ingest.process_files(scanned, **options)
+    got = sorted((r.source, r.seq_num, r.page_content) for r in documents.collect())
+    assert got == [
+        ("/in/a.csv", 0, "id: 1\nname: x;y"), ("/in/a.csv", 1, "id: 2\nname: z"), ("/in/b.zip!/small.txt", 0, "x" * 10),
+    ]
+    bad = outcomes.filter("status <> 'completed'").collect()
+    assert [(r.path, "more than 10 bytes" in r.error) for r in bad] == [("/in/b.zip!/large.txt", True)]
+    _, free = ingest.process_files(scanned, **options | {"max_member": 11})
+    assert {r.status for r in free.collect()} == {"completed"}
+
+
 def test_oversized_files_are_not_read(spark, folder):
     scanned = files.scan_files(spark, str(folder), max_size=10)
     assert "LessThanOrEqual(length,10)" in scanned._jdf.queryExecution().executedPlan().toString()
