@@ -7,6 +7,7 @@ import gzip
 import io
 import lzma
 import posixpath
+import struct
 import tarfile
 import zipfile
 import zlib
@@ -41,6 +42,19 @@ _MEMBER_FIELDS = T.StructType(
     ]
 )
 _MEMBER_TYPES = [pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.binary(), pa.string()]
+# A member as it was cut out of its archive.
+_PIECE_FIELDS = T.StructType(
+    [
+        T.StructField("archive", T.StringType()),
+        T.StructField("number", T.LongType()),
+        T.StructField("member", T.StringType()),
+        T.StructField("is_file", T.BooleanType()),
+        T.StructField("content", T.BinaryType()),
+        T.StructField("crc", T.LongType()),
+        T.StructField("error", T.StringType()),
+    ]
+)
+_PIECE_TYPES = [pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.binary(), pa.int64(), pa.string()]
 
 
 def _bounded(source, most: int) -> bytes:
@@ -123,42 +137,152 @@ def _wanted(member: str) -> bool:
     )
 
 
-def _grouped(found: Iterable[tuple], rows: int = 1000, size: int = 8 << 20) -> Iterator[list[tuple]]:
-    """Output rows in groups of bounded number and content size."""
+def _grouped(
+    upload: pa.Array, found: Iterable[tuple], fields: T.StructType, types: list, rows: int = 1000, size: int = 8 << 20
+) -> Iterator[pa.RecordBatch]:
+    """Rows found in one upload as record batches of bounded number and content size."""
+    content = fields.names.index("content")
+
+    def batch(group: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(values, t) for values, t in zip(zip(*group), types)]
+        return pa.RecordBatch.from_arrays(
+            [upload.take(pa.array([0] * len(group))), *columns], ["upload", *fields.names]
+        )
+
     group, held = [], 0
-    for archive, member, is_file, content, error in found:
-        group.append((archive, member, _wanted(member or ""), is_file, content, error))
-        held += len(content or b"")
+    for row in found:
+        group.append(row)
+        held += len(row[content] or b"")
         if len(group) == rows or held >= size:
-            yield group
+            yield batch(group)
             group, held = [], 0
     if group:
-        yield group
+        yield batch(group)
+
+
+def _deflated(raw: bytes, info: zipfile.ZipInfo) -> bytes | None:
+    """The packed bytes of a member that is plainly deflated; any other is left to ``zipfile``."""
+    at = info.header_offset
+    if info.compress_type != zipfile.ZIP_DEFLATED or info.flag_bits & 1 or raw[at : at + 4] != b"PK\3\4":
+        return None
+    name, extra = struct.unpack_from("<HH", raw, at + 26)
+    charset = "utf-8" if info.flag_bits & 0x800 else "cp437"
+    if raw[at + 30 : at + 30 + name].decode(charset, "replace") != info.orig_filename:
+        return None
+    start = at + 30 + name + extra
+    packed = raw[start : start + info.compress_size]
+    return packed if len(packed) == info.compress_size else None
+
+
+def _inflated(packed: bytes, crc: int, most: int) -> bytes:
+    reader = zlib.decompressobj(-zlib.MAX_WBITS)
+    data = reader.decompress(packed, most + 1)
+    if len(data) > most:
+        raise ValueError(f"unpacks to more than {most} bytes")
+    if not reader.eof:
+        raise EOFError("packed bytes end early")
+    if zlib.crc32(data) != crc:
+        raise zipfile.BadZipFile("bad checksum")
+    return data
 
 
-def open_archives(
-    archives: DataFrame, max_depth: int = 3, contents: bool = True, max_member: int = MAX_MEMBER_BYTES
-) -> DataFrame:
-    """One row per member of the archives in ``(path, content, upload)``; a member or an
-    archive that cannot be read gives a row with its error.
+def _cut(path: str, raw: bytes, depth: int, most: int) -> Iterator[tuple]:
+    """``(member, is_file, content, crc, error)`` of the archive itself, none inside it opened.
 
-    ``upload`` is passed on to every member. Nested archives are opened in the same
-    pass. An archive is read by one task; its members leave the task in small batches.
+    A checksum tells that the content is still deflated. Taking a zip apart by its
+    directory is quick, so the members can be unpacked wherever they are sent.
     """
+    kind = archive_kind(path)
+    if kind not in SUPPORTED:
+        yield None, False, None, None, f"unsupported archive type {kind}"
+        return
+    if depth == 0:
+        yield None, False, None, None, "nested too deep"
+        return
+    try:
+        if kind != "zip":
+            for member, is_file, data, error in _members(path, kind, raw, True, most):
+                yield member, is_file, data, None, error
+            return
+        with zipfile.ZipFile(io.BytesIO(raw)) as box:
+            for info in box.infolist():
+                packed = None if info.is_dir() else _deflated(raw, info)
+                if packed is not None or info.is_dir():
+                    yield info.filename, not info.is_dir(), packed, info.CRC if packed is not None else None, None
+                    continue
+                try:
+                    with box.open(info) as source:
+                        yield info.filename, True, _bounded(source, most), None, None
+                except _READ_ERRORS as problem:
+                    yield info.filename, True, None, None, f"{type(problem).__name__}: {problem}"
+    except _READ_ERRORS as problem:
+        yield None, False, None, None, f"{type(problem).__name__}: {problem}"
 
-    def open_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _unpack(archive: str, piece: tuple, depth: int, most: int) -> Iterator[tuple]:
+    """``(archive, member, wanted, is_file, content, error)`` of one cut member and of what is inside it."""
+    member, is_file, content, crc, error = piece
+    if crc is not None:
+        try:
+            content = _inflated(content, crc, most)
+        except _READ_ERRORS as problem:
+            content, error = None, f"{type(problem).__name__}: {problem}"
+    if content is not None and _wanted(member) and archive_kind(member):
+        for inner, name, inner_file, data, problem in _walk(f"{archive}!/{member}", content, depth - 1, True, most):
+            yield inner, name, _wanted(name or ""), inner_file, data, problem
+    else:
+        yield archive, member, _wanted(member or ""), is_file, content, error
+
+
+def list_members(archives: DataFrame, max_depth: int = 3) -> DataFrame:
+    """One row per member of the archives in ``(path, content, upload)``, contents left packed."""
+
+    def list_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             paths, blobs, uploads = (batch.column(c) for c in ("path", "content", "upload"))
             for i, path in enumerate(paths.to_pylist()):
-                for rows in _grouped(_walk(path, blobs[i].as_py(), max_depth, contents, max_member)):
-                    columns = [pa.array(values, t) for values, t in zip(zip(*rows), _MEMBER_TYPES)]
-                    repeated = uploads.take(pa.array([i] * len(rows)))
-                    yield pa.RecordBatch.from_arrays(
-                        [repeated, *columns], ["upload", *_MEMBER_FIELDS.names]
-                    )
+                found = _walk(path, blobs[i].as_py(), max_depth, False, 0)
+                rows = ((a, m, _wanted(m or ""), is_file, data, e) for a, m, is_file, data, e in found)
+                yield from _grouped(uploads.slice(i, 1), rows, _MEMBER_FIELDS, _MEMBER_TYPES)
 
     fields = T.StructType([archives.schema["upload"], *_MEMBER_FIELDS.fields])
-    return archives.select("path", "content", "upload").mapInArrow(open_all, fields)
+    return archives.select("path", "content", "upload").mapInArrow(list_all, fields)
+
+
+def open_archives(archives: DataFrame, max_depth: int = 3, max_member: int = MAX_MEMBER_BYTES) -> DataFrame:
+    """One row per member of the archives in ``(path, content, upload)``; a member or an
+    archive that cannot be read gives a row with its error.
+
+    ``upload`` is passed on to every member. One task takes an archive apart; its members
+    are dealt out over all tasks, those of a zip as they are packed, and unpacked there, with
+    the archives nested in them. So an archive of many members keeps no other waiting.
+    """
+    def cut_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, blobs, uploads = (batch.column(c) for c in ("path", "content", "upload"))
+            for i, path in enumerate(paths.to_pylist()):
+                pieces = enumerate(_cut(path, blobs[i].as_py(), max_depth, max_member))
+                rows = ((path, number, *piece) for number, piece in pieces)
+                yield from _grouped(uploads.slice(i, 1), rows, _PIECE_FIELDS, _PIECE_TYPES)
+
+    def unpack_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names_of = ("member", "is_file", "content", "crc", "error")
+        for batch in batches:
+            uploads, archive = batch.column("upload"), batch.column("archive")
+            columns = [batch.column(c) for c in names_of]
+            for i in range(batch.num_rows):
+                piece = tuple(c[i].as_py() for c in columns)
+                rows = _unpack(archive[i].as_py(), piece, max_depth, max_member)
+                yield from _grouped(uploads.slice(i, 1), rows, _MEMBER_FIELDS, _MEMBER_TYPES)
+
+    upload = archives.schema["upload"]
+    pieces = archives.select("path", "content", "upload").mapInArrow(
+        cut_all, T.StructType([upload, *_PIECE_FIELDS.fields])
+    )
+    # A number of partitions of its own: packed bytes say little about what they grow to.
+    tasks = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pieces.repartition(tasks, "archive", "number")
+    return dealt.mapInArrow(unpack_all, T.StructType([upload, *_MEMBER_FIELDS.fields]))
 
 
 def list_archive(files: DataFrame) -> DataFrame:
@@ -167,7 +291,7 @@ def list_archive(files: DataFrame) -> DataFrame:
     An archive that cannot be read has a row with its error.
     """
     archives = files.filter(names.is_archive(F.col("path"))).withColumn("upload", F.struct("path"))
-    listed = open_archives(archives, contents=False)
+    listed = list_members(archives)
     member = F.when(
         names.archive_type(F.col("archive")) == "gz", F.regexp_replace("archive", r"\.[^.]*\z", "")
     ).otherwise(F.col("member"))
@@ -194,7 +318,7 @@ def expand_archives(files: DataFrame, max_depth: int = 3, max_member: int = MAX_
         "path", "content", "upload.*", nothing.alias("source_archive"), nothing.alias("relative_path"),
         nothing.alias("error"),
     )
-    members = open_archives(uploads.filter(packed), max_depth, max_member=max_member)
+    members = open_archives(uploads.filter(packed), max_depth, max_member)
     unpacked = members.filter("member is null or (is_file and wanted)").select(
         F.when(F.col("member").isNull(), F.col("archive"))
         .otherwise(F.concat_ws("!/", "archive", "member"))

@@ -126,6 +126,45 @@ def test_damaged_members_do_not_hide_others(spark):
     assert bad[("bomb.txt.gz", "bomb.txt")] == "ValueError: unpacks to more than 4000 bytes"
 
 
+def test_members_of_one_zip_are_unpacked_by_many_tasks(spark):
+    """Stored, deflated, LZMA, streamed, empty and repeated members; 10,000 in one archive."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as box:
+        for n in range(10_000):
+            box.writestr(f"d/é{n}.txt", f"text {n} " * (n % 7))
+        box.writestr("stored.txt", b"as it is", zipfile.ZIP_STORED)
+        box.writestr("other.txt", b"packed otherwise", zipfile.ZIP_LZMA)
+        with box.open("streamed.txt", "w") as member:
+            member.write(b"size unknown at first" * 100)
+        box.writestr("in.zip", zipped({"deep.txt": b"deep"}))
+    raw = b"something before" + out.getvalue()
+    df = spark.createDataFrame([("/in/a.zip", raw)], "path string, content binary")
+    found = archives.expand_archives(df).withColumn("task", F.spark_partition_id()).collect()
+    with zipfile.ZipFile(io.BytesIO(raw)) as box:
+        expected = {i.filename: box.read(i) for i in box.infolist() if i.filename != "in.zip"} | {"deep.txt": b"deep"}
+    assert {r.relative_path: bytes(r.content) for r in found} == expected and len(found) == len(expected)
+    assert all(r.error is None for r in found)
+    tasks = [sum(r.task == t for r in found) for t in {r.task for r in found}]
+    assert len(tasks) >= 4 and max(tasks) < len(found) / 2
+
+
+def test_members_a_zip_does_not_describe_rightly(spark):
+    """A directory that differs from the member's own head, an encrypted member, a cut one."""
+    good = zipped({"a.txt": b"aa" * 50, "b.txt": b"bb" * 50})
+    renamed = good.replace(b"a.txt", b"c.txt", 1)
+    directory = good.index(b"PK\x01\x02")
+    locked = bytearray(good)
+    locked[directory + 8] |= 1
+    rows = [("/in/renamed.zip", renamed), ("/in/locked.zip", bytes(locked)), ("/in/cut.zip", good[:-30]), ("/in/none.zip", b"")]
+    found = archives.expand_archives(spark.createDataFrame(rows, "path string, content binary")).collect()
+    by = {(r.upload_path, r.relative_path): (r.content, r.error) for r in found}
+    assert len(by) == len(found) == 6
+    for name in ("renamed", "locked"):
+        assert by[(f"/in/{name}.zip", "a.txt")][0] is None and by[(f"/in/{name}.zip", "a.txt")][1]
+        assert by[(f"/in/{name}.zip", "b.txt")] == (b"bb" * 50, None)
+    assert by[("/in/cut.zip", None)][1] and by[("/in/none.zip", None)][1]
+
+
 def test_list_of_an_unreadable_archive(spark, folder):
     rows = archives.list_archive(files.scan_files(spark, str(folder), glob="bad.zip")).collect()
     assert [(r.member, r.error.split(":")[0]) for r in rows] == [(None, "BadZipFile")]
