@@ -163,13 +163,26 @@ def training_windows(spark, sf_dir):
 
 def token_bin_roundtrip(spark, sf_dir):
     blocks, tokenizer = _packed(spark, sf_dir)
-    blocks = materialize(blocks, "blocks")
-    parts = []
-    for split in ("train", "val"):
-        path = scratch_path(spark, f"{split}-bin")
-        token_sinks.write_token_stream(blocks, path, split, BLOCK, tokenizer.vocab_size)
-        parts.append(token_sinks.read_token_stream(spark, path).withColumn("split", F.lit(split)))
-    return parts[0].unionByName(parts[1]).select("split", "position", F.col("token").cast("bigint").alias("token"))
+    folders = {split: scratch_path(spark, f"{split}-bin") for split in ("train", "val")}
+    token_sinks.write_token_streams(materialize(blocks, "blocks"), folders, BLOCK, tokenizer.vocab_size)
+    parts = [
+        token_sinks.read_token_runs(spark, path, 4096).select(
+            F.lit(split).alias("split"), "position", F.posexplode("tokens").alias("place", "token")
+        )
+        for split, path in folders.items()
+    ]
+    position = (F.col("position") + F.col("place")).alias("position")
+    return parts[0].unionByName(parts[1]).select("split", position, F.col("token").cast("bigint").alias("token"))
+
+
+def token_bin_ranges(spark, sf_dir):
+    """A stretch in the middle of the stream, found by a position filter that reaches the files."""
+    blocks, tokenizer = _packed(spark, sf_dir)
+    path = scratch_path(spark, "train-bin")
+    token_sinks.write_token_stream(blocks, path, "train", BLOCK, tokenizer.vocab_size)
+    stream = token_sinks.read_token_stream(spark, path)
+    wanted = stream.filter((F.col("position") >= 1000) & (F.col("position") < 2000))
+    return wanted.select("position", F.col("token").cast("bigint").alias("token"))
 
 
 def text_splits_roundtrip(spark, sf_dir):
@@ -812,7 +825,7 @@ def stream_ingest(spark, sf_dir):
 _QUERIES = [
     clean_text, min_length_filter, max_length_truncate, corpus_funnel, train_val_split, word_vocab, token_decode,
     token_stats, processing_stats, token_ids, utf8_token_counts, pack_blocks, verify_tokens, data_budget,
-    training_windows, token_bin_roundtrip, text_splits_roundtrip, stats_json,
+    training_windows, token_bin_roundtrip, token_bin_ranges, text_splits_roundtrip, stats_json,
     repetition_score, diversity_score, coherence_by_lang, block_losses, benchmark_losses, bigram_perplexity,
     sampled_perplexity, generation_log_summary, evaluation_report,
     dataframe_documents, elements_single, elements_paged, elements_rows, elements_by_source, document_json,
