@@ -262,6 +262,9 @@ SELECT window_id, start,
        string_agg(id::VARCHAR, ' ' ORDER BY gpos) FILTER (WHERE gpos > start) AS y
 FROM starts JOIN train ON gpos BETWEEN start AND start + 64 GROUP BY window_id, start""",
         "token_bin_roundtrip": f"WITH {_STREAM} SELECT split, gpos AS position, id AS token FROM stream",
+        "token_bin_ranges": f"""
+WITH {_STREAM} SELECT gpos AS position, id AS token FROM stream
+WHERE split = 'train' AND gpos >= 1000 AND gpos < 2000""",
         "text_splits_roundtrip": f"WITH {_LABELLED} SELECT split, text FROM labelled",
         "repetition_score": f"""
 WITH corpus AS (SELECT * FROM documents), {_SCORES}
