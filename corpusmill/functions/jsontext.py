@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.functions import text as tx
+from corpusmill.functions.batches import OBJECT_BYTES, piecewise
 from corpusmill.functions.binding import let
 
 _SCALAR_KINDS = ("STRING", "BIGINT", "DECIMAL", "DOUBLE", "FLOAT", "BOOLEAN", "VOID")
@@ -63,7 +64,7 @@ def _shown(value) -> str:
     return "" if value is None else str(value)
 
 
-@F.arrow_udf(T.StringType())
+@piecewise(T.StringType(), OBJECT_BYTES)
 def rendered(values: pa.Array) -> pa.Array:
     """Text form of a JSON value: objects and lists indented by two, scalars as ``str()``."""
     texts = [None if raw is None else _shown(json.loads(raw)) for raw in values.to_pylist()]

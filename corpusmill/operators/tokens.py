@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
+from corpusmill.functions.batches import OBJECT_BYTES, piecewise
 from corpusmill.functions.binding import whole_part
 
 # Token ids 0-255 are UTF-8 bytes; this one opens a word that is spelled in bytes.
@@ -90,7 +91,7 @@ def word_tokenizer(vocab: DataFrame, cleaned: bool = False) -> Tokenizer:
     rows = vocab.orderBy("token_id").select("token").limit(MAX_TOKEN_VALUE["uint16"]).toArrow()
     shared = vocab.sparkSession.sparkContext.broadcast(rows.column("token").combine_chunks())
 
-    @F.arrow_udf("array<int>")
+    @piecewise("array<int>")
     def lookup(word_lists: pa.Array) -> pa.Array:
         words = word_lists.flatten()
         found = pc.index_in(words, value_set=shared.value.cast(words.type))
@@ -109,7 +110,7 @@ def word_tokenizer(vocab: DataFrame, cleaned: bool = False) -> Tokenizer:
         mask = word_lists.is_null() if word_lists.null_count else None
         return pa.ListArray.from_arrays(pa.array(ends[bounds], pa.int32()), pa.array(out), mask=mask)
 
-    @F.arrow_udf("int")
+    @piecewise("int")
     def count(word_lists: pa.Array) -> pa.Array:
         words = word_lists.flatten()
         known = pc.is_in(words, value_set=shared.value.cast(words.type))
@@ -119,7 +120,7 @@ def word_tokenizer(vocab: DataFrame, cleaned: bool = False) -> Tokenizer:
         totals = np.diff(ends[bounds]).astype(np.int32)
         return pa.array(totals, mask=word_lists.is_null().to_numpy(zero_copy_only=False))
 
-    @F.arrow_udf("string")
+    @piecewise("string", OBJECT_BYTES)
     def spell(id_lists: pa.Array) -> pa.Array:
         single = [bytes([b]) for b in range(256)]
         entries = pa.concat_arrays([
@@ -140,18 +141,18 @@ def word_tokenizer(vocab: DataFrame, cleaned: bool = False) -> Tokenizer:
 def utf8_tokenizer() -> Tokenizer:
     """One token per UTF-8 byte (vocabulary of 256)."""
 
-    @F.arrow_udf("array<int>")
+    @piecewise("array<int>")
     def to_bytes(texts: pa.Array) -> pa.Array:
         raw = texts.cast(pa.binary())
         joined = b"".join(v for v in raw.to_pylist() if v is not None)
         flat = pa.Array.from_buffers(pa.uint8(), len(joined), [None, pa.py_buffer(joined)])
         return _lists_of(flat.cast(pa.int32()), pc.fill_null(pc.binary_length(raw), 0), texts)
 
-    @F.arrow_udf("string")
+    @piecewise("string", OBJECT_BYTES)
     def from_bytes(id_lists: pa.Array) -> pa.Array:
         return pa.array(
-            None if ids is None else bytes(ids).decode("utf-8", "replace")
-            for ids in id_lists.to_pylist()
+            [None if ids is None else bytes(ids).decode("utf-8", "replace") for ids in id_lists.to_pylist()],
+            pa.string(),
         )
 
     return Tokenizer(encode=to_bytes, decode=from_bytes, vocab_size=256, count=F.octet_length)
@@ -187,7 +188,7 @@ def rank_file_tokenizer(
             made["encoding"] = _encoding(*shared.value)
         return made["encoding"]
 
-    @F.arrow_udf("array<int>")
+    @piecewise("array<int>", OBJECT_BYTES)
     def encode(texts: pa.Array) -> pa.Array:
         enc = encoding()
         return pa.array(
@@ -195,7 +196,7 @@ def rank_file_tokenizer(
             pa.list_(pa.int32()),
         )
 
-    @F.arrow_udf("string")
+    @piecewise("string", OBJECT_BYTES)
     def decode(id_lists: pa.Array) -> pa.Array:
         enc = encoding()
         return pa.array(

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as tx
+from corpusmill.functions.batches import OBJECT_BYTES, piecewise
 from corpusmill.functions.jsontext import ARROW_ENTRIES, ENTRY_TYPE
 from corpusmill.session import materialize
 from corpusmill.sources.records import Dialect, delimited_records
@@ -145,7 +146,7 @@ def _csv_parser(
             for i, record in enumerate(records)
         ]
 
-    @F.arrow_udf(ENTRY_TYPE)
+    @piecewise(ENTRY_TYPE, OBJECT_BYTES)
     def parse(texts: pa.Array, delimiters: pa.Array) -> pa.Array:
         csv.field_size_limit(2**31 - 1)
         rows = [documents(t, d) for t, d in zip(texts.to_pylist(), delimiters.to_pylist())]

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusmill.functions.batches import piecewise
 from corpusmill.session import materialize
 
 # Four numbers each, so about 100 MB; a block has tens of megabytes of text.
@@ -56,7 +57,7 @@ def decoded(content: Column, encoding: str | None = None, autodetect: bool = Fal
 
 
 def _decode_udf(declared: str, autodetect: bool):
-    @F.arrow_udf("text string, charset string")
+    @piecewise("text string, charset string")
     def decode(contents: pa.Array) -> pa.Array:
         def attempt(raw):
             if raw is None:
