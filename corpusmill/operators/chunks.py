@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import chunker
 from corpusmill.functions import text as tx
+from corpusmill.functions.batches import OBJECT_BYTES, piecewise
 from corpusmill.functions.binding import let
 from corpusmill.functions.separators import (
     DEFAULT_SEPARATORS,
@@ -117,12 +118,12 @@ def recursive(
         separators, is_regex = separators_for(language), True
     chosen = separators or DEFAULT_SEPARATORS
 
-    @F.arrow_udf(_CHUNK_TYPE)
+    @piecewise(_CHUNK_TYPE, OBJECT_BYTES)
     def split_one(texts: pa.Array) -> pa.Array:
         r = chunker.rules(size, overlap, chosen, is_regex=is_regex, **options)
         return _chunk_lists(texts, (r for _ in range(len(texts))))
 
-    @F.arrow_udf(_CHUNK_TYPE)
+    @piecewise(_CHUNK_TYPE, OBJECT_BYTES)
     def split_by_language(texts: pa.Array, languages: pa.Array) -> pa.Array:
         known = {
             name: chunker.rules(size, overlap, separators_for(name), is_regex=True, **options)
