@@ -46,12 +46,15 @@ def pack_blocks(tokenized: DataFrame, block_size: int, ident: str = "doc_id") ->
             F.slice("tokens", (left - start + 1).cast("int"), (right - left).cast("int")).alias("piece"),
         )
 
-    touched = F.sequence(whole_part(start, block_size), whole_part(start + count - 1, block_size))
-    pieces = stream_offsets(tokenized.filter("n_tokens > 0"), ident).select(
-        "split", F.inline(F.transform(touched, piece))
-    )
-    whole = pieces.filter(F.size("piece") == size).select("split", "block_id", F.col("piece").alias("tokens"))
-    rest = pieces.filter(F.size("piece") < size).groupBy("split", "block_id")
+    # Blocks that begin in the document, and those that end in it, are whole where they do both.
+    begun, ended = whole_part(start + block_size - 1, block_size), whole_part(start + count, block_size)
+    inside = F.when(begun < ended, F.sequence(begun, ended - 1))
+    first, last = whole_part(start, block_size), whole_part(start + count - 1, block_size)
+    ends = F.filter(F.array_distinct(F.array(first, last)), lambda b: (b < begun) | (b >= ended))
+    placed = stream_offsets(tokenized.filter("n_tokens > 0"), ident)
+    pieces = lambda touched: placed.select("split", F.inline(F.transform(touched, piece)))
+    whole = pieces(inside).select("split", "block_id", F.col("piece").alias("tokens"))
+    rest = pieces(ends).groupBy("split", "block_id")
     return whole.unionByName(rest.agg(_in_order("position", "piece").alias("tokens")))
 
 

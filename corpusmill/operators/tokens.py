@@ -46,8 +46,22 @@ def check_vocab_size(vocab_size: int, dtype: str = "uint16") -> None:
         )
 
 
-def _splitter(cleaned: bool) -> Callable[[Column], Column]:
-    return tx.words_of_cleaned if cleaned else tx.words
+def _splittable(text: Column, cleaned: bool) -> Column:
+    """What the Arrow functions below take words from: a cleaned text itself, else a list of its words."""
+    return text if cleaned else tx.words(text)
+
+
+def _words_of(values: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all values, and for each value where its words begin and end."""
+    texts = not pa.types.is_list(values.type)
+    lists = pc.split_pattern(values, " ") if texts else values
+    words = lists.flatten()
+    bounds = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
+    if texts:
+        there = pc.greater(pc.binary_length(words), 0)
+        kept = np.concatenate([[0], np.cumsum(there.to_numpy(zero_copy_only=False))])
+        words, bounds = words.filter(there), kept[bounds]
+    return words, bounds
 
 
 def word_vocab(
@@ -63,8 +77,9 @@ def word_vocab(
     check_vocab_size(max_size)
     if max_size <= FIRST_WORD_ID:
         raise ValueError(f"a vocabulary needs more than {FIRST_WORD_ID} ids, got {max_size}")
+    words = tx.words_of_cleaned if cleaned else tx.words
     counts = (
-        df.select(F.explode(_splitter(cleaned)(F.col(column))).alias("token"))
+        df.select(F.explode(words(F.col(column))).alias("token"))
         .groupBy("token")
         .agg(F.count("*").alias("count"))
     )
@@ -92,8 +107,8 @@ def word_tokenizer(vocab: DataFrame, cleaned: bool = False) -> Tokenizer:
     shared = vocab.sparkSession.sparkContext.broadcast(rows.column("token").combine_chunks())
 
     @piecewise("array<int>")
-    def lookup(word_lists: pa.Array) -> pa.Array:
-        words = word_lists.flatten()
+    def lookup(values: pa.Array) -> pa.Array:
+        words, bounds = _words_of(values)
         found = pc.index_in(words, value_set=shared.value.cast(words.type))
         ids = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int32) + FIRST_WORD_ID
         known = ids >= FIRST_WORD_ID
@@ -106,19 +121,17 @@ def word_tokenizer(vocab: DataFrame, cleaned: bool = False) -> Tokenizer:
         inside = np.ones(len(out), bool)
         inside[ends[:-1]] = False
         out[inside] = np.frombuffer(b"".join(spelled.to_pylist()), np.uint8)
-        bounds = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(word_lists), 0).to_numpy())])
-        mask = word_lists.is_null() if word_lists.null_count else None
+        mask = values.is_null() if values.null_count else None
         return pa.ListArray.from_arrays(pa.array(ends[bounds], pa.int32()), pa.array(out), mask=mask)
 
     @piecewise("int")
-    def count(word_lists: pa.Array) -> pa.Array:
-        words = word_lists.flatten()
+    def count(values: pa.Array) -> pa.Array:
+        words, bounds = _words_of(values)
         known = pc.is_in(words, value_set=shared.value.cast(words.type))
         sizes = pc.if_else(known, pa.scalar(0, pa.int32()), pc.binary_length(words.cast(pa.binary())))
         ends = np.concatenate([[0], np.cumsum(sizes.to_numpy(zero_copy_only=False) + 1)])
-        bounds = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(word_lists), 0).to_numpy())])
         totals = np.diff(ends[bounds]).astype(np.int32)
-        return pa.array(totals, mask=word_lists.is_null().to_numpy(zero_copy_only=False))
+        return pa.array(totals, mask=values.is_null().to_numpy(zero_copy_only=False))
 
     @piecewise("string", OBJECT_BYTES)
     def spell(id_lists: pa.Array) -> pa.Array:
@@ -131,10 +144,10 @@ def word_tokenizer(vocab: DataFrame, cleaned: bool = False) -> Tokenizer:
         return pa.array([None if v is None else v.removeprefix(b" ").decode("utf-8", "ignore") for v in joined.to_pylist()], pa.string())
 
     return Tokenizer(
-        encode=lambda text: lookup(_splitter(cleaned)(text)),
+        encode=lambda text: lookup(_splittable(text, cleaned)),
         decode=spell,
         vocab_size=rows.num_rows + FIRST_WORD_ID,
-        count=lambda text: count(_splitter(cleaned)(text)),
+        count=lambda text: count(_splittable(text, cleaned)),
     )
 
 
