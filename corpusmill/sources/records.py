@@ -70,6 +70,8 @@ class Dialect:
 
 def _lines(text: str, by_lines: bool) -> list[str]:
     """Physical lines with their ends; a row of the scan has lost its line feed."""
+    if by_lines and "\r" not in text:
+        return [text + "\n"]
     return _LINES.findall(text + "\n" if by_lines else text)
 
 
@@ -133,14 +135,17 @@ def _summed(dialect: Dialect):
                         if not open_first:
                             break
                 at = 0
-                for i in special.tolist():
+                before, places = full.tolist(), special.tolist()
+                for i, raw in zip(places, values.take(pa.array(special)).to_pylist(), strict=True):
                     for s in (0, 1):
                         if not state[s]:
-                            count[s] += int(full[i] - full[at])
-                    for line in _lines(dialect.text(values[i].as_py(), file), dialect.by_lines):
+                            count[s] += before[i] - before[at]
+                    for line in _lines(dialect.text(raw, file), dialect.by_lines):
                         for s in (0, 1):
                             count[s] += not state[s] and bool(line.strip("\r\n"))
-                            state[s] = dialect.stays_open(line, state[s])
+                        # Most often both cases agree after a few lines, and then for good.
+                        known = {inside: dialect.stays_open(line, inside) for inside in set(state)}
+                        state = [known[inside] for inside in state]
                     at = i + 1
                 for s in (0, 1):
                     if not state[s]:

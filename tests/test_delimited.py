@@ -1,6 +1,7 @@
 import csv
 import io
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -159,3 +160,17 @@ def test_rows_are_numbered_across_the_blocks_of_a_file(spark, tmp_path):
         assert docs.count() == 30_000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_line_is_looked_at_once_when_both_starts_agree(monkeypatch):
+    from corpusmill.sources import records
+
+    asked = []
+    stays_open = records.Dialect.stays_open
+    monkeypatch.setattr(records.Dialect, "stays_open", lambda d, *a: asked.append(a) or stays_open(d, *a))
+    lines = [b'a,"x', b'""1",z'] * 50 + [b'q,"never closed']
+    batch = pa.RecordBatch.from_pydict({"file_path": ["f"] * 101, "_block": [0] * 101, "value": lines})
+    found = pa.Table.from_batches(list(records._summed(records.Dialect(",", '"', "utf-8", False))([batch]))).to_pylist()
+    assert [(r["end_outside"], r["end_inside"], r["rows_outside"], r["rows_inside"]) for r in found] == [(True, True, 51, 51)]
+    assert found[0]["header"] == ["a", 'x\n"1', "z"]
+    assert len(asked) < 110  # 202 when each line is looked at for both
