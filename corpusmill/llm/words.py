@@ -1,7 +1,7 @@
 """Words and word windows of Arrow text columns as NumPy arrays of 64-bit hashes.
 
 Used inside Arrow tasks by the operators that look at every word. A batch is taken in
-pieces of some megabytes, so memory depends on the longest text, not on the batch.
+pieces of a megabyte, so memory depends on the longest text, not on the batch.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 4 << 20
+# About 20 bytes of arrays stand beside each byte of a piece.
+PIECE_BYTES = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _FOLD = np.arange(256, dtype=np.uint8)

@@ -1,7 +1,10 @@
+import tracemalloc
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from corpusmill.functions import batches
+from corpusmill.llm import decontamination
 from corpusmill.operators import tokens
 from corpusmill.sources import delimited
 
@@ -43,3 +46,23 @@ def test_built_in_functions_work_piece_by_piece(spark):
     assert parsed.filter("e[0].content = concat('a: ', 1, '\nb: z')").count() == 1
     assert parsed.filter("size(e) = 1").count() == 3001
     assert ", 251" in _plan(parsed)
+
+
+def _peak(work):
+    """MB of Python and NumPy memory that a call takes at most."""
+    work(1)  # tables that stay are filled
+    tracemalloc.start()
+    try:
+        work(8)
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def _texts(megabytes):
+    return pa.array([" ".join(f"w{(i * 31 + j) % 5000}" for j in range(200)) for i in range(900 * megabytes)])
+
+
+def test_benchmark_items_are_searched_in_small_pieces():
+    sketch = decontamination._sketch(["w1 w2 w3 w4 w5 w6", "a b"], 80)
+    assert _peak(lambda n: decontamination.matches(_texts(n), sketch, 80)) < 120
