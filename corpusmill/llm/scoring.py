@@ -28,8 +28,8 @@ PRIOR = 50.0
 GROUP_BYTES = 256 << 20
 HOT_WORDS = 1 << 20
 SLICE_BYTES = 512 << 10  # of input
-FLUSH_TOKENS = 1_500_000
-PROBE_BYTES = 2 << 20  # of text probed at a time
+FLUSH_TOKENS = 750_000  # some 130 bytes of arrays for each
+PROBE_BYTES = 512 << 10  # of text probed at a time
 
 
 def level_starts() -> np.ndarray:
@@ -166,12 +166,12 @@ def _slices(batches):
 
     number, blocks = None, []
     for batch in batches:
-        for row in batch.to_pylist():
-            if row["slice"] != number and blocks:
+        for at, new in enumerate(batch.column("slice").to_pylist()):
+            if new != number and blocks:
                 yield done(number, blocks)
                 blocks = []
-            number = row["slice"]
-            blocks.append(row)
+            number = new
+            blocks += batch.slice(at, 1).to_pylist()  # only the rows of a slice become Python objects
     if blocks:
         yield done(number, blocks)
 

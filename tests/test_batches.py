@@ -1,10 +1,11 @@
 import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from corpusmill.functions import batches
-from corpusmill.llm import decontamination
+from corpusmill.llm import decontamination, scoring
 from corpusmill.operators import tokens
 from corpusmill.sources import delimited
 
@@ -66,3 +67,27 @@ def _texts(megabytes):
 def test_benchmark_items_are_searched_in_small_pieces():
     sketch = decontamination._sketch(["w1 w2 w3 w4 w5 w6", "a b"], 80)
     assert _peak(lambda n: decontamination.matches(_texts(n), sketch, 80)) < 120
+
+
+def test_words_are_counted_in_bounded_memory():
+    def count(megabytes):
+        texts = _texts(megabytes)
+        batch = pa.RecordBatch.from_pydict({"text": texts, "held_out": pa.array([i % 7 == 2 for i in range(len(texts))])})
+        return sum(out.num_rows for out in scoring._counted(8)([batch]))
+
+    assert _peak(count) < 80
+
+
+def test_rows_of_one_slice_become_objects_at_a_time():
+    keys = np.arange(20_000, dtype=np.uint64).tobytes()
+    rows = pa.RecordBatch.from_pydict(
+        {"slice": pa.array(np.repeat(np.arange(40), 4), pa.int32()), "kind": pa.array([0] * 160, pa.int32())}
+        | {name: pa.array([keys] * 160) for name in ("keys", "total", "train")}
+    )
+    found = []
+
+    def fill(n):
+        found.extend(out.column("slice")[0].as_py() for out in scoring._slices([rows.slice(0, 20 * n)]))
+
+    assert _peak(fill) < 40
+    assert sorted(set(found)) == list(range(40))
