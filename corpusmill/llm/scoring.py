@@ -12,6 +12,8 @@ Counts of frequent words are broadcast, a bounded number; other words are joined
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,6 +28,7 @@ LEVEL_BASE = 1.5
 HASHES, BITS_PER_ENTRY = 7, 10  # about one false answer in a hundred probes
 PRIOR = 50.0
 GROUP_BYTES = 256 << 20
+FETCH_BYTES = 8 << 20  # of the filter that pass the driver at a time
 HOT_WORDS = 1 << 20
 SLICE_BYTES = 512 << 10  # of input
 FLUSH_TOKENS = 750_000  # some 130 bytes of arrays for each
@@ -179,14 +182,17 @@ def _slices(batches):
 class _Filter:
     """Some slices of the filter, as one array of bytes."""
 
-    def __init__(self, bits: int, slices: list[int], sizes: list[int], filters: list[bytes]):
+    def __init__(self, bits: int, slices: list[int], sizes: list[int], filters: Iterable[bytes]):
         self.shift = np.uint64(64 - bits)
         self.base = np.full(1 << bits, -1, np.int64)
         self.size = np.ones(1 << bits, np.uint64)
-        lengths = [len(f) for f in filters]
-        self.base[slices] = np.cumsum([0, *lengths[:-1]])
+        lengths, whole = [], bytearray()
+        for own in filters:  # which may come one after the other, with their slices
+            lengths.append(len(own))
+            whole += own
+        self.base[slices] = np.cumsum([0, *lengths[:-1]])[: len(lengths)]
         self.size[slices] = sizes
-        self.bytes = np.frombuffer(b"".join(filters), np.uint8)
+        self.bytes = np.frombuffer(whole, np.uint8)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Level of each key whose slice is here, 0 for all others: repeated membership probes."""
@@ -332,12 +338,8 @@ def score_texts(
     broadcasts, scored = [hot], docs
     groups = _groups(slices, bits, group_bytes)
     for number, members in enumerate(groups):
-        part = slices.filter(F.col("slice").isin(members) if len(groups) > 1 else F.lit(True))
-        found = part.select("slice", "size", "bits").toArrow()  # at most the bytes of a group
-        filters = [x.as_buffer() for x in found.column("bits")]
-        shared = context.broadcast(_Filter(bits, found.column("slice").to_pylist(), found.column("size").to_pylist(), filters))
+        shared = context.broadcast(_fetched(slices, bits, members))  # at most the bytes of a group
         broadcasts.append(shared)
-        del found, filters
         if number + 1 < len(groups):
             scored = materialize(
                 scored.mapInArrow(_probed(shared), f"id {kind}, text string, held_out boolean, words binary, pairs binary"),
@@ -381,6 +383,21 @@ def _frequent(exact: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], found.column("train").to_numpy()[order]
 
 
+def _fetched(slices: DataFrame, bits: int, members: list[int], most: int = FETCH_BYTES) -> _Filter:
+    """The filter of a group of consecutive slices, of which the driver takes ``most`` bytes at a time."""
+    within = lambda own: slices.filter(F.col("slice").between(own[0], own[-1]))
+    numbers, sizes = [], []
+
+    def parts():
+        for own in _groups(within(members), bits, most) if members else ():
+            found = within(own).select("slice", "size", "bits").toArrow()
+            numbers.extend(found.column("slice").to_pylist())
+            sizes.extend(found.column("size").to_pylist())
+            yield from (x.as_buffer() for x in found.column("bits"))
+
+    return _Filter(bits, numbers, sizes, parts())
+
+
 def _groups(slices: DataFrame, bits: int, most: int) -> list[list[int]]:
     """Slice numbers in groups of at most ``most`` bytes; there are at most 2**16 slices."""
     groups, room = [[]], most

@@ -91,3 +91,17 @@ def test_rows_of_one_slice_become_objects_at_a_time():
 
     assert _peak(fill) < 40
     assert sorted(set(found)) == list(range(40))
+
+
+def test_the_filter_passes_the_driver_in_parts(spark, monkeypatch):
+    rows = [(i, 8 * i, bytes([i]) * i) for i in (0, 2, 3, 7, 9)]
+    slices = spark.createDataFrame(rows, "slice int, size bigint, bits binary").repartition(3)
+    fetched, fetch = [], type(slices).toArrow
+    monkeypatch.setattr(type(slices), "toArrow", lambda df: fetched.append(fetch(df)) or fetched[-1])
+    found = scoring._fetched(slices, 4, [0, 2, 3, 7, 9], 6)
+    assert [t.num_rows for t in fetched] == [3, 1, 1]
+    for number, size, own in rows:
+        at = found.base[number]
+        assert found.size[number] == size and found.bytes[at : at + len(own)].tobytes() == own
+    assert (found.base >= 0).sum() == 5 and len(found.bytes) == 21
+    assert len(scoring._fetched(slices, 4, []).bytes) == 0
