@@ -33,6 +33,7 @@ HOT_WORDS = 1 << 20
 SLICE_BYTES = 512 << 10  # of input
 FLUSH_TOKENS = 750_000  # some 130 bytes of arrays for each
 PROBE_BYTES = 512 << 10  # of text probed at a time
+MEMO_KEYS = 1 << 20  # of which a worker keeps the level, 9 bytes each
 
 
 def level_starts() -> np.ndarray:
@@ -193,9 +194,31 @@ class _Filter:
         self.base[slices] = np.cumsum([0, *lengths[:-1]])[: len(lengths)]
         self.size[slices] = sizes
         self.bytes = np.frombuffer(whole, np.uint8)
+        self.memo = None  # made by the worker
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
-        """Level of each key whose slice is here, 0 for all others: repeated membership probes."""
+        """Level of each key whose slice is here, 0 for all others.
+
+        Keys of high levels take most probes and come again most often, so their levels are
+        kept: each place of the memo has the key of the highest level that fell on it.
+        """
+        if self.memo is None:
+            # At first every place has a key that belongs elsewhere.
+            self.memo = np.arange(MEMO_KEYS, dtype=np.uint64) ^ np.uint64(1), np.zeros(MEMO_KEYS, np.uint8)
+        kept, level = self.memo
+        place = (keys & np.uint64(len(kept) - 1)).astype(np.int64)
+        known = kept[place] == keys
+        found = np.where(known, level[place], np.uint8(0))
+        new = np.flatnonzero(~known)
+        found[new] = self._probed_levels(keys[new])
+        # In rising order, so that of new keys of one place the highest level stays.
+        new = new[np.argsort(found[new], kind="stable")]
+        new = new[found[new] > level[place[new]]]
+        kept[place[new]], level[place[new]] = keys[new], found[new]
+        return found
+
+    def _probed_levels(self, keys: np.ndarray) -> np.ndarray:
+        """The levels by repeated membership probes."""
         found = np.zeros(len(keys), np.uint8)
         number = (keys >> self.shift).astype(np.int64)
         base, size = self.base[number], self.size[number]

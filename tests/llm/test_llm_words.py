@@ -238,6 +238,33 @@ def test_filter_levels():
     assert (group.levels(rng.integers(0, 2**63, 4000).astype(np.uint64)) == 0).mean() > 0.97
 
 
+def test_filter_keeps_levels_of_frequent_keys(monkeypatch):
+    monkeypatch.setattr(scoring, "MEMO_KEYS", 1 << 10)
+    rng = np.random.default_rng(5)
+    keys, counts = rng.integers(0, 2**63, 6000).astype(np.uint64), rng.integers(1, 3000, 6000)
+    bits, size = scoring._filled(keys, counts)
+    make = lambda: scoring._Filter(8, list(range(256)), [size] * 256, [b""] * 255 + [bits.tobytes()])
+    group = make()
+    group.base[:] = 0
+    asked = [rng.choice(np.concatenate([keys, [np.uint64(0)], rng.integers(0, 2**63, 3000).astype(np.uint64)]), 4000) for _ in range(8)]
+    expected = [group._probed_levels(some) for some in asked]
+    for some, levels in zip(asked, expected, strict=True):
+        assert (group.levels(some) == levels).all()
+    # Of the keys of one place that of the highest level is not probed again.
+    best = {}
+    for key, level in zip(np.concatenate(asked).tolist(), np.concatenate(expected).tolist(), strict=True):
+        best[key % 1024] = max(best.get(key % 1024, (0, 0)), (level, key))
+    group._probed_levels = lambda some: np.zeros(len(some), np.uint8)
+    again = group.levels(np.concatenate(asked))
+    expected = np.concatenate(expected)
+    places = np.concatenate(asked) % np.uint64(1024)
+    for place, (level, _) in best.items():
+        assert again[places == place].max() == level
+    other = make()  # holds no slice
+    other.base[:] = -1
+    assert not other.levels(keys).any() and not other.memo[1].any()
+
+
 def _speech(rng, letters, n):
     return " ".join("".join(rng.choice(list(letters), int(rng.integers(2, 7)))) for _ in range(n))
 
