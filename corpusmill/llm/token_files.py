@@ -9,6 +9,7 @@ Readers map the files into memory and touch only the documents they are asked fo
 
 from __future__ import annotations
 
+import codecs
 import json
 import re
 import unicodedata
@@ -38,17 +39,19 @@ _CACHED, _CACHED_CHARS = 1_500_000, 64
 # All spaces of Unicode but the blank and the line feed.
 _ODD_SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _RUNS = ("  ", " \n", "\n ", "\n\n", *_ODD_SPACES)
+_ASCII_RUNS = tuple(run for run in _RUNS if run.isascii())
 _MARKS = ".,;:!?"
 # What a vocabulary file says when PIECES is its pattern and nothing else is done to a text.
 _USUAL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 _encoders: dict[tuple[str, str, bool], _Encoder] = {}
 
 
-def _byte_letters() -> dict[int, int]:
-    """The printable character that byte-level vocabularies use for each byte."""
+def _byte_letters() -> str:
+    """The printable characters that byte-level vocabularies use for the 256 bytes."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in plain]
-    return dict(zip(plain, plain, strict=True)) | {b: 256 + i for i, b in enumerate(others)}
+    letters = dict(zip(plain, plain, strict=True)) | {b: 256 + i for i, b in enumerate(others)}
+    return "".join(chr(letters[b]) for b in range(256))
 
 
 def _disputed() -> re.Pattern:
@@ -58,14 +61,11 @@ def _disputed() -> re.Pattern:
     versions between, which the library and ``regex`` have; all others are disputed.
     """
     kind = lambda data, c: "S" if c.isspace() else data.category(c)[0] if data.category(c)[0] in "LN" else data.category(c) == "Cn"
-    old, ranges = unicodedata.ucd_3_2_0, []
-    for point in range(128, 0x110000):
-        c = chr(point)
-        if old.category(c) == "Cn" or kind(old, c) != kind(unicodedata, c):
-            if ranges and ranges[-1][1] == point - 1:
-                ranges[-1][1] = point
-            else:
-                ranges.append([point, point])
+    old, flags, points = unicodedata.ucd_3_2_0, bytearray(0x110000), range(128, 0x110000)
+    for point, before, now in zip(points, *(map(data.category, map(chr, points)) for data in (old, unicodedata))):
+        if before == "Cn" or before != now and kind(old, chr(point)) != kind(unicodedata, chr(point)):
+            flags[point] = 1
+    ranges = [(found.start(), found.end() - 1) for found in re.finditer(b"\1+", flags)]
     return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges) + "]")
 
 
@@ -76,10 +76,14 @@ class _Chunks(dict):
         self.pieces, self.word, self.lead = encoder.pieces, encoder.word, lead
         self.marks = {m: encoder.pieces(m) for m in _MARKS}
         self.encoder = encoder
+        self.code, self.tokenize = encoder.code, encoder.model.tokenize
+        self.letter = encoder.blank if lead == " " else lead
 
     def __missing__(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():  # most words
+            return self.kept(chunk, array(self.code, [t.id for t in self.tokenize(self.letter + chunk)]).tobytes())
         mark = self.marks.get(chunk[-1:])
-        if not chunk.isascii() and self.encoder.disputed.search(chunk):
+        if not chunk.isascii() and self.encoder.is_disputed(chunk):
             encoded = self.encoder.library(self.lead + chunk)
         elif mark is not None and chunk[:-1].isalpha():  # a word and the mark after it never merge
             encoded = self[chunk[:-1]] + mark
@@ -87,6 +91,9 @@ class _Chunks(dict):
             encoded = self.word(self.lead + chunk)
         else:
             encoded = self.pieces(self.lead + chunk)
+        return self.kept(chunk, encoded)
+
+    def kept(self, chunk: str, encoded: bytes) -> bytes:
         if len(chunk) <= _CACHED_CHARS:
             if len(self) >= _CACHED:
                 self.clear()
@@ -107,9 +114,9 @@ class _Encoder:
         odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix") if model.get(k)]
         # Another pattern, normaliser or model leaves the cutting to the library.
         self.usual = usual and model["type"] == "BPE" and not odd
-        self.disputed = _disputed()
+        self.disputed, self.undisputed = _disputed(), set(map(chr, range(128)))
         self.split, self.letters = regex.compile(PIECES).findall, _byte_letters()
-        self.blank = chr(self.letters[32])
+        self.blank = self.letters[32]
         self.after_blank, self.at_start, self.others = _Chunks(self, " "), _Chunks(self, ""), _Chunks(self, "")
         self.line_end = self.pieces("\n")
         added = self.tokenizer.get_added_tokens_decoder().items()
@@ -120,19 +127,25 @@ class _Encoder:
         self.names = re.compile(f"({'|'.join(longest_first)})") if found else None
         self.plain = not any(t.single_word or t.lstrip or t.rstrip for _, t in found.values())
 
+    def is_disputed(self, chunk: str) -> bool:
+        if self.undisputed.issuperset(chunk):
+            return False
+        if self.disputed.search(chunk):
+            return True
+        self.undisputed.update(chunk)  # at most the characters of Unicode
+        return False
+
+    def spelled(self, piece: str) -> str:
+        return codecs.charmap_decode(piece.encode(), "strict", self.letters)[0]
+
     def word(self, piece: str) -> bytes:
         """Ids of one piece of the pattern."""
-        if piece.isascii():
-            spelled = piece.replace(" ", self.blank)
-        else:
-            spelled = piece.encode().decode("latin-1").translate(self.letters)
-        return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        return array(self.code, [t.id for t in self.model.tokenize(self.spelled(piece))]).tobytes()
 
     def pieces(self, chunk: str) -> bytes:
         ids = array(self.code)
         for piece in self.split(chunk):
-            spelled = piece.encode().decode("latin-1").translate(self.letters)
-            ids.extend([t.id for t in self.model.tokenize(spelled)])
+            ids.extend([t.id for t in self.model.tokenize(self.spelled(piece))])
         return ids.tobytes()
 
     def library(self, text: str) -> bytes:
@@ -141,19 +154,19 @@ class _Encoder:
     def encode(self, text: str) -> bytes:
         if not self.usual:
             return self.library(text)
-        parts = self.names.split(text) if self.names else [text]
-        if len(parts) == 1:
+        if not any(name in text for name in self.added):
             return self.ordinary(text)
         if not self.plain:  # names that look at or take what is beside them
             return self.library(text)
         named = lambda name: array(self.code, [self.added[name]]).tobytes()
-        return b"".join(named(part) if i % 2 else self.ordinary(part) for i, part in enumerate(parts))
+        return b"".join(named(part) if i % 2 else self.ordinary(part) for i, part in enumerate(self.names.split(text)))
 
     def ordinary(self, text: str) -> bytes:
         """Ids of a text without added tokens."""
         if not text:
             return b""
-        if text[0].isspace() or text[-1].isspace() or any(run in text for run in _RUNS):
+        runs = _ASCII_RUNS if text.isascii() else _RUNS
+        if text[0].isspace() or text[-1].isspace() or any(run in text for run in runs):
             return b"".join(map(self.chunk, CHUNK.findall(text)))
         # Blanks and line feeds stand alone here, so the pattern cuts at each of them.
         spaced, lines = self.after_blank.__getitem__, []
@@ -290,9 +303,9 @@ def _documents(batches: Iterator[pa.RecordBatch], folder: str, tokens: bool):
                 bounds = (offsets[first : last + 1] - offsets[first]).astype(np.int32)
                 out["tokens"] = pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
             else:
-                out["ids_crc32"] = pa.array(
-                    [zlib.crc32(ids[offsets[i] : offsets[i + 1]].astype("<u4")) for i in range(first, last)], pa.int64()
-                )
+                wide = memoryview(np.asarray(ids[offsets[first] : offsets[last]]).astype("<u4"))
+                cuts = (offsets[first : last + 1] - offsets[first]).tolist()
+                out["ids_crc32"] = pa.array([zlib.crc32(wide[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.int64())
             yield pa.RecordBatch.from_pydict(out)
             first = last
 

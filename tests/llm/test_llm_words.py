@@ -349,6 +349,21 @@ def test_encoder_knows_every_character(library):
         assert np.frombuffer(encode(text), "<u2").tolist() == library(text), hex(points[start])
 
 
+def test_encoder_looks_at_characters_once(library):
+    encoder = token_files._Encoder(vocabulary(), "uint16", False)
+    pattern, looked = encoder.disputed, []
+
+    class Counted:
+        def search(self, chunk):
+            looked.append(chunk)
+            return pattern.search(chunk)
+
+    encoder.disputed = Counted()
+    for text in ("é漢 aé éb é漢a,", "漢é 漢1", "\U0001f389é é", "b\U0001f389é é"):
+        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == library(text)
+    assert looked == ["é漢", "\U0001f389é", "b\U0001f389é"]  # a disputed one each time
+
+
 def test_other_patterns_are_left_to_the_library(tmp_path):
     from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
