@@ -161,10 +161,16 @@ def training_windows(spark, sf_dir):
     return windows.select("window_id", "start", _joined("x").alias("x"), _joined("y").alias("y"))
 
 
+def _packed_with_lengths(spark, sf_dir):
+    tokenized, tokenizer = corpus.tokenized_corpus(_documents(spark, sf_dir))
+    totals = tokenized.groupBy("split").agg(F.sum("n_tokens").alias("n")).collect()
+    return packing.pack_blocks(tokenized, BLOCK), tokenizer, {r["split"]: r["n"] for r in totals}
+
+
 def token_bin_roundtrip(spark, sf_dir):
-    blocks, tokenizer = _packed(spark, sf_dir)
+    blocks, tokenizer, lengths = _packed_with_lengths(spark, sf_dir)
     folders = {split: scratch_path(spark, f"{split}-bin") for split in ("train", "val")}
-    token_sinks.write_token_streams(materialize(blocks, "blocks"), folders, BLOCK, tokenizer.vocab_size)
+    token_sinks.write_token_streams(blocks, folders, BLOCK, tokenizer.vocab_size, lengths=lengths)
     parts = [
         token_sinks.read_token_runs(spark, path, 4096).select(
             F.lit(split).alias("split"), "position", F.posexplode("tokens").alias("place", "token")
@@ -177,9 +183,9 @@ def token_bin_roundtrip(spark, sf_dir):
 
 def token_bin_ranges(spark, sf_dir):
     """A stretch in the middle of the stream, found by a position filter that reaches the files."""
-    blocks, tokenizer = _packed(spark, sf_dir)
+    blocks, tokenizer, lengths = _packed_with_lengths(spark, sf_dir)
     path = scratch_path(spark, "train-bin")
-    token_sinks.write_token_stream(blocks, path, "train", BLOCK, tokenizer.vocab_size)
+    token_sinks.write_token_stream(blocks, path, "train", BLOCK, tokenizer.vocab_size, lengths=lengths)
     stream = token_sinks.read_token_stream(spark, path)
     wanted = stream.filter((F.col("position") >= 1000) & (F.col("position") < 2000))
     return wanted.select("position", F.col("token").cast("bigint").alias("token"))

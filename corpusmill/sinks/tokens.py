@@ -209,14 +209,16 @@ _FILE_TOKENS = 1 << 24
 
 
 def write_token_streams(
-    blocks: DataFrame, folders: Mapping[str, str], block_size: int, vocab_size: int, dtype: str = "uint16"
+    blocks: DataFrame, folders: Mapping[str, str], block_size: int, vocab_size: int, dtype: str = "uint16",
+    lengths: Mapping[str, int] | None = None,
 ) -> None:
     """Write the packed blocks of several splits as raw token streams to empty folders, in one job.
 
     Block numbers tell where a block belongs, so each stretch of a stream is one partition
     by its number: nothing is sampled, no two stretches share a task by chance and none goes
     without. A folder that holds a stream already is refused. Splits that are not named
-    are not written.
+    are not written. ``lengths``, the tokens of each split where they are known, spare a pass
+    over the blocks that only finds the last ones.
     """
     check_vocab_size(vocab_size, dtype)
     for path in folders.values():
@@ -229,7 +231,10 @@ def write_token_streams(
     spark.dataSource.register(TokenStream)
     named = blocks.filter(F.col("split").isin(*folders))
     per_file = max(1, _FILE_TOKENS // block_size)
-    last = {r["split"]: r["last"] for r in named.groupBy("split").agg(F.max("block_id").alias("last")).collect()}
+    if lengths is None:
+        last = {r["split"]: r["last"] for r in named.groupBy("split").agg(F.max("block_id").alias("last")).collect()}
+    else:
+        last = {split: (lengths[split] - 1) // block_size for split in folders if lengths.get(split, 0) > 0}
     task, tasks = F.lit(None).cast("bigint"), 0
     for split in sorted(last):
         stretch = F.floor(F.col("block_id") / per_file) + tasks
@@ -244,10 +249,11 @@ def write_token_streams(
 
 
 def write_token_stream(
-    blocks: DataFrame, path: str, split: str, block_size: int, vocab_size: int, dtype: str = "uint16"
+    blocks: DataFrame, path: str, split: str, block_size: int, vocab_size: int, dtype: str = "uint16",
+    lengths: Mapping[str, int] | None = None,
 ) -> None:
     """Write the packed blocks of one split, as :func:`write_token_streams`."""
-    write_token_streams(blocks, {split: path}, block_size, vocab_size, dtype)
+    write_token_streams(blocks, {split: path}, block_size, vocab_size, dtype, lengths)
 
 
 def _reading(spark: SparkSession, dtype: str) -> DataFrameReader:

@@ -223,3 +223,27 @@ def test_counts_without_ids(spark, texts):
     for tokenizer in (tokens.word_tokenizer(vocab), tokens.utf8_tokenizer(), tokens.word_tokenizer(vocab)._replace(count=None)):
         built = {r.id: r.n_tokens for r in tokens.tokenize(df, tokenizer).collect()}
         assert {r.id: r.n_tokens for r in tokens.count_tokens(df, tokenizer).collect()} == built
+
+
+def test_known_lengths_spare_a_pass_over_the_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "_FILE_TOKENS", 64)
+    rows = [(s, b, list(range(b * 4, min(b * 4 + 4, n)))) for s, n in (("train", 321), ("val", 7)) for b in range((n + 3) // 4)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    blocks = spark.createDataFrame(rows, "split string, block_id bigint, tokens array<int>")
+    watched = blocks.mapInArrow(counted, blocks.schema)
+    for i, lengths in enumerate((None, {"train": 321, "val": 7, "none": 0})):
+        folders = {split: str(tmp_path / f"{split}{i}") for split in ("train", "val", "none")}
+        seen.value = 0
+        sinks.write_token_streams(watched, folders, 4, 1000, lengths=lengths)
+        assert seen.value == (len(rows) if lengths else 2 * len(rows))
+        for split, n in (("train", 321), ("val", 7)):
+            got = sinks.read_token_stream(spark, folders[split]).orderBy("position").collect()
+            assert [(r.position, r.token) for r in got] == [(k, k) for k in range(n)]
+    names = lambda i: sorted(p.name for p in (tmp_path / f"train{i}").glob("*.bin"))
+    assert names(0) == names(1) and len(names(0)) == 6
