@@ -41,7 +41,7 @@ def load_entries(
     quotechar: str = '"',
     fieldnames: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add ``entries``, the documents of each classified file, and its ``error``.
+    """Add ``entries``, the documents of each classified file, their number ``n_documents``, and its ``error``.
 
     Every file is decoded and parsed in the same pass, whatever its loader. ``custom``
     maps MIME types to expressions from text to entries; they replace the built-in ones.
@@ -67,6 +67,8 @@ def load_entries(
         .when(F.col("entries").isNull() & text.isNull() & which.isNotNull(), "cannot decode file")
         .when(which.isNotNull() & F.col("entries").isNull(), "invalid content")
     )
+    # Stored with the entries, so that outcomes are told without reading the documents again.
+    count = F.when(F.col("entries").isNull(), 0).otherwise(F.size("entries"))
     if custom:
         chosen = F.when(mime.isin(*custom), F.concat(F.lit("custom "), mime)).otherwise(which)
         files = files.withColumn("loader", chosen)
@@ -80,6 +82,7 @@ def load_entries(
         .withColumn("_tables", tables)
         .withColumn("entries", entries)
         .withColumn("error", error)
+        .withColumn("n_documents", count.cast("bigint"))
         .drop("text", "_tables", "content")
     )
 
@@ -88,7 +91,7 @@ def documents_of(loaded: DataFrame) -> DataFrame:
     """One row per document of the loaded files; all file columns ride along."""
     # The outer form keeps the optimizer from testing the entries before they are
     # unfolded, which would parse every file twice.
-    others = [c for c in loaded.columns if c not in ("path", "entries", "error", "loader", "upload_path")]
+    others = [c for c in loaded.columns if c not in ("path", "entries", "n_documents", "error", "loader", "upload_path")]
     rows = loaded.select("path", *others, F.inline_outer("entries")).filter("seq_num is not null")
     text = F.when(F.col("is_json"), js.rendered(F.when(F.col("is_json"), F.col("content"))))
     return rows.select(
@@ -102,17 +105,14 @@ def documents_of(loaded: DataFrame) -> DataFrame:
 
 def outcomes_of(loaded: DataFrame) -> DataFrame:
     """``(file_path, path, loader, n_documents, status, error)`` per file found."""
-    count = F.when(F.col("entries").isNull(), 0).otherwise(F.size("entries"))
     status = (
         F.when(F.col("error").isNotNull(), F.when(F.col("loader").isNull(), "unsupported").otherwise("failed"))
         .when(F.col("loader").isNull(), "unsupported")
         .when(F.col("n_documents") == 0, "empty")
         .otherwise("completed")
     )
-    return (
-        loaded.withColumn("n_documents", count.cast("bigint"))
-        .withColumn("status", status)
-        .select(F.col("upload_path").alias("file_path"), "path", "loader", "n_documents", "status", "error")
+    return loaded.withColumn("status", status).select(
+        F.col("upload_path").alias("file_path"), "path", "loader", "n_documents", "status", "error"
     )
 
 

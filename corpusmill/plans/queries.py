@@ -808,10 +808,12 @@ def mixed_documents(spark, sf_dir):
 
 def manifest_status(spark, sf_dir):
     uploads = _upload_files(spark, sf_dir)
-    known = manifest.build_manifest(
+    built = manifest.build_manifest(
         uploads.withColumn("length", F.length("content").cast("bigint")),
         uploaded_at=F.timestamp_seconds(F.lit(1_700_000_000)),
     )
+    # Used twice below, and each use would read all files for their lengths.
+    known = materialize(built.select("upload_id", "file_path", "status", "error_message"), "manifest")
     running = manifest.mark_processing(known, known.filter("status = 'completed'"))
     _, outcomes = ingest.process_files(uploads)
     return manifest.apply_outcomes(running, outcomes).select("file_path", "status", "error_message")

@@ -138,26 +138,25 @@ def _wanted(member: str) -> bool:
 
 
 def _grouped(
-    upload: pa.Array, found: Iterable[tuple], fields: T.StructType, types: list, rows: int = 1000, size: int = 8 << 20
+    uploads: pa.Array, found: Iterable[tuple[int, tuple]], fields: T.StructType, types: list, rows: int = 1000, size: int = 8 << 20
 ) -> Iterator[pa.RecordBatch]:
-    """Rows found in one upload as record batches of bounded number and content size."""
+    """Rows found in the uploads, each with its upload's place, as record batches of bounded number and content size."""
     content = fields.names.index("content")
 
-    def batch(group: list[tuple]) -> pa.RecordBatch:
+    def batch(places: list[int], group: list[tuple]) -> pa.RecordBatch:
         columns = [pa.array(values, t) for values, t in zip(zip(*group), types)]
-        return pa.RecordBatch.from_arrays(
-            [upload.take(pa.array([0] * len(group))), *columns], ["upload", *fields.names]
-        )
+        return pa.RecordBatch.from_arrays([uploads.take(pa.array(places)), *columns], ["upload", *fields.names])
 
-    group, held = [], 0
-    for row in found:
+    places, group, held = [], [], 0
+    for place, row in found:
+        places.append(place)
         group.append(row)
         held += len(row[content] or b"")
         if len(group) == rows or held >= size:
-            yield batch(group)
-            group, held = [], 0
+            yield batch(places, group)
+            places, group, held = [], [], 0
     if group:
-        yield batch(group)
+        yield batch(places, group)
 
 
 def _deflated(raw: bytes, info: zipfile.ZipInfo) -> bytes | None:
@@ -240,10 +239,12 @@ def list_members(archives: DataFrame, max_depth: int = 3) -> DataFrame:
     def list_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             paths, blobs, uploads = (batch.column(c) for c in ("path", "content", "upload"))
-            for i, path in enumerate(paths.to_pylist()):
-                found = _walk(path, blobs[i].as_py(), max_depth, False, 0)
-                rows = ((a, m, _wanted(m or ""), is_file, data, e) for a, m, is_file, data, e in found)
-                yield from _grouped(uploads.slice(i, 1), rows, _MEMBER_FIELDS, _MEMBER_TYPES)
+            rows = (
+                (i, (a, m, _wanted(m or ""), is_file, data, e))
+                for i, path in enumerate(paths.to_pylist())
+                for a, m, is_file, data, e in _walk(path, blobs[i].as_py(), max_depth, False, 0)
+            )
+            yield from _grouped(uploads, rows, _MEMBER_FIELDS, _MEMBER_TYPES)
 
     fields = T.StructType([archives.schema["upload"], *_MEMBER_FIELDS.fields])
     return archives.select("path", "content", "upload").mapInArrow(list_all, fields)
@@ -260,20 +261,23 @@ def open_archives(archives: DataFrame, max_depth: int = 3, max_member: int = MAX
     def cut_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             paths, blobs, uploads = (batch.column(c) for c in ("path", "content", "upload"))
-            for i, path in enumerate(paths.to_pylist()):
-                pieces = enumerate(_cut(path, blobs[i].as_py(), max_depth, max_member))
-                rows = ((path, number, *piece) for number, piece in pieces)
-                yield from _grouped(uploads.slice(i, 1), rows, _PIECE_FIELDS, _PIECE_TYPES)
+            rows = (
+                (i, (path, number, *piece))
+                for i, path in enumerate(paths.to_pylist())
+                for number, piece in enumerate(_cut(path, blobs[i].as_py(), max_depth, max_member))
+            )
+            yield from _grouped(uploads, rows, _PIECE_FIELDS, _PIECE_TYPES)
 
     def unpack_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names_of = ("member", "is_file", "content", "crc", "error")
         for batch in batches:
-            uploads, archive = batch.column("upload"), batch.column("archive")
-            columns = [batch.column(c) for c in names_of]
-            for i in range(batch.num_rows):
-                piece = tuple(c[i].as_py() for c in columns)
-                rows = _unpack(archive[i].as_py(), piece, max_depth, max_member)
-                yield from _grouped(uploads.slice(i, 1), rows, _MEMBER_FIELDS, _MEMBER_TYPES)
+            archive, columns = batch.column("archive"), [batch.column(c) for c in names_of]
+            rows = (
+                (i, row)
+                for i in range(batch.num_rows)
+                for row in _unpack(archive[i].as_py(), tuple(c[i].as_py() for c in columns), max_depth, max_member)
+            )
+            yield from _grouped(batch.column("upload"), rows, _MEMBER_FIELDS, _MEMBER_TYPES)
 
     upload = archives.schema["upload"]
     pieces = archives.select("path", "content", "upload").mapInArrow(

@@ -419,3 +419,31 @@ def test_rejected_files_are_not_read(spark, tmp_path):
     assert {r.original_filename: (r.status, r.checksum is None) for r in rows} == {
         "small.txt": ("completed", False), "huge.txt": ("failed", True)
     }
+
+
+def test_outcomes_leave_documents_unread(spark):
+    rows = [("/in/a.txt", b"one\r\ntwo"), ("/in/b.zip", zipped({"c.csv": "x,y\n1,2\n3,4\n", "d.bin": b"\0"})), ("/in/e.json", b"{")]
+    documents, outcomes = ingest.process_files(spark.createDataFrame(rows, "path string, content binary"))
+    scans = outcomes._jdf.queryExecution().executedPlan().toString()
+    assert "loader" in scans and "entries" not in scans
+    assert {r.path: (r.status, r.n_documents) for r in outcomes.collect()} == {
+        "/in/a.txt": ("completed", 1), "/in/b.zip!/c.csv": ("completed", 2), "/in/b.zip!/d.bin": ("unsupported", 0),
+        "/in/e.json": ("failed", 0),
+    }
+    assert "n_documents" not in documents.columns
+    assert sorted(r.page_content for r in documents.collect()) == ["one\ntwo", "x: 1\ny: 2", "x: 3\ny: 4"]
+
+
+def test_members_of_many_uploads_share_batches():
+    """A record batch for each member cost more than unpacking it."""
+    uploads = archives.pa.array([{"upload_path": f"/in/{i}.zip"} for i in range(700)])
+    rows = [(i, (f"/in/{i}.zip", f"{n}.txt", True, True, b"x" * (i % 7), None)) for i in range(700) for n in range(i % 4)]
+    for most, size in ((1000, 8 << 20), (1000, 500), (3, 8 << 20)):
+        batches = list(archives._grouped(uploads, iter(rows), archives._MEMBER_FIELDS, archives._MEMBER_TYPES, most, size))
+        found = [r for b in batches for r in b.to_pylist()]
+        assert [(r["upload"]["upload_path"], r["archive"], r["member"], r["content"]) for r in found] == [
+            (a, a, member, content) for _, (a, member, _, _, content, _) in rows
+        ]
+        assert all(b.num_rows <= most and sum(map(len, b.column("content").to_pylist())) < size + 7 for b in batches)
+        assert len(batches) == (-(-len(rows) // most) if size > 500 else len(batches))
+    assert list(archives._grouped(uploads, iter(()), archives._MEMBER_FIELDS, archives._MEMBER_TYPES)) == []
